@@ -25,18 +25,30 @@ def regex_alternation(patterns: list[str]) -> str:
     return REGEX_FLAGS + "|".join("(?:" + p + ")" for p in patterns)
 
 
+# Up to this many keywords are inlined as plain ``contains`` terms (fully
+# code-generated); longer lists become one ``filter``/``exists`` over a literal
+# array, which keeps generated methods far below the JVM's 64 KB limit.
+INLINE_KEYWORDS = 64
+
+
 def hit_count(low, keywords: list[str]) -> Column:
     """Number of keywords (a bag: duplicates count) contained in ``low``."""
     if not keywords:
         return F.lit(0)
     low = col_(low)
-    return reduce(lambda a, b: a + b, [low.contains(k).cast("int") for k in keywords])
+    if len(keywords) <= INLINE_KEYWORDS:
+        return reduce(lambda a, b: a + b, [low.contains(k).cast("int") for k in keywords])
+    arr = F.array(*[F.lit(k) for k in keywords])
+    return F.size(F.filter(arr, lambda k: F.instr(low, k) > 0))
 
 
 def any_hit(low, keywords: list[str]) -> Column:
-    """True when any keyword is contained (short-circuits in codegen)."""
+    """True when any keyword is contained (stops at the first hit)."""
     low = col_(low)
-    return reduce(lambda a, b: a | b, [low.contains(k) for k in keywords])
+    if len(keywords) <= INLINE_KEYWORDS:
+        return reduce(lambda a, b: a | b, [low.contains(k) for k in keywords])
+    arr = F.array(*[F.lit(k) for k in keywords])
+    return F.exists(arr, lambda k: F.instr(low, k) > 0)
 
 
 def category_match(text, low, lex: Lexicon, category: str) -> Column:
@@ -52,28 +64,48 @@ def tags(text, lex: Lexicon, low=None) -> Column:
     return F.array_compact(arr)
 
 
-def best_label(text, lex: Lexicon, low=None, with_score: bool = False):
-    """D3: category with most keyword hits; ties by declared order; no hit -> NULL (or default).
+def best_struct(low, lex: Lexicon) -> Column:
+    """D3 core: ``array_max`` of ``struct(score, order, label)`` over the categories.
 
-    Returns the label column, or ``(label, score)`` when ``with_score``.
-    ``confidence`` of the reference is ``least(score / 5, 1)``.
+    The maximum is the highest hit count; among equal counts the earliest
+    declared category wins (``order`` = n - position).  Materialise it as its
+    own column (``operators.tagging.classify``) before reading score and label
+    from it, so the keyword tests are generated and evaluated once.
     """
-    low = F.lower(col_(text)) if low is None else col_(low)
     n = len(lex.categories)
-    scored = F.array(*[
+    return F.array_max(F.array(*[
         F.struct(hit_count(low, lex.keywords(c)).alias("score"), F.lit(n - i).alias("order"), F.lit(c).alias("label"))
         for i, c in enumerate(lex.categories)
-    ])
-    best = F.array_max(scored)
+    ]))
+
+
+def label_of(best, text, lex: Lexicon) -> Column:
+    """Label from a ``best_struct`` column: NULL (or the default) for empty text or zero hits."""
     empty = F.coalesce(col_(text), F.lit("")) == ""
-    label = F.when(~empty & (best["score"] > 0), best["label"])
+    label = F.when(~empty & (col_(best)["score"] > 0), col_(best)["label"])
     if lex.default is not None:
         label = F.coalesce(label, F.lit(lex.default))
-    if with_score:
-        return label, F.when(~empty, best["score"]).otherwise(F.lit(0))
     return label
 
 
+def score_of(best, text) -> Column:
+    empty = F.coalesce(col_(text), F.lit("")) == ""
+    return F.when(~empty, col_(best)["score"]).otherwise(F.lit(0))
+
+
+def best_label(text, lex: Lexicon, low=None, with_score: bool = False):
+    """D3 as one expression (fine for small lexicons; large ones go through ``classify``).
+
+    Category with most keyword hits; ties by declared order; no hit -> NULL
+    (or the lexicon default).  ``confidence`` is ``least(score / 5, 1)``.
+    """
+    low = F.lower(col_(text)) if low is None else col_(low)
+    best = best_struct(low, lex)
+    if with_score:
+        return label_of(best, text, lex), score_of(best, text)
+    return label_of(best, text, lex)
+
+
 def confidence(score) -> Column:
     return F.least(col_(score) / F.lit(5.0), F.lit(1.0))
 
@@ -102,6 +134,7 @@ def budget_amount_range(text) -> Column:
     return F.when(amt != "", bucket)
 
 
-def budget_range(text, budget_lex: Lexicon, low=None) -> Column:
+def budget_range(text, budget_lex: Lexicon, low=None, best=None) -> Column:
     """Amount rule first, else best label over the budget lexicon (keywords as literals)."""
-    return F.coalesce(budget_amount_range(text), best_label(text, budget_lex, low))
+    lab = label_of(best, text, budget_lex) if best is not None else best_label(text, budget_lex, low)
+    return F.coalesce(budget_amount_range(text), lab)

@@ -1,0 +1,20 @@
+"""Task-count guard for CPU-heavy text work.
+
+A small file with few row groups scans into few partitions, and regex or
+keyword work over long texts then runs on a handful of cores.  ``spread``
+hash-partitions such input on a cheap key over at least ``factor x
+defaultParallelism`` partitions (deterministic on retry, no pre-sort as with
+round-robin).  At cluster scale the scan already has far more partitions than
+cores and ``spread`` is a no-op, so it never adds a shuffle to a big job.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame, key: str | None = None, factor: int = 2) -> DataFrame:
+    target = df.sparkSession.sparkContext.defaultParallelism * factor
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, key) if key else df.repartition(target)

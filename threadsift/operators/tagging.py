@@ -27,10 +27,25 @@ def tag(df: DataFrame, lex: Lexicon, text: str = "text", out: str = "tags", low:
 
 def classify(df: DataFrame, lex: Lexicon, text: str = "text", out: str = "label", low: str | None = None,
              score_col: str | None = None) -> DataFrame:
-    if score_col:
-        label, score = LX.best_label(F.col(text), lex, F.col(low) if low else None, with_score=True)
-        return df.withColumn(out, label).withColumn(score_col, score)
-    return df.withColumn(out, LX.best_label(F.col(text), lex, F.col(low) if low else None))
+    """D3: best label column ``out`` (and optionally its hit count)."""
+    return classify_many(df, {out: lex}, text, low, {out: score_col} if score_col else None)
+
+
+def classify_many(df: DataFrame, lexicons: dict[str, Lexicon], text: str = "text", low: str | None = None,
+                  score_cols: dict[str, str] | None = None) -> DataFrame:
+    """Several best-label columns in one pass.
+
+    The per-dimension ``best`` structs are their own projection (each read
+    twice below), so Catalyst keeps them as one evaluated value instead of
+    duplicating hundreds of keyword tests into every branch.
+    """
+    lowc = F.col(low) if low else F.lower(F.col(text))
+    tmp = {f"__best_{o}": LX.best_struct(lowc, lx) for o, lx in lexicons.items()}
+    r = df.withColumns(tmp)
+    outs = {o: LX.label_of(F.col(f"__best_{o}"), F.col(text), lx) for o, lx in lexicons.items()}
+    for o, sc in (score_cols or {}).items():
+        outs[sc] = LX.score_of(F.col(f"__best_{o}"), F.col(text))
+    return r.withColumns(outs).drop(*tmp)
 
 
 def keep_tagged(df: DataFrame, col: str = "tags") -> DataFrame:

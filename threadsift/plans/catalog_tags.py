@@ -118,10 +118,8 @@ FROM posts""")
 def classify_dims(spark, sf):
     """Best label on five dimensions in one projection, plus the stage confidence."""
     p = posts_from_tables(spark, sf).withColumn("_low", F.lower("text"))
-    cols = {d: LX.best_label(F.col("text"), lx, F.col("_low")) for d, lx in _DA.items()}
-    _, score = LX.best_label(F.col("text"), _DA["business_stage"], F.col("_low"), with_score=True)
-    return p.select("seq", *[c.alias(d) for d, c in cols.items()],
-                    F.round(LX.confidence(score), 6).alias("stage_confidence"))
+    p = TG.classify_many(p, _DA, low="_low", score_cols={"business_stage": "_stage_score"})
+    return p.select("seq", *_DA, F.round(LX.confidence(F.col("_stage_score")), 6).alias("stage_confidence"))
 
 
 @register("severity_score", f"""WITH {G.posts_cte()}

@@ -25,14 +25,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threadsift.functions.text import ARABIC_DIGITS, ASCII_DIGITS
+from threadsift.operators.parallel import spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def text_table(spark: SparkSession, sf_dir: str, name: str, cols: list[str]) -> DataFrame:
+    """Scan a text-heavy table and make sure the CPU-bound text work has enough tasks."""
+    return spread(table(spark, sf_dir, name).select(*cols), key=cols[0])
+
+
 def posts_from_tables(spark: SparkSession, sf_dir: str, with_counts: bool = False) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    docs = text_table(spark, sf_dir, "documents", ["doc_id", "text", "source"])
     # per-key counts are aggregated before the join (one row per user / conversation),
     # so a hot user or conversation cannot skew the join; AQE picks broadcast when small
     ev = table(spark, sf_dir, "events").groupBy("user_id").agg(F.count(F.lit(1)).alias("n_events"))
@@ -70,7 +76,7 @@ def decorated_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages with a deterministic fragment inside the article, by ``page_id % 4``:
     a clean post link, a comment-only link, a ``permalink.php`` link, or no link;
     plus a reactions label, comment/share count nodes, an author link, two images."""
-    p = table(spark, sf_dir, "pages")
+    p = text_table(spark, sf_dir, "pages", ["page_id", "url", "html"])
     pid = F.col("page_id").cast("string")
     k = F.col("page_id") % 4
     link = (F.when(k == 0, F.concat(F.lit('<a href="https://example.org/groups/1/posts/'), pid, F.lit('/">'),
