@@ -125,3 +125,78 @@ _cv AS (SELECT conv_id, count(*) AS n FROM conversations GROUP BY conv_id),
   FROM documents d
   LEFT JOIN _ev ON _ev.user_id = d.doc_id % 150
   LEFT JOIN _cv ON _cv.conv_id = d.doc_id % 100)"""
+
+
+# ---------------------------------------------------------------- profiles
+def budget_amount(text: str) -> str:
+    amt = f"regexp_extract({text}, '([0-9٠-٩]+)\\s*(جنيه|EGP|egp|\\$)', 1)"
+    digits = f"regexp_replace({ascii_digits(amt)}, '^0+([0-9])', '\\1')"
+    v = f"TRY_CAST({digits} AS BIGINT)"
+    r = L.BUDGET_RANGES
+    e0, e1, e2 = L.BUDGET_EDGES
+    return (f"(CASE WHEN {amt} = '' THEN NULL WHEN length({digits}) > 9 THEN {q(r[3])} "
+            f"WHEN {v} < {e0} THEN {q(r[0])} WHEN {v} < {e1} THEN {q(r[1])} WHEN {v} < {e2} THEN {q(r[2])} "
+            f"WHEN {v} IS NOT NULL THEN {q(r[3])} END)")
+
+
+def team_size(t: str, n: str) -> str:
+    ts = L.TEAM_SIZE
+    return (f"(CASE WHEN {t} IS NULL THEN {q(ts['unknown'])} "
+            f"WHEN contains({t}, 'Freelancer/Solo') OR contains(lower({t}), 'solo') THEN {q(ts['solo'])} "
+            f"WHEN contains({t}, 'Startup') THEN (CASE WHEN {n} > 5 THEN {q(ts['startup_large'])} ELSE {q(ts['startup_small'])} END) "
+            f"WHEN contains({t}, 'SME') THEN {q(ts['sme'])} WHEN contains({t}, 'Agency') THEN {q(ts['agency'])} "
+            f"ELSE {q(ts['unknown'])} END)")
+
+
+def readiness(budget: str, tech: str, stage: str, ntools: str) -> str:
+    w = L.READINESS_WEIGHTS
+    nb, nt, ns = len(L.BUDGET_RANGES), len(L.TECH_LEVELS), len(L.BUSINESS_STAGES)
+    b = f"({scale_index(budget, L.BUDGET_RANGES)} + 1)"
+    t = f"({scale_index(tech, L.TECH_LEVELS)} + 1)"
+    s = f"({scale_index(stage, L.BUSINESS_STAGES)} + 1)"
+    terms = [
+        f"coalesce({b} * {w['budget'] / nb!r}, 0.0)",
+        f"coalesce({t} * {w['tech_capability'] / nt!r}, 0.0)",
+        f"coalesce({s} * {w['business_stage'] / ns!r}, 0.0)",
+        f"coalesce(({t} / {nt}) * {w['implementation_capability']}, 0.0)",
+        f"coalesce(({b} / {nb}) * {w['willingness_to_pay']}, 0.0)",
+        f"coalesce(({s} / {ns}) * {w['pain_tolerance']}, 0.0)",
+        f"least(coalesce({ntools}, 0) / 3.0, 1.0) * {w['tool_adoption']}",
+    ]
+    raw = "(" + " + ".join(terms) + ")"
+    return f"CAST(least(round_even(round({raw}, 9), 0), 100.0) AS BIGINT)"
+
+
+def ordered_set(col: str, lex: L.Lexicon) -> str:
+    items = ", ".join("{'s': min(seq) FILTER (WHERE list_contains(" + col + f", {q(c)})), 'r': {i}, 'c': {q(c)}" + "}"
+                      for i, c in enumerate(lex.categories))
+    return f"list_transform(list_sort(list_filter([{items}], lambda x: x.s IS NOT NULL)), lambda x: x.c)"
+
+
+def profiles_cte() -> str:
+    """WITH-list items ``posts``, ``lab`` (labelled posts) and ``prof`` (one row per author)."""
+    dims = L.demographic_lexicons()
+    bud, pains, tools = L.budget_lexicon(), L.pain_point_lexicon(), L.tool_lexicon()
+    label_cols = list(dims) + ["budget_range"]
+    lab_cols = ",\n    ".join(f"{best_label('text', lx, 'low')} AS {d}" for d, lx in dims.items())
+    firsts = ",\n    ".join(f"arg_min({c}, seq) FILTER (WHERE {c} IS NOT NULL) AS {c}" for c in label_cols)
+    return f"""{posts_cte(with_counts=True)},
+_lab0 AS (SELECT *, lower(text) AS low FROM posts),
+lab AS (
+  SELECT seq, coalesce(author, 'Unknown') AS author, text, "timestamp",
+    {parse_digits('likes')} + {parse_digits('comments')} AS engagement,
+    {lab_cols},
+    coalesce({budget_amount('text')}, {best_label('text', bud, 'low')}) AS budget_range,
+    {tags('text', pains, 'low')} AS pain_points,
+    {tags('text', tools, 'low')} AS tool_preferences
+  FROM _lab0),
+_prof0 AS (
+  SELECT author, count(*) AS post_count, CAST(sum(engagement) AS BIGINT) AS total_engagement, min(seq) AS first_seq,
+    {firsts},
+    {ordered_set('pain_points', pains)} AS pain_points,
+    {ordered_set('tool_preferences', tools)} AS tool_preferences
+  FROM lab GROUP BY author),
+prof AS (
+  SELECT *, {team_size('business_type', 'post_count')} AS team_size,
+    {readiness('budget_range', 'tech_level', 'business_stage', 'len(tool_preferences)')} AS readiness_score
+  FROM _prof0)"""
