@@ -1 +1,96 @@
-"""(filled in below)"""
+"""Identity and incremental-ingest semantics."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from threadsift.functions import html as H
+from threadsift.functions.identity import DEFAULT_GROUP_ID, dedup_key
+from threadsift.operators import dedup as DD
+from threadsift.plans import sqlgen as G
+from threadsift.plans.catalog_pages import WITH as PAGES_WITH
+from threadsift.plans.catalog_pages import _pages_sql, units
+from threadsift.plans.registry import register
+from threadsift.sources.adapter import posts_from_tables, table
+
+KEY_SQL = f"CASE WHEN {G.strip('url')} <> '' THEN {G.strip('url')} ELSE md5(substr(text, 1, 120)) END"
+
+
+@register("dedup_key_first", "WITH " + G.posts_cte() + f"""
+SELECT seq, dedup_key FROM (SELECT seq, {KEY_SQL} AS dedup_key FROM posts)
+QUALIFY row_number() OVER (PARTITION BY dedup_key ORDER BY seq) = 1""")
+def dedup_key_first(spark, sf):
+    """First post per dedup key (skew-safe keep-first aggregate)."""
+    p = posts_from_tables(spark, sf)
+    return DD.distinct_key_first(p).select("seq", dedup_key(F.col("url"), F.col("text")).alias("dedup_key"))
+
+
+@register("resume_anti_join", "WITH " + G.posts_cte() + f"""
+, stored AS (SELECT DISTINCT {KEY_SQL} AS k FROM posts p JOIN labels l ON l.doc_id = p.seq)
+SELECT seq FROM posts WHERE {KEY_SQL} NOT IN (SELECT k FROM stored)""")
+def resume_anti_join(spark, sf):
+    """Incoming posts whose key is not already stored (stored = posts that have a labels row)."""
+    p = posts_from_tables(spark, sf)
+    stored = p.join(table(spark, sf, "labels").select(F.col("doc_id").alias("seq")), "seq", "left_semi")
+    return DD.not_seen(p, stored).select("seq")
+
+
+_UNIT_IDS = ("list_filter(list_transform(list_filter(regexp_extract_all(html, '(?i)<a\\b[^>]*?href=\"([^\"]*)\"', 1), "
+             "lambda h: contains(h, '/posts/') AND NOT contains(h, 'comment_id=')), lambda h: regexp_extract(h, '/posts/([0-9]+)', 1)), "
+             "lambda v: v <> '')[1]")
+
+
+@register("id_pre_dedup", "WITH " + G.posts_cte() + ", " + _pages_sql() + f"""
+, u AS (SELECT page_id, unit_pos, {_UNIT_IDS} AS post_id FROM units),
+seen AS (SELECT DISTINCT coalesce(nullif(regexp_extract(url, '/posts/([0-9]+)', 1), ''), nullif(regexp_extract(url, 'story_fbid=([0-9]+)', 1), '')) AS post_id FROM posts)
+SELECT page_id, unit_pos, post_id FROM u WHERE post_id IS NULL OR post_id NOT IN (SELECT post_id FROM seen WHERE post_id IS NOT NULL)""")
+def id_pre_dedup(spark, sf):
+    """Units whose clean post id is already stored are skipped before extraction."""
+    u = units(spark, sf).select("page_id", "unit_pos", H.first(H.harvested_post_ids(F.col("html"))).alias("post_id"))
+    return DD.not_seen_ids(u, posts_from_tables(spark, sf)).select("page_id", "unit_pos", "post_id")
+
+
+STRATEGY_SQL = "WITH " + _pages_sql() + f"""
+, feed AS (SELECT page_id, unit_pos, 0 AS strategy, html FROM units
+           WHERE NOT (length(html) < {H.SKELETON_MAX_HTML} AND NOT regexp_matches(html, '(?i)<a[\\s>]'))),
+pages_with_feed AS (SELECT DISTINCT page_id FROM feed),
+link AS (SELECT page_id, CAST(generate_subscripts(ids, 1) - 1 AS INTEGER) AS unit_pos, 1 AS strategy, unnest(ids) AS pid FROM
+         (SELECT page_id, list_filter(list_transform(list_filter(regexp_extract_all(html, '(?i)<a\\b[^>]*?href="([^"]*)"', 1),
+            lambda h: contains(h, '/posts/') AND NOT contains(h, 'comment_id=')), lambda h: regexp_extract(h, '/posts/([0-9]+)', 1)), lambda v: v <> '') AS ids
+          FROM dpages WHERE page_id NOT IN (SELECT page_id FROM pages_with_feed))),
+art AS (SELECT page_id, unit_pos, 2 AS strategy, html FROM units WHERE length(html) >= {H.ARTICLE_MIN_HTML}),
+k AS (SELECT page_id, unit_pos, strategy, 'page:' || CAST(page_id AS VARCHAR) || ':' || md5(substr(html, 1, 200)) AS key FROM feed
+      UNION ALL SELECT page_id, unit_pos, strategy, 'https://www.facebook.com/groups/{DEFAULT_GROUP_ID}/posts/' || pid || '/' FROM link
+      UNION ALL SELECT page_id, unit_pos, strategy, 'page:' || CAST(page_id AS VARCHAR) || ':' || md5(substr(html, 1, 200)) FROM art)
+SELECT key, strategy, page_id, unit_pos FROM k QUALIFY row_number() OVER (PARTITION BY key ORDER BY strategy, page_id, unit_pos) = 1"""
+
+
+@register("strategy_union", STRATEGY_SQL)
+def strategy_union(spark, sf):
+    """E5: priority union of feed units, link-found posts (only for pages without feed units)
+    and the article supplement; first strategy wins per key."""
+    u = units(spark, sf)
+    feed = (u.filter(~H.is_skeleton(F.col("html")))
+            .select("page_id", "unit_pos", F.lit(0).alias("strategy"),
+                    F.concat(F.lit("page:"), F.col("page_id").cast("string"), F.lit(":"), F.md5(F.substring("html", 1, 200))).alias("key")))
+    from threadsift.sources.adapter import decorated_pages
+    pages = decorated_pages(spark, sf)
+    link = (pages.join(feed.select("page_id").distinct(), "page_id", "left_anti")
+            .select("page_id", F.posexplode(H.harvested_post_ids(F.col("html"))).alias("unit_pos", "pid"))
+            .select("page_id", F.col("unit_pos").cast("int"), F.lit(1).alias("strategy"),
+                    F.concat(F.lit(f"https://www.facebook.com/groups/{DEFAULT_GROUP_ID}/posts/"), F.col("pid"), F.lit("/")).alias("key")))
+    art = (u.filter(H.big_enough(F.col("html")))
+           .select("page_id", "unit_pos", F.lit(2).alias("strategy"),
+                   F.concat(F.lit("page:"), F.col("page_id").cast("string"), F.lit(":"), F.md5(F.substring("html", 1, 200))).alias("key")))
+    allu = feed.unionByName(link).unionByName(art)
+    win = allu.groupBy("key").agg(F.min(F.struct("strategy", "page_id", "unit_pos")).alias("w"))
+    return win.select("key", F.col("w.strategy").alias("strategy"), F.col("w.page_id").alias("page_id"), F.col("w.unit_pos").alias("unit_pos"))
+
+
+@register("running_index", "WITH " + G.posts_cte() + f"""
+, k AS (SELECT seq FROM (SELECT seq, {KEY_SQL} AS key FROM posts) QUALIFY row_number() OVER (PARTITION BY key ORDER BY seq) = 1)
+SELECT seq, row_number() OVER (ORDER BY seq) - 1 AS "index" FROM k""")
+def running_index(spark, sf):
+    """Running 0-based index of accepted (key-deduplicated) posts in input order."""
+    p = DD.distinct_key_first(posts_from_tables(spark, sf)).select("seq")
+    return DD.running_index(p, "seq", "index").select("seq", "index")

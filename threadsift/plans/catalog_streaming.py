@@ -1 +1,184 @@
-"""(filled in below)"""
+"""File I/O round trips and streaming ingest.
+
+Files are written under the session's shared ``spark.checkpoint.dir``; each
+call uses fresh sub-folders, so reruns never read stale output.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from threadsift import lexicons as L
+from threadsift.functions import lexicon as LX
+from threadsift.plans import sqlgen as G
+from threadsift.plans.registry import register
+from threadsift.session import checkpoint_path
+from threadsift.sources import readers as RD
+from threadsift.sources import sinks as SK
+from threadsift.sources.adapter import posts_from_tables, table
+from threadsift.streaming import ingest as ING
+
+POST_COLS = ["index", "text", "author", "timestamp", "url", "likes", "comments", "shares", "images", "is_video", "is_share"]
+KEY_SQL = f"CASE WHEN {G.strip('url')} <> '' THEN {G.strip('url')} ELSE md5(substr(text, 1, 120)) END"
+FILES = 4  # landing files per run (the posts are split into this many JSON-lines files)
+
+
+def land_posts(spark, sf):
+    """Write the derived posts as JSON lines into a fresh landing folder."""
+    path = checkpoint_path(spark, "landing")
+    SK.append_jsonl(posts_from_tables(spark, sf).select(*POST_COLS).repartition(FILES), path)
+    return path
+
+
+@register("json_roundtrip", "WITH " + G.posts_cte() + '\nSELECT "index", md5(text) AS text_md5 FROM posts')
+def json_roundtrip(spark, sf):
+    """A6 -> A2: append as JSON lines, read back with the explicit schema."""
+    good, _ = RD.read_jsonl(spark, land_posts(spark, sf))
+    return good.select("index", F.md5("text").alias("text_md5"))
+
+
+@register("batched_roundtrip", "WITH " + G.posts_cte() + '\nSELECT "index", md5(text) AS text_md5 FROM posts')
+def batched_roundtrip(spark, sf):
+    """A1/A5: 30 posts per wrapper file ``{"posts": [...]}``, read back with posexplode (position kept)."""
+    path = checkpoint_path(spark, "batched")
+    p = posts_from_tables(spark, sf).select(*POST_COLS).withColumn("file_no", F.floor(F.col("index") / 30))
+    wrappers = p.groupBy("file_no").agg(F.array_sort(F.collect_list(F.struct(F.col("index").alias("_o"), *POST_COLS))).alias("posts"))
+    wrappers = wrappers.select(F.transform("posts", lambda x: x.dropFields("_o")).alias("posts"))
+    wrappers.write.option("maxRecordsPerFile", 1).mode("overwrite").json(path)  # one wrapper object per file
+    good, _ = RD.read_batched(spark, path)
+    return good.select("index", F.md5("text").alias("text_md5"))
+
+
+@register("quarantine_counts", f"""
+SELECT 'good' AS kind, count(*) AS n FROM documents
+UNION ALL SELECT 'bad', CAST(sum(len(list_filter(string_split(replace(text, chr(13), ''), chr(10)), lambda x: trim(x) <> ''))) AS BIGINT) FROM benchmark""")
+def quarantine_counts(spark, sf):
+    """A2/A3: good JSON lines load, non-JSON lines (benchmark text written raw) go to quarantine."""
+    path = land_posts(spark, sf)
+    raw = table(spark, sf, "benchmark").select(F.regexp_replace("text", "\r", "").alias("value"))
+    raw.write.mode("append").text(path)
+    good, bad = RD.read_jsonl(spark, path)
+    g = good.agg(F.count(F.lit(1)).alias("n")).select(F.lit("good").alias("kind"), "n")
+    b = bad.agg(F.count(F.lit(1)).alias("n")).select(F.lit("bad").alias("kind"), "n")
+    return g.unionByName(b)
+
+
+@register("stream_dedup", "WITH " + G.posts_cte() + f"\nSELECT DISTINCT {KEY_SQL} AS dedup_key FROM posts WHERE NOT (length({G.strip('text')}) < 5 AND url = '')")
+def stream_dedup(spark, sf):
+    """H1/H2/H5: streaming ingest with stateful dedup (availableNow), read back from the parquet sink."""
+    landing = land_posts(spark, sf)
+    sink, ck = checkpoint_path(spark, "sink"), checkpoint_path(spark, "ckpt")
+    ING.ingest_dedup(spark, landing, sink, ck, max_files=1)
+    return spark.read.parquet(sink).select("dedup_key")
+
+
+@register("stream_resume", "WITH " + G.posts_cte() + f"\nSELECT DISTINCT {KEY_SQL} AS dedup_key FROM posts WHERE NOT (length({G.strip('text')}) < 5 AND url = '')")
+def stream_resume(spark, sf):
+    """H3: two runs over a growing landing folder; the second emits only unseen keys (foreachBatch + anti join)."""
+    landing = land_posts(spark, sf)
+    sink, ck = checkpoint_path(spark, "sink"), checkpoint_path(spark, "ckpt")
+    ING.ingest_anti_join(spark, landing, sink, ck, max_files=2)
+    SK.append_jsonl(posts_from_tables(spark, sf).select(*POST_COLS).repartition(2), landing)  # the same posts land again
+    ING.ingest_anti_join(spark, landing, sink, ck, max_files=2)
+    return spark.read.parquet(sink).select("dedup_key")
+
+
+PROBE = L.probe_lexicon(regex=True)
+
+
+@register("stream_tag_counts", "WITH " + G.posts_cte() + f"""
+SELECT tag, count(*) AS frequency FROM (SELECT unnest({G.tags('text', PROBE)}) AS tag FROM posts WHERE text <> '') GROUP BY tag""")
+def stream_tag_counts(spark, sf):
+    """H6: live tag counts over the ingest stream (complete mode)."""
+    landing = land_posts(spark, sf)
+    s = ING.landing_stream(spark, landing, 1).filter(F.coalesce("text", F.lit("")) != "")
+    sink, ck = checkpoint_path(spark, "tags"), checkpoint_path(spark, "ckpt")
+    ING.live_tag_counts(spark, s, LX.tags(F.col("text"), PROBE), sink, ck)
+    return spark.read.parquet(sink)
+
+
+ROUNDS_SQL = """WITH firsts AS (SELECT user_id, event_type, min(ts) AS t FROM events GROUP BY ALL),
+hours AS (SELECT DISTINCT date_trunc('hour', ts) AS h FROM events),
+r AS (SELECT h, CAST(row_number() OVER (ORDER BY h) AS BIGINT) AS round FROM hours),
+n AS (SELECT date_trunc('hour', t) AS h, count(*) AS new_posts FROM firsts GROUP BY ALL),
+j AS (SELECT r.round, CAST(coalesce(n.new_posts, 0) AS BIGINT) AS new_posts FROM r LEFT JOIN n USING (h)),
+k AS (SELECT *, CAST(sum(new_posts) OVER (ORDER BY round) AS BIGINT) AS total_posts,
+      sum(CASE WHEN new_posts > 0 THEN 1 ELSE 0 END) OVER (ORDER BY round) AS island FROM j)
+SELECT round, new_posts, total_posts,
+  CAST(CASE WHEN new_posts > 0 THEN 0 ELSE row_number() OVER (PARTITION BY island ORDER BY round) - CASE WHEN island > 0 THEN 1 ELSE 0 END END AS BIGINT) AS idle_run
+FROM k"""
+
+
+def _rounds(spark, sf):
+    """F25/G15 over ingest rounds: one round per event hour; new = first-seen (user, type) keys."""
+    ev = table(spark, sf, "events").select("user_id", "event_type", F.col("ts").cast("timestamp").alias("ts"))
+    firsts = ev.groupBy("user_id", "event_type").agg(F.min("ts").alias("t"))
+    hours = ev.select(F.date_trunc("hour", "ts").alias("h")).distinct()
+    n = firsts.groupBy(F.date_trunc("hour", "t").alias("h")).agg(F.count(F.lit(1)).alias("new_posts"))
+    # rounds are bounded by the time span (hours), not by the data volume
+    r = hours.join(n, "h", "left").select("h", F.coalesce("new_posts", F.lit(0)).cast("long").alias("new_posts"))
+    w = Window.orderBy("h")
+    r = r.withColumn("round", F.row_number().over(w).cast("long"))
+    r = r.withColumn("total_posts", F.sum("new_posts").over(w.rowsBetween(Window.unboundedPreceding, 0)).cast("long"))
+    r = r.withColumn("island", F.sum(F.when(F.col("new_posts") > 0, 1).otherwise(0)).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    pos = F.row_number().over(Window.partitionBy("island").orderBy("h")) - F.when(F.col("island") > 0, 1).otherwise(0)
+    return r.withColumn("idle_run", F.when(F.col("new_posts") > 0, F.lit(0)).otherwise(pos).cast("long"))
+
+
+@register("ingest_rounds", ROUNDS_SQL)
+def ingest_rounds(spark, sf):
+    """Per-round new and running total, with the idle-run length."""
+    return _rounds(spark, sf).select("round", "new_posts", "total_posts", "idle_run")
+
+
+@register("idle_runs", "WITH x AS (" + ROUNDS_SQL + """)
+SELECT min(round) FILTER (WHERE idle_run = 10) AS stop_round, max(idle_run) AS longest_idle_run,
+  CAST(sum(CASE WHEN new_posts = 0 THEN 1 ELSE 0 END) AS BIGINT) AS idle_rounds FROM x""")
+def idle_runs(spark, sf):
+    """First round where the idle run reaches 10 (the stop rule), longest run, idle rounds."""
+    r = _rounds(spark, sf)
+    return r.agg(F.min(F.when(F.col("idle_run") == 10, F.col("round"))).alias("stop_round"),
+                 F.max("idle_run").alias("longest_idle_run"),
+                 F.sum(F.when(F.col("new_posts") == 0, 1).otherwise(0)).cast("long").alias("idle_rounds"))
+
+
+@register("result_document")
+def result_document(spark, sf):
+    """The nested pain-point result document (one row), also written as JSON."""
+    from threadsift.plans import pain_points as PP
+    a = PP.analyze(posts_from_tables(spark, sf), PROBE)
+    stats = PP.tag_stats(a, PROBE).select("tag", "frequency", "average_severity", "average_engagement", *L.SEGMENTS)
+    samples = PP.sample_posts(a).select("seq", "text", "severity", "segment", "total_engagement")
+    doc = SK.result_document(stats, PP.totals(a), samples)
+    SK.write_document(doc, checkpoint_path(spark, "result_doc"))
+    return doc
+
+
+@register("run_summary")
+def run_summary(spark, sf):
+    """One summary row for an ingest run (time, source, unique posts, data path)."""
+    landing = land_posts(spark, sf)
+    sink, ck = checkpoint_path(spark, "sink"), checkpoint_path(spark, "ckpt")
+    ING.ingest_dedup(spark, landing, sink, ck)
+    s = SK.run_summary(spark.read.parquet(sink), "documents", sink)
+    s.write.mode("overwrite").json(checkpoint_path(spark, "summary"))
+    return s.drop("timestamp")
+
+
+@register("report_sink")
+def report_sink(spark, sf):
+    """Every report section written as a named output; returns (section, rows)."""
+    from threadsift.plans import statistics as ST
+    from threadsift.plans.catalog_profiles import profiles
+    prof = profiles(spark, sf).checkpoint()  # one materialisation feeds every section
+    tables = {"community_totals": ST.community_totals(prof), "label_distributions": ST.label_distributions(prof),
+              "budget_stage_grid": ST.budget_stage_grid(prof), "stage_ranking": ST.stage_ranking(prof),
+              "heatmap_bucket": ST.heatmap_bucket(prof), "top3_per_stage": ST.top3_per_stage(prof)}
+    paths = SK.write_report(tables, checkpoint_path(spark, "report"))
+    parts = [spark.read.parquet(p).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("section"), "rows")
+             for n, p in paths.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

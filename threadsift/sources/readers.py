@@ -28,21 +28,27 @@ def _file_key(order: str):
 def read_jsonl(spark: SparkSession, path, glob: str | None = None, order: str = "name") -> tuple[DataFrame, DataFrame]:
     """A2: JSON lines with an explicit schema. Returns ``(posts, quarantine)``.
 
-    Blank lines are skipped by the reader; malformed lines land in the
-    quarantine table (``_corrupt_record``) instead of failing the job.
+    Lines are scanned as text and parsed with ``from_json`` (PERMISSIVE): blank
+    lines are skipped, malformed lines land in the quarantine table with their
+    raw text instead of failing the job, and both outputs can be queried
+    independently (no restriction on corrupt-record-only queries).
     """
-    r = (spark.read.schema(S.POST_WITH_CORRUPT)
-         .option("mode", "PERMISSIVE")
-         .option("columnNameOfCorruptRecord", "_corrupt_record"))
+    r = spark.read
     if glob:
         r = r.option("pathGlobFilter", glob)
-    df = r.json(path)
-    df = df.withColumn("seq", F.struct(_file_key(order).alias("file_key"),
-                                       F.col("_metadata.file_block_start").alias("block"),
-                                       F.monotonically_increasing_id().alias("pos")))
-    good = df.filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
-    bad = (df.filter(F.col("_corrupt_record").isNotNull())
-           .select(F.col("seq"), F.col("_metadata.file_name").alias("file_name"), F.col("_corrupt_record")))
+    raw = r.text(path)
+    raw = raw.select(
+        "value",
+        F.struct(_file_key(order).alias("file_key"), F.col("_metadata.file_block_start").alias("block"),
+                 F.monotonically_increasing_id().alias("pos")).alias("seq"),
+        F.col("_metadata.file_name").alias("file_name"))
+    raw = raw.filter(F.trim(F.col("value")) != "")
+    parsed = raw.select("seq", "file_name", "value", F.from_json("value", S.POST_WITH_CORRUPT, {
+        "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}).alias("r"))
+    good = (parsed.filter(F.col("r._corrupt_record").isNull() & F.col("r").isNotNull())
+            .select("seq", *[F.col(f"r.{f.name}").alias(f.name) for f in S.POST_FIELDS]))
+    bad = (parsed.filter(F.col("r").isNull() | F.col("r._corrupt_record").isNotNull())
+           .select("seq", "file_name", F.col("value").alias("_corrupt_record")))
     return good, bad
 
 
