@@ -25,58 +25,76 @@ def regex_alternation(patterns: list[str]) -> str:
     return REGEX_FLAGS + "|".join("(?:" + p + ")" for p in patterns)
 
 
-# Up to this many keywords are inlined as plain ``contains`` terms (fully
-# code-generated); longer lists become one ``filter``/``exists`` over a literal
-# array, which keeps generated methods far below the JVM's 64 KB limit.
-INLINE_KEYWORDS = 64
+# Large lexicons are emitted as one Spark SQL expression string per column
+# (a single ``F.expr`` call) instead of thousands of py4j ``Column`` calls:
+# plan construction stays in milliseconds and Catalyst sees a flat expression.
 
 
-def hit_count(low, keywords: list[str]) -> Column:
-    """Number of keywords (a bag: duplicates count) contained in ``low``."""
+def sql_lit(s: str) -> str:
+    """Spark SQL string literal (backslash escapes are on by default)."""
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _name(c) -> str:
+    if isinstance(c, str):
+        return "`" + c.replace("`", "``") + "`"
+    raise TypeError("SQL-text lexicon builders take column names")
+
+
+def hits_sql(low: str, keywords: list[str]) -> str:
     if not keywords:
-        return F.lit(0)
-    low = col_(low)
-    if len(keywords) <= INLINE_KEYWORDS:
-        return reduce(lambda a, b: a + b, [low.contains(k).cast("int") for k in keywords])
-    arr = F.array(*[F.lit(k) for k in keywords])
-    return F.size(F.filter(arr, lambda k: F.instr(low, k) > 0))
+        return "0"
+    return "(" + " + ".join(f"CAST(contains({low}, {sql_lit(k)}) AS INT)" for k in keywords) + ")"
 
 
-def any_hit(low, keywords: list[str]) -> Column:
-    """True when any keyword is contained (stops at the first hit)."""
-    low = col_(low)
-    if len(keywords) <= INLINE_KEYWORDS:
-        return reduce(lambda a, b: a | b, [low.contains(k) for k in keywords])
-    arr = F.array(*[F.lit(k) for k in keywords])
-    return F.exists(arr, lambda k: F.instr(low, k) > 0)
+def any_sql(low: str, keywords: list[str]) -> str:
+    return "(" + " OR ".join(f"contains({low}, {sql_lit(k)})" for k in keywords) + ")"
 
 
-def category_match(text, low, lex: Lexicon, category: str) -> Column:
+def match_sql(text: str, low: str, lex: Lexicon, category: str) -> str:
     if lex.is_regex:
-        return col_(text).rlike(regex_alternation(lex.keywords(category)))
-    return any_hit(low, lex.keywords(category))
+        return f"({text} RLIKE {sql_lit(regex_alternation(lex.keywords(category)))})"
+    return any_sql(low, lex.keywords(category))
+
+
+def hit_count(low, keywords: list[str]) -> Column:
+    """Number of keywords (a bag: duplicates count) contained in the lower-cased column ``low``."""
+    if isinstance(low, str):
+        return F.expr(hits_sql(_name(low), keywords))
+    return reduce(lambda a, b: a + b, [col_(low).contains(k).cast("int") for k in keywords]) if keywords else F.lit(0)
 
 
-def tags(text, lex: Lexicon, low=None) -> Column:
-    """Ordered array of categories with at least one hit (declared order, each once)."""
-    low = F.lower(col_(text)) if low is None else col_(low)
-    arr = F.array(*[F.when(category_match(text, low, lex, c), F.lit(c)) for c in lex.categories])
-    return F.array_compact(arr)
+def any_hit(low, keywords: list[str]) -> Column:
+    """True when any keyword is contained (stops at the first hit)."""
+    if isinstance(low, str):
+        return F.expr(any_sql(_name(low), keywords))
+    return reduce(lambda a, b: a | b, [col_(low).contains(k) for k in keywords])
+
+
+def tags(text: str, lex: Lexicon, low: str | None = None) -> Column:
+    """Ordered array of categories with at least one hit (declared order, each once).
+
+    ``text``/``low`` are column names; ``low`` (the lower-cased text) is needed for keyword lexicons.
+    """
+    t = _name(text)
+    lw = _name(low) if low else f"lower({t})"
+    items = ", ".join(f"CASE WHEN {match_sql(t, lw, lex, c)} THEN {sql_lit(c)} END" for c in lex.categories)
+    return F.expr(f"array_compact(array({items}))")
 
 
-def best_struct(low, lex: Lexicon) -> Column:
+def best_struct(low: str, lex: Lexicon) -> Column:
     """D3 core: ``array_max`` of ``struct(score, order, label)`` over the categories.
 
     The maximum is the highest hit count; among equal counts the earliest
     declared category wins (``order`` = n - position).  Materialise it as its
     own column (``operators.tagging.classify``) before reading score and label
-    from it, so the keyword tests are generated and evaluated once.
+    from it, so the keyword tests are evaluated once.
     """
+    lw = _name(low)
     n = len(lex.categories)
-    return F.array_max(F.array(*[
-        F.struct(hit_count(low, lex.keywords(c)).alias("score"), F.lit(n - i).alias("order"), F.lit(c).alias("label"))
-        for i, c in enumerate(lex.categories)
-    ]))
+    items = ", ".join(f"named_struct('score', {hits_sql(lw, lex.keywords(c))}, 'order', {n - i}, 'label', {sql_lit(c)})"
+                      for i, c in enumerate(lex.categories))
+    return F.expr(f"array_max(array({items}))")
 
 
 def label_of(best, text, lex: Lexicon) -> Column:
@@ -93,28 +111,14 @@ def score_of(best, text) -> Column:
     return F.when(~empty, col_(best)["score"]).otherwise(F.lit(0))
 
 
-def best_label(text, lex: Lexicon, low=None, with_score: bool = False):
-    """D3 as one expression (fine for small lexicons; large ones go through ``classify``).
-
-    Category with most keyword hits; ties by declared order; no hit -> NULL
-    (or the lexicon default).  ``confidence`` is ``least(score / 5, 1)``.
-    """
-    low = F.lower(col_(text)) if low is None else col_(low)
-    best = best_struct(low, lex)
-    if with_score:
-        return label_of(best, text, lex), score_of(best, text)
-    return label_of(best, text, lex)
-
-
 def confidence(score) -> Column:
     return F.least(col_(score) / F.lit(5.0), F.lit(1.0))
 
 
-def severity(text, urgency: list[str], severe: list[str], base=3.0, wu=1.5, ws=2.0, cap=10) -> Column:
-    """``min(int(base + wu*urgency_hits + ws*severity_hits), cap)`` on lower-cased text."""
-    low = F.lower(col_(text))
-    raw = F.lit(base) + F.lit(wu) * hit_count(low, urgency) + F.lit(ws) * hit_count(low, severe)
-    return F.least(F.floor(raw).cast("int"), F.lit(cap))
+def severity(low: str, urgency: list[str], severe: list[str], base=3.0, wu=1.5, ws=2.0, cap=10) -> Column:
+    """``min(int(base + wu*urgency_hits + ws*severity_hits), cap)`` on the lower-cased text column ``low``."""
+    lw = _name(low)
+    return F.expr(f"CAST(least(floor({base} + {wu} * {hits_sql(lw, urgency)} + {ws} * {hits_sql(lw, severe)}), {cap}) AS INT)")
 
 
 def budget_amount_range(text) -> Column:
@@ -134,7 +138,6 @@ def budget_amount_range(text) -> Column:
     return F.when(amt != "", bucket)
 
 
-def budget_range(text, budget_lex: Lexicon, low=None, best=None) -> Column:
-    """Amount rule first, else best label over the budget lexicon (keywords as literals)."""
-    lab = label_of(best, text, budget_lex) if best is not None else best_label(text, budget_lex, low)
-    return F.coalesce(budget_amount_range(text), lab)
+def budget_range(text, budget_lex: Lexicon, best) -> Column:
+    """Amount rule first, else the best label over the budget lexicon (keywords as literals)."""
+    return F.coalesce(budget_amount_range(text), label_of(best, text, budget_lex))

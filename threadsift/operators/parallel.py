@@ -1,20 +1,35 @@
-"""Task-count guard for CPU-heavy text work.
-
-A small file with few row groups scans into few partitions, and regex or
-keyword work over long texts then runs on a handful of cores.  ``spread``
-hash-partitions such input on a cheap key over at least ``factor x
-defaultParallelism`` partitions (deterministic on retry, no pre-sort as with
-round-robin).  At cluster scale the scan already has far more partitions than
-cores and ``spread`` is a no-op, so it never adds a shuffle to a big job.
+"""Task-count guard for CPU-heavy text work on small inputs.
+
+A small file with a single row group scans as a single task, and every
+regex/keyword expression -- including filters that Catalyst pushes down to
+the scan, below any repartition -- then runs on one core.  ``spread`` fixes
+that for *small* inputs only: when the scan has fewer partitions than
+``factor x defaultParallelism`` and Catalyst's size estimate is at most
+``max_bytes``, it hash-partitions on a cheap key and persists the result
+(memory, spilling to disk).  The persisted relation is a pushdown barrier, so
+the text work runs on all partitions, and Spark's cache manager reuses the
+same copy for every query over the same table in the session.
+
+Large inputs are returned untouched: they already scan with enough tasks, and
+neither a shuffle nor a cache of them is wanted.  A lost executor only loses
+cache blocks, which Spark recomputes from the source files.
 """
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
+SPREAD_MAX_BYTES = 1 << 30
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
 
-def spread(df: DataFrame, key: str | None = None, factor: int = 2) -> DataFrame:
+def spread(df: DataFrame, key: str | None = None, factor: int = 2, max_bytes: int = SPREAD_MAX_BYTES) -> DataFrame:
     target = df.sparkSession.sparkContext.defaultParallelism * factor
-    if df.rdd.getNumPartitions() >= target:
+    if df.rdd.getNumPartitions() >= target or estimated_bytes(df) > max_bytes:
         return df
-    return df.repartition(target, key) if key else df.repartition(target)
+    r = df.repartition(target, key) if key else df.repartition(target)
+    return r.persist(StorageLevel.MEMORY_AND_DISK)

@@ -22,7 +22,7 @@ MAX_BROADCAST_LEXICON_ROWS = 200_000  # a lexicon bigger than this is not broadc
 
 
 def tag(df: DataFrame, lex: Lexicon, text: str = "text", out: str = "tags", low: str | None = None) -> DataFrame:
-    return df.withColumn(out, LX.tags(F.col(text), lex, F.col(low) if low else None))
+    return df.withColumn(out, LX.tags(text, lex, low))
 
 
 def classify(df: DataFrame, lex: Lexicon, text: str = "text", out: str = "label", low: str | None = None,
@@ -39,13 +39,14 @@ def classify_many(df: DataFrame, lexicons: dict[str, Lexicon], text: str = "text
     twice below), so Catalyst keeps them as one evaluated value instead of
     duplicating hundreds of keyword tests into every branch.
     """
-    lowc = F.col(low) if low else F.lower(F.col(text))
-    tmp = {f"__best_{o}": LX.best_struct(lowc, lx) for o, lx in lexicons.items()}
+    if not low:
+        df, low = df.withColumn("__low", F.lower(F.col(text))), "__low"
+    tmp = {f"__best_{o}": LX.best_struct(low, lx) for o, lx in lexicons.items()}
     r = df.withColumns(tmp)
     outs = {o: LX.label_of(F.col(f"__best_{o}"), F.col(text), lx) for o, lx in lexicons.items()}
     for o, sc in (score_cols or {}).items():
         outs[sc] = LX.score_of(F.col(f"__best_{o}"), F.col(text))
-    return r.withColumns(outs).drop(*tmp)
+    return r.withColumns(outs).drop(*tmp, "__low")
 
 
 def keep_tagged(df: DataFrame, col: str = "tags") -> DataFrame:

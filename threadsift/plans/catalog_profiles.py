@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from threadsift.plans import demographics as DM
@@ -15,7 +16,10 @@ def labeled(spark, sf):
 
 
 def profiles(spark, sf):
-    return DM.profiles(labeled(spark, sf))
+    """One row per author, persisted: every report section reads the same profiles
+    (Spark's cache manager matches the plan), as the report driver of the
+    reference reuses its profile dict.  Size is bounded by authors, not posts."""
+    return DM.profiles(labeled(spark, sf)).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 PROF = "WITH " + G.profiles_cte()

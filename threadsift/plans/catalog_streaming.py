@@ -94,7 +94,7 @@ def stream_tag_counts(spark, sf):
     landing = land_posts(spark, sf)
     s = ING.landing_stream(spark, landing, 1).filter(F.coalesce("text", F.lit("")) != "")
     sink, ck = checkpoint_path(spark, "tags"), checkpoint_path(spark, "ckpt")
-    ING.live_tag_counts(spark, s, LX.tags(F.col("text"), PROBE), sink, ck)
+    ING.live_tag_counts(spark, s, LX.tags("text", PROBE), sink, ck)
     return spark.read.parquet(sink)
 
 

@@ -126,8 +126,8 @@ def classify_dims(spark, sf):
 SELECT seq, {G.severity('text')} AS severity FROM posts""")
 def severity_score(spark, sf):
     """urgency/severity keyword score, capped at 10."""
-    p = posts_from_tables(spark, sf)
-    return p.select("seq", LX.severity(F.col("text"), L.URGENCY_KEYWORDS, L.SEVERITY_KEYWORDS).cast("long").alias("severity"))
+    p = posts_from_tables(spark, sf).withColumn("_low", F.lower("text"))
+    return p.select("seq", LX.severity("_low", L.URGENCY_KEYWORDS, L.SEVERITY_KEYWORDS).cast("long").alias("severity"))
 
 
 @register("segment_label", f"""WITH {G.posts_cte()}

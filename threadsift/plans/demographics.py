@@ -50,8 +50,8 @@ def label_posts(posts: DataFrame) -> DataFrame:
         (parse_count(F.col("likes"), "digits") + parse_count(F.col("comments"), "digits")).alias("engagement"),
         *DIMENSIONS,
         F.coalesce(LX.budget_amount_range(F.col("text")), F.col("_budget_kw")).alias("budget_range"),
-        LX.tags(F.col("text"), PAINS, F.col("_low")).alias("pain_points"),
-        LX.tags(F.col("text"), TOOLS, F.col("_low")).alias("tool_preferences"),
+        LX.tags("text", PAINS, "_low").alias("pain_points"),
+        LX.tags("text", TOOLS, "_low").alias("tool_preferences"),
     )
 
 

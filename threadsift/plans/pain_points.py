@@ -16,6 +16,7 @@ from threadsift import lexicons as L
 from threadsift.functions import lexicon as LX
 from threadsift.functions.numbers import parse_count
 from threadsift.functions.text import preview
+from threadsift.operators import tagging as TG
 from threadsift.operators.reports import rank_by
 from threadsift.schema import DEFAULTS_PAIN
 from threadsift.sources.readers import with_defaults
@@ -30,17 +31,17 @@ def analyze(posts: DataFrame, lex: L.Lexicon | None = None) -> DataFrame:
     """Per-post result rows: only posts with text and at least one tag."""
     lex = lex or L.pain_lexicon()
     seg = L.segment_lexicon()
-    p = with_defaults(posts, DEFAULTS_PAIN).filter(F.col("text") != "")
-    p = p.withColumn("pain_points", LX.tags(F.col("text"), lex)).filter(F.size("pain_points") > 0)
-    low = F.lower(F.col("text"))
+    p = with_defaults(posts, DEFAULTS_PAIN).filter(F.col("text") != "").withColumn("_low", F.lower("text"))
+    p = p.withColumn("pain_points", LX.tags("text", lex, "_low")).filter(F.size("pain_points") > 0)
+    p = TG.classify(p, seg, out="segment", low="_low")
     likes, comments, shares = (parse_count(F.col(c), "strict") for c in ("likes", "comments", "shares"))
     return p.select(
         "seq",
         preview(F.col("text"), 200).alias("text"),
         "pain_points",
-        LX.severity(F.col("text"), L.URGENCY_KEYWORDS, L.SEVERITY_KEYWORDS, L.SEVERITY_BASE,
+        LX.severity("_low", L.URGENCY_KEYWORDS, L.SEVERITY_KEYWORDS, L.SEVERITY_BASE,
                     L.SEVERITY_URGENCY_W, L.SEVERITY_SEVERITY_W, L.SEVERITY_CAP).alias("severity"),
-        LX.best_label(F.col("text"), seg, low).alias("segment"),
+        F.col("segment"),
         likes.alias("likes"), comments.alias("comments"), shares.alias("shares"),
         (likes + comments + shares).alias("total_engagement"),
         F.col("timestamp"), F.col("url"),
