@@ -3,7 +3,7 @@
 import __spark_entry__ as E
 from tests.conftest import SF_SMALL
 
-ROWS_ONLY = {"result_document", "run_summary", "report_sink"}
+ROWS_ONLY = {"result_document", "run_summary", "report_sink", "stream_progress"}
 
 
 def test_entry(spark):

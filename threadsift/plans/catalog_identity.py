@@ -94,3 +94,14 @@ def running_index(spark, sf):
     """Running 0-based index of accepted (key-deduplicated) posts in input order."""
     p = DD.distinct_key_first(posts_from_tables(spark, sf)).select("seq")
     return DD.running_index(p, "seq", "index").select("seq", "index")
+
+
+@register("dedup_canonical_key", "WITH " + G.posts_cte() + f"""
+, c AS (SELECT seq, regexp_replace({G.strip('url')}, '[?#].*$', '') AS cu, text FROM posts)
+SELECT seq, CASE WHEN cu <> '' THEN cu ELSE md5(substr(text, 1, 120)) END AS dedup_key
+FROM c QUALIFY row_number() OVER (PARTITION BY CASE WHEN cu <> '' THEN cu ELSE md5(substr(text, 1, 120)) END ORDER BY seq) = 1""")
+def dedup_canonical_key(spark, sf):
+    """Opt-in canonical key (Q10): query string and fragment dropped before keep-first."""
+    from threadsift.functions.identity import canonical_url
+    p = posts_from_tables(spark, sf).withColumn("url", canonical_url(F.col("url")))
+    return DD.distinct_key_first(p).select("seq", dedup_key(F.col("url"), F.col("text")).alias("dedup_key"))

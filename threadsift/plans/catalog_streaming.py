@@ -143,6 +143,39 @@ def idle_runs(spark, sf):
                  F.sum(F.when(F.col("new_posts") == 0, 1).otherwise(0)).cast("long").alias("idle_rounds"))
 
 
+@register("legacy_union", "WITH " + G.posts_cte() + '''
+SELECT "index", md5(text) AS text_md5 FROM posts UNION ALL SELECT "index", md5(text) FROM posts''')
+def legacy_union(spark, sf):
+    """JSON-lines output and legacy batched files read together (bag union by name)."""
+    jl = land_posts(spark, sf)
+    bt = checkpoint_path(spark, "batched")
+    p = posts_from_tables(spark, sf).select(*POST_COLS).withColumn("file_no", F.floor(F.col("index") / 30))
+    w = p.groupBy("file_no").agg(F.array_sort(F.collect_list(F.struct(F.col("index").alias("_o"), *POST_COLS))).alias("posts"))
+    w.select(F.transform("posts", lambda x: x.dropFields("_o")).alias("posts")).write.option("maxRecordsPerFile", 1).json(bt)
+    good, _ = RD.read_posts(spark, jsonl_path=jl, batched_path=bt)
+    return good.select("index", F.md5("text").alias("text_md5"))
+
+
+@register("stream_progress")
+def stream_progress(spark, sf):
+    """H4/F25/G15 on a live stream: per micro-batch new posts, running total and idle run.
+
+    One landing file per trigger; the per-batch counts are written by foreachBatch to a
+    metrics table (one row per round), from which rounds are derived.
+    """
+    landing = land_posts(spark, sf)
+    SK.append_jsonl(posts_from_tables(spark, sf).select(*POST_COLS).repartition(2), landing)  # repeats: idle rounds
+    sink, ck, metrics = checkpoint_path(spark, "sink"), checkpoint_path(spark, "ckpt"), checkpoint_path(spark, "metrics")
+    ING.ingest_anti_join(spark, landing, sink, ck, max_files=1, metrics=metrics)
+    m = spark.read.parquet(metrics)
+    w = Window.orderBy("round")
+    m = m.withColumn("total_posts", F.sum("new_posts").over(w.rowsBetween(Window.unboundedPreceding, 0)).cast("long"))
+    m = m.withColumn("island", F.sum(F.when(F.col("new_posts") > 0, 1).otherwise(0)).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    pos = F.row_number().over(Window.partitionBy("island").orderBy("round")) - F.when(F.col("island") > 0, 1).otherwise(0)
+    return m.select("round", "new_posts", "total_posts",
+                    F.when(F.col("new_posts") > 0, F.lit(0)).otherwise(pos).cast("long").alias("idle_run"))
+
+
 @register("result_document")
 def result_document(spark, sf):
     """The nested pain-point result document (one row), also written as JSON."""

@@ -145,3 +145,25 @@ def tag_keywords_join(spark, sf):
     p = posts_from_tables(spark, sf)
     return TG.tag_join(p, _TOOLS, out="tool_preferences").select(
         "seq", F.array_join("tool_preferences", "|").alias("tool_preferences"))
+
+
+SEG_NORM = SEG.normalized()
+
+
+@register("segment_normalized", f"""WITH {G.posts_cte()}
+SELECT seq, {G.best_label('text', SEG_NORM)} AS segment FROM posts""")
+def segment_normalized(spark, sf):
+    """Opt-in normalised lexicon (Q3): upper-case keywords (MVP, SME) are lowered so they can match."""
+    p = posts_from_tables(spark, sf)
+    return TG.classify(p, SEG_NORM, out="segment").select("seq", "segment")
+
+
+BUDGET_RX = L.Lexicon(L.budget_lexicon().name, L.budget_lexicon().entries, is_regex=True, lower_keywords=False)
+
+
+@register("budget_regex_mode", f"""WITH {G.posts_cte(with_counts=True)}
+SELECT seq, array_to_string({G.tags('text', BUDGET_RX)}, '|') AS budget_hits FROM posts""")
+def budget_regex_mode(spark, sf):
+    """Opt-in regex mode for the budget lexicon (Q2): entries such as ``\\d+ EGP`` act as patterns."""
+    p = posts_from_tables(spark, sf, with_counts=True)
+    return TG.tag(p, BUDGET_RX, out="h").select("seq", F.array_join("h", "|").alias("budget_hits"))

@@ -54,7 +54,8 @@ def ingest_dedup(spark: SparkSession, landing: str, sink: str, checkpoint: str,
     return q
 
 
-def ingest_anti_join(spark: SparkSession, landing: str, sink: str, checkpoint: str, max_files: int | None = None):
+def ingest_anti_join(spark: SparkSession, landing: str, sink: str, checkpoint: str, max_files: int | None = None,
+                     metrics: str | None = None):
     """H3 alternative: per micro-batch keep-first by ``index`` then anti-join stored keys.
 
     Each batch writes to its own ``batch=<id>`` folder with overwrite, so a retried
@@ -69,7 +70,12 @@ def ingest_anti_join(spark: SparkSession, landing: str, sink: str, checkpoint: s
         except Exception as e:  # noqa: BLE001 -- first batch: sink does not exist yet
             if "PATH_NOT_FOUND" not in str(e) and "Path does not exist" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
                 raise
-        fresh.write.mode("overwrite").parquet(f"{sink.rstrip('/')}/batch={batch_id}")
+        out = f"{sink.rstrip('/')}/batch={batch_id}"
+        fresh.write.mode("overwrite").parquet(out)
+        if metrics:  # H4: one progress row per round (new posts accepted in this micro-batch)
+            n = df.sparkSession.read.parquet(out).agg(F.count(F.lit(1)).alias("new_posts"))
+            n.select(F.lit(batch_id).cast("long").alias("round"), F.col("new_posts").cast("long")) \
+                .write.mode("overwrite").parquet(f"{metrics.rstrip('/')}/batch={batch_id}")
 
     q = (prepared(landing_stream(spark, landing, max_files)).writeStream
          .option("checkpointLocation", checkpoint).foreachBatch(per_batch).trigger(availableNow=True).start())
