@@ -10,6 +10,7 @@ from threadsift.operators import tagging as TG
 from threadsift.plans import pain_points as PP
 from threadsift.plans import sqlgen as G
 from threadsift.plans.registry import register
+from threadsift.session import session_memo
 from threadsift.sources.adapter import posts_from_tables
 
 PROBE = L.probe_lexicon(regex=True)
@@ -17,8 +18,15 @@ PROBE_KW = L.probe_lexicon(regex=False)
 SEG = L.segment_lexicon()
 
 
-def analyzed(spark, sf):
-    return PP.analyze(posts_from_tables(spark, sf), PROBE)
+def analyzed(spark, sf, keep_untagged: bool = False):
+    # plan reuse only (not persisted): every run recomputes the tagging
+    return session_memo(spark, ("analyzed", sf, keep_untagged),
+                        lambda: PP.analyze(posts_from_tables(spark, sf), PROBE, keep_untagged))
+
+
+def stats(spark, sf):
+    """Per-tag statistics; explode drops untagged posts, so no separate B3 filter pass."""
+    return PP.tag_stats(analyzed(spark, sf, keep_untagged=True), PROBE)
 
 
 # --- shared oracle CTEs -------------------------------------------------------
@@ -49,20 +57,19 @@ FROM st QUALIFY rank <= {L.TOP_TAGS}"""
 @register("tag_ranking", TAG_RANKING_SQL)
 def tag_ranking(spark, sf):
     """Flagship: tag every post, rank tags by frequency with average severity and engagement."""
-    a = analyzed(spark, sf)
-    r = PP.tag_ranking(PP.tag_stats(a, PROBE))
+    r = PP.tag_ranking(stats(spark, sf))
     return r.withColumn("rank", F.col("rank").cast("long"))
 
 
 @register("tag_by_segment", _analyzed_sql() + "\nSELECT tag, freelancer, startup, sme FROM st")
 def tag_by_segment(spark, sf):
-    return PP.tag_by_segment(PP.tag_stats(analyzed(spark, sf), PROBE))
+    return PP.tag_by_segment(stats(spark, sf))
 
 
 @register("tag_totals", _analyzed_sql() + """
 SELECT count(*) AS total_posts_analyzed, CAST(coalesce(sum(len(pain_points)), 0) AS BIGINT) AS total_mentions FROM an""")
 def tag_totals(spark, sf):
-    return PP.totals(analyzed(spark, sf))
+    return PP.totals(analyzed(spark, sf, keep_untagged=True))
 
 
 @register("top5_tags_per_segment", _analyzed_sql() + f"""
@@ -70,7 +77,7 @@ def tag_totals(spark, sf):
 SELECT segment, CAST(row_number() OVER (PARTITION BY segment ORDER BY count DESC, first_seq, cat_rank) AS BIGINT) AS rank,
   tag, count FROM grid QUALIFY rank <= {L.TOP_PER_SEGMENT}""")
 def top5_tags_per_segment(spark, sf):
-    r = PP.top_tags_per_segment(PP.tag_stats(analyzed(spark, sf), PROBE))
+    r = PP.top_tags_per_segment(stats(spark, sf))
     return r.withColumn("rank", F.col("rank").cast("long"))
 
 

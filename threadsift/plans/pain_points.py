@@ -27,12 +27,19 @@ def category_rank(c, lex: L.Lexicon):
     return m[F.col(c) if isinstance(c, str) else c]
 
 
-def analyze(posts: DataFrame, lex: L.Lexicon | None = None) -> DataFrame:
-    """Per-post result rows: only posts with text and at least one tag."""
+def analyze(posts: DataFrame, lex: L.Lexicon | None = None, keep_untagged: bool = False) -> DataFrame:
+    """Per-post result rows: only posts with text and at least one tag.
+
+    ``keep_untagged=True`` skips the B3 filter for consumers that explode the tag
+    array anyway (statistics): Catalyst would otherwise push ``size(tags) > 0``
+    below the projection and evaluate every tag regex twice.
+    """
     lex = lex or L.pain_lexicon()
     seg = L.segment_lexicon()
     p = with_defaults(posts, DEFAULTS_PAIN).filter(F.col("text") != "").withColumn("_low", F.lower("text"))
-    p = p.withColumn("pain_points", LX.tags("text", lex, "_low")).filter(F.size("pain_points") > 0)
+    p = p.withColumn("pain_points", LX.tags("text", lex, "_low"))
+    if not keep_untagged:
+        p = p.filter(F.size("pain_points") > 0)
     p = TG.classify(p, seg, out="segment", low="_low")
     likes, comments, shares = (parse_count(F.col(c), "strict") for c in ("likes", "comments", "shares"))
     return p.select(
@@ -77,8 +84,8 @@ def tag_by_segment(stats: DataFrame) -> DataFrame:
 
 
 def totals(analyzed: DataFrame) -> DataFrame:
-    """posts with at least one tag and total tag mentions."""
-    return analyzed.agg(F.count(F.lit(1)).alias("total_posts_analyzed"),
+    """posts with at least one tag and total tag mentions (untagged rows, if kept, are not counted)."""
+    return analyzed.agg(F.count_if(F.size("pain_points") > 0).alias("total_posts_analyzed"),
                         F.coalesce(F.sum(F.size("pain_points")), F.lit(0)).cast("long").alias("total_mentions"))
 
 

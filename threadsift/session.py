@@ -61,3 +61,19 @@ def checkpoint_path(spark: SparkSession, name: str) -> str:
         raise RuntimeError("spark.checkpoint.dir is not set; configure a shared folder for the cluster")
     base = base.rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+_MEMO: dict = {}
+
+
+def session_memo(spark: SparkSession, key: tuple, build):
+    """Reuse a DataFrame (an immutable plan) built earlier in this session for ``key``.
+
+    Saves driver-side work only (file listing, footer reads, analysis of large
+    expression trees); execution still happens on every action unless the
+    builder itself persisted the result.
+    """
+    k = (id(spark._jsparkSession),) + tuple(key)
+    if k not in _MEMO:
+        _MEMO[k] = build()
+    return _MEMO[k]

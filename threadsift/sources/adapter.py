@@ -26,10 +26,16 @@ from pyspark.sql import functions as F
 
 from threadsift.functions.text import ARABIC_DIGITS, ASCII_DIGITS
 from threadsift.operators.parallel import spread
+from threadsift.session import session_memo
+
+
+def _memo(spark: SparkSession, key: tuple, build):
+    return session_memo(spark, ("adapter",) + key, build)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    return _memo(spark, ("table", path), lambda: spark.read.parquet(path))
 
 
 def text_table(spark: SparkSession, sf_dir: str, name: str, cols: list[str]) -> DataFrame:
@@ -38,6 +44,10 @@ def text_table(spark: SparkSession, sf_dir: str, name: str, cols: list[str]) ->
 
 
 def posts_from_tables(spark: SparkSession, sf_dir: str, with_counts: bool = False) -> DataFrame:
+    return _memo(spark, ("posts", sf_dir, with_counts), lambda: _posts(spark, sf_dir, with_counts))
+
+
+def _posts(spark: SparkSession, sf_dir: str, with_counts: bool) -> DataFrame:
     docs = text_table(spark, sf_dir, "documents", ["doc_id", "text", "source"])
     # per-key counts are aggregated before the join (one row per user / conversation),
     # so a hot user or conversation cannot skew the join; AQE picks broadcast when small
@@ -76,6 +86,10 @@ def decorated_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages with a deterministic fragment inside the article, by ``page_id % 4``:
     a clean post link, a comment-only link, a ``permalink.php`` link, or no link;
     plus a reactions label, comment/share count nodes, an author link, two images."""
+    return _memo(spark, ("pages", sf_dir), lambda: _pages(spark, sf_dir))
+
+
+def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = text_table(spark, sf_dir, "pages", ["page_id", "url", "html"])
     pid = F.col("page_id").cast("string")
     k = F.col("page_id") % 4
