@@ -122,3 +122,9 @@ def test_lexicon_join_is_broadcast(spark):
     p = posts_from_tables(spark, SF_SMALL)
     plan = TG.tag_join(p, L.tool_lexicon(), out="t")._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastNestedLoopJoin" in plan or "BroadcastExchange" in plan
+
+
+def test_pseudonymized_profiles_keep_counts(spark):
+    p = posts_df(spark, [(1, "A", "x", "", "", "", ""), (2, "A", "y", "", "", "", ""), (3, "B", "z", "", "", "", "")])
+    prof = DM.profiles(DM.label_posts(DD.pseudonymize(p))).collect()
+    assert sorted(r.post_count for r in prof) == [1, 2] and all(len(r.author) == 64 for r in prof)

@@ -72,3 +72,8 @@ def running_index(df: DataFrame, order: str = "seq", out: str = "index") -> Data
     return (r.join(F.broadcast(offs), "__p")
             .withColumn(out, (F.coalesce(F.col("__off"), F.lit(0)) + F.col("__i")).cast("long"))
             .drop("__m", "__p", "__i", "__off"))
+
+
+def pseudonymize(df: DataFrame, col: str = "author", salt: str = "") -> DataFrame:
+    """Replace a person's name by ``sha2(salt || name, 256)``: profiles need a key, not the name."""
+    return df.withColumn(col, F.when(F.col(col).isNotNull(), F.sha2(F.concat(F.lit(salt), F.col(col)), 256)))

@@ -45,9 +45,20 @@ def prepared(stream: DataFrame) -> DataFrame:
         "dedup_key", dedup_key(F.col("url"), F.col("text")))
 
 
-def ingest_dedup(spark: SparkSession, landing: str, sink: str, checkpoint: str, max_files: int | None = None):
-    """H1/H2/H3/H5: stateful dedup across rounds, parquet sink, bounded run."""
-    s = prepared(landing_stream(spark, landing, max_files)).dropDuplicates(["dedup_key"])
+def ingest_dedup(spark: SparkSession, landing: str, sink: str, checkpoint: str, max_files: int | None = None,
+                 event_time: str | None = None, watermark: str = "1 day"):
+    """H1/H2/H3/H5: stateful dedup across rounds, parquet sink, bounded run.
+
+    The reference has no event time, so by default the key state is unbounded (as
+    its in-memory set).  A caller that has an event-time column can pass it: the
+    dedup then uses ``dropDuplicatesWithinWatermark`` and state is evicted.
+    """
+    s = prepared(landing_stream(spark, landing, max_files))
+    if event_time:
+        s = s.withColumn(event_time, F.col(event_time).cast("timestamp")).withWatermark(event_time, watermark)
+        s = s.dropDuplicatesWithinWatermark(["dedup_key"])
+    else:
+        s = s.dropDuplicates(["dedup_key"])
     q = (s.writeStream.format("parquet").option("checkpointLocation", checkpoint)
          .outputMode("append").trigger(availableNow=True).start(sink))
     q.awaitTermination()
