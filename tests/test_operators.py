@@ -128,3 +128,24 @@ def test_pseudonymized_profiles_keep_counts(spark):
     p = posts_df(spark, [(1, "A", "x", "", "", "", ""), (2, "A", "y", "", "", "", ""), (3, "B", "z", "", "", "", "")])
     prof = DM.profiles(DM.label_posts(DD.pseudonymize(p))).collect()
     assert sorted(r.post_count for r in prof) == [1, 2] and all(len(r.author) == 64 for r in prof)
+
+
+def test_idle_runs_and_stop_round(spark):
+    from threadsift.operators.reports import rounds_from_counts, stop_round
+    new = [3, 0, 0, 1] + [0] * 10
+    df = spark.createDataFrame([(i + 1, n) for i, n in enumerate(new)], "round long, new_posts long")
+    r = rounds_from_counts(df)
+    runs = [x.idle_run for x in r.orderBy("round").collect()]
+    assert runs == [0, 1, 2, 0] + list(range(1, 11))
+    s = stop_round(r).first()
+    assert (s.stop_round, s.longest_idle_run) == (14, 10)
+
+
+def test_malformed_wrapper_quarantined(spark, tmpdir_path):
+    with open(os.path.join(tmpdir_path, "a.json"), "w") as f:
+        json.dump({"posts": [{"text": "x"}]}, f)
+    with open(os.path.join(tmpdir_path, "b.json"), "w") as f:
+        f.write('{"posts": [{"text": ')
+    good, bad = RD.read_batched(spark, tmpdir_path)
+    assert [r.text for r in good.collect()] == ["x"]
+    assert bad.cache().count() == 1

@@ -44,3 +44,22 @@ def heat_bucket(count: Column, max_count: Column) -> Column:
     x = count / max_count
     return (F.when(count <= 0, F.lit("none")).when(x > 0.7, F.lit("high"))
             .when(x > 0.4, F.lit("mid")).otherwise(F.lit("low")))
+
+
+def rounds_from_counts(df: DataFrame, round_col: str = "round", new_col: str = "new_posts") -> DataFrame:
+    """Running total and idle-run length over ingest rounds (gaps and islands).
+
+    ``island`` counts rounds with new posts so far; inside an island the idle run is
+    the position after its opening round.  Rounds are bounded by time/batches, not data.
+    """
+    w = Window.orderBy(round_col).rowsBetween(Window.unboundedPreceding, 0)
+    r = (df.withColumn("total_posts", F.sum(new_col).over(w).cast("long"))
+         .withColumn("__island", F.sum(F.when(F.col(new_col) > 0, 1).otherwise(0)).over(w)))
+    pos = F.row_number().over(Window.partitionBy("__island").orderBy(round_col)) - F.when(F.col("__island") > 0, 1).otherwise(0)
+    return r.withColumn("idle_run", F.when(F.col(new_col) > 0, F.lit(0)).otherwise(pos).cast("long")).drop("__island")
+
+
+def stop_round(rounds: DataFrame, idle_limit: int = 10, round_col: str = "round") -> DataFrame:
+    """H5: first round whose idle run reaches the limit (the bounded-run stop rule)."""
+    return rounds.agg(F.min(F.when(F.col("idle_run") == idle_limit, F.col(round_col))).alias("stop_round"),
+                      F.max("idle_run").alias("longest_idle_run"))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from threadsift import lexicons as L
 from threadsift.functions import lexicon as LX
+from threadsift.operators.reports import rounds_from_counts
 from threadsift.plans import sqlgen as G
 from threadsift.plans.registry import register
 from threadsift.session import checkpoint_path
@@ -118,12 +119,8 @@ def _rounds(spark, sf):
     n = firsts.groupBy(F.date_trunc("hour", "t").alias("h")).agg(F.count(F.lit(1)).alias("new_posts"))
     # rounds are bounded by the time span (hours), not by the data volume
     r = hours.join(n, "h", "left").select("h", F.coalesce("new_posts", F.lit(0)).cast("long").alias("new_posts"))
-    w = Window.orderBy("h")
-    r = r.withColumn("round", F.row_number().over(w).cast("long"))
-    r = r.withColumn("total_posts", F.sum("new_posts").over(w.rowsBetween(Window.unboundedPreceding, 0)).cast("long"))
-    r = r.withColumn("island", F.sum(F.when(F.col("new_posts") > 0, 1).otherwise(0)).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    pos = F.row_number().over(Window.partitionBy("island").orderBy("h")) - F.when(F.col("island") > 0, 1).otherwise(0)
-    return r.withColumn("idle_run", F.when(F.col("new_posts") > 0, F.lit(0)).otherwise(pos).cast("long"))
+    r = r.withColumn("round", F.row_number().over(Window.orderBy("h")).cast("long"))
+    return rounds_from_counts(r)
 
 
 @register("ingest_rounds", ROUNDS_SQL)
@@ -167,13 +164,8 @@ def stream_progress(spark, sf):
     SK.append_jsonl(posts_from_tables(spark, sf).select(*POST_COLS).repartition(2), landing)  # repeats: idle rounds
     sink, ck, metrics = checkpoint_path(spark, "sink"), checkpoint_path(spark, "ckpt"), checkpoint_path(spark, "metrics")
     ING.ingest_anti_join(spark, landing, sink, ck, max_files=1, metrics=metrics)
-    m = spark.read.parquet(metrics)
-    w = Window.orderBy("round")
-    m = m.withColumn("total_posts", F.sum("new_posts").over(w.rowsBetween(Window.unboundedPreceding, 0)).cast("long"))
-    m = m.withColumn("island", F.sum(F.when(F.col("new_posts") > 0, 1).otherwise(0)).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    pos = F.row_number().over(Window.partitionBy("island").orderBy("round")) - F.when(F.col("island") > 0, 1).otherwise(0)
-    return m.select("round", "new_posts", "total_posts",
-                    F.when(F.col("new_posts") > 0, F.lit(0)).otherwise(pos).cast("long").alias("idle_run"))
+    m = rounds_from_counts(spark.read.parquet(metrics).select("round", "new_posts"))
+    return m.select("round", "new_posts", "total_posts", "idle_run")
 
 
 @register("result_document")

@@ -55,20 +55,24 @@ def read_jsonl(spark: SparkSession, path, glob: str | None = None, order: str =
 def read_batched(spark: SparkSession, path, glob: str | None = None, order: str = "name") -> tuple[DataFrame, DataFrame]:
     """A1: batched files ``{"posts": [...]}``; returns ``(posts, quarantine)``.
 
-    A file without ``posts`` yields no rows; a malformed file is quarantined
-    and the other files still load (A3).
+    Each file is one JSON document (read whole; such files are small by design)
+    parsed with ``from_json`` in PERMISSIVE mode: a file without ``posts`` yields
+    no rows, a malformed file is quarantined and the other files still load (A3).
     """
-    r = (spark.read.schema(S.WRAPPER).option("multiLine", True)
-         .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record"))
+    r = spark.read.option("wholetext", True)
     if glob:
         r = r.option("pathGlobFilter", glob)
-    raw = r.json(path).withColumn("file_key", _file_key(order))
-    bad = (raw.filter(F.col("_corrupt_record").isNotNull())
+    raw = r.text(path).select("value", _file_key(order).alias("file_key"),
+                              F.col("_metadata.file_name").alias("file_name"))
+    parsed = raw.select("file_key", "file_name", "value", F.from_json("value", S.WRAPPER, {
+        "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}).alias("w"))
+    ok = F.col("w").isNotNull() & F.col("w._corrupt_record").isNull()
+    bad = (parsed.filter(~ok)
            .select(F.struct(F.col("file_key"), F.lit(0).cast("long").alias("block"),
                             F.lit(-1).cast("long").alias("pos")).alias("seq"),
-                   F.col("_metadata.file_name").alias("file_name"), F.col("_corrupt_record")))
-    good = (raw.filter(F.col("_corrupt_record").isNull())
-            .select("file_key", F.posexplode("posts").alias("pos", "post"))
+                   "file_name", F.col("value").alias("_corrupt_record")))
+    good = (parsed.filter(ok)
+            .select("file_key", F.posexplode("w.posts").alias("pos", "post"))
             .select(F.struct(F.col("file_key"), F.lit(0).cast("long").alias("block"),
                              F.col("pos").cast("long").alias("pos")).alias("seq"), "post.*"))
     return good, bad
