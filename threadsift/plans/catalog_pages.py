@@ -28,7 +28,9 @@ def _pages_sql() -> str:
             f"{link} || '<span aria-label=\"' || CAST(page_id % 50 AS VARCHAR) || ' reactions\"></span>' || "
             f"'<span>' || CAST(page_id % 9 AS VARCHAR) || ' comments</span>' || '<span>' || CAST(page_id % 5 AS VARCHAR) || ' shares</span>' || "
             f"'<img src=\"https://scontent.example.fbcdn.net/v/p' || {pid} || '.jpg\">' || "
-            f"'<img src=\"https://static.example.fbcdn.net/rsrc.php/emoji.png\">'")
+            f"'<img src=\"https://static.example.fbcdn.net/rsrc.php/emoji.png\">' || "
+            f"CASE WHEN page_id % 3 = 0 THEN '<div dir=\"auto\">Post ' || {pid} || ' body<br>about ' || url || '</div>' || "
+            f"'<div dir=\"auto\">short</div>' ELSE '' END")
     return (f"dpages AS (SELECT page_id, url, replace(html, '</article>', {frag} || '</article>') AS html FROM pages),\n"
             "units AS (SELECT page_id, CAST(generate_subscripts(u, 1) - 1 AS INTEGER) AS unit_pos, unnest(u) AS html FROM "
             "(SELECT page_id, regexp_extract_all(html, '(?is)(<article\\b.*?</article>|<div[^>]*role=\"article\".*?</div>)', 1) AS u FROM dpages))")
@@ -204,8 +206,15 @@ def image_urls(spark, sf):
     return u.select("page_id", "unit_pos", F.array_join(H.image_urls(F.col("html")), "|").alias("images"))
 
 
+_BLOCKS = (f"list_filter(list_transform(regexp_extract_all({before_nested('html')}, '(?is)<div[^>]*dir=\"auto\"[^>]*>(.*?)</div>', 1), "
+           f"lambda b: {G.strip(visible('b'))}), lambda b: length(b) > {H.BODY_MIN_CHARS})")
+
+
 @register("body_text", WITH + f"""
-SELECT page_id, unit_pos, substr({G.strip(visible(before_nested('html')))}, 1, {H.BODY_FALLBACK_CAP}) AS text FROM units""")
+, x AS (SELECT page_id, unit_pos, html, {_BLOCKS} AS cand FROM units)
+SELECT page_id, unit_pos, CASE WHEN len(cand) > 0
+  THEN list_reduce(cand, lambda a, b: CASE WHEN length(b) > length(a) THEN b ELSE a END)
+  ELSE substr({G.strip(visible(before_nested('html')))}, 1, {H.BODY_FALLBACK_CAP}) END AS text FROM x""")
 def body_text(spark, sf):
     """C20: body text of a unit (longest dir=auto block, else the capped unit text)."""
     u = units(spark, sf)

@@ -109,5 +109,8 @@ def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("<span>"), (F.col("page_id") % 5).cast("string"), F.lit(" shares</span>"),
         F.lit('<img src="https://scontent.example.fbcdn.net/v/p'), pid, F.lit('.jpg">'),
         F.lit('<img src="https://static.example.fbcdn.net/rsrc.php/emoji.png">'),
+        F.when(F.col("page_id") % 3 == 0, F.concat(
+            F.lit('<div dir="auto">Post '), pid, F.lit(" body<br>about "), F.col("url"), F.lit("</div>"),
+            F.lit('<div dir="auto">short</div>'))).otherwise(F.lit("")),
     )
     return p.select("page_id", "url", F.regexp_replace("html", "</article>", F.concat(frag, F.lit("</article>"))).alias("html"))
