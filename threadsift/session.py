@@ -84,3 +84,13 @@ def session_memo(spark: SparkSession, key: tuple, build):
     if k not in _MEMO:
         _MEMO[k] = build()
     return _MEMO[k]
+
+
+def release(spark: SparkSession) -> None:
+    """Unpersist every DataFrame this session memoised and forget them (long-lived sessions)."""
+    sid = id(spark._jsparkSession)
+    for k in [k for k in _MEMO if k[0] == sid]:
+        try:
+            _MEMO.pop(k).unpersist()
+        except Exception:  # noqa: BLE001 -- a frame that was never persisted
+            pass

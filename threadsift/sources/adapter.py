@@ -49,11 +49,17 @@ def posts_from_tables(spark: SparkSession, sf_dir: str, with_counts: bool = Fals
 
 def _posts(spark: SparkSession, sf_dir: str, with_counts: bool) -> DataFrame:
     docs = text_table(spark, sf_dir, "documents", ["doc_id", "text", "source"])
-    # per-key counts are aggregated before the join (one row per user / conversation),
-    # so a hot user or conversation cannot skew the join; AQE picks broadcast when small
-    ev = table(spark, sf_dir, "events").groupBy("user_id").agg(F.count(F.lit(1)).alias("n_events"))
-    cv = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.count(F.lit(1)).alias("n_turns"))
-    d = docs.join(ev, (docs.doc_id % 150) == ev.user_id, "left").join(cv, (docs.doc_id % 100) == cv.conv_id, "left")
+    # Per-key counts are aggregated before the join (one row per user / conversation),
+    # over the whole events / conversations tables.  Only users 0..149 and
+    # conversations 0..99 can match ``doc_id % 150`` / ``doc_id % 100``, so the build
+    # sides have at most 150 and 100 rows by construction: broadcasting them is
+    # provably bounded and keeps the documents from being shuffled on a 150-value key.
+    ev = (table(spark, sf_dir, "events").filter(F.col("user_id").between(0, 149))
+          .groupBy("user_id").agg(F.count(F.lit(1)).alias("n_events")))
+    cv = (table(spark, sf_dir, "conversations").filter(F.col("conv_id").between(0, 99))
+          .groupBy("conv_id").agg(F.count(F.lit(1)).alias("n_turns")))
+    d = (docs.join(F.broadcast(ev), (docs.doc_id % 150) == ev.user_id, "left")
+         .join(F.broadcast(cv), (docs.doc_id % 100) == cv.conv_id, "left"))
     n = F.coalesce(F.col("n_events"), F.lit(0)).cast("string")
     i = F.col("doc_id")
     likes = (F.when(i % 3 == 0, F.translate(n, ASCII_DIGITS, ARABIC_DIGITS))
