@@ -70,7 +70,7 @@ def stream_dedup(spark, sf):
     """H1/H2/H5: streaming ingest with stateful dedup (availableNow), read back from the parquet sink."""
     landing = land_posts(spark, sf)
     sink, ck = checkpoint_path(spark, "sink"), checkpoint_path(spark, "ckpt")
-    ING.ingest_dedup(spark, landing, sink, ck, max_files=1)
+    ING.ingest_dedup(spark, landing, sink, ck, max_files=2)  # two rounds over the four landed files
     return spark.read.parquet(sink).select("dedup_key")
 
 
