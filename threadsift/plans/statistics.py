@@ -269,3 +269,35 @@ def composition(prof: DataFrame) -> DataFrame:
     c = crosstab(prof, "business_type", "business_stage").drop("first_seq")
     return c.select("business_type", SC.scale_index(F.col("business_stage"), L.BUSINESS_STAGES).cast("long").alias("position"),
                     "business_stage", F.col("count").cast("long").alias("count"))
+
+
+def report_sections(prof: DataFrame) -> dict[str, DataFrame]:
+    """Every statistic and report table of the demographic report, from one profiles table (A9 input)."""
+    return {
+        "community_totals": community_totals(prof),
+        "label_distributions": label_distributions(prof),
+        "stage_by_type": crosstab(prof, "business_type", "business_stage"),
+        "market_by_stage": crosstab(prof, "business_stage", "target_market"),
+        "pain_point_distribution": list_distribution(prof, "pain_points"),
+        "tool_distribution": list_distribution(prof, "tool_preferences"),
+        "readiness_by_stage": readiness_by_stage(prof),
+        "engagement_by_type": engagement_by_type(prof),
+        "team_size_distribution": team_size_distribution(prof),
+        "budget_stage_grid": budget_stage_grid(prof),
+        "segment_profile": segment_profile(prof),
+        "budget_by_stage": budget_by_stage(prof),
+        "budget_coverage": budget_coverage(prof),
+        "overall_readiness": overall_readiness(prof),
+        "modes": modes(prof),
+        "top3_per_stage": top3_per_stage(prof),
+        "flow_top5": flow_top5(prof),
+        "stage_ranking": stage_ranking(prof),
+        "breakdown_share": breakdown_share(prof),
+        "bar_units": bar_units(prof),
+        "funnel": funnel(prof),
+        "radar_norm": radar_norm(prof),
+        "heatmap_bucket": heatmap_bucket(prof),
+        "tree_drilldown": tree_drilldown(prof),
+        "pie_units": pie_units(prof),
+        "composition": composition(prof),
+    }
