@@ -199,7 +199,7 @@ def report_sink(spark, sf):
     prof = profiles(spark, sf).checkpoint()  # one materialisation feeds every section
     # a representative set of sections; write_report(report_sections(prof), base) writes all 26
     keep = ["community_totals", "label_distributions", "budget_stage_grid", "stage_ranking", "heatmap_bucket", "top3_per_stage"]
-    tables = {k: v for k, v in ST.report_sections(prof).items() if k in keep}
+    tables = ST.report_sections(prof, keep)
     paths = SK.write_report(tables, checkpoint_path(spark, "report"))
     parts = [spark.read.parquet(p).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("section"), "rows")
              for n, p in paths.items()]

@@ -271,33 +271,37 @@ def composition(prof: DataFrame) -> DataFrame:
                     "business_stage", F.col("count").cast("long").alias("count"))
 
 
-def report_sections(prof: DataFrame) -> dict[str, DataFrame]:
-    """Every statistic and report table of the demographic report, from one profiles table (A9 input)."""
-    return {
-        "community_totals": community_totals(prof),
-        "label_distributions": label_distributions(prof),
-        "stage_by_type": crosstab(prof, "business_type", "business_stage"),
-        "market_by_stage": crosstab(prof, "business_stage", "target_market"),
-        "pain_point_distribution": list_distribution(prof, "pain_points"),
-        "tool_distribution": list_distribution(prof, "tool_preferences"),
-        "readiness_by_stage": readiness_by_stage(prof),
-        "engagement_by_type": engagement_by_type(prof),
-        "team_size_distribution": team_size_distribution(prof),
-        "budget_stage_grid": budget_stage_grid(prof),
-        "segment_profile": segment_profile(prof),
-        "budget_by_stage": budget_by_stage(prof),
-        "budget_coverage": budget_coverage(prof),
-        "overall_readiness": overall_readiness(prof),
-        "modes": modes(prof),
-        "top3_per_stage": top3_per_stage(prof),
-        "flow_top5": flow_top5(prof),
-        "stage_ranking": stage_ranking(prof),
-        "breakdown_share": breakdown_share(prof),
-        "bar_units": bar_units(prof),
-        "funnel": funnel(prof),
-        "radar_norm": radar_norm(prof),
-        "heatmap_bucket": heatmap_bucket(prof),
-        "tree_drilldown": tree_drilldown(prof),
-        "pie_units": pie_units(prof),
-        "composition": composition(prof),
+def report_sections(prof: DataFrame, names: list[str] | None = None) -> dict[str, DataFrame]:
+    """Statistics and report tables of the demographic report, from one profiles table (A9 input).
+
+    Sections are built lazily by name (plan construction has a driver cost), all 26 by default.
+    """
+    builders = {
+        "community_totals": lambda: community_totals(prof),
+        "label_distributions": lambda: label_distributions(prof),
+        "stage_by_type": lambda: crosstab(prof, "business_type", "business_stage"),
+        "market_by_stage": lambda: crosstab(prof, "business_stage", "target_market"),
+        "pain_point_distribution": lambda: list_distribution(prof, "pain_points"),
+        "tool_distribution": lambda: list_distribution(prof, "tool_preferences"),
+        "readiness_by_stage": lambda: readiness_by_stage(prof),
+        "engagement_by_type": lambda: engagement_by_type(prof),
+        "team_size_distribution": lambda: team_size_distribution(prof),
+        "budget_stage_grid": lambda: budget_stage_grid(prof),
+        "segment_profile": lambda: segment_profile(prof),
+        "budget_by_stage": lambda: budget_by_stage(prof),
+        "budget_coverage": lambda: budget_coverage(prof),
+        "overall_readiness": lambda: overall_readiness(prof),
+        "modes": lambda: modes(prof),
+        "top3_per_stage": lambda: top3_per_stage(prof),
+        "flow_top5": lambda: flow_top5(prof),
+        "stage_ranking": lambda: stage_ranking(prof),
+        "breakdown_share": lambda: breakdown_share(prof),
+        "bar_units": lambda: bar_units(prof),
+        "funnel": lambda: funnel(prof),
+        "radar_norm": lambda: radar_norm(prof),
+        "heatmap_bucket": lambda: heatmap_bucket(prof),
+        "tree_drilldown": lambda: tree_drilldown(prof),
+        "pie_units": lambda: pie_units(prof),
+        "composition": lambda: composition(prof),
     }
+    return {n: builders[n]() for n in (names or list(builders))}
