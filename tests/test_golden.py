@@ -128,3 +128,18 @@ def test_heat_bucket(spark):
     df = spark.createDataFrame([(c,) for c in [10, 7, 4, 1, 0]], "c int")
     got = [r[0] for r in df.select(heat_bucket(F.col("c"), F.lit(10))).collect()]
     assert got == ["high", "mid", "low", "low", "none"]
+
+
+def test_budget_grouped_digits_mode(spark):
+    vals = ["10,000 EGP", "1,500 جنيه", "400 EGP", "no amount"]
+    got = one_col(spark, vals, lambda c: LX.budget_amount_range(c, grouped_digits=True))
+    assert got == ["$10K+", "$500-$2K", "$0-$500", None]
+    assert one_col(spark, ["10,000 EGP"], LX.budget_amount_range) == ["$0-$500"]  # reference mode
+
+
+def test_tag_auto_switches_plan(spark):
+    big = L.Lexicon("big", tuple((f"c{i}", tuple(f"kw{i}-{j}" for j in range(30))) for i in range(80))
+                    + (("hit", ("the ",)),))
+    df = spark.createDataFrame([(1, "the cat"), (2, "dog")], "seq long, text string")
+    got = {r.seq: r.tags for r in TG.tag_auto(df, big).collect()}
+    assert got == {1: ["hit"], 2: []}

@@ -121,9 +121,17 @@ def severity(low: str, urgency: list[str], severe: list[str], base=3.0, wu=1.5,
     return F.expr(f"CAST(least(floor({base} + {wu} * {hits_sql(lw, urgency)} + {ws} * {hits_sql(lw, severe)}), {cap}) AS INT)")
 
 
-def budget_amount_range(text) -> Column:
-    """D5 first rule: first ``<digits> <currency>`` amount, bucketed; NULL when no amount."""
-    amt = F.regexp_extract(col_(text), "(?U)" + BUDGET_AMOUNT_PATTERN, 1)
+GROUPED_AMOUNT_PATTERN = r"(\d{1,3}(?:,\d{3})+|\d+)\s*(جنيه|EGP|egp|\$)"
+
+
+def budget_amount_range(text, grouped_digits: bool = False) -> Column:
+    """D5 first rule: first ``<digits> <currency>`` amount, bucketed; NULL when no amount.
+
+    ``grouped_digits=True`` (opt-in, Q8) reads ``10,000 EGP`` as 10000 instead of
+    the reference's ``000``.
+    """
+    pat = GROUPED_AMOUNT_PATTERN if grouped_digits else BUDGET_AMOUNT_PATTERN
+    amt = F.regexp_replace(F.regexp_extract(col_(text), "(?U)" + pat, 1), ",", "")
     ascii_amt = F.translate(amt, "٠١٢٣٤٥٦٧٨٩", "0123456789")
     digits = F.regexp_replace(ascii_amt, r"^0+(?=[0-9])", "")
     # more than 9 significant digits is certainly >= the top edge (Python ints are unbounded)

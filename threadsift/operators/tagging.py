@@ -19,6 +19,7 @@ from threadsift.functions import lexicon as LX
 from threadsift.lexicons import Lexicon
 
 MAX_BROADCAST_LEXICON_ROWS = 200_000  # a lexicon bigger than this is not broadcast
+INLINE_LEXICON_KEYWORDS = 2_000       # above this, the join plan keeps generated code small
 
 
 def tag(df: DataFrame, lex: Lexicon, text: str = "text", out: str = "tags", low: str | None = None) -> DataFrame:
@@ -49,6 +50,15 @@ def classify_many(df: DataFrame, lexicons: dict[str, Lexicon], text: str = "text
     return r.withColumns(outs).drop(*tmp, "__low")
 
 
+def tag_auto(df: DataFrame, lex: Lexicon, key: str = "seq", text: str = "text", out: str = "tags",
+             low: str | None = None) -> DataFrame:
+    """Choose the plan by lexicon size: inline array plan for ordinary lexicons,
+    broadcast theta-join for very large ones (both give equal results)."""
+    if len(lex.to_rows()) <= INLINE_LEXICON_KEYWORDS:
+        return tag(df, lex, text, out, low)
+    return tag_join(df, lex, key, text, out)
+
+
 def keep_tagged(df: DataFrame, col: str = "tags") -> DataFrame:
     """Keep posts with at least one tag."""
     return df.filter(F.size(col) > 0)
