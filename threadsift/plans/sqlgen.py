@@ -112,7 +112,7 @@ def posts_cte(with_counts: bool = False, name: str = "posts") -> str:
 _cv AS (SELECT conv_id, count(*) AS n FROM conversations GROUP BY conv_id),
 {name} AS (
   SELECT d.doc_id AS seq, d.doc_id AS "index", {text} AS text,
-    CASE WHEN d.doc_id % 17 = 0 THEN '' ELSE d.source END AS author,
+    CASE WHEN d.doc_id % 17 = 0 THEN '' ELSE d.source || '/' || d.lang END AS author,
     '' AS "timestamp",
     CASE WHEN d.doc_id % 5 = 0 THEN '' ELSE 'https://example.org/groups/1/posts/' || CAST(d.doc_id % 400 AS VARCHAR) || '/' END AS url,
     CASE WHEN d.doc_id % 3 = 0 THEN translate(CAST(coalesce(_ev.n, 0) AS VARCHAR), '0123456789', '٠١٢٣٤٥٦٧٨٩')

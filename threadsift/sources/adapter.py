@@ -9,7 +9,7 @@ grows with the tables.  The same derivation is written in DuckDB SQL in
 
 Derivation (fixed here, mirrored in the oracle):
 
-* ``seq = doc_id``; ``author = '' if doc_id % 17 == 0 else source``
+* ``seq = doc_id``; ``author = '' if doc_id % 17 == 0 else source + '/' + lang`` (~80 posters + a blank one)
 * ``url = '' if doc_id % 5 == 0 else https://example.org/groups/1/posts/<doc_id % 400>/``
   (forces URL collisions for the de-duplication operators)
 * ``likes`` = events of user ``doc_id % 150`` as text, written with
@@ -48,7 +48,7 @@ def posts_from_tables(spark: SparkSession, sf_dir: str, with_counts: bool = Fals
 
 
 def _posts(spark: SparkSession, sf_dir: str, with_counts: bool) -> DataFrame:
-    docs = text_table(spark, sf_dir, "documents", ["doc_id", "text", "source"])
+    docs = text_table(spark, sf_dir, "documents", ["doc_id", "text", "source", "lang"])
     # Per-key counts are aggregated before the join (one row per user / conversation),
     # over the whole events / conversations tables.  Only users 0..149 and
     # conversations 0..99 can match ``doc_id % 150`` / ``doc_id % 100``, so the build
@@ -75,7 +75,7 @@ def _posts(spark: SparkSession, sf_dir: str, with_counts: bool) -> DataFrame:
         i.alias("seq"),
         i.alias("index"),
         text.alias("text"),
-        F.when(i % 17 == 0, F.lit("")).otherwise(F.col("source")).alias("author"),
+        F.when(i % 17 == 0, F.lit("")).otherwise(F.concat(F.col("source"), F.lit("/"), F.col("lang"))).alias("author"),
         F.lit("").alias("timestamp"),
         F.when(i % 5 == 0, F.lit("")).otherwise(
             F.concat(F.lit("https://example.org/groups/1/posts/"), (i % 400).cast("string"), F.lit("/"))).alias("url"),
