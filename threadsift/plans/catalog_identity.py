@@ -8,7 +8,6 @@ from threadsift.functions import html as H
 from threadsift.functions.identity import DEFAULT_GROUP_ID, dedup_key
 from threadsift.operators import dedup as DD
 from threadsift.plans import sqlgen as G
-from threadsift.plans.catalog_pages import WITH as PAGES_WITH
 from threadsift.plans.catalog_pages import _pages_sql, units
 from threadsift.plans.registry import register
 from threadsift.sources.adapter import posts_from_tables, table

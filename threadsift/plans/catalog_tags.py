@@ -14,7 +14,6 @@ from threadsift.session import session_memo
 from threadsift.sources.adapter import posts_from_tables
 
 PROBE = L.probe_lexicon(regex=True)
-PROBE_KW = L.probe_lexicon(regex=False)
 SEG = L.segment_lexicon()
 
 
