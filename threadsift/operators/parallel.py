@@ -28,8 +28,12 @@ def estimated_bytes(df: DataFrame) -> int:
 
 
 def spread(df: DataFrame, key: str | None = None, factor: int = 2, max_bytes: int = SPREAD_MAX_BYTES) -> DataFrame:
-    target = df.sparkSession.sparkContext.defaultParallelism * factor
-    if df.rdd.getNumPartitions() >= target or estimated_bytes(df) > max_bytes:
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism * factor
+        parts, size = df.rdd.getNumPartitions(), estimated_bytes(df)
+    except Exception:  # noqa: BLE001 -- e.g. a Spark Connect session: no RDD/JVM handles, leave the plan as is
+        return df
+    if parts >= target or size > max_bytes:
         return df
     r = df.repartition(target, key) if key else df.repartition(target)
     return r.persist(StorageLevel.MEMORY_AND_DISK)

@@ -53,17 +53,29 @@ def tune_session(spark: SparkSession) -> None:
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint dir; create a scratch one only when unset (local runs)."""
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    d = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        d = d or spark.sparkContext.getCheckpointDir()
+    except Exception:  # noqa: BLE001 -- Spark Connect: no SparkContext on the client
+        pass
     if not d:
-        d = tempfile.mkdtemp(prefix="threadsift-ckpt-")
+        d = tempfile.mkdtemp(prefix="threadsift-ckpt-")  # local runs only: nothing configured a shared folder
         spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+    try:
+        spark.sparkContext.setCheckpointDir(d)
+    except Exception:  # noqa: BLE001
+        pass
     return d
 
 
 def checkpoint_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder under the shared checkpoint dir for one job's state."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        try:
+            base = spark.sparkContext.getCheckpointDir()
+        except Exception:  # noqa: BLE001
+            base = None
     if not base:
         raise RuntimeError("spark.checkpoint.dir is not set; configure a shared folder for the cluster")
     base = base.rstrip("/")
@@ -73,6 +85,11 @@ def checkpoint_path(spark: SparkSession, name: str) -> str:
 _MEMO: dict = {}
 
 
+def _session_id(spark: SparkSession) -> int:
+    js = getattr(spark, "_jsparkSession", None)  # classic sessions; Spark Connect has none
+    return id(js) if js is not None else id(spark)
+
+
 def session_memo(spark: SparkSession, key: tuple, build):
     """Reuse a DataFrame (an immutable plan) built earlier in this session for ``key``.
 
@@ -80,7 +97,7 @@ def session_memo(spark: SparkSession, key: tuple, build):
     expression trees); execution still happens on every action unless the
     builder itself persisted the result.
     """
-    k = (id(spark._jsparkSession),) + tuple(key)
+    k = (_session_id(spark),) + tuple(key)
     if k not in _MEMO:
         _MEMO[k] = build()
     return _MEMO[k]
@@ -88,7 +105,7 @@ def session_memo(spark: SparkSession, key: tuple, build):
 
 def release(spark: SparkSession) -> None:
     """Unpersist every DataFrame this session memoised and forget them (long-lived sessions)."""
-    sid = id(spark._jsparkSession)
+    sid = _session_id(spark)
     for k in [k for k in _MEMO if k[0] == sid]:
         try:
             _MEMO.pop(k).unpersist()
