@@ -27,9 +27,14 @@ def keep_first(df: DataFrame, key: Column | str, order: str = "seq") -> DataFram
 
 
 def distinct_text_first(df: DataFrame, text: str = "text", order: str = "seq") -> DataFrame:
-    """Unique posts by stripped text, first in input order; empty texts dropped."""
+    """Unique posts by stripped text, first in input order; empty texts dropped.
+
+    The grouping key is the SHA-256 of the stripped text (32 bytes) rather than the
+    text itself, so long texts are not shuffled twice (key + kept row); a collision
+    has probability ~2^-128 even at trillions of posts.
+    """
     t = py_strip(F.coalesce(F.col(text), F.lit("")))
-    return keep_first(df.filter(t != ""), t, order)
+    return keep_first(df.filter(t != ""), F.sha2(t, 256), order)
 
 
 def distinct_key_first(df: DataFrame, order: str = "seq") -> DataFrame:
