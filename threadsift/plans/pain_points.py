@@ -39,7 +39,10 @@ def analyze(posts: DataFrame, lex: L.Lexicon | None = None, keep_untagged: bool
     p = with_defaults(posts, DEFAULTS_PAIN).filter(F.col("text") != "").withColumn("_low", F.lower("text"))
     p = p.withColumn("pain_points", LX.tags("text", lex, "_low"))
     if not keep_untagged:
-        p = p.filter(F.size("pain_points") > 0)
+        # B3 as a generator: a tagged post yields itself, an untagged one nothing.  A plain
+        # filter would be pushed below the projection and evaluate every tag regex twice.
+        cols = p.columns
+        p = p.select(F.inline(F.when(F.size("pain_points") > 0, F.array(F.struct(*cols)))))
     p = TG.classify(p, seg, out="segment", low="_low")
     likes, comments, shares = (parse_count(F.col(c), "strict") for c in ("likes", "comments", "shares"))
     return p.select(
