@@ -51,6 +51,13 @@ def tune_session(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
 
 
+def bounded_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Arrow batches of at most ``rows`` rows, so that a batch of long texts stays small in memory;
+    applied only where the session still has Spark's default."""
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint dir; create a scratch one only when unset (local runs)."""
     d = spark.conf.get("spark.checkpoint.dir", None)
