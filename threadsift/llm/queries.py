@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from threadsift.llm import setsketch
-from threadsift.session import bounded_batches
+from threadsift.llm import bpe, setsketch, tokenio
+from threadsift.session import bounded_batches, checkpoint_path
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -32,3 +33,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op4(spark, sf_dir):
     """Near-duplicate groups on 2-word shingles, Jaccard 0.8 or more."""
     return setsketch.near_groups(table(spark, sf_dir, "documents"), w=2, num=80, den=100)
+
+
+@query("op2_byte_bpe")
+def op2(spark, sf_dir):
+    """Byte-level BPE ids of every text, and the bytes decoded from them."""
+    return bpe.encode_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@query("op7_token_files")
+def op7(spark, sf_dir):
+    """Token-id files written in doc_id order and read back."""
+    path = checkpoint_path(spark, "token-files")
+    tokenio.write_blocks(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN, path)
+    return tokenio.read_blocks(spark, path)
