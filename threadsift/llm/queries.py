@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from threadsift.llm import bpe, setsketch, tokenio
+from threadsift.llm import bpe, pii, setsketch, tokenio
 from threadsift.session import bounded_batches, checkpoint_path
 
 QUERIES: dict = {}
@@ -47,3 +47,9 @@ def op7(spark, sf_dir):
     path = checkpoint_path(spark, "token-files")
     tokenio.write_blocks(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN, path)
     return tokenio.read_blocks(spark, path)
+
+
+@query("op1_pii", pii.ORACLE)
+def op1(spark, sf_dir):
+    """Personal data in every text: confirmed spans of base and added kinds."""
+    return pii.digest(table(spark, sf_dir, "documents"))
