@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from threadsift.llm import bpe, pii, setsketch, tokenio
+from threadsift.llm import bpe, pii, secret_scan, setsketch, tokenio
 from threadsift.session import bounded_batches, checkpoint_path
 
 QUERIES: dict = {}
@@ -53,3 +53,9 @@ def op7(spark, sf_dir):
 def op1(spark, sf_dir):
     """Personal data in every text: confirmed spans of base and added kinds."""
     return pii.digest(table(spark, sf_dir, "documents"))
+
+
+@query("op9_secrets", secret_scan.ORACLE)
+def op9(spark, sf_dir):
+    """Secrets in every text, live-looking or widely copied by corpus-wide ownership."""
+    return secret_scan.digest(table(spark, sf_dir, "documents"))
