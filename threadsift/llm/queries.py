@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from threadsift.llm import bpe, pii, secret_scan, setsketch, tokenio
+from threadsift.llm import bpe, mixing, pii, secret_scan, setsketch, tokenio
 from threadsift.session import bounded_batches, checkpoint_path
 
 QUERIES: dict = {}
@@ -59,3 +59,9 @@ def op1(spark, sf_dir):
 def op9(spark, sf_dir):
     """Secrets in every text, live-looking or widely copied by corpus-wide ownership."""
     return secret_scan.digest(table(spark, sf_dir, "documents"))
+
+
+@query("op6_source_mix", mixing.ORACLE)
+def op6(spark, sf_dir):
+    """Words of each document that a mix of the sources at target weights takes."""
+    return mixing.mix(table(spark, sf_dir, "documents"), ["doc_id"])
