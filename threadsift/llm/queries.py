@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from threadsift.llm import bpe, mixing, pii, secret_scan, setsketch, tokenio
+from threadsift.llm import bpe, mixing, pii, secret_scan, setsketch, tokenio, weaksup
 from threadsift.session import bounded_batches, checkpoint_path
 
 QUERIES: dict = {}
@@ -65,3 +65,9 @@ def op9(spark, sf_dir):
 def op6(spark, sf_dir):
     """Words of each document that a mix of the sources at target weights takes."""
     return mixing.mix(table(spark, sf_dir, "documents"), ["doc_id"])
+
+
+@query("op5_quality_rules")
+def op5(spark, sf_dir):
+    """Weakly supervised quality: counts, base test and posterior verdict of every text."""
+    return weaksup.digest(table(spark, sf_dir, "documents"))
