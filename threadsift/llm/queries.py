@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from threadsift.llm import bpe, mixing, pii, secret_scan, setsketch, tokenio, weaksup
+from threadsift.llm import bpe, mixing, ordermin, pii, secret_scan, setsketch, tokenio, weaksup
 from threadsift.session import bounded_batches, checkpoint_path
 
 QUERIES: dict = {}
@@ -71,3 +71,9 @@ def op6(spark, sf_dir):
 def op5(spark, sf_dir):
     """Weakly supervised quality: counts, base test and posterior verdict of every text."""
     return weaksup.digest(table(spark, sf_dir, "documents"))
+
+
+@query("op8_order_minhash")
+def op8(spark, sf_dir):
+    """Order MinHash fingerprints of every text, its edited version and the next document."""
+    return ordermin.neighbours(table(spark, sf_dir, "documents"))

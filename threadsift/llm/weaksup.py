@@ -37,7 +37,7 @@ RULES = {
     "stutter": ("false", "100 * n_stutter > 30 * n_words"),
     "digits": ("false", "100 * n_digits > 30 * word_chars"),
     "prose": ("n_words >= 20 AND 100 * n_symbols <= 10 * n_words AND 100 * n_repeat_words <= 15 * n_words "
-              "AND 100 * n_upper <= 30 * n_letters AND 100 * n_digits <= 15 * word_chars", "false"),
+              "AND 100 * n_stutter <= 15 * n_words AND 100 * n_upper <= 30 * n_letters AND 100 * n_digits <= 15 * word_chars", "false"),
 }
 
 
