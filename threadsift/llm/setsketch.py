@@ -12,10 +12,12 @@ probability close to their Jaccard similarity.
 3. A pair is first estimated: the joint likelihood of (above, below, equal) register counts given
    both set sizes.  Only pairs whose likelihood at the threshold is within ``MARGIN`` nats of the
    maximum go on; those are verified exactly on their full sets.
-4. Links form components.  A bucket whose members all share a component is settled.  Others get
-   ``ROUNDS`` further leaders from members outside the component of the last one; what is still
-   open is compared in blocks of ``BLOCK`` members inside tasks (only pairs that pass the
-   likelihood leave a task), so that no pair in a common bucket goes unchecked.
+4. Links form components.  A bucket whose members all share a component is settled.  Open ones are
+   compared across components in blocks of ``BLOCK`` members inside tasks, twice: first only the
+   likeliest partner of a member in each other component leaves a task, which ties nearly every
+   member to its group; then, in the buckets still open, every pair that passes the likelihood,
+   once (in the first band it shares).  So no pair in a common bucket goes unchecked, and pairs
+   inside a component are never listed.
 
 At similarity 0.8 two documents share no bucket with probability (1 - 0.8**5)**40 = 1.2e-7.
 
@@ -38,7 +40,6 @@ from threadsift.llm.text import column_bytes, mix, row_edges, seeds, shingles, s
 ROWS, BANDS = 5, 40
 BASE_B, RATE_A, TOP_Q = 1.001, 20.0, (1 << 16) - 2
 MARGIN = 14.0
-ROUNDS = 2
 BLOCK = 1024
 _MULT = seeds(ROWS * BANDS, 4) | np.uint64(1)
 _XOR = seeds(ROWS * BANDS, 5)
@@ -185,43 +186,62 @@ def _with_comp(members: DataFrame, comp: DataFrame | None) -> DataFrame:
 
 
 def _open_buckets(members: DataFrame, comp: DataFrame) -> DataFrame:
-    """Members (key, id, comp, home) still open: the last leader is done; ``home`` is its component."""
+    """Members (key, band, id, comp, home) of buckets that still hold several components, without
+    the leader, whose pairs are all known; ``home`` is its component."""
     m = _with_comp(members, comp)
     lead = m.filter("id = leader").select("key", F.col("comp").alias("home"))
-    rest = written(m.filter("id <> leader").select("key", "id", "comp"), "rest")
+    rest = written(m.filter("id <> leader").select("key", "band", "id", "comp"), "rest")
     span = rest.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi")
     keys = written(span.join(lead, "key").select("key", "home"), "open")
     return written(rest.join(keys, "key"), "open_members")
 
 
-def _block_pairs(opened: DataFrame, reps: DataFrame, threshold: float) -> DataFrame:
-    """Pairs of open buckets across components that pass the likelihood, compared in blocks."""
+def _block_pairs(opened: DataFrame, heads: DataFrame, threshold: float, best: bool) -> DataFrame:
+    """Pairs of open buckets across components that pass the likelihood, compared in blocks; with
+    ``best`` only each member's likeliest partner of every other component in the block."""
     size = opened.groupBy("key").agg(F.sum((F.col("comp") == F.col("home")).cast("long")).alias("n_in"),
                                      F.sum((F.col("comp") != F.col("home")).cast("long")).alias("n_out"))
     blocks = written(size.select("key", F.ceil(F.col("n_in") / BLOCK).alias("bi"), F.ceil(F.col("n_out") / BLOCK).alias("bo")), "blocks")
     inside = F.col("comp") == F.col("home")
-    own = F.when(inside, F.lit(0)).otherwise(F.col("bi")) + F.pmod(F.xxhash64("id"), F.greatest(F.when(inside, F.col("bi")).otherwise(F.col("bo")), F.lit(1)))
     # blocks 0..bi-1 hold the leader's component, the rest the others; two inner blocks need no comparison
+    own = F.when(inside, F.lit(0)).otherwise(F.col("bi")) + F.pmod(F.xxhash64("id"), F.greatest(F.when(inside, F.col("bi")).otherwise(F.col("bo")), F.lit(1)))
     partner = F.expr("CASE WHEN comp = home THEN IF(bo > 0, sequence(bi, bi + bo - 1), array()) ELSE sequence(0L, bi + bo - 1) END")
     laid = (opened.join(blocks, "key").withColumn("own", own).withColumn("other", F.explode(partner))
-            .select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "comp")
-            .join(reps.select("id", "n_shingles", "regs"), "id"))
+            .select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "band", "own", "id", "comp")
+            .join(heads.select("id", "n_shingles", "regs"), "id"))
     n = int(laid.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    laid = laid.repartition(n, "key", "i", "j").sortWithinPartitions("key", "i", "j").select("key", "i", "j", "own", "id", "comp", "n_shingles", "regs")
+    laid = (laid.repartition(n, "key", "i", "j").sortWithinPartitions("key", "i", "j")
+            .select("key", "i", "j", "band", "own", "id", "comp", "n_shingles", "regs"))
+    # a pair at the threshold agrees in that share of its registers, give or take six deviations
+    least = ROWS * BANDS * threshold - 6 * (ROWS * BANDS * threshold * (1 - threshold)) ** 0.5
 
     def compare(t: pa.Table):
-        i, j = t.column(1)[0].as_py(), t.column(2)[0].as_py()
-        own, ids, comp = (t.column(c).to_numpy() for c in (3, 4, 5))
-        n, regs = t.column(6).to_numpy().astype(float), _regs(t.column(7))
-        left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
+        i, j, band = (t.column(c)[0].as_py() for c in (1, 2, 3))
+        own, ids, comp = (t.column(c).to_numpy() for c in (4, 5, 6))
+        n, regs = t.column(7).to_numpy().astype(float), _regs(t.column(8)).astype(np.uint16)
+        left, right = np.flatnonzero(own == j), np.flatnonzero(own == i)  # block j is never an inner one
         for x in left:
             r = right[(comp[right] != comp[x]) & ((ids[right] > ids[x]) if i == j else True)]
             r = r[np.minimum(n[r], n[x]) >= threshold * 0.999999 * np.maximum(n[r], n[x])]
-            if r.size:
-                a = regs[x]
-                ok = may_reach((regs[r] < a).sum(1), (regs[r] > a).sum(1), (regs[r] == a).sum(1), np.full(r.size, n[x]), n[r], threshold)
-                for y in r[ok]:
-                    yield min(ids[x], ids[y]), max(ids[x], ids[y])
+            if not r.size:
+                continue
+            a = regs[x]
+            same = regs[r] == a
+            equal = same.sum(1)
+            go = equal >= least
+            r, same, equal = r[go], same[go], equal[go]
+            if not r.size:
+                continue
+            above = (regs[r] < a).sum(1)
+            ok = may_reach(above, a.size - equal - above, equal, np.full(r.size, n[x]), n[r], threshold)
+            r, same, equal = r[ok], same[ok], equal[ok]
+            if best:
+                order = np.argsort(-equal, kind="stable")
+                r = r[order[np.unique(comp[r[order]], return_index=True)[1]]]
+            else:
+                r = r[same.reshape(-1, BANDS, ROWS).all(2).argmax(1) == band] if r.size else r
+            for y in r:
+                yield min(ids[x], ids[y]), max(ids[x], ids[y])
 
     def run(batches):
         held: list[pa.RecordBatch] = []
@@ -260,7 +280,7 @@ def near_groups(docs: DataFrame, w: int = 5, num: int = 80, den: int = 100) -> D
     heads = written(live.join(reps.withColumnRenamed("id", "doc_id"), ["digest", "doc_id"], "left_semi")
                     .select(F.col("doc_id").alias("id"), "n_shingles", "regs"), "heads")
     keys = F.expr(f"transform(sequence(0, {BANDS - 1}), j -> xxhash64(j, substring(regs, j * {2 * ROWS} + 1, {2 * ROWS})))")
-    bands = heads.select("id", F.explode(keys).alias("key"))
+    bands = heads.select("id", F.posexplode(keys).alias("band", "key"))
     leaders = written(bands.groupBy("key").agg(F.min("id").alias("leader"), F.count("*").alias("n")).filter("n > 1").select("key", "leader"), "leaders")
     members = written(bands.join(leaders, "key"), "members")
 
@@ -274,19 +294,14 @@ def near_groups(docs: DataFrame, w: int = 5, num: int = 80, den: int = 100) -> D
     links = star(members).union(mine.join(several, "doc_id").filter("id <> a").select("a", F.col("id").alias("b")))
     links = written(links, "links")
     comp = components(links)
-    for k in range(ROUNDS + 1):
+    for best in (True, False):
         opened = _open_buckets(members, comp)
         if not opened.limit(1).count():
             break
-        if k < ROUNDS:
-            # the next leader of each open bucket: its smallest id outside the last leader's component
-            nxt = written(opened.filter("comp <> home").groupBy("key").agg(F.min("id").alias("leader")), "leaders")
-            members = written(opened.select("key", "id").join(nxt, "key"), "members")
-            more = star(members)
-        else:
-            more = written(_verified(_block_pairs(opened, heads, threshold), docs, w, num, den), "links")
-        links = written(links.union(more), "links")
-        comp = components(links)
+        more = written(_verified(_block_pairs(opened, heads, threshold, best), docs, w, num, den), "links")
+        if more.limit(1).count():
+            links = written(links.union(more), "links")
+            comp = components(links)
     node = _with_comp(mine, comp).groupBy("doc_id").agg(F.min("comp").alias("component_id"))
     node = written(node, "nodes")
     out = base.select("doc_id", "n_shingles").join(node, "doc_id", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
