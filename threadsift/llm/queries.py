@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from threadsift.llm import bpe, mixing, ordermin, pii, secret_scan, setsketch, tokenio, weaksup
+from threadsift.llm import bpe, mixing, ordermin, pii, secret_scan, setsketch, tokenio, toxicity, weaksup
 from threadsift.session import bounded_batches, checkpoint_path
 
 QUERIES: dict = {}
@@ -77,3 +77,9 @@ def op5(spark, sf_dir):
 def op8(spark, sf_dir):
     """Order MinHash fingerprints of every text, its edited version and the next document."""
     return ordermin.neighbours(table(spark, sf_dir, "documents"))
+
+
+@query("op10_toxicity")
+def op10(spark, sf_dir):
+    """Toxicity score of every text, learned from positive and unlabelled rows."""
+    return toxicity.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

@@ -76,12 +76,12 @@ def slices(data: np.ndarray, offs: np.ndarray, size: int = SLICE) -> Iterator[tu
         i = j
 
 
-def word_spans(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(start, end, row) of every word; a word never spans two documents."""
+def word_spans(data: np.ndarray, offs: np.ndarray, gap: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, end, row) of every run of bytes outside ``gap``; none spans two documents."""
     if not data.size:
         z = np.zeros(0, np.int64)
         return z, z, z
-    ink = ~SPACE[data]
+    ink = ~gap[data]
     first, last = ink.copy(), ink.copy()
     first[1:] &= ~ink[:-1]
     last[:-1] &= ~ink[1:]
