@@ -1,6 +1,6 @@
 """Byte-level BPE encoding and decoding over rank files (operator 2).
 
-Texts are cut by the pattern; distinct pieces are encoded once per task (a bounded memory of
+Texts are cut by the pattern; distinct pieces are encoded once per worker (a bounded memory of
 ``REMEMBER`` pieces) and their ids gathered back with numpy.  Pieces are laid by length into padded
 id matrices.  In each round every row merges its leftmost pair of minimum rank; pair ranks come
 from an open-addressing hash table in numpy arrays; finished rows and freed columns are compacted
@@ -18,6 +18,7 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterator
+from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -25,11 +26,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from threadsift.llm.text import slices, column_bytes
+from threadsift.llm.text import column_bytes, slices, span_hashes
 
 LONG = 256
 REMEMBER = 600_000
-CHUNK = 1 << 21
 INF = np.int32(np.iinfo(np.int32).max)
 _H = np.uint64(0x9E3779B97F4A7C15)
 
@@ -193,55 +193,166 @@ class Ranks:
         return self.bytes[at + np.repeat(self.starts[ids], n)], n
 
 
-class _Codes(dict):
-    def __missing__(self, piece):
-        c = self[piece] = len(self)
-        return c
+#: the pattern that the vectorised splitter below knows
+STANDARD = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+_SPACE, _LETTER, _NUMBER, _SIGN = 3, 1, 2, 0
+
+
+def _all_points() -> tuple[str, np.ndarray]:
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    return "".join(map(chr, points)), np.array(points)
+
+
+@lru_cache(1)
+def regex_classes() -> np.ndarray:
+    """Class of every code point, as the regex module sees it."""
+    every, at = _all_points()
+    out = np.zeros(0x110000, np.uint8)
+    for cls, pat in ((_LETTER, r"\p{L}+"), (_NUMBER, r"\p{N}+"), (_SPACE, r"\s+")):
+        for m in regex.finditer(pat, every):
+            out[at[m.start():m.end()]] = cls
+    return out
+
+
+def observed_classes(pieces_of) -> np.ndarray:
+    """Class of every code point, as a pre-tokenizer of this pattern shows it (libraries differ in
+    their Unicode version): ``pieces_of(text)`` gives the offsets of the pieces.
+
+    Code points in order fall into runs of one class, and one of each run tells which.
+    """
+    every, at = _all_points()
+    out = np.zeros(0x110000, np.uint8)
+    for a, b in pieces_of(every):
+        c = every[a]
+        out[at[a:b]] = _LETTER if len(pieces_of("a" + c)) == 1 else _NUMBER if len(pieces_of("1" + c)) == 1 else _SIGN
+    white = [c for c in np.flatnonzero(regex_classes() == _SPACE) if len(pieces_of("  " + chr(c))) == 1]
+    out[white] = _SPACE
+    return out
+
+
+def _code_points(data: np.ndarray, pos: np.ndarray) -> np.ndarray:
+    """Code points of UTF-8 bytes, given where the characters begin."""
+    lead = data[pos]
+    cp = lead.astype(np.int32)
+    for low, high, keep, more in ((0xC0, 0xDF, 0x1F, 1), (0xE0, 0xEF, 0x0F, 2), (0xF0, 0xF7, 0x07, 3)):
+        at = np.flatnonzero((lead >= low) & (lead <= high))
+        if at.size:
+            v = lead[at].astype(np.int32) & keep
+            for k in range(1, more + 1):
+                v = v << 6 | (data[pos[at] + k] & 0x3F)
+            cp[at] = v
+    return cp
+
+
+def standard_pieces(data: np.ndarray, offs: np.ndarray, classes: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, end, row) of the matches of STANDARD in a slice of documents, by class runs.
+
+    A run of letters, numbers or signs is a match, with one blank before it.  Of a white run that
+    something follows, the last character stands alone or (a blank) goes with what follows.  A lone
+    apostrophe takes the ending of a contraction from the letters after it.
+    """
+    if not data.size:
+        z = np.zeros(0, np.int64)
+        return z, z, z
+    pos = np.flatnonzero((data & 0xC0) != 0x80)
+    cp = _code_points(data, pos)
+    c, n = (regex_classes() if classes is None else classes)[cp], pos.size
+    edge = np.zeros(n + 1, bool)
+    edge[np.searchsorted(pos, offs)] = True
+    begins = edge[:-1].copy()
+    begins[1:] |= c[1:] != c[:-1]
+    runs = np.flatnonzero(begins)
+    ends = np.r_[runs[1:], n]
+    cut = np.zeros(n + 1, bool)
+    cut[runs] = True
+    white = c[runs] == _SPACE
+    last = ends[white] - 1
+    last = last[~edge[last + 1]]  # white runs that something follows
+    cut[last] = True
+    joined = last[cp[last] == 0x20]
+    cut[joined + 1] = False
+    mark = runs[(cp[runs] == 0x27) & (ends - runs == 1) & ~edge[ends]]
+    mark = mark[cut[mark] & (c[np.minimum(mark + 1, n - 1)] == _LETTER)]
+    if mark.size:
+        run_end = ends[np.searchsorted(runs, mark + 1)]
+        one, two = cp[mark + 1], np.where(run_end - mark > 2, cp[np.minimum(mark + 2, n - 1)], 0)
+        short = np.isin(one, [ord(x) for x in "stmd"])
+        pair = ((one == ord("r")) | (one == ord("v"))) & (two == ord("e")) | (one == ord("l")) & (two == ord("l"))
+        size = np.where(short, 1, np.where(pair, 2, 0))
+        hit = size > 0
+        mark, size, run_end = mark[hit], size[hit], run_end[hit]
+        cut[mark + 1] = False
+        rest = mark + 1 + size
+        cut[rest[rest < run_end]] = True
+    starts = pos[np.flatnonzero(cut[:n])]
+    return starts, np.r_[starts[1:], data.size], np.searchsorted(offs, starts, "right") - 1
+
+
+def _pattern_pieces(pattern: str):
+    """The same for any pattern whose matches cover the text, by the regex module."""
+    find = regex.compile(pattern).findall
+
+    def split(data, offs):
+        sizes, rows = [], []
+        for r, (a, b) in enumerate(zip(offs[:-1], offs[1:])):
+            got = [len(p.encode()) for p in find(data[a:b].tobytes().decode())]
+            sizes += got
+            rows += [r] * len(got)
+        ends = np.cumsum(np.array(sizes, np.int64))
+        return ends - np.array(sizes, np.int64), ends, np.array(rows, np.int64)
+    return split
 
 
 class PieceMemory:
-    """Ids of the distinct pieces seen by one task, in one growing array; emptied at a bound."""
+    """Ids of the distinct pieces seen by one worker, by 64-bit hash, in one growing array; emptied
+    at a bound."""
 
-    def __init__(self, pattern: str, encode, limit: int = REMEMBER):
-        self.find, self.encode, self.limit = regex.compile(pattern).findall, encode, limit
+    def __init__(self, pattern: str, encode, limit: int = REMEMBER, classes: np.ndarray | None = None):
+        self.split = partial(standard_pieces, classes=classes) if pattern == STANDARD else _pattern_pieces(pattern)
+        self.encode, self.limit = encode, limit
         self._clear()
 
     def _clear(self):
-        self.codes, self.flat, self.used = _Codes(), np.empty(1 << 16, np.int32), 0
-        self.start, self.count = np.empty(0, np.int64), np.empty(0, np.int64)
+        self.codes, self.flat, self.used = {}, np.empty(1 << 16, np.int32), 0
+        self.start, self.count, self.known = np.empty(1 << 12, np.int64), np.empty(1 << 12, np.int64), 0
+
+    @staticmethod
+    def _room(a: np.ndarray, n: int) -> np.ndarray:
+        return a if n <= a.size else np.r_[a, np.empty(max(a.size, n - a.size), a.dtype)]
 
-    def texts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts in a row, number of ids of each text)."""
-        if len(self.codes) > self.limit:
+    def ids(self, data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all documents of a slice in a row, number of ids of each document)."""
+        if self.known > self.limit:
             self._clear()
-        known = len(self.codes)
-        got = [np.fromiter(map(self.codes.__getitem__, p), np.int64, len(p)) for p in map(self.find, texts)]
-        if len(self.codes) > known:
-            new = list(self.codes)[known:]
-            ids, count = self.encode(new)
-            while self.used + ids.size > self.flat.size:
-                self.flat = np.r_[self.flat, np.empty_like(self.flat)]
+        starts, ends, rows = self.split(data, offs)
+        h, first, back = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
+        code = np.fromiter((self.codes.get(x, -1) for x in h.tolist()), np.int64, h.size)
+        new = np.flatnonzero(code < 0)
+        if new.size:
+            raw = data.tobytes()
+            ids, count = self.encode([raw[a:b] for a, b in zip(starts[first[new]].tolist(), ends[first[new]].tolist())])
+            k = self.known
+            code[new] = np.arange(k, k + new.size)
+            self.codes.update(zip(h[new].tolist(), range(k, k + new.size)))
+            self.flat = self._room(self.flat, self.used + ids.size)
             self.flat[self.used:self.used + ids.size] = ids
-            self.start = np.r_[self.start, self.used + np.cumsum(count) - count]
-            self.count = np.r_[self.count, count]
-            self.used += ids.size
-        each = np.array([self.count[g].sum() for g in got], np.int64)
-        codes = np.concatenate(got) if got else np.zeros(0, np.int64)
+            self.start, self.count = self._room(self.start, k + new.size), self._room(self.count, k + new.size)
+            self.start[k:k + new.size] = self.used + np.cumsum(count) - count
+            self.count[k:k + new.size] = count
+            self.used, self.known = self.used + ids.size, k + new.size
+        codes = code[back]
         n = self.count[codes]
-        at = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-        return self.flat[at + np.repeat(self.start[codes], n)], each
-
-
-def text_chunks(col: pa.Array, size: int = CHUNK) -> Iterator[tuple[int, int, list[str]]]:
-    """(first row, end row, texts) of a text column, about ``size`` bytes each; null is empty."""
-    data, offs = column_bytes(col)
-    for i, j, _, _ in slices(data, offs, size):
-        yield i, j, [t or "" for t in col.slice(i, j - i).to_pylist()]
+        total = np.r_[0, np.cumsum(n)]
+        cut = np.searchsorted(rows, np.arange(offs.size))
+        at = np.arange(int(total[-1])) - np.repeat(total[:-1], n)
+        return self.flat[at + np.repeat(self.start[codes], n)], np.diff(total[cut])
 
 
+@lru_cache(2)
 def rank_memory(blob: bytes, pattern: str) -> tuple[Ranks, PieceMemory]:
+    """Tables and memory of one rank file; kept between the tasks of a worker."""
     ranks = Ranks(blob)
-    return ranks, PieceMemory(pattern, lambda new: ranks.encode_pieces([p.encode() for p in new]))
+    return ranks, PieceMemory(pattern, ranks.encode_pieces)
 
 
 def encode(docs: DataFrame, rank_path: str, pattern: str, carry: list[str] | None = None) -> DataFrame:
@@ -269,8 +380,9 @@ def _run(docs, rank_path, pattern, cols, with_ids):
         ranks, memory = rank_memory(blob, pattern)
         for b in batches:
             n, raw, h_ids, h_back = [], [], [], []
-            for _, _, texts in text_chunks(b.column(b.num_columns - 1)):
-                ids, each = memory.texts(texts)
+            data, offs = column_bytes(b.column(b.num_columns - 1))
+            for _, _, d, o in slices(data, offs):
+                ids, each = memory.ids(d, o)
                 back, size = ranks.decode(ids)
                 end = np.cumsum(each)
                 total = np.r_[0, np.cumsum(size)]

@@ -17,13 +17,16 @@ from __future__ import annotations
 
 import os
 import zlib
+from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from threadsift.llm.bpe import PieceMemory, text_chunks
+from threadsift.llm.bpe import PieceMemory, observed_classes
+from threadsift.llm.text import column_bytes, slices
 
 BLOCK_IDS = 1 << 20
 END_ID = 0
@@ -66,22 +69,29 @@ def unpack_ids(table: bytes, control: bytes, data: bytes, n: int) -> np.ndarray:
     return np.frombuffer(table, "<u4")[unpack(control, data, n)]
 
 
+@lru_cache(2)
+def _memory(spec: str, pattern: str) -> PieceMemory:
+    """The library's encoder behind a memory of distinct pieces; kept between the tasks of a worker."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+    tok = Tokenizer.from_str(spec)
+    tok.encode_special_tokens = True
+
+    def pieces(new):
+        got = [e.ids for e in tok.encode_batch_fast([p.decode() for p in new], add_special_tokens=False)]
+        count = np.fromiter(map(len, got), np.int64, len(got))
+        return np.fromiter(chain.from_iterable(got), np.int32, int(count.sum())), count
+    split = tok.pre_tokenizer.pre_tokenize_str
+    return PieceMemory(pattern, pieces, classes=observed_classes(lambda t: [at for _, at in split(t)]))
+
+
 def write_blocks(docs: DataFrame, model: str, pattern: str, path: str) -> None:
     """Encode ``docs`` (doc_id, text) with the tokenizers library and write the id files to ``path``."""
     with open(model, encoding="utf-8") as f:
         spec = f.read()  # one vocabulary: bounded
 
     def run(batches):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-        tok = Tokenizer.from_str(spec)
-        tok.encode_special_tokens = True
-
-        def pieces(new):
-            got = [e.ids for e in tok.encode_batch_fast(new, add_special_tokens=False)]
-            count = np.fromiter(map(len, got), np.int64, len(got))
-            return np.fromiter((i for g in got for i in g), np.int32, int(count.sum())), count
-        memory = PieceMemory(pattern, pieces)
+        memory = _memory(spec, pattern)
         held, doc_ids, lens, total, before, block, pid = [], [], [], 0, 0, 0, 0
 
         def flush():
@@ -91,8 +101,9 @@ def write_blocks(docs: DataFrame, model: str, pattern: str, path: str) -> None:
                                                                 ("doc_ids", pa.list_(pa.int64())), ("lens", pa.list_(pa.int64())),
                                                                 ("table", pa.binary()), ("control", pa.binary()), ("data", pa.binary())]))
         for b in batches:
-            for i, j, texts in text_chunks(b.column(1)):
-                ids, each = memory.texts(texts)
+            data, offs = column_bytes(b.column(1))
+            for i, j, d, o in slices(data, offs):
+                ids, each = memory.ids(d, o)
                 pid = b.column(2)[i].as_py()
                 end = np.cumsum(each)
                 ids = np.insert(ids, end, END_ID)  # the end id after each document
