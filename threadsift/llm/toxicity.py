@@ -29,10 +29,10 @@ from threadsift.llm.text import column_bytes, mix, slices, span_hashes, word_spa
 
 MAX_POSITIVE, MAX_UNLABELLED = 20_000, 40_000
 FOLDS = 5
-BEGINNINGS = (4, 5, 6)
+BEGINNINGS = (4, 5, 6, 7, 8)
 BUCKETS = 1 << 20
 MAX_FEATURES, MIN_Z = 4096, 5.0
-STEPS, RATE, DECAY = 400, 0.05, 1e-4
+STEPS, RATE, DECAY = 600, 0.05, 1e-5
 #: words here are runs of letters and digits: ASCII signs and spaces part them
 _GAP = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 
@@ -103,15 +103,15 @@ def fit(rows: np.ndarray, feats: np.ndarray, positive: np.ndarray, n_features: i
     """Weights and bias from (row, feature) presences; ``positive`` marks the rows of P."""
     n = positive.size
     n_p, n_u = max(1, int(positive.sum())), max(1, int((~positive).sum()))
-    w, b = np.zeros(n_features), 0.0
+    w, b = np.zeros(n_features), float(np.log(prior / (1 - prior)))
     m, v = np.zeros(n_features + 1), np.zeros(n_features + 1)
     for t in range(1, STEPS + 1):
-        f = b + np.bincount(rows, w[feats], minlength=n)
-        up, down = 1 / (1 + np.exp(-np.clip(f, -60, 60))), 1 / (1 + np.exp(np.clip(f, -60, 60)))
-        # logistic loss: l(f) = log(1 + e^-f), its slope -down; l(-f) has slope up
-        neg = np.logaddexp(0, f[~positive]).mean() - prior * np.logaddexp(0, f[positive]).mean()
-        g = np.where(positive, -prior * up / n_p, up / n_u)
-        g = g + np.where(positive, -prior * down / n_p, 0) if neg >= 0 else -g
+        # sigmoid loss: l(f) = s(-f), l(-f) = s(f); both slopes have the size s (1 - s)
+        s = 1 / (1 + np.exp(-np.clip(b + np.bincount(rows, w[feats], minlength=n), -60, 60)))
+        slope = s * (1 - s)
+        neg = s[~positive].mean() - prior * s[positive].mean()
+        g = np.where(positive, -prior * slope / n_p, slope / n_u)
+        g = g + np.where(positive, -prior * slope / n_p, 0) if neg >= 0 else -g
         grad = np.r_[np.bincount(feats, g[rows], minlength=n_features) + DECAY * w, g.sum()]
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
         step = RATE * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
