@@ -76,8 +76,8 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
     return float((a == b).mean())
 
 
-def hexed(f: np.ndarray) -> str:
-    return f.astype(">u4").tobytes().hex()
+def _raw(f: np.ndarray) -> bytes:
+    return f.astype(">u4").tobytes()
 
 
 def _codes(t: str) -> np.ndarray:
@@ -88,17 +88,20 @@ def _pair(doc_id, text: str, f: np.ndarray, nxt: str, nf: np.ndarray) -> tuple:
     m = len(text) // 3
     edited = text[:len(text) - m] + nxt[:m]
     e = f if edited == text else fingerprint(_codes(edited))
-    return doc_id, len(text), hashlib.sha256(edited.encode()).hexdigest(), hexed(f), hexed(e), likeness(f, e), likeness(f, nf)
+    return doc_id, len(text), hashlib.sha256(edited.encode()).digest(), _raw(f), _raw(e), likeness(f, e), likeness(f, nf)
 
 
-RESULT = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+#: digests and fingerprints travel and are written as bytes, and are spelled out at the end
+RAW = "doc_id long, n_chars long, edited_sha256 binary, fingerprint binary, edited_fingerprint binary, near_edited double, near_next double"
+_BYTES = ["edited_sha256", "fingerprint", "edited_fingerprint"]
 
 
 def neighbours(docs: DataFrame) -> DataFrame:
-    """RESULT: one row per row of ``docs``; next is the following row by falling doc_id, cyclic."""
+    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint (hex), near_edited, near_next:
+    one row per row of ``docs``; next is the following row by falling doc_id, cyclic."""
     n = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     key = F.col("doc_id").desc_nulls_last()
-    names = [x.split()[0] for x in RESULT.split(", ")]
+    names = [x.split()[0] for x in RAW.split(", ")]
 
     def run(batches):
         prev = first = pid = None
@@ -121,12 +124,12 @@ def neighbours(docs: DataFrame) -> DataFrame:
             yield _batch([(prev[0], None, None, None, None, None, None, first[1], prev[1], first[0], pid)])
 
     def _batch(rows):
-        kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64(), pa.string(), pa.string(), pa.int64(), pa.int32()]
+        kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.float64(), pa.float64(), pa.string(), pa.string(), pa.int64(), pa.int32()]
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], [*names, "head", "tail", "head_id", "pid"])
 
     src = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
            .repartitionByRange(n, key).sortWithinPartitions(key, F.xxhash64("text")).withColumn("pid", F.spark_partition_id()))
-    done = written(src.mapInArrow(run, RESULT + ", head string, tail string, head_id long, pid int"), "neighbours")
+    done = written(src.mapInArrow(run, RAW + ", head string, tail string, head_id long, pid int"), "neighbours")
     ends = done.filter("tail is not null")  # one row per written partition
     w = Window.orderBy("pid")
     ring = ends.select("doc_id", "tail", F.lead("head").over(w).alias("nxt"), F.first("head").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("round"))
@@ -138,5 +141,6 @@ def neighbours(docs: DataFrame) -> DataFrame:
                 rows.append(_pair(doc_id, text, fingerprint(_codes(text)), nxt, fingerprint(_codes(nxt))))
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names)
-    last = ring.select("doc_id", "tail", F.coalesce("nxt", "round").alias("nxt")).mapInArrow(join_ends, RESULT)
-    return done.filter("tail is null").select(*names).unionByName(last)
+    last = ring.select("doc_id", "tail", F.coalesce("nxt", "round").alias("nxt")).mapInArrow(join_ends, RAW)
+    both = done.filter("tail is null").select(*names).unionByName(last)
+    return both.select(*[F.lower(F.hex(c)).alias(c) if c in _BYTES else F.col(c) for c in names])
