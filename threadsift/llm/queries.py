@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from threadsift.llm import bpe, mixing, ordermin, pii, secret_scan, setsketch, tokenio, toxicity, weaksup
+from threadsift.llm import bpe, importance, mixing, ordermin, pii, secret_scan, setsketch, tokenio, toxicity, weaksup
 from threadsift.session import bounded_batches, checkpoint_path
 
 QUERIES: dict = {}
@@ -83,3 +83,9 @@ def op8(spark, sf_dir):
 def op10(spark, sf_dir):
     """Toxicity score of every text, learned from positive and unlabelled rows."""
     return toxicity.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op3_importance")
+def op3(spark, sf_dir):
+    """Documents drawn by importance weight towards labelled good text."""
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
