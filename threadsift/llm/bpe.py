@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from threadsift.llm.text import column_bytes, slices, span_hashes
 
 LONG = 256
-REMEMBER = 600_000
+REMEMBER = 4_000_000
 INF = np.int32(np.iinfo(np.int32).max)
 _H = np.uint64(0x9E3779B97F4A7C15)
 
@@ -195,7 +195,7 @@ class Ranks:
 
 #: the pattern that the vectorised splitter below knows
 STANDARD = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-_SPACE, _LETTER, _NUMBER, _SIGN = 3, 1, 2, 0
+_SIGN, LETTER, _NUMBER, _SPACE = 0, 1, 2, 3
 
 
 def _all_points() -> tuple[str, np.ndarray]:
@@ -208,7 +208,7 @@ def regex_classes() -> np.ndarray:
     """Class of every code point, as the regex module sees it."""
     every, at = _all_points()
     out = np.zeros(0x110000, np.uint8)
-    for cls, pat in ((_LETTER, r"\p{L}+"), (_NUMBER, r"\p{N}+"), (_SPACE, r"\s+")):
+    for cls, pat in ((LETTER, r"\p{L}+"), (_NUMBER, r"\p{N}+"), (_SPACE, r"\s+")):
         for m in regex.finditer(pat, every):
             out[at[m.start():m.end()]] = cls
     return out
@@ -224,7 +224,7 @@ def observed_classes(pieces_of) -> np.ndarray:
     out = np.zeros(0x110000, np.uint8)
     for a, b in pieces_of(every):
         c = every[a]
-        out[at[a:b]] = _LETTER if len(pieces_of("a" + c)) == 1 else _NUMBER if len(pieces_of("1" + c)) == 1 else _SIGN
+        out[at[a:b]] = LETTER if len(pieces_of("a" + c)) == 1 else _NUMBER if len(pieces_of("1" + c)) == 1 else _SIGN
     white = [c for c in np.flatnonzero(regex_classes() == _SPACE) if len(pieces_of("  " + chr(c))) == 1]
     out[white] = _SPACE
     return out
@@ -272,7 +272,7 @@ def standard_pieces(data: np.ndarray, offs: np.ndarray, classes: np.ndarray | No
     joined = last[cp[last] == 0x20]
     cut[joined + 1] = False
     mark = runs[(cp[runs] == 0x27) & (ends - runs == 1) & ~edge[ends]]
-    mark = mark[cut[mark] & (c[np.minimum(mark + 1, n - 1)] == _LETTER)]
+    mark = mark[cut[mark] & (c[np.minimum(mark + 1, n - 1)] == LETTER)]
     if mark.size:
         run_end = ends[np.searchsorted(runs, mark + 1)]
         one, two = cp[mark + 1], np.where(run_end - mark > 2, cp[np.minimum(mark + 2, n - 1)], 0)
@@ -313,8 +313,9 @@ class PieceMemory:
         self._clear()
 
     def _clear(self):
-        self.codes, self.flat, self.used = {}, np.empty(1 << 16, np.int32), 0
-        self.start, self.count, self.known = np.empty(1 << 12, np.int64), np.empty(1 << 12, np.int64), 0
+        self.keys, self.code = np.empty(0, np.uint64), np.empty(0, np.int32)  # sorted hashes, their codes
+        self.flat, self.used = np.empty(1 << 16, np.int32), 0
+        self.start, self.count, self.known = np.empty(1 << 12, np.int64), np.empty(1 << 12, np.int32), 0
 
     @staticmethod
     def _room(a: np.ndarray, n: int) -> np.ndarray:
@@ -326,14 +327,19 @@ class PieceMemory:
             self._clear()
         starts, ends, rows = self.split(data, offs)
         h, first, back = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
-        code = np.fromiter((self.codes.get(x, -1) for x in h.tolist()), np.int64, h.size)
-        new = np.flatnonzero(code < 0)
+        at = np.searchsorted(self.keys, h)
+        there = at < self.keys.size
+        there[there] = self.keys[at[there]] == h[there]
+        code = np.empty(h.size, np.int64)
+        code[there] = self.code[at[there]]
+        new = np.flatnonzero(~there)
         if new.size:
             raw = data.tobytes()
             ids, count = self.encode([raw[a:b] for a, b in zip(starts[first[new]].tolist(), ends[first[new]].tolist())])
             k = self.known
             code[new] = np.arange(k, k + new.size)
-            self.codes.update(zip(h[new].tolist(), range(k, k + new.size)))
+            self.code = np.insert(self.code, at[new], code[new].astype(np.int32))
+            self.keys = np.insert(self.keys, at[new], h[new])
             self.flat = self._room(self.flat, self.used + ids.size)
             self.flat[self.used:self.used + ids.size] = ids
             self.start, self.count = self._room(self.start, k + new.size), self._room(self.count, k + new.size)
@@ -341,7 +347,7 @@ class PieceMemory:
             self.count[k:k + new.size] = count
             self.used, self.known = self.used + ids.size, k + new.size
         codes = code[back]
-        n = self.count[codes]
+        n = self.count[codes].astype(np.int64)
         total = np.r_[0, np.cumsum(n)]
         cut = np.searchsorted(rows, np.arange(offs.size))
         at = np.arange(int(total[-1])) - np.repeat(total[:-1], n)

@@ -25,11 +25,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from threadsift.llm.bpe import PieceMemory, observed_classes
+from threadsift.llm.bpe import LETTER, PieceMemory, observed_classes
 from threadsift.llm.text import column_bytes, slices
 
 BLOCK_IDS = 1 << 20
 END_ID = 0
+BUNDLE = 500
 _SIZES = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3) + 1
 _MASK = np.arange(4) < _SIZES[:, :, None]
 BLOCK_SCHEMA = ("pid int, block int, before long, n_ids long, doc_ids array<long>, lens array<long>, "
@@ -77,12 +78,34 @@ def _memory(spec: str, pattern: str) -> PieceMemory:
     tok = Tokenizer.from_str(spec)
     tok.encode_special_tokens = True
 
-    def pieces(new):
-        got = [e.ids for e in tok.encode_batch_fast([p.decode() for p in new], add_special_tokens=False)]
-        count = np.fromiter(map(len, got), np.int64, len(got))
-        return np.fromiter(chain.from_iterable(got), np.int32, int(count.sum())), count
     split = tok.pre_tokenizer.pre_tokenize_str
-    return PieceMemory(pattern, pieces, classes=observed_classes(lambda t: [at for _, at in split(t)]))
+    classes = observed_classes(lambda t: [at for _, at in split(t)])
+    letters = classes == LETTER
+    size = np.zeros(tok.get_vocab_size(), np.int64)
+    for t, i in tok.get_vocab().items():
+        size[i] = len(t)  # a byte-level token has a character for each byte
+
+    def pieces(new):
+        # words with their blank keep apart in one text: many go to the library at a time, and the
+        # ids fall back into words by their bytes
+        texts = [p.decode() for p in new]
+        word = np.array([len(t) > 1 and t[0] == " " and letters[ord(t[1])] for t in texts], bool)
+        bundles = [np.array([i]) for i in np.flatnonzero(~word)]
+        words = np.flatnonzero(word)
+        bundles += [words[i:i + BUNDLE] for i in range(0, words.size, BUNDLE)]
+        got = [e.ids for e in tok.encode_batch_fast(["".join([texts[i] for i in b]) for b in bundles], add_special_tokens=False)]
+        lens = np.fromiter(map(len, got), np.int64, len(got))
+        ids = np.fromiter(chain.from_iterable(got), np.int32, int(lens.sum()))
+        order = np.concatenate(bundles)
+        ends = np.cumsum(np.fromiter(map(len, new), np.int64, len(new))[order])
+        cut = np.r_[0, np.searchsorted(np.cumsum(size[ids]), ends) + 1]
+        count = np.empty(len(new), np.int64)
+        count[order] = np.diff(cut)
+        begin = np.empty(len(new), np.int64)
+        begin[order] = cut[:-1]
+        at = np.arange(ids.size) - np.repeat(np.cumsum(count) - count, count)
+        return ids[at + np.repeat(begin, count)], count
+    return PieceMemory(pattern, pieces, classes=classes)
 
 
 def write_blocks(docs: DataFrame, model: str, pattern: str, path: str) -> None:
