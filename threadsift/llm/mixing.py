@@ -44,8 +44,8 @@ def targets(sizes: DataFrame, weights=WEIGHTS, factor: float = FACTOR, cap: int
             F.least(F.coalesce("level", F.lit(0.0)) * F.col("w"), F.col("most").cast("double")).alias("target")))
 
 
-def mix(docs: DataFrame, keep: list[str], weights=WEIGHTS, factor: float = FACTOR, cap: int = CAP) -> DataFrame:
-    """``keep`` columns, size, source_size, target, taken: one row per row of ``docs``."""
+def _taken(docs: DataFrame, keep: list[str], weights=WEIGHTS, factor: float = FACTOR, cap: int = CAP) -> DataFrame:
+    """The ``keep`` columns as k_<name>, with size, source_size, target and taken."""
     text = F.coalesce("text", F.lit(""))
     d = docs.select(*[F.col(c).alias(f"k_{c}") for c in keep], F.col("doc_id").alias("doc_id"), F.col("source").alias("source"),
                     F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"),
@@ -55,25 +55,29 @@ def mix(docs: DataFrame, keep: list[str], weights=WEIGHTS, factor: float = FACTO
     d = written(d, "keyed")
     t = targets(d.select("source", "size"), weights, factor, cap).withColumnRenamed("source", "s")
     d = d.join(t, F.col("source").eqNullSafe(F.col("s")))
-    budget = F.floor("target")
     full = F.when(F.col("source_size") > 0, F.expr("floor(target) div source_size")).otherwise(F.lit(0))
-    rest = budget - full * F.col("source_size")
+    rest = F.floor("target") - full * F.col("source_size")
     taken = full * F.col("size") + F.greatest(F.lit(0), F.least(F.col("size"), rest - F.col("before")))
-    return d.select(*[F.col(f"k_{c}").alias(c) for c in keep], "size", "source_size", "target", taken.cast("long").alias("taken"))
+    return d.select(*[f"k_{c}" for c in keep], "size", "source_size", "target", taken.cast("long").alias("taken"))
+
+
+def mix(docs: DataFrame, keep: list[str], **how) -> DataFrame:
+    """``keep`` columns, size, source_size, target, taken: one row per row of ``docs``.  Options:
+    ``weights``, ``factor`` and ``cap``."""
+    return _taken(docs, keep, **how).withColumnsRenamed({f"k_{c}": c for c in keep})
 
 
 def mixed(docs: DataFrame, **how) -> DataFrame:
     """The documents of the mix, with the columns of ``docs``: a row per epoch, in whole, but for
     the one document of a source at which its budget ends, whose text stops at that word."""
     cols = docs.columns
-    d = mix(docs, cols, **how) if "size" not in cols else mix(docs.withColumnRenamed("size", "size_"), [c if c != "size" else "size_" for c in cols], **how)
-    d = d.filter("taken > 0").withColumn("__e", F.explode(F.sequence(F.lit(0).cast("long"), F.expr("(taken - 1) div size"))))
-    words = F.least(F.col("size"), F.col("taken") - F.col("__e") * F.col("size"))
-    part = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0)), F.lit(1), words.cast("int")), "")
-    d = d.withColumn("text", F.when(words < F.col("size"), part).otherwise(F.col("text")))
+    d = _taken(docs, cols, **how).filter("taken > 0").withColumn("epoch", F.explode(F.expr("sequence(0L, (taken - 1) div size)")))
+    words = F.least(F.col("size"), F.col("taken") - F.col("epoch") * F.col("size"))
+    part = F.array_join(F.slice(F.regexp_extract_all("k_text", F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0)), F.lit(1), words.cast("int")), "")
+    d = d.withColumn("k_text", F.when(words < F.col("size"), part).otherwise(F.col("k_text")))
     if "n_chars" in cols:
-        d = d.withColumn("n_chars", F.when(words < F.col("size"), F.length("text")).otherwise(F.col("n_chars")))
-    return d.select(*[F.col("size_").alias("size") if c == "size" and "size_" in d.columns else F.col(c) for c in cols])
+        d = d.withColumn("k_n_chars", F.when(words < F.col("size"), F.length("k_text")).otherwise(F.col("k_n_chars")))
+    return d.select(*[F.col(f"k_{c}").cast(docs.schema[c].dataType).alias(c) for c in cols])
 
 
 ORACLE = f"""

@@ -69,26 +69,26 @@ def _valid(kind: str) -> str:
     return VALID[kind]
 
 
-def find_pii(docs: DataFrame, text: str = "text") -> DataFrame:
-    """docs with ``pii``: array<struct<kind, start, end, value, score, base>> by kind, then start."""
+def find_pii(docs: DataFrame, text: str = "text", out: str = "pii") -> DataFrame:
+    """docs with ``out``: array<struct<kind, start, end, value, score, base>> by kind, then start."""
     body = "__pii_text"
     d = with_matches(docs.withColumn(body, F.coalesce(F.col(text), F.lit(""))), PATTERNS, body)
     parts = []
     for k in KINDS:
         score, words, change = SCORES[k]
-        parts.append(f"transform(filter({k}, x -> {_valid(k)}), x -> struct('{k}' AS kind, x.s AS start, x.e AS end, x.m AS value, "
+        parts.append(f"transform(filter(__{k}, x -> {_valid(k)}), x -> struct('{k}' AS kind, x.s AS start, x.e AS end, x.m AS value, "
                      f"CAST({score} AS DOUBLE) + CASE WHEN lower(x.c) RLIKE '{words}' THEN CAST({change} AS DOUBLE) ELSE 0D END AS score, {str(k in BASE).lower()} AS base))")
-    d = d.withColumn("pii", F.expr(f"filter(concat({', '.join(parts)}), p -> p.base OR p.score >= {MIN_SCORE})"))
-    return d.drop(body, *KINDS)
+    d = d.withColumn(out, F.expr(f"filter(concat({', '.join(parts)}), p -> p.base OR p.score >= {MIN_SCORE})"))
+    return d.drop(body, *[f"__{k}" for k in KINDS])
 
 
 def redacted(docs: DataFrame, text: str = "text", mark: str = "[PII]") -> DataFrame:
     """docs with every span of ``find_pii`` in ``text`` replaced; overlapping spans merge."""
-    d = find_pii(docs, text).withColumn("pii", F.expr("array_sort(pii, (a, b) -> CASE WHEN a.start <> b.start THEN a.start - b.start ELSE a.end - b.end END)"))
-    fold = (f"aggregate(pii, struct(0 AS at, CAST(array() AS array<string>) AS o), (a, p) -> struct(greatest(a.at, p.end) AS at, "
+    d = find_pii(docs, text, "__pii").withColumn("__pii", F.expr("array_sort(__pii, (a, b) -> CASE WHEN a.start <> b.start THEN a.start - b.start ELSE a.end - b.end END)"))
+    fold = (f"aggregate(__pii, struct(0 AS at, CAST(array() AS array<string>) AS o), (a, p) -> struct(greatest(a.at, p.end) AS at, "
             f"CASE WHEN p.start >= a.at THEN concat(a.o, array(substr({text}, a.at + 1, p.start - a.at), '{mark}')) ELSE a.o END AS o), "
             f"a -> array_join(concat(a.o, array(substr({text}, a.at + 1))), ''))")
-    return d.withColumn(text, F.expr(f"CASE WHEN size(pii) > 0 THEN {fold} ELSE {text} END")).drop("pii")
+    return d.withColumn(text, F.expr(f"CASE WHEN size(__pii) > 0 THEN {fold} ELSE {text} END")).drop("__pii")
 
 
 def digest(docs: DataFrame) -> DataFrame:

@@ -42,16 +42,16 @@ _VALUE = {"assign": f"regexp_replace(x.m, r'^{ASSIGN_HEAD}', '')"}
 _VALID = {"assign": "length({v}) >= 8", "access": "length(x.m) >= 16", "hex": "true", "vendor": "true"}
 
 
-def candidates(docs: DataFrame, text: str = "text") -> DataFrame:
-    """docs with ``secrets``: array<struct<start, kind_no, end, kind, vhash, base>> by start, then kind."""
+def candidates(docs: DataFrame, text: str = "text", out: str = "secrets") -> DataFrame:
+    """docs with ``out``: array<struct<start, kind_no, end, kind, vhash, base>> by start, then kind."""
     body = "__secret_text"
     d = with_matches(docs.withColumn(body, F.coalesce(F.col(text), F.lit(""))), PATTERNS, body)
     parts = []
     for i, k in enumerate(KINDS):
         v = _VALUE.get(k, "x.m")
-        parts.append(f"transform(filter({k}, x -> {_VALID[k].format(v=v)}), x -> struct(x.s AS start, {i} AS kind_no, x.e AS end, '{k}' AS kind, "
+        parts.append(f"transform(filter(__{k}, x -> {_VALID[k].format(v=v)}), x -> struct(x.s AS start, {i} AS kind_no, x.e AS end, '{k}' AS kind, "
                      f"sha2({v}, 256) AS vhash, {str(k in BASE).lower()} AS base))")
-    return d.withColumn("secrets", F.expr(f"array_sort(concat({', '.join(parts)}))")).drop(body, *KINDS)
+    return d.withColumn(out, F.expr(f"array_sort(concat({', '.join(parts)}))")).drop(body, *[f"__{k}" for k in KINDS])
 
 
 def ownership(found: DataFrame) -> DataFrame:
@@ -61,15 +61,14 @@ def ownership(found: DataFrame) -> DataFrame:
     return by_owner.groupBy("vhash").agg(F.count("*").alias("n_owners"), F.sum("r").alias("n_repos"))
 
 
-def scan(docs: DataFrame, owner: Column, repo: Column, keep: list[str], text: str = "text", min_owners: int = MIN_OWNERS) -> DataFrame:
-    """The ``keep`` columns and ``secrets``: array<struct<start, kind_no, end, kind, base, live>> by
+def scan(docs: DataFrame, owner: Column, repo: Column, keep: list[str], text: str = "text", min_owners: int = MIN_OWNERS,
+         out: str = "secrets") -> DataFrame:
+    """The ``keep`` columns and ``out``: array<struct<start, kind_no, end, kind, base, live>> by
     start, then kind; one row per row of ``docs``.  Vendor spans of widely copied values are gone."""
     nul = F.lit("\u0000")
-    src = docs.select(*[F.col(c) for c in keep], F.col(text).alias("__t"), F.coalesce(owner.cast("string"), nul).alias("__owner"),
+    src = docs.select(*[F.col(c).alias(f"k_{c}") for c in keep], F.col(text).alias("__t"), F.coalesce(owner.cast("string"), nul).alias("__owner"),
                       F.coalesce(repo.cast("string"), nul).alias("__repo"))
-    rows = candidates(src, "__t")
-    if text not in keep:
-        rows = rows.drop("__t")
+    rows = candidates(src, "__t").drop("__t")
     rows = written(rows.withColumn("__rid", F.monotonically_increasing_id()), "secret-rows")
     found = rows.filter("size(secrets) > 0").select("__rid", F.col("__owner").alias("owner"), F.col("__repo").alias("repo"), F.inline("secrets"))
     wide = written(ownership(found), "ownership")
@@ -79,14 +78,14 @@ def scan(docs: DataFrame, owner: Column, repo: Column, keep: list[str], text: st
     # a group holds the spans of one document
     spans = judged.groupBy("__rid").agg(F.array_sort(F.collect_list(F.struct("start", "kind_no", "end", "kind", "base", "live"))).alias("spans"))
     none = F.expr("CAST(array() AS array<struct<start:int,kind_no:int,end:int,kind:string,base:boolean,live:boolean>>)")
-    out = rows.select("__rid", *keep).join(spans, "__rid", "left")
-    return out.select(*keep, F.coalesce("spans", none).alias("secrets"))
+    both = rows.drop("secrets", "__owner", "__repo").join(spans, "__rid", "left")
+    return both.select(*[F.col(f"k_{c}").alias(c) for c in keep], F.coalesce("spans", none).alias(out))
 
 
 def redacted(docs: DataFrame, owner: Column, repo: Column, mark: str = "[SECRET]", text: str = "text") -> DataFrame:
     """docs with every live-looking span of ``text`` replaced by ``mark``; overlapping spans merge."""
     cols = docs.columns
-    d = scan(docs, owner, repo, cols, text).withColumn("__live", F.expr("filter(secrets, s -> s.live)"))
+    d = scan(docs, owner, repo, cols, text, out="__secrets").withColumn("__live", F.expr("filter(__secrets, s -> s.live)"))
     fold = (f"aggregate(__live, struct(0 AS at, CAST(array() AS array<string>) AS o), (a, p) -> struct(greatest(a.at, p.end) AS at, "
             f"CASE WHEN p.start >= a.at THEN concat(a.o, array(substr(`{text}`, a.at + 1, p.start - a.at), '{mark}')) ELSE a.o END AS o), "
             f"a -> array_join(concat(a.o, array(substr(`{text}`, a.at + 1))), ''))")

@@ -31,15 +31,15 @@ class Pattern:
 
 
 def with_matches(df: DataFrame, patterns: list[Pattern], text: str) -> DataFrame:
-    """df with one column per kind: array<struct<s int, e int, m string, c string>> ordered by s.
+    """df with one column ``__<kind>`` per kind: array<struct<s int, e int, m string, c string>> ordered by s.
 
     s and e are code points (end exclusive), m the match, c up to ``CONTEXT`` code points of the
     text between the match and the one before it.
     """
-    kinds = [p.kind for p in patterns]
-    df = df.select("*", *[F.expr(f"CASE WHEN {p.guard.replace('{t}', text)} THEN regexp_extract_all({text}, r'{p.regex}', 0) ELSE array() END").alias(f"{p.kind}__f")
+    kinds = [f"__{p.kind}" for p in patterns]
+    df = df.select("*", *[F.expr(f"CASE WHEN {p.guard.replace('{t}', text)} THEN regexp_extract_all({text}, r'{p.regex}', 0) ELSE array() END").alias(f"__{p.kind}__f")
                           for p in patterns])
-    df = df.select("*", *[F.expr(f"CASE WHEN size({p.kind}__f) > 0 THEN transform(split({text}, r'{p.regex}', -1), x -> struct(length(x) AS n, right(x, {CONTEXT}) AS c)) END").alias(f"{p.kind}__g")
+    df = df.select("*", *[F.expr(f"CASE WHEN size(__{p.kind}__f) > 0 THEN transform(split({text}, r'{p.regex}', -1), x -> struct(length(x) AS n, right(x, {CONTEXT}) AS c)) END").alias(f"__{p.kind}__g")
                           for p in patterns])
     df = df.select("*", *[F.expr(f"transform({k}__f, (m, i) -> {k}__g[i].n + length(m))").alias(f"{k}__d") for k in kinds])
     ends = ("CASE WHEN size({k}__d) = 0 THEN array() ELSE flatten(transform(sequence(0, (size({k}__d) - 1) div {n}), b -> "

@@ -160,14 +160,14 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray, f
     return names[good], w, b
 
 
-def score(docs: DataFrame, model, keep: list[str]) -> DataFrame:
-    """``keep`` columns and score (double) of every row."""
+def score(docs: DataFrame, model, keep: list[str], out: str = "score") -> DataFrame:
+    """``keep`` columns and ``out`` (double), the score of every row."""
     src = docs.select(*keep, F.col("text").alias("__text"))
     fields = ", ".join(f"`{c}` {src.schema[c].dataType.simpleString()}" for c in keep)
 
     def run(batches):
         for b in batches:
-            out = np.zeros(b.num_rows)
+            got = np.zeros(b.num_rows)
             if model is not None:
                 names, w, bias = model
                 data, offs = column_bytes(b.column(b.num_columns - 1))
@@ -177,9 +177,9 @@ def score(docs: DataFrame, model, keep: list[str]) -> DataFrame:
                     hit = names[np.minimum(at, names.size - 1)] == h if names.size else np.zeros(h.size, bool)
                     x, y = _unique(at[hit].astype(np.uint64), r[hit])
                     f = bias + np.bincount(y, w[x.astype(np.int64)], minlength=j - i)
-                    out[i:j] = 1 / (1 + np.exp(-np.clip(f, -60, 60)))
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(out)], [*keep, "score"])
-    return src.mapInArrow(run, f"{fields}, score double")
+                    got[i:j] = 1 / (1 + np.exp(-np.clip(f, -60, 60)))
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(got)], [*keep, out])
+    return src.mapInArrow(run, f"{fields}, `{out}` double")
 
 
 def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -191,4 +191,4 @@ def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that are not predicted toxic, with the columns of ``docs``."""
     cols = docs.columns
-    return score(docs, train(docs, labels), cols).filter("score < 0.5").select(*cols)
+    return score(docs, train(docs, labels), cols, "__score").filter("__score < 0.5").select(*cols)
