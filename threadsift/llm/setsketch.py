@@ -15,9 +15,10 @@ probability close to their Jaccard similarity.
 4. Links form components.  A bucket whose members all share a component is settled.  Open ones are
    compared across components in blocks of ``BLOCK`` members inside tasks, twice: first only the
    likeliest partner of a member in each other component leaves a task, which ties nearly every
-   member to its group; then, in the buckets still open, every pair that passes the likelihood,
-   once (in the first band it shares).  So no pair in a common bucket goes unchecked, and pairs
-   inside a component are never listed.
+   member to its group; then, in the buckets still open, every pair that passes the likelihood is
+   verified where it is found, on the sets that the blocks carry, once (in the first band it
+   shares), and only links leave the task.  So no pair in a common bucket goes unchecked, and the
+   pairs of a group are never listed.
 
 At similarity 0.8 two documents share no bucket with probability (1 - 0.8**5)**40 = 1.2e-7.
 
@@ -130,30 +131,34 @@ def _estimated(pairs: DataFrame, reps: DataFrame, threshold: float) -> DataFrame
             .mapInArrow(run, "a long, b long"))
 
 
-def _verified(cand: DataFrame, docs: DataFrame, w: int, num: int, den: int) -> DataFrame:
-    """Candidate pairs that reach num/den on their full sets (both texts read again, whole)."""
-    cand = written(cand, "candidates")
-    ids = cand.select(F.col("a").alias("id")).union(cand.select("b")).distinct()
-
+def _items(docs: DataFrame, ids: DataFrame, w: int) -> DataFrame:
+    """(id, items): the sorted shingle hashes of the documents in ``ids``, from their whole texts."""
     def sets(batches):
         for t in batches:
             data, offs = column_bytes(t.column(1))
             out = [s.tobytes() for _, _, d, o in slices(data, offs) for s in sets_of(d, o, w)]
             yield pa.RecordBatch.from_arrays([t.column(0), pa.array(out, pa.binary())], ["id", "items"])
-    full = written(docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(ids, "id", "left_semi")
+    return written(docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(ids, "id", "left_semi")
                    .select("id", "text").mapInArrow(sets, "id long, items binary"), "sets")
 
+
+def _linked(p: np.ndarray, q: np.ndarray, num: int, den: int) -> bool:
+    if p.size * den < num * q.size or q.size * den < num * p.size or not p.size or not q.size:
+        return False
+    at = np.searchsorted(p, q)
+    both = int((p[np.minimum(at, p.size - 1)] == q).sum())
+    return den * both >= num * (p.size + q.size - both)
+
+
+def _verified(cand: DataFrame, docs: DataFrame, w: int, num: int, den: int) -> DataFrame:
+    """Candidate pairs that reach num/den on their full sets."""
+    cand = written(cand, "candidates")
+    full = _items(docs, cand.select(F.col("a").alias("id")).union(cand.select("b")).distinct(), w)
+
     def exact(batches):
         for t in batches:
-            ok = []
-            for x, y in zip(t.column(2), t.column(3)):
-                p, q = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                if p.size * den < num * q.size or q.size * den < num * p.size or not p.size or not q.size:
-                    ok.append(False)
-                    continue
-                at = np.searchsorted(p, q)
-                both = int((p[np.minimum(at, p.size - 1)] == q).sum())
-                ok.append(den * both >= num * (p.size + q.size - both))
+            ok = [_linked(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), num, den)
+                  for x, y in zip(t.column(2), t.column(3))]
             yield t.select([0, 1]).filter(pa.array(ok, pa.bool_()))
     return (cand.join(full.select(F.col("id").alias("b"), F.col("items").alias("y")), "b")
             .join(full.select(F.col("id").alias("a"), F.col("items").alias("x")), "a")
@@ -196,9 +201,13 @@ def _open_buckets(members: DataFrame, comp: DataFrame) -> DataFrame:
     return written(rest.join(keys, "key"), "open_members")
 
 
-def _block_pairs(opened: DataFrame, heads: DataFrame, threshold: float, best: bool) -> DataFrame:
-    """Pairs of open buckets across components that pass the likelihood, compared in blocks; with
-    ``best`` only each member's likeliest partner of every other component in the block."""
+def _block_pairs(opened: DataFrame, heads: DataFrame, num: int, den: int, full: DataFrame | None = None) -> DataFrame:
+    """Pairs of open buckets across components that pass the likelihood, compared in blocks.
+
+    Without ``full``: each member's likeliest partner of every other component in its block.  With
+    the sets in ``full`` (id, items): links, verified here; one for a member and a component.
+    """
+    threshold, verify = num / den, full is not None
     size = opened.groupBy("key").agg(F.sum((F.col("comp") == F.col("home")).cast("long")).alias("n_in"),
                                      F.sum((F.col("comp") != F.col("home")).cast("long")).alias("n_out"))
     blocks = written(size.select("key", F.ceil(F.col("n_in") / BLOCK).alias("bi"), F.ceil(F.col("n_out") / BLOCK).alias("bo")), "blocks")
@@ -209,9 +218,10 @@ def _block_pairs(opened: DataFrame, heads: DataFrame, threshold: float, best: bo
     laid = (opened.join(blocks, "key").withColumn("own", own).withColumn("other", F.explode(partner))
             .select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "band", "own", "id", "comp")
             .join(heads.select("id", "n_shingles", "regs"), "id"))
+    laid = laid.join(full, "id") if verify else laid.withColumn("items", F.lit(None).cast("binary"))
     n = int(laid.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     laid = (laid.repartition(n, "key", "i", "j").sortWithinPartitions("key", "i", "j")
-            .select("key", "i", "j", "band", "own", "id", "comp", "n_shingles", "regs"))
+            .select("key", "i", "j", "band", "own", "id", "comp", "n_shingles", "regs", "items"))
     # a pair at the threshold agrees in that share of its registers, give or take six deviations
     least = ROWS * BANDS * threshold - 6 * (ROWS * BANDS * threshold * (1 - threshold)) ** 0.5
 
@@ -219,6 +229,7 @@ def _block_pairs(opened: DataFrame, heads: DataFrame, threshold: float, best: bo
         i, j, band = (t.column(c)[0].as_py() for c in (1, 2, 3))
         own, ids, comp = (t.column(c).to_numpy() for c in (4, 5, 6))
         n, regs = t.column(7).to_numpy().astype(float), _regs(t.column(8)).astype(np.uint16)
+        sets = [] if not verify else [np.frombuffer(v.as_buffer(), np.uint64) for v in t.column(9).combine_chunks()]
         left, right = np.flatnonzero(own == j), np.flatnonzero(own == i)  # block j is never an inner one
         for x in left:
             r = right[(comp[right] != comp[x]) & ((ids[right] > ids[x]) if i == j else True)]
@@ -235,13 +246,17 @@ def _block_pairs(opened: DataFrame, heads: DataFrame, threshold: float, best: bo
             above = (regs[r] < a).sum(1)
             ok = may_reach(above, a.size - equal - above, equal, np.full(r.size, n[x]), n[r], threshold)
             r, same, equal = r[ok], same[ok], equal[ok]
-            if best:
-                order = np.argsort(-equal, kind="stable")
+            order = np.argsort(-equal, kind="stable")
+            if not verify:
                 r = r[order[np.unique(comp[r[order]], return_index=True)[1]]]
-            else:
-                r = r[same.reshape(-1, BANDS, ROWS).all(2).argmax(1) == band] if r.size else r
-            for y in r:
-                yield min(ids[x], ids[y]), max(ids[x], ids[y])
+                yield from ((min(ids[x], ids[y]), max(ids[x], ids[y])) for y in r)
+                continue
+            first = same.reshape(-1, BANDS, ROWS).all(2).argmax(1) == band
+            met = set()
+            for y in r[order][first[order]]:
+                if comp[y] not in met and _linked(sets[x], sets[y], num, den):
+                    met.add(comp[y])
+                    yield min(ids[x], ids[y]), max(ids[x], ids[y])
 
     def run(batches):
         held: list[pa.RecordBatch] = []
@@ -298,7 +313,11 @@ def near_groups(docs: DataFrame, w: int = 5, num: int = 80, den: int = 100) -> D
         opened = _open_buckets(members, comp)
         if not opened.limit(1).count():
             break
-        more = written(_verified(_block_pairs(opened, heads, threshold, best), docs, w, num, den), "links")
+        if best:
+            more = _verified(_block_pairs(opened, heads, num, den), docs, w, num, den)
+        else:
+            more = _block_pairs(opened, heads, num, den, _items(docs, opened.select("id").distinct(), w))
+        more = written(more, "links")
         if more.limit(1).count():
             links = written(links.union(more), "links")
             comp = components(links)
