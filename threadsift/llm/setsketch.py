@@ -150,11 +150,8 @@ def _linked(p: np.ndarray, q: np.ndarray, num: int, den: int) -> bool:
     return den * both >= num * (p.size + q.size - both)
 
 
-def _verified(cand: DataFrame, docs: DataFrame, w: int, num: int, den: int) -> DataFrame:
+def _verified(cand: DataFrame, full: DataFrame, num: int, den: int) -> DataFrame:
     """Candidate pairs that reach num/den on their full sets."""
-    cand = written(cand, "candidates")
-    full = _items(docs, cand.select(F.col("a").alias("id")).union(cand.select("b")).distinct(), w)
-
     def exact(batches):
         for t in batches:
             ok = [_linked(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), num, den)
@@ -299,14 +296,18 @@ def near_groups(docs: DataFrame, w: int = 5, num: int = 80, den: int = 100) -> D
     leaders = written(bands.groupBy("key").agg(F.min("id").alias("leader"), F.count("*").alias("n")).filter("n > 1").select("key", "leader"), "leaders")
     members = written(bands.join(leaders, "key"), "members")
 
-    def star(m: DataFrame) -> DataFrame:
-        pairs = m.filter("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
-        return written(_verified(_estimated(pairs, heads, threshold), docs, w, num, den), "links")
+    pairs = members.filter("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
+    cand = written(_estimated(pairs, heads, threshold), "candidates")
+    # the sets of all that may still be compared are made once: candidates, and members of buckets
+    # that hold others besides the leader
+    crowded = members.groupBy("key").agg(F.count("*").alias("n")).filter("n > 2").select("key")
+    ids = (cand.select(F.col("a").alias("id")).union(cand.select("b")).union(members.join(crowded, "key", "left_semi").select("id")).distinct())
+    full = _items(docs, ids, w)
 
     # a doc_id with several texts ties its classes together
     mine = written(live.select("doc_id", "digest").distinct().join(reps, "digest").select("doc_id", "id"), "mine")
     several = mine.groupBy("doc_id").agg(F.min("id").alias("a"), F.max("id").alias("z")).filter("a <> z")
-    links = star(members).union(mine.join(several, "doc_id").filter("id <> a").select("a", F.col("id").alias("b")))
+    links = _verified(cand, full, num, den).union(mine.join(several, "doc_id").filter("id <> a").select("a", F.col("id").alias("b")))
     links = written(links, "links")
     comp = components(links)
     for best in (True, False):
@@ -314,9 +315,9 @@ def near_groups(docs: DataFrame, w: int = 5, num: int = 80, den: int = 100) -> D
         if not opened.limit(1).count():
             break
         if best:
-            more = _verified(_block_pairs(opened, heads, num, den), docs, w, num, den)
+            more = _verified(written(_block_pairs(opened, heads, num, den), "candidates"), full, num, den)
         else:
-            more = _block_pairs(opened, heads, num, den, _items(docs, opened.select("id").distinct(), w))
+            more = _block_pairs(opened, heads, num, den, full)
         more = written(more, "links")
         if more.limit(1).count():
             links = written(links.union(more), "links")
