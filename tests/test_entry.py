@@ -4,7 +4,7 @@ import __spark_entry__ as E
 from tests.conftest import SF_SMALL
 from threadsift.plans.registry import QUERIES
 
-ROWS_ONLY = {"result_document", "run_summary", "report_sink", "stream_progress"}
+ROWS_ONLY = {"result_document", "stream_progress"}
 
 
 def test_entry(spark):
@@ -38,3 +38,19 @@ def test_oracles_match_at_sf0001(spark):
         if s[0] != o[0] or s[2] != o[2]:
             bad.append(name)
     assert not bad
+
+
+def test_reports_are_not_trivial(spark):
+    """Each of these once held a single row or value on the test tables."""
+    qs = E.queries()
+    sf = "/root/testdata/sf0.01"
+    rows = {n: qs[n](spark, sf).collect() for n in ["funnel", "stage_by_type", "readiness_by_stage", "engagement_by_type", "stage_ranking", "radar_norm",
+                                                     "tree_drilldown", "pie_units", "composition"]}
+    assert all(len(r) >= 3 for r in rows.values()), {n: len(r) for n, r in rows.items()}
+    values = {("severity_score", "severity"): 3, ("segment_label", "segment"): 3, ("media_flags", "is_video"): 2, ("media_flags", "is_share"): 2,
+              ("classify_dims", "tech_level"): 3, ("classify_dims", "business_stage"): 3, ("tag_by_segment", "freelancer"): 2, ("tag_regex_reference", "tags"): 10}
+    for (q, c), n in values.items():
+        assert qs[q](spark, sf).select(c).distinct().count() >= n, (q, c)
+    t = qs["truncated_count"](spark, sf).first()
+    assert 0 < t.truncated < t.total
+    assert qs["content_filter"](spark, sf).count() < qs["posts_defaults"](spark, sf).count() * 1000

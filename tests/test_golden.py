@@ -84,7 +84,7 @@ def test_team_size(spark):
 def test_identity(spark):
     df = spark.createDataFrame([(" https://x/1 ", "t"), ("", "abc")], "url string, text string")
     got = [r[0] for r in df.select(ID.dedup_key(F.col("url"), F.col("text"))).collect()]
-    assert got == ["https://x/1", "900150983cd24fb0d6963f7d28e17f72"]
+    assert got == ["https://x/1", "ba7816bf8f01cfea414140de5dae2223b00361a396177a9cb410ff61f20015ad"]
     ids = one_col(spark, ["/groups/9/posts/123/?x", "permalink.php?story_fbid=77&id=1", "https://x/"], ID.post_id_from_url)
     assert ids == ["123", "77", None]
 
@@ -137,9 +137,16 @@ def test_budget_grouped_digits_mode(spark):
     assert one_col(spark, ["10,000 EGP"], LX.budget_amount_range) == ["$0-$500"]  # reference mode
 
 
-def test_tag_auto_switches_plan(spark):
+def test_join_plan_equals_array_plan_on_large_lexicons(spark):
     big = L.Lexicon("big", tuple((f"c{i}", tuple(f"kw{i}-{j}" for j in range(30))) for i in range(80))
-                    + (("hit", ("the ",)),))
-    df = spark.createDataFrame([(1, "the cat"), (2, "dog")], "seq long, text string")
-    got = {r.seq: r.tags for r in TG.tag_auto(df, big).collect()}
-    assert got == {1: ["hit"], 2: []}
+                    + (("hit", ("the ",)), ("short", ("c", "og"))))
+    df = spark.createDataFrame([(1, "the cat"), (2, "dog"), (3, None), (4, "x kw7-2 kw7-29 y"), (5, "")], "seq long, text string")
+    got = {r.seq: r.tags for r in TG.tag_join(df, big).collect()}
+    assert got == {1: ["hit", "short"], 2: ["short"], 3: [], 4: ["c7"], 5: []}
+    assert got == {r.seq: r.tags for r in TG.tag(df.fillna(""), big).collect()}
+
+
+def test_dedup_key_reads_whole_texts(spark):
+    head = "x" * 500
+    df = spark.createDataFrame([("", head + "a"), ("", head + "b"), ("", " " + head + "a ")], "url string, text string")
+    assert df.select(ID.dedup_key(F.col("url"), F.col("text")).alias("k")).distinct().count() == 2

@@ -105,7 +105,7 @@ def test_streaming_dedup_equals_batch(spark):
     import __spark_entry__ as E
     q = E.queries()
     s = q["stream_dedup"](spark, SF_SMALL)
-    b = q["dedup_key_first"](spark, SF_SMALL).select("dedup_key")
+    b = q["dedup_key_first"](spark, SF_SMALL).select("dedup_key", F.col("seq").alias("index"))
     assert s.exceptAll(b).count() == 0 and b.exceptAll(s).count() == 0
 
 
@@ -117,11 +117,84 @@ def test_no_python_udfs_in_plans(spark):
         assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan, name
 
 
-def test_lexicon_join_is_broadcast(spark):
+def test_lexicon_join_has_no_cross_join(spark):
     from threadsift.sources.adapter import posts_from_tables
-    p = posts_from_tables(spark, SF_SMALL)
-    plan = TG.tag_join(p, L.tool_lexicon(), out="t")._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastNestedLoopJoin" in plan or "BroadcastExchange" in plan
+    p = posts_from_tables(spark, SF_SMALL).select("seq", "text")
+    m = TG._matches(p, "seq", "text", L.tool_lexicon())
+    # the one-row document count is the only loop join of the adapter
+    assert m._jdf.queryExecution().executedPlan().toString().count("BroadcastNestedLoopJoin") <= 4
+    assert "CartesianProduct" not in m._jdf.queryExecution().executedPlan().toString()
+
+
+def test_adapter_counts_every_event_and_turn(spark):
+    import duckdb
+    from threadsift.functions.numbers import parse_count
+    from threadsift.sources.adapter import posts_from_tables
+    d = "/root/testdata/sf0.1"
+    p = posts_from_tables(spark, d).filter("seq % 3 = 0 or (seq % 7 > 0 and seq % 11 > 0 and seq % 13 > 0)")
+    got = p.agg(F.sum(parse_count(F.col("likes"), "strict")), F.sum(parse_count(F.col("comments"), "strict"))).first()
+    ev = duckdb.sql(f"select count(*) filter (event_id % n % 3 = 0 or (event_id % n % 7 > 0 and event_id % n % 11 > 0 and event_id % n % 13 > 0)), count(*) "
+                    f"from '{d}/events.parquet', (select max(doc_id) + 1 as n from '{d}/documents.parquet')").fetchall()[0]
+    assert got[0] == ev[0]
+    turns = posts_from_tables(spark, d).agg(F.sum(parse_count(F.col("comments"), "strict"))).first()[0]
+    assert turns == duckdb.sql(f"select count(*) from '{d}/conversations.parquet'").fetchall()[0][0]
+
+
+def test_keep_first_plans_are_hash_aggregations(spark):
+    import __spark_entry__ as E
+    q = E.queries()
+    for name in ["dedup_text_first", "dedup_key_first", "running_index"]:
+        plan = q[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+        assert "SortAggregate" not in plan, name
+
+
+def test_replayed_batch_keeps_its_rows(spark, tmpdir_path):
+    from threadsift.streaming import ingest as ING
+    sink = os.path.join(tmpdir_path, "sink")
+    one = spark.createDataFrame([("a", 1), ("b", 2), ("a", 3)], "dedup_key string, index long")
+    two = spark.createDataFrame([("b", 4), ("c", 5), ("c", 6)], "dedup_key string, index long")
+    read = lambda: sorted((r.dedup_key, r["index"], r.batch) for r in spark.read.schema(ING.STORED).parquet(sink).collect())
+    ING.store_batch(one, 0, sink)
+    ING.store_batch(two, 1, sink)
+    want = [("a", 1, 0), ("b", 2, 0), ("c", 5, 1)]
+    assert read() == want
+    for df, i in ((one, 0), (two, 1), (one, 0)):
+        ING.store_batch(df, i, sink)
+        assert read() == want
+
+
+def test_bounded_runs_stop(spark, tmpdir_path):
+    from threadsift.streaming import ingest as ING
+    d = os.path.join(tmpdir_path, "land")
+    os.makedirs(d)
+    for i in range(6):  # a first text, a second one, and four repeats
+        name = os.path.join(d, f"{i}.json")
+        with open(name, "w") as f:
+            f.write(json.dumps({"index": i, "text": "a long enough text" if i else "the first text", "url": ""}) + "\n")
+        os.utime(name, (1_700_000_000 + 10 * i,) * 2)
+
+    def rounds(name, **k):
+        at = {x: os.path.join(tmpdir_path, f"{name}-{x}") for x in ("sink", "ck", "m")}
+        ING.ingest_anti_join(spark, d, at["sink"], at["ck"], max_files=1, metrics=at["m"], **k)
+        return [r.new_posts for r in spark.read.parquet(at["m"]).orderBy("round").collect()]
+    assert rounds("idle", idle_limit=2) == [1, 1, 0, 0]
+    assert rounds("few", max_rounds=1) == [1]
+    assert rounds("few") == [1, 1, 0, 0, 0, 0]  # what was left comes with the next run
+
+
+def test_checkpoint_folder_is_needed_on_clusters(monkeypatch):
+    import pytest
+    from threadsift import session as SS
+
+    class Fake:
+        class conf:  # noqa: N801
+            get = staticmethod(lambda k, d=None: None)
+
+        class sparkContext:  # noqa: N801
+            master = "spark://host:7077"
+            getCheckpointDir = staticmethod(lambda: None)
+    with pytest.raises(RuntimeError):
+        SS.ensure_checkpoint_dir(Fake)
 
 
 def test_pseudonymized_profiles_keep_counts(spark):

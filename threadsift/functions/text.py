@@ -85,17 +85,6 @@ def col_(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def regex_quote(s: str) -> str:
-    """Quote a literal for Java regex (\\Q..\\E is not understood by RE2; escape instead)."""
-    out = []
-    for ch in s:
-        if ch in r"\.^$|?*+()[]{}":
-            out.append("\\" + ch)
-        else:
-            out.append(ch)
-    return "".join(out)
-
-
 def py_strip(c) -> Column:
     """Python ``str.strip()``: remove leading/trailing Unicode whitespace (Spark ``trim`` strips spaces only)."""
     return F.regexp_replace(col_(c), r"(?U)^\s+|\s+$", "")
@@ -138,6 +127,11 @@ def preview(c, n: int = 200, suffix: str = "...") -> Column:
     return F.when(F.length(x) > n, F.concat(F.substring(x, 1, n), F.lit(suffix))).otherwise(x)
 
 
+def media_preview(c, n: int = 60, placeholder: str = "[media-only]") -> Column:
+    """The first ``n`` characters; a post without text is named by the placeholder."""
+    return F.when(col_(c) == "", F.lit(placeholder)).otherwise(F.substring(col_(c), 1, n))
+
+
 def contains_any(c, needles: list[str]) -> Column:
     x = col_(c)
     return reduce(lambda a, b: a | b, [x.contains(n) for n in needles])

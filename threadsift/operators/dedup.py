@@ -1,11 +1,11 @@
 """De-duplication and identity operators.
 
-Keep-first is an *aggregation*, not a window: ``groupBy(key)`` with
-``min(struct(seq, ...))`` keeps the whole first row.  The aggregate runs a
-partial step inside every map task, so a key shared by a third of all rows
-(a viral text, a blank URL) is reduced to one row per task before the
-shuffle, whereas ``row_number() over (partition by key)`` would pull every
-copy of that key into a single task.
+Keep-first is an aggregation of fixed width, not a window: ``groupBy(key)`` with
+``min(order)`` is a hash aggregation whose partial step runs inside every map task,
+so a key shared by a third of all rows (a viral text, a blank URL) is one row per
+task before the shuffle.  Only when the other columns are wanted are the kept rows
+fetched, by a semi join on their order value; long texts never pass through a sort
+of the aggregation.
 """
 
 from __future__ import annotations
@@ -17,28 +17,34 @@ from threadsift.functions.identity import dedup_key, post_id_from_url
 from threadsift.functions.text import py_strip
 
 
+def first_order(df: DataFrame, key: Column, order: str = "seq", out: str = "__key") -> DataFrame:
+    """(out, order): the smallest ``order`` of every key; NULL keys are one group, as in a Python set."""
+    return df.select(key.alias(out), F.col(order)).groupBy(out).agg(F.min(order).alias(order))
+
+
 def keep_first(df: DataFrame, key: Column | str, order: str = "seq") -> DataFrame:
-    """First row (smallest ``order``) per ``key``; NULL keys are one group, as in a Python set."""
+    """First row (smallest ``order``) per ``key``.  ``order`` is unique, as the input order is."""
     k = F.col(key) if isinstance(key, str) else key
-    others = [c for c in df.columns if c != order]
-    packed = F.struct(F.col(order).alias("__o"), *[F.col(c) for c in others])
-    return (df.withColumn("__key", k).groupBy("__key").agg(F.min(packed).alias("__r"))
-            .select(F.col("__r.__o").alias(order), *[F.col(f"__r.{c}").alias(c) for c in others]))
+    return df.join(first_order(df, k, order).select(order), order, "left_semi").select(*df.columns)
+
+
+def text_key(text: str = "text") -> Column:
+    """SHA-256 of the stripped text; NULL for an empty one."""
+    t = py_strip(F.coalesce(F.col(text), F.lit("")))
+    return F.when(t != "", F.sha2(t, 256))
 
 
 def distinct_text_first(df: DataFrame, text: str = "text", order: str = "seq") -> DataFrame:
     """Unique posts by stripped text, first in input order; empty texts dropped.
 
     The grouping key is the SHA-256 of the stripped text (32 bytes) rather than the
-    text itself, so long texts are not shuffled twice (key + kept row); a collision
-    has probability ~2^-128 even at trillions of posts.
+    text itself; a collision has probability ~2^-128 even at trillions of posts.
     """
-    t = py_strip(F.coalesce(F.col(text), F.lit("")))
-    return keep_first(df.filter(t != ""), F.sha2(t, 256), order)
+    return keep_first(df.filter(text_key(text).isNotNull()), text_key(text), order)
 
 
 def distinct_key_first(df: DataFrame, order: str = "seq") -> DataFrame:
-    """Unique posts by dedup key (URL, else md5 of the text head), first wins."""
+    """Unique posts by dedup key (URL, else a hash of the text), first wins."""
     return keep_first(df, dedup_key(F.col("url"), F.col("text")), order)
 
 
@@ -54,9 +60,10 @@ def not_seen(incoming: DataFrame, stored: DataFrame) -> DataFrame:
 
 def not_seen_ids(units: DataFrame, stored: DataFrame, id_col: str = "post_id") -> DataFrame:
     """Cheap pre-dedup by numeric post id, placed before any costly extraction."""
-    ids = stored.select(post_id_from_url(F.col("url")).alias(id_col)).filter(F.col(id_col).isNotNull()).distinct()
-    hit = units.filter(F.col(id_col).isNotNull()).join(ids, id_col, "left_anti")
-    return hit.unionByName(units.filter(F.col(id_col).isNull()))
+    ids = stored.select(post_id_from_url(F.col("url")).alias("__k")).filter("__k is not null").distinct()
+    # a unit without id meets nothing: a value of its own keeps such units off one partition
+    own = F.concat(F.lit("-"), F.monotonically_increasing_id().cast("string"))
+    return units.withColumn("__k", F.coalesce(F.col(id_col), own)).join(ids, "__k", "left_anti").drop("__k")
 
 
 def running_index(df: DataFrame, order: str = "seq", out: str = "index") -> DataFrame:

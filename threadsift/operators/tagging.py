@@ -1,13 +1,12 @@
 """DataFrame-level tagging and classification.
 
-Two plans give equal results:
+Two plans give equal results; the caller chooses:
 
-* **array plan** (default): the lexicon is a literal inside the expression;
+* **array plan** (``tag``, ``classify``): the lexicon is a literal inside the expression;
   one narrow projection, no shuffle.
-* **join plan** (``tag_join`` / ``classify_join``): the lexicon is a table,
-  broadcast (its size is checked) and matched with a ``contains``/``rlike``
-  theta join, then grouped back per post.  Use it when a lexicon is too large
-  to inline (thousands of keywords) -- generated code stays small.
+* **join plan** (``tag_join``, ``classify_join``): the lexicon is a table, met by an equi-join on
+  the three-character pieces of a text; no limit on the keywords, no cross join.
+  For lexicons of very many keywords.
 """
 
 from __future__ import annotations
@@ -18,8 +17,7 @@ from pyspark.sql import functions as F
 from threadsift.functions import lexicon as LX
 from threadsift.lexicons import Lexicon
 
-MAX_BROADCAST_LEXICON_ROWS = 200_000  # a lexicon bigger than this is not broadcast
-INLINE_LEXICON_KEYWORDS = 2_000       # above this, the join plan keeps generated code small
+PIECE = 3
 
 
 def tag(df: DataFrame, lex: Lexicon, text: str = "text", out: str = "tags", low: str | None = None) -> DataFrame:
@@ -50,44 +48,45 @@ def classify_many(df: DataFrame, lexicons: dict[str, Lexicon], text: str = "text
     return r.withColumns(outs).drop(*tmp, "__low")
 
 
-def tag_auto(df: DataFrame, lex: Lexicon, key: str = "seq", text: str = "text", out: str = "tags",
-             low: str | None = None) -> DataFrame:
-    """Choose the plan by lexicon size: inline array plan for ordinary lexicons,
-    broadcast theta-join for very large ones (both give equal results)."""
-    if len(lex.to_rows()) <= INLINE_LEXICON_KEYWORDS:
-        return tag(df, lex, text, out, low)
-    return tag_join(df, lex, key, text, out)
-
-
 def keep_tagged(df: DataFrame, col: str = "tags") -> DataFrame:
     """Keep posts with at least one tag."""
     return df.filter(F.size(col) > 0)
 
 
-def _lexicon_table(df: DataFrame, lex: Lexicon) -> DataFrame:
+def _matches(df: DataFrame, row: str, text: str, lex: Lexicon) -> DataFrame:
+    """(row, category, cat_rank, kw_rank): a row for each keyword that a text holds.
+
+    A keyword stands in a text only if its first ``PIECE`` characters do, so both sides meet on
+    those pieces and the match is tested after the equi-join.  Shorter keywords and regular
+    expressions are tested as literals of one expression.
+    """
+    lt = lex.to_df(df.sparkSession).select("category", "cat_rank", "kw_rank", "keyword")
+    p = df.select(F.col(row).alias("_k"), F.coalesce(F.col(text), F.lit("")).alias("_t"), F.lower(F.coalesce(F.col(text), F.lit(""))).alias("_low"))
     rows = lex.to_rows()
-    if len(rows) > MAX_BROADCAST_LEXICON_ROWS:
-        raise ValueError(f"lexicon {lex.name} has {len(rows)} rows; too large to broadcast")
-    return F.broadcast(lex.to_df(df.sparkSession))
+    literal = [r for r in rows if lex.is_regex or len(r[4]) < PIECE]
+    out = []
+    if len(literal) < len(rows):
+        pieces = F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length("_low") - PIECE + 1, F.lit(1))), lambda i: F.substring(F.col("_low"), i, F.lit(PIECE))))
+        keyed = lt.filter(F.length("keyword") >= PIECE).withColumn("_p", F.substring("keyword", 1, PIECE))
+        near = p.select("_k", F.explode(pieces).alias("_p")).join(keyed, "_p")
+        out.append(near.join(p.select("_k", "_low"), "_k").filter(F.contains("_low", "keyword")).select("_k", "category", "cat_rank", "kw_rank"))
+    if literal:
+        hits = F.array(*[F.when(F.col("_t").rlike("(?iu)" + r[4]) if lex.is_regex else F.col("_low").contains(r[4]),
+                                F.struct(F.lit(r[1]).alias("category"), F.lit(r[2]).alias("cat_rank"), F.lit(r[3]).alias("kw_rank"))) for r in literal])
+        out.append(p.select("_k", F.inline(F.filter(hits, lambda h: h.isNotNull()))))
+    return out[0] if len(out) == 1 else out[0].unionByName(out[1])
 
 
-def _matches(df: DataFrame, key: str, text: str, lex: Lexicon) -> DataFrame:
-    lt = _lexicon_table(df, lex)
-    p = df.select(F.col(key).alias("_k"), F.col(text).alias("_t"), F.lower(F.col(text)).alias("_low"))
-    if lex.is_regex:
-        cond = F.expr("_t rlike concat('(?iu)', keyword)")
-    else:
-        cond = F.expr("contains(_low, keyword)")
-    return p.join(lt, cond, "inner")
+def _joined(df: DataFrame, row: str, found: DataFrame) -> DataFrame:
+    return df.join(found.withColumnRenamed("_k", row), row, "left")
 
 
 def tag_join(df: DataFrame, lex: Lexicon, key: str = "seq", text: str = "text", out: str = "tags") -> DataFrame:
-    """Join plan of ``tag``: broadcast lexicon theta-join, then ordered distinct categories per post."""
+    """Join plan of ``tag``: ordered distinct categories per post.  ``key`` tells the rows apart."""
     m = (_matches(df, key, text, lex).groupBy("_k", "category").agg(F.min("cat_rank").alias("r"))
          .groupBy("_k").agg(F.array_sort(F.collect_list(F.struct("r", "category"))).alias("_s"))
          .select("_k", F.transform("_s", lambda x: x["category"]).alias(out)))
-    return (df.join(m, df[key] == m["_k"], "left").drop("_k")
-            .withColumn(out, F.coalesce(F.col(out), F.array().cast("array<string>"))))
+    return _joined(df, key, m).withColumn(out, F.coalesce(F.col(out), F.array().cast("array<string>")))
 
 
 def classify_join(df: DataFrame, lex: Lexicon, key: str = "seq", text: str = "text", out: str = "label") -> DataFrame:
@@ -95,7 +94,5 @@ def classify_join(df: DataFrame, lex: Lexicon, key: str = "seq", text: str = "te
     m = (_matches(df, key, text, lex).groupBy("_k", "category", "cat_rank").agg(F.count(F.lit(1)).alias("score"))
          .groupBy("_k").agg(F.max(F.struct("score", (-F.col("cat_rank")).alias("o"), "category")).alias("b"))
          .select("_k", F.col("b.category").alias(out)))
-    res = df.join(m, df[key] == m["_k"], "left").drop("_k")
-    if lex.default is not None:
-        res = res.withColumn(out, F.coalesce(F.col(out), F.lit(lex.default)))
-    return res
+    res = _joined(df, key, m)
+    return res if lex.default is None else res.withColumn(out, F.coalesce(F.col(out), F.lit(lex.default)))

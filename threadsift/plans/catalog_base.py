@@ -26,9 +26,9 @@ def posts_defaults(spark, sf):
     p = posts_from_tables(spark, sf).select("seq", "author").join(lab, "seq", "left")
     p = p.select("seq", F.col("quality").cast("string").alias("likes"),
                  F.when(F.col("toxic") == 1, F.lit(None).cast("string")).otherwise(F.col("author")).alias("author"))
-    a = with_defaults(p.withColumnRenamed("likes", "likes"), {"likes": DEFAULTS_PAIN["likes"]}).withColumnRenamed("likes", "likes_pain")
-    b = with_defaults(p, {"likes": DEFAULTS_PROFILE["likes"], "author": DEFAULTS_PROFILE["author"]})
-    return a.select("seq", "likes_pain").join(b.select("seq", F.col("likes").alias("likes_profile"), "author"), "seq")
+    p = p.withColumns({"likes_pain": F.col("likes"), "likes_profile": F.col("likes")})
+    return with_defaults(p, {"likes_pain": DEFAULTS_PAIN["likes"], "likes_profile": DEFAULTS_PROFILE["likes"],
+                             "author": DEFAULTS_PROFILE["author"]}).drop("likes")
 
 
 @register("count_parse_modes", POSTS + f"""
@@ -51,16 +51,16 @@ def engagement_totals(spark, sf):
 
 
 @register("dedup_key", POSTS + f"""
-SELECT seq, CASE WHEN {G.strip('url')} <> '' THEN {G.strip('url')} ELSE md5(substr(text, 1, 120)) END AS dedup_key FROM posts""")
+SELECT seq, {G.dedup_key()} AS dedup_key FROM posts""")
 def dedup_key_q(spark, sf):
-    """Stripped URL, else md5 of the first 120 characters."""
+    """Stripped URL, else the SHA-256 of the whole stripped text."""
     p = posts_from_tables(spark, sf)
     return p.select("seq", ID.dedup_key(F.col("url"), F.col("text")).alias("dedup_key"))
 
 
-@register("post_id_from_url", POSTS + """
+@register("post_id_from_url", POSTS + f"""
 SELECT seq, coalesce(nullif(regexp_extract(url, '/posts/([0-9]+)', 1), ''), nullif(regexp_extract(url, 'story_fbid=([0-9]+)', 1), '')) AS post_id,
-  coalesce(nullif(regexp_extract(url, '/groups/([0-9]+)', 1), ''), '1664454230462828') AS group_id FROM posts""")
+  coalesce(nullif(regexp_extract(url, '/groups/([0-9]+)', 1), ''), {G.q(ID.DEFAULT_GROUP_ID)}) AS group_id FROM posts""")
 def post_id_from_url(spark, sf):
     """Numeric post id and group id from the URL."""
     p = posts_from_tables(spark, sf)
@@ -69,11 +69,15 @@ def post_id_from_url(spark, sf):
 
 @register("previews", POSTS + """
 SELECT seq, CASE WHEN length(text) > 200 THEN substr(text, 1, 200) || '...' ELSE text END AS preview200,
-  substr(text, 1, 400) AS preview400 FROM posts""")
+  substr(text, 1, 400) AS preview400, CASE WHEN t = '' THEN '[media-only]' ELSE substr(t, 1, 60) END AS preview60
+FROM (SELECT *, CASE WHEN seq % 9 = 0 THEN '' ELSE text END AS t FROM posts)""")
 def previews(spark, sf):
-    """200-char preview with ellipsis, and the 400-char head."""
+    """200-char preview with ellipsis, the 400-char head, and the 60-char head that names a
+    post without text (here every ninth one is shown as one) media-only."""
     p = posts_from_tables(spark, sf)
-    return p.select("seq", TX.preview(F.col("text"), 200).alias("preview200"), F.substring("text", 1, 400).alias("preview400"))
+    t = F.when(F.col("seq") % 9 == 0, F.lit("")).otherwise(F.col("text"))
+    return p.select("seq", TX.preview(F.col("text"), 200).alias("preview200"), F.substring("text", 1, 400).alias("preview400"),
+                    TX.media_preview(t).alias("preview60"))
 
 
 # ---------------------------------------------------------------- cleaning
@@ -130,12 +134,13 @@ def strip_author_prefix(spark, sf):
     return p.select("seq", "author", TX.strip_author_prefix(F.col("text"), F.col("author")).alias("text"))
 
 
-@register("content_filter", CLEAN_CTE + f"""
-SELECT seq FROM c WHERE NOT (length({G.strip('text')}) < 5 AND url = '')""")
+@register("content_filter", POSTS + f"""
+, l AS (SELECT seq, url, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS pos FROM posts)
+SELECT seq, pos FROM l WHERE NOT (length({G.strip('line')}) < 5 AND url = '')""")
 def content_filter(spark, sf):
-    """Drop posts with (almost) no text and no media/url."""
-    p = posts_from_tables(spark, sf).select("seq", "url", "images", TX.clean_text(F.col("text")).alias("text"))
-    return p.filter(TX.content_ok(F.col("text"), F.col("images"), F.col("url"))).select("seq")
+    """Drop posts with (almost) no text and no media/url; every line stands as a post here."""
+    p = posts_from_tables(spark, sf).select("seq", "url", "images", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+    return p.filter(TX.content_ok(F.col("line"), F.col("images"), F.col("url"))).select("seq", F.col("pos").cast("long").alias("pos"))
 
 
 @register("strip_bidi", POSTS + """

@@ -12,7 +12,7 @@ from threadsift.plans.catalog_pages import _pages_sql, units
 from threadsift.plans.registry import register
 from threadsift.sources.adapter import posts_from_tables, table
 
-KEY_SQL = f"CASE WHEN {G.strip('url')} <> '' THEN {G.strip('url')} ELSE md5(substr(text, 1, 120)) END"
+KEY_SQL = G.dedup_key()
 
 
 @register("dedup_key_first", "WITH " + G.posts_cte() + f"""
@@ -21,7 +21,7 @@ QUALIFY row_number() OVER (PARTITION BY dedup_key ORDER BY seq) = 1""")
 def dedup_key_first(spark, sf):
     """First post per dedup key (skew-safe keep-first aggregate)."""
     p = posts_from_tables(spark, sf)
-    return DD.distinct_key_first(p).select("seq", dedup_key(F.col("url"), F.col("text")).alias("dedup_key"))
+    return DD.first_order(p, dedup_key(F.col("url"), F.col("text")), "seq", "dedup_key").select("seq", "dedup_key")
 
 
 @register("resume_anti_join", "WITH " + G.posts_cte() + f"""
@@ -91,16 +91,15 @@ def strategy_union(spark, sf):
 SELECT seq, row_number() OVER (ORDER BY seq) - 1 AS "index" FROM k""")
 def running_index(spark, sf):
     """Running 0-based index of accepted (key-deduplicated) posts in input order."""
-    p = DD.distinct_key_first(posts_from_tables(spark, sf)).select("seq")
+    p = DD.first_order(posts_from_tables(spark, sf), dedup_key(F.col("url"), F.col("text"))).select("seq")
     return DD.running_index(p, "seq", "index").select("seq", "index")
 
 
 @register("dedup_canonical_key", "WITH " + G.posts_cte() + f"""
 , c AS (SELECT seq, regexp_replace({G.strip('url')}, '[?#].*$', '') AS cu, text FROM posts)
-SELECT seq, CASE WHEN cu <> '' THEN cu ELSE md5(substr(text, 1, 120)) END AS dedup_key
-FROM c QUALIFY row_number() OVER (PARTITION BY CASE WHEN cu <> '' THEN cu ELSE md5(substr(text, 1, 120)) END ORDER BY seq) = 1""")
+SELECT min(seq) AS seq, CASE WHEN cu <> '' THEN cu ELSE sha256({G.strip('text')}) END AS dedup_key FROM c GROUP BY ALL""")
 def dedup_canonical_key(spark, sf):
     """Opt-in canonical key (Q10): query string and fragment dropped before keep-first."""
     from threadsift.functions.identity import canonical_url
     p = posts_from_tables(spark, sf).withColumn("url", canonical_url(F.col("url")))
-    return DD.distinct_key_first(p).select("seq", dedup_key(F.col("url"), F.col("text")).alias("dedup_key"))
+    return DD.first_order(p, dedup_key(F.col("url"), F.col("text")), "seq", "dedup_key").select("seq", "dedup_key")

@@ -2,26 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from threadsift.plans import demographics as DM
 from threadsift.plans import sqlgen as G
 from threadsift.plans.registry import register
-from threadsift.session import session_memo
 from threadsift.sources.adapter import posts_from_tables
 
 
 def labeled(spark, sf):
-    return session_memo(spark, ("labeled", sf), lambda: DM.label_posts(posts_from_tables(spark, sf, with_counts=True)))
+    return DM.label_posts(posts_from_tables(spark, sf, with_counts=True))
 
 
 def profiles(spark, sf):
-    """One row per author, persisted: every report section reads the same profiles,
-    as the report driver of the reference reuses its profile dict.  Size is
-    bounded by authors, not posts."""
-    return session_memo(spark, ("profiles", sf),
-                        lambda: DM.profiles(labeled(spark, sf)).persist(StorageLevel.MEMORY_AND_DISK))
+    """One row per author.  Every query rolls the posts up itself; a report of several sections
+    writes the profiles once (``report_sink``)."""
+    return DM.profiles(labeled(spark, sf))
 
 
 PROF = "WITH " + G.profiles_cte()

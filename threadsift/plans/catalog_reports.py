@@ -25,6 +25,12 @@ LIST_DIST = """{name} AS (SELECT label, count(*) AS count, min(first_seq * 1000
   FROM (SELECT first_seq, unnest({col}) AS label, generate_subscripts({col}, 1) - 1 AS pos FROM prof) GROUP BY label)"""
 
 
+STAGE_LABELS = """, e AS (SELECT business_stage, first_seq, 'pain_point' AS kind, unnest(pain_points) AS label, generate_subscripts(pain_points, 1) - 1 AS pos FROM prof WHERE business_stage IS NOT NULL
+  UNION ALL SELECT business_stage, first_seq, 'tool', unnest(tool_preferences), generate_subscripts(tool_preferences, 1) - 1 FROM prof WHERE business_stage IS NOT NULL
+  UNION ALL SELECT business_stage, first_seq, 'budget', budget_range, 0 FROM prof WHERE business_stage IS NOT NULL AND budget_range IS NOT NULL),
+c AS (SELECT business_stage, kind, label, count(*) AS count, min(first_seq * 1000 + pos) AS k FROM e GROUP BY ALL)"""
+
+
 def _listdist(name, col):
     return LIST_DIST.format(name=name, col=col)
 
@@ -106,20 +112,26 @@ def budget_stage_grid(spark, sf):
 
 
 @register("segment_profile", PROF + f"""
-SELECT s.business_stage, CAST(coalesce(a.posters, 0) AS BIGINT) AS posters, a.avg_engagement
+{STAGE_LABELS},
+k AS (SELECT business_stage, {", ".join(f"coalesce(string_agg(label || '=' || count, ', ' ORDER BY count DESC, k) FILTER (kind = '{a}'), '') AS {b}" for a, b in (('pain_point', 'pain_points'), ('tool', 'tools'), ('budget', 'budgets')))}
+  FROM c GROUP BY business_stage)
+SELECT s.business_stage, CAST(coalesce(a.posters, 0) AS BIGINT) AS posters, a.avg_engagement,
+  coalesce(k.pain_points, '') AS pain_points, coalesce(k.tools, '') AS tools, coalesce(k.budgets, '') AS budgets
 FROM {_vals('business_stage', L.BUSINESS_STAGES)} s LEFT JOIN
  (SELECT business_stage, count(*) AS posters, round(avg(total_engagement), 6) AS avg_engagement FROM prof
-  WHERE business_stage IS NOT NULL GROUP BY business_stage) a ON a.business_stage = s.business_stage""")
+  WHERE business_stage IS NOT NULL GROUP BY business_stage) a ON a.business_stage = s.business_stage
+LEFT JOIN k ON k.business_stage = s.business_stage""")
 def segment_profile(spark, sf):
     """F19 (+E7): posters and average engagement per stage of the scale."""
     return ST.segment_profile(profiles(spark, sf))
 
 
-@register("budget_by_stage", PROF + """
-SELECT business_stage, budget_range, count, round(count * 100.0 / sum(count) OVER (PARTITION BY business_stage), 6) AS pct,
-  CAST(floor(count * 100.0 / sum(count) OVER (PARTITION BY business_stage) / 5) AS BIGINT) AS bar
-FROM (SELECT business_stage, budget_range, count(*) AS count FROM prof
-      WHERE business_stage IS NOT NULL AND budget_range IS NOT NULL GROUP BY ALL)""")
+@register("budget_by_stage", PROF + f"""
+SELECT CAST(s.business_stage_idx AS BIGINT) AS position, s.business_stage, CAST({G.scale_index('budget_range', L.BUDGET_RANGES)} AS BIGINT) AS budget_position,
+  budget_range, CAST(coalesce(count, 0) AS BIGINT) AS count, round(count * 100.0 / sum(count) OVER (PARTITION BY s.business_stage), 6) AS pct,
+  CAST(floor(count * 100.0 / sum(count) OVER (PARTITION BY s.business_stage) / 5) AS BIGINT) AS bar
+FROM {_vals('business_stage', L.BUSINESS_STAGES)} s LEFT JOIN (SELECT business_stage, budget_range, count(*) AS count FROM prof
+      WHERE business_stage IS NOT NULL AND budget_range IS NOT NULL GROUP BY ALL) c ON c.business_stage = s.business_stage""")
 def budget_by_stage(spark, sf):
     """budget distribution inside each stage (% of the stage's budget total)."""
     return ST.budget_by_stage(profiles(spark, sf))
@@ -158,11 +170,7 @@ def modes(spark, sf):
     return ST.modes(profiles(spark, sf))
 
 
-@register("top3_per_stage", PROF + """
-, e AS (SELECT business_stage, first_seq, 'pain_point' AS kind, unnest(pain_points) AS label, generate_subscripts(pain_points, 1) - 1 AS pos FROM prof WHERE business_stage IS NOT NULL
-  UNION ALL SELECT business_stage, first_seq, 'tool', unnest(tool_preferences), generate_subscripts(tool_preferences, 1) - 1 FROM prof WHERE business_stage IS NOT NULL
-  UNION ALL SELECT business_stage, first_seq, 'budget', budget_range, 0 FROM prof WHERE business_stage IS NOT NULL AND budget_range IS NOT NULL),
-c AS (SELECT business_stage, kind, label, count(*) AS count, min(first_seq * 1000 + pos) AS k FROM e GROUP BY ALL)
+@register("top3_per_stage", PROF + STAGE_LABELS + """
 SELECT business_stage, kind, row_number() OVER (PARTITION BY business_stage, kind ORDER BY count DESC, k) AS rank, label, count,
   round(count * 100.0 / sum(count) OVER (PARTITION BY business_stage, kind), 6) AS pct
 FROM c QUALIFY rank <= 3""")
@@ -181,9 +189,9 @@ def flow_top5(spark, sf):
 
 
 @register("stage_ranking", PROF + """
-, s AS (SELECT business_stage, round(avg(readiness_score), 6) AS avg_score, count(*) AS posters, min(first_seq) AS first_seq
+, s AS (SELECT business_stage, avg(readiness_score) AS avg_score, count(*) AS posters, min(first_seq) AS first_seq
   FROM prof WHERE business_stage IS NOT NULL GROUP BY business_stage)
-SELECT row_number() OVER (ORDER BY avg_score DESC, first_seq) AS rank, business_stage, avg_score, posters,
+SELECT row_number() OVER (ORDER BY avg_score DESC, first_seq) AS rank, business_stage, round(avg_score, 6) AS avg_score, posters,
   row_number() OVER (ORDER BY avg_score DESC, first_seq) = 1 AS most_ready,
   row_number() OVER (ORDER BY avg_score DESC, first_seq) = count(*) OVER () AS least_ready FROM s""")
 def stage_ranking(spark, sf):
@@ -248,11 +256,13 @@ def heatmap_bucket(spark, sf):
 
 
 @register("tree_drilldown", PROF + """
-, st AS (SELECT business_stage, count(*) AS stage_count FROM prof WHERE business_stage IS NOT NULL GROUP BY ALL),
-ty AS (SELECT business_stage, business_type, count(*) AS type_count FROM prof WHERE business_stage IS NOT NULL AND business_type IS NOT NULL GROUP BY ALL)
-SELECT ty.business_stage, st.stage_count, round(st.stage_count / (SELECT count(*) FROM prof) * 100, 6) AS stage_pct,
+, st AS (SELECT business_stage, count(*) AS stage_count, min(first_seq) AS f FROM prof WHERE business_stage IS NOT NULL GROUP BY business_stage),
+sr AS (SELECT *, row_number() OVER (ORDER BY stage_count DESC, f) AS stage_rank FROM st),
+ty AS (SELECT business_stage, business_type, count(*) AS type_count, min(first_seq) AS f FROM prof WHERE business_stage IS NOT NULL AND business_type IS NOT NULL GROUP BY business_stage, business_type)
+SELECT stage_rank, st.business_stage, st.stage_count, round(st.stage_count / (SELECT count(*) FROM prof) * 100, 6) AS stage_pct,
+  CASE WHEN ty.business_type IS NOT NULL THEN row_number() OVER (PARTITION BY st.business_stage ORDER BY ty.type_count DESC, ty.f) END AS type_rank,
   ty.business_type, ty.type_count, round(ty.type_count / st.stage_count * 100, 6) AS type_pct
-FROM ty JOIN st USING (business_stage)""")
+FROM sr st LEFT JOIN ty ON ty.business_stage = st.business_stage""")
 def tree_drilldown(spark, sf):
     """Stage -> business type drill-down with shares."""
     return ST.tree_drilldown(profiles(spark, sf))

@@ -6,14 +6,22 @@ call uses fresh sub-folders, so reruns never read stale output.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from threadsift import lexicons as L
 from threadsift.functions import lexicon as LX
+from threadsift.operators import dedup as DD
 from threadsift.operators.reports import rounds_from_counts
+from threadsift.plans import catalog_reports  # noqa: F401 -- its SQL gives the row counts of the report sections
+from threadsift.plans import catalog_tags as CT
+from threadsift.plans import pain_points as PP
 from threadsift.plans import sqlgen as G
-from threadsift.plans.registry import register
+from threadsift.plans import statistics as ST
+from threadsift.plans.catalog_profiles import profiles
+from threadsift.plans.registry import ORACLES, register
 from threadsift.session import checkpoint_path
 from threadsift.sources import readers as RD
 from threadsift.sources import sinks as SK
@@ -21,14 +29,24 @@ from threadsift.sources.adapter import posts_from_tables, table
 from threadsift.streaming import ingest as ING
 
 POST_COLS = ["index", "text", "author", "timestamp", "url", "likes", "comments", "shares", "images", "is_video", "is_share"]
-KEY_SQL = f"CASE WHEN {G.strip('url')} <> '' THEN {G.strip('url')} ELSE md5(substr(text, 1, 120)) END"
-FILES = 4  # landing files per run (the posts are split into this many JSON-lines files)
+KEY_SQL = G.dedup_key()
+POSTS_PER_FILE = 5000  # landing files hold at most so many posts
+POSTS_PER_WRAPPER = 30
+
+
+def land_wrappers(spark, sf):
+    """Wrappers ``{"posts": [...]}`` of POSTS_PER_WRAPPER posts, many to a file, one on a line (A1)."""
+    path = checkpoint_path(spark, "batched")
+    p = posts_from_tables(spark, sf).select(*POST_COLS).withColumn("no", F.floor(F.col("index") / POSTS_PER_WRAPPER))
+    w = p.groupBy("no").agg(F.array_sort(F.collect_list(F.struct(F.col("index").alias("_o"), *POST_COLS))).alias("posts"))
+    w.select(F.transform("posts", lambda x: x.dropFields("_o")).alias("posts")).write.json(path)
+    return path
 
 
 def land_posts(spark, sf):
     """Write the derived posts as JSON lines into a fresh landing folder."""
     path = checkpoint_path(spark, "landing")
-    SK.append_jsonl(posts_from_tables(spark, sf).select(*POST_COLS).repartition(FILES), path)
+    SK.append_jsonl(posts_from_tables(spark, sf).select(*POST_COLS), path, POSTS_PER_FILE)
     return path
 
 
@@ -42,15 +60,29 @@ def json_roundtrip(spark, sf):
 @register("batched_roundtrip", "WITH " + G.posts_cte() + '\nSELECT "index", md5(text) AS text_md5 FROM posts')
 def batched_roundtrip(spark, sf):
     """A1/A5: 30 posts per wrapper file ``{"posts": [...]}``, read back with posexplode (position kept)."""
-    path = checkpoint_path(spark, "batched")
-    p = posts_from_tables(spark, sf).select(*POST_COLS).withColumn("file_no", F.floor(F.col("index") / 30))
-    wrappers = p.groupBy("file_no").agg(F.array_sort(F.collect_list(F.struct(F.col("index").alias("_o"), *POST_COLS))).alias("posts"))
-    wrappers = wrappers.select(F.transform("posts", lambda x: x.dropFields("_o")).alias("posts"))
-    wrappers.write.option("maxRecordsPerFile", 1).mode("overwrite").json(path)  # one wrapper object per file
-    good, _ = RD.read_batched(spark, path)
+    good, _ = RD.read_batched(spark, land_wrappers(spark, sf), lines=True)
     return good.select("index", F.md5("text").alias("text_md5"))
 
 
+@register("posts_in_order", "WITH " + G.posts_cte() + """
+SELECT 'name' AS by, "index", CAST(row_number() OVER (ORDER BY "index") - 1 AS BIGINT) AS place FROM posts
+UNION ALL SELECT 'mtime', "index", CAST(row_number() OVER (ORDER BY "index") - 1 AS BIGINT) FROM posts""")
+def posts_in_order(spark, sf):
+    """A4/A5: posts of one-line wrapper files picked by a glob, in file-name and in modification-time order.
+
+    The posts are written sorted, in files whose names and times rise with them."""
+    path = checkpoint_path(spark, "ordered")
+    p = posts_from_tables(spark, sf).select(*POST_COLS).repartitionByRange("index").sortWithinPartitions("index")
+    SK.append_jsonl(p, path)
+    spark.createDataFrame([("not json",)], "value string").write.mode("append").text(path + "/other")
+    out = []
+    for by in ("name", "mtime"):
+        good, _ = RD.read_posts(spark, jsonl_path=path, glob="*.json", order=by)
+        # files of one write may share their millisecond: the name decides there
+        out.append(DD.running_index(good.select("seq", "index"), "seq", "place").select(F.lit(by).alias("by"), "index", "place"))
+    return out[0].unionByName(out[1])
+
+
 @register("quarantine_counts", f"""
 SELECT 'good' AS kind, count(*) AS n FROM documents
 UNION ALL SELECT 'bad', CAST(sum(len(list_filter(string_split(replace(text, chr(13), ''), chr(10)), lambda x: trim(x) <> ''))) AS BIGINT) FROM benchmark""")
@@ -65,24 +97,49 @@ def quarantine_counts(spark, sf):
     return g.unionByName(b)
 
 
-@register("stream_dedup", "WITH " + G.posts_cte() + f"\nSELECT DISTINCT {KEY_SQL} AS dedup_key FROM posts WHERE NOT (length({G.strip('text')}) < 5 AND url = '')")
+FIRST_SQL = "WITH " + G.posts_cte() + f"""
+SELECT {KEY_SQL} AS dedup_key, min("index") AS "index" FROM posts WHERE NOT (length({G.strip('text')}) < 5 AND url = '') GROUP BY ALL"""
+
+
+@register("stream_dedup", FIRST_SQL)
 def stream_dedup(spark, sf):
-    """H1/H2/H5: streaming ingest with stateful dedup (availableNow), read back from the parquet sink."""
+    """H1/H2/H5: streaming ingest; the first post of every key survives."""
+    landing = land_posts(spark, sf)
+    sink, ck = checkpoint_path(spark, "sink"), checkpoint_path(spark, "ckpt")
+    ING.ingest_first(spark, landing, sink, ck, max_files=4)
+    return ING.first_posts(spark, sink)
+
+
+@register("stream_keys", "WITH " + G.posts_cte() + f"\nSELECT DISTINCT {KEY_SQL} AS dedup_key FROM posts WHERE NOT (length({G.strip('text')}) < 5 AND url = '')")
+def stream_keys(spark, sf):
+    """H2: the stateful ``dropDuplicates`` plan; which post of a key survives is not defined there."""
     landing = land_posts(spark, sf)
     sink, ck = checkpoint_path(spark, "sink"), checkpoint_path(spark, "ckpt")
-    ING.ingest_dedup(spark, landing, sink, ck, max_files=2)  # two rounds over the four landed files
+    ING.ingest_dedup(spark, landing, sink, ck, max_files=4)
     return spark.read.parquet(sink).select("dedup_key")
 
 
-@register("stream_resume", "WITH " + G.posts_cte() + f"\nSELECT DISTINCT {KEY_SQL} AS dedup_key FROM posts WHERE NOT (length({G.strip('text')}) < 5 AND url = '')")
+@register("stream_resume", FIRST_SQL)
 def stream_resume(spark, sf):
-    """H3: two runs over a growing landing folder; the second emits only unseen keys (foreachBatch + anti join)."""
+    """H3: two runs over a growing landing folder; the second adds nothing, as its posts are stored."""
     landing = land_posts(spark, sf)
     sink, ck = checkpoint_path(spark, "sink"), checkpoint_path(spark, "ckpt")
-    ING.ingest_anti_join(spark, landing, sink, ck, max_files=2)
-    SK.append_jsonl(posts_from_tables(spark, sf).select(*POST_COLS).repartition(2), landing)  # the same posts land again
-    ING.ingest_anti_join(spark, landing, sink, ck, max_files=2)
-    return spark.read.parquet(sink).select("dedup_key")
+    ING.ingest_anti_join(spark, landing, sink, ck)
+    SK.append_jsonl(posts_from_tables(spark, sf).select(*POST_COLS), landing, POSTS_PER_FILE)  # the same posts land again
+    ING.ingest_anti_join(spark, landing, sink, ck)
+    return spark.read.schema(ING.STORED).parquet(sink).select("dedup_key", "index")
+
+
+@register("stream_quarantine", f"""
+SELECT line AS bad, count(*) AS n FROM (SELECT unnest(string_split(replace(text, chr(13), ''), chr(10))) AS line FROM benchmark)
+WHERE {G.strip('line')} <> '' GROUP BY line""")
+def stream_quarantine(spark, sf):
+    """A3/H1: malformed lines (benchmark text written raw) among landed posts, kept raw by the stream."""
+    landing = land_posts(spark, sf)
+    table(spark, sf, "benchmark").select(F.regexp_replace("text", "\r", "").alias("value")).write.mode("append").text(landing)
+    path, ck = checkpoint_path(spark, "quarantine"), checkpoint_path(spark, "ckpt")
+    ING.quarantine(spark, landing, path, ck)
+    return spark.read.parquet(path).groupBy(F.col("line").alias("bad")).agg(F.count(F.lit(1)).alias("n"))
 
 
 PROBE = L.probe_lexicon(regex=True)
@@ -145,11 +202,7 @@ SELECT "index", md5(text) AS text_md5 FROM posts UNION ALL SELECT "index", md5(t
 def legacy_union(spark, sf):
     """JSON-lines output and legacy batched files read together (bag union by name)."""
     jl = land_posts(spark, sf)
-    bt = checkpoint_path(spark, "batched")
-    p = posts_from_tables(spark, sf).select(*POST_COLS).withColumn("file_no", F.floor(F.col("index") / 30))
-    w = p.groupBy("file_no").agg(F.array_sort(F.collect_list(F.struct(F.col("index").alias("_o"), *POST_COLS))).alias("posts"))
-    w.select(F.transform("posts", lambda x: x.dropFields("_o")).alias("posts")).write.option("maxRecordsPerFile", 1).json(bt)
-    good, _ = RD.read_posts(spark, jsonl_path=jl, batched_path=bt)
+    good, _ = RD.read_posts(spark, jsonl_path=jl, batched_path=land_wrappers(spark, sf), lines=True)
     return good.select("index", F.md5("text").alias("text_md5"))
 
 
@@ -161,49 +214,75 @@ def stream_progress(spark, sf):
     metrics table (one row per round), from which rounds are derived.
     """
     landing = land_posts(spark, sf)
-    SK.append_jsonl(posts_from_tables(spark, sf).select(*POST_COLS).repartition(2), landing)  # repeats: idle rounds
+    SK.append_jsonl(posts_from_tables(spark, sf).select(*POST_COLS), landing, POSTS_PER_FILE)  # repeats: idle rounds
     sink, ck, metrics = checkpoint_path(spark, "sink"), checkpoint_path(spark, "ckpt"), checkpoint_path(spark, "metrics")
     ING.ingest_anti_join(spark, landing, sink, ck, max_files=1, metrics=metrics)
     m = rounds_from_counts(spark.read.parquet(metrics).select("round", "new_posts"))
     return m.select("round", "new_posts", "total_posts", "idle_run")
 
 
+@register("stream_totals", "WITH " + G.posts_cte() + f"""
+SELECT count(DISTINCT {KEY_SQL}) AS total_posts, true AS had_idle_rounds FROM posts WHERE NOT (length({G.strip('text')}) < 5 AND url = '')""")
+def stream_totals(spark, sf):
+    """H4: the totals of ``stream_progress``, which do not depend on how the files fall into rounds."""
+    return stream_progress(spark, sf).agg(F.sum("new_posts").cast("long").alias("total_posts"), (F.max("idle_run") > 0).alias("had_idle_rounds"))
+
+
+def _result(spark, sf):
+    a = PP.analyze(posts_from_tables(spark, sf), PROBE)
+    stats = (PP.tag_ranking(PP.tag_stats(a, PROBE), len(PROBE.categories)).join(PP.tag_by_segment(PP.tag_stats(a, PROBE)), "tag")
+             .select("rank", "tag", "frequency", "average_severity", "average_engagement", F.struct(*L.SEGMENTS).alias("by_segment")))
+    return SK.result_document(stats, PP.totals(a), PP.sample_posts(a))
+
+
 @register("result_document")
 def result_document(spark, sf):
     """The nested pain-point result document (one row), also written as JSON."""
-    from threadsift.plans import pain_points as PP
-    a = PP.analyze(posts_from_tables(spark, sf), PROBE)
-    stats = PP.tag_stats(a, PROBE).select("tag", "frequency", "average_severity", "average_engagement", *L.SEGMENTS)
-    samples = PP.sample_posts(a).select("seq", "text", "severity", "segment", "total_engagement")
-    doc = SK.result_document(stats, PP.totals(a), samples)
+    doc = _result(spark, sf)
     SK.write_document(doc, checkpoint_path(spark, "result_doc"))
     return doc
 
 
-@register("run_summary")
+@register("result_document_tags", CT.ANALYZED_SQL + f"""
+SELECT row_number() OVER (ORDER BY frequency DESC, first_seq, cat_rank) AS place, tag, frequency, average_severity, average_engagement, {', '.join(L.SEGMENTS)},
+  (SELECT count(*) FROM an) AS total_posts_analyzed, (SELECT least(count(*), {L.SAMPLE_POSTS}) FROM an) AS samples FROM st""")
+def result_document_tags(spark, sf):
+    """The written document read back, a row per tag in its order."""
+    path = checkpoint_path(spark, "result_doc")
+    doc = _result(spark, sf)
+    SK.write_document(doc, path)
+    back = spark.read.schema(doc.schema).json(path)
+    return back.select(F.posexplode("pain_points").alias("pos", "p"), "total_posts_analyzed", F.size("sample_posts").cast("long").alias("samples")).select(
+        (F.col("pos") + 1).cast("long").alias("place"), "p.tag", "p.frequency", "p.average_severity", "p.average_engagement",
+        *[F.col(f"p.by_segment.{x}").alias(x) for x in L.SEGMENTS], "total_posts_analyzed", "samples")
+
+
+@register("run_summary", "WITH " + G.posts_cte() + f"""
+SELECT 'documents' AS group_url, count(DISTINCT {KEY_SQL}) AS total_unique_posts FROM posts WHERE NOT (length({G.strip('text')}) < 5 AND url = '')""")
 def run_summary(spark, sf):
-    """One summary row for an ingest run (time, source, unique posts, data path)."""
+    """One summary row for an ingest run; time and data path, which differ by run, stay in the file."""
     landing = land_posts(spark, sf)
-    sink, ck = checkpoint_path(spark, "sink"), checkpoint_path(spark, "ckpt")
+    sink, ck, out = checkpoint_path(spark, "sink"), checkpoint_path(spark, "ckpt"), checkpoint_path(spark, "summary")
     ING.ingest_dedup(spark, landing, sink, ck)
-    s = SK.run_summary(spark.read.parquet(sink), "documents", sink)
-    s.write.mode("overwrite").json(checkpoint_path(spark, "summary"))
-    return s.drop("timestamp")
+    SK.run_summary(spark.read.parquet(sink), "documents", sink).write.mode("overwrite").json(out)
+    return spark.read.schema("timestamp timestamp, group_url string, total_unique_posts long, data_file string").json(out).select("group_url", "total_unique_posts")
+
+
+def _section_sql() -> str:
+    lists = {"pain_point_distribution": ("tag_tool_distribution", " WHERE kind = 'pain_points'"),
+             "tool_distribution": ("tag_tool_distribution", " WHERE kind = 'tool_preferences'")}
+    parts = []
+    for n in ST.SECTIONS:
+        q, where = lists.get(n, (n, ""))
+        parts.append(f"SELECT '{n}' AS section, (SELECT count(*) FROM ({ORACLES[q]}) x{where}) AS rows")
+    return " UNION ALL ".join(parts)
 
 
-@register("report_sink")
+@register("report_sink", _section_sql())
 def report_sink(spark, sf):
-    """Report sections written as named outputs; returns (section, rows)."""
-    from threadsift.plans import statistics as ST
-    from threadsift.plans.catalog_profiles import profiles
+    """All report sections written as named outputs; returns (section, rows)."""
     prof = profiles(spark, sf).checkpoint()  # one materialisation feeds every section
-    # a representative set of sections; write_report(report_sections(prof), base) writes all 26
-    keep = ["community_totals", "label_distributions", "budget_stage_grid", "stage_ranking", "heatmap_bucket", "top3_per_stage"]
-    tables = ST.report_sections(prof, keep)
-    paths = SK.write_report(tables, checkpoint_path(spark, "report"))
+    paths = SK.write_report(ST.report_sections(prof), checkpoint_path(spark, "report"))
     parts = [spark.read.parquet(p).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("section"), "rows")
              for n, p in paths.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return reduce(lambda a, b: a.unionByName(b), parts)

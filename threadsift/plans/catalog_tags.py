@@ -10,7 +10,6 @@ from threadsift.operators import tagging as TG
 from threadsift.plans import pain_points as PP
 from threadsift.plans import sqlgen as G
 from threadsift.plans.registry import register
-from threadsift.session import session_memo
 from threadsift.sources.adapter import posts_from_tables
 
 PROBE = L.probe_lexicon(regex=True)
@@ -18,9 +17,7 @@ SEG = L.segment_lexicon()
 
 
 def analyzed(spark, sf, keep_untagged: bool = False):
-    # plan reuse only (not persisted): every run recomputes the tagging
-    return session_memo(spark, ("analyzed", sf, keep_untagged),
-                        lambda: PP.analyze(posts_from_tables(spark, sf), PROBE, keep_untagged))
+    return PP.analyze(posts_from_tables(spark, sf), PROBE, keep_untagged)
 
 
 def stats(spark, sf):
@@ -47,6 +44,7 @@ st AS (
   FROM (SELECT seq, severity, segment, total_engagement, unnest(pain_points) AS tag FROM an) GROUP BY tag)"""
 
 
+ANALYZED_SQL = _analyzed_sql()
 TAG_RANKING_SQL = _analyzed_sql() + f"""
 SELECT CAST(row_number() OVER (ORDER BY frequency DESC, first_seq, cat_rank) AS BIGINT) AS rank,
   tag, frequency, average_severity, average_engagement
@@ -100,6 +98,16 @@ def tag_regex(spark, sf):
     return TG.tag(p, PROBE, out="tags").select("seq", F.array_join("tags", "|").alias("tags"))
 
 
+PAIN = L.pain_lexicon()
+
+
+@register("tag_regex_reference", f"""WITH {G.posts_cte()}
+SELECT seq, array_to_string({G.tags('text', PAIN)}, '|') AS tags FROM posts""")
+def tag_regex_reference(spark, sf):
+    """D1 with the 20 declared regex categories."""
+    return TG.tag(posts_from_tables(spark, sf), PAIN, out="tags").select("seq", F.array_join("tags", "|").alias("tags"))
+
+
 _DA = L.demographic_lexicons()
 _TOOLS = L.tool_lexicon()
 _PAINS = L.pain_point_lexicon()
@@ -147,7 +155,7 @@ def segment_label(spark, sf):
 @register("tag_keywords_join", f"""WITH {G.posts_cte()}
 SELECT seq, array_to_string({G.tags('text', _TOOLS)}, '|') AS tool_preferences FROM posts""")
 def tag_keywords_join(spark, sf):
-    """D2 join plan: broadcast lexicon table + contains theta-join; equals the array plan."""
+    """D2 join plan: the lexicon as a table, met on text pieces; equals the array plan."""
     p = posts_from_tables(spark, sf)
     return TG.tag_join(p, _TOOLS, out="tool_preferences").select(
         "seq", F.array_join("tool_preferences", "|").alias("tool_preferences"))

@@ -8,6 +8,7 @@ translated first and patterns kept to the common subset.
 from __future__ import annotations
 
 from threadsift import lexicons as L
+from threadsift.sources.adapter import STEPS, phrases
 
 
 def q(s: str) -> str:
@@ -104,12 +105,14 @@ def scale_index(col: str, scale: list[str]) -> str:
 
 # The posts adapter in SQL (mirror of threadsift.sources.adapter.posts_from_tables).
 def posts_cte(with_counts: bool = False, name: str = "posts") -> str:
-    text = "d.text"
+    said = [f"[{', '.join(q(p) for p in [*ps, '', ''])}][1 + d.doc_id // {s} % {len(ps) + 2}]" for ps, s in zip(phrases(), STEPS)]
+    text = f"d.text || chr(10) || concat_ws(' ', {', '.join(said)})"
     if with_counts:
-        text = ("d.text || chr(10) || CAST(d.doc_id % 97 AS VARCHAR) || ' comments' || chr(10) || "
+        text = (text + " || chr(10) || CAST(d.doc_id % 97 AS VARCHAR) || ' comments' || chr(10) || "
                 "CAST(d.doc_id % 13 AS VARCHAR) || ' shares' || chr(10) || CAST(d.doc_id * 7 AS VARCHAR) || ' EGP'")
-    return f"""_ev AS (SELECT user_id, count(*) AS n FROM events GROUP BY user_id),
-_cv AS (SELECT conv_id, count(*) AS n FROM conversations GROUP BY conv_id),
+    return f"""_nd AS (SELECT max(doc_id) + 1 AS nd FROM documents),
+_ev AS (SELECT event_id % nd AS k, count(*) AS n FROM events, _nd GROUP BY k),
+_cv AS (SELECT (conv_id * 8 + turn) % nd AS k, count(*) AS n FROM conversations, _nd GROUP BY k),
 {name} AS (
   SELECT d.doc_id AS seq, d.doc_id AS "index", {text} AS text,
     CASE WHEN d.doc_id % 17 = 0 THEN '' ELSE d.source || '/' || d.lang END AS author,
@@ -123,8 +126,8 @@ _cv AS (SELECT conv_id, count(*) AS n FROM conversations GROUP BY conv_id),
     CAST(coalesce(_cv.n, 0) AS VARCHAR) AS comments,
     '' AS shares
   FROM documents d
-  LEFT JOIN _ev ON _ev.user_id = d.doc_id % 150
-  LEFT JOIN _cv ON _cv.conv_id = d.doc_id % 100)"""
+  LEFT JOIN _ev ON _ev.k = d.doc_id
+  LEFT JOIN _cv ON _cv.k = d.doc_id)"""
 
 
 # ---------------------------------------------------------------- profiles
@@ -200,3 +203,8 @@ prof AS (
   SELECT *, {team_size('business_type', 'post_count')} AS team_size,
     {readiness('budget_range', 'tech_level', 'business_stage', 'len(tool_preferences)')} AS readiness_score
   FROM _prof0)"""
+
+
+def dedup_key(url: str = "url", text: str = "text") -> str:
+    """The stripped URL, else the SHA-256 of the whole stripped text."""
+    return f"CASE WHEN {strip(url)} <> '' THEN {strip(url)} ELSE sha256({strip(text)}) END"

@@ -65,8 +65,12 @@ def list_distribution(prof: DataFrame, col: str) -> DataFrame:
 
 def readiness_by_stage(prof: DataFrame) -> DataFrame:
     """average / min / max readiness and poster count per stage."""
+    return _stage_scores(prof).withColumn("avg_score", _r(F.col("avg_score")))
+
+
+def _stage_scores(prof: DataFrame) -> DataFrame:
     return (prof.filter(F.col("business_stage").isNotNull()).groupBy("business_stage")
-            .agg(_r(F.avg("readiness_score")).alias("avg_score"), F.min("readiness_score").cast("long").alias("min_score"),
+            .agg(F.avg("readiness_score").alias("avg_score"), F.min("readiness_score").cast("long").alias("min_score"),
                  F.max("readiness_score").cast("long").alias("max_score"), F.count(F.lit(1)).alias("posters"),
                  F.min("first_seq").alias("first_seq")))
 
@@ -98,22 +102,39 @@ def budget_stage_grid(prof: DataFrame) -> DataFrame:
             .select("business_stage", "budget_range", F.coalesce(F.col("count"), F.lit(0)).cast("long").alias("count")))
 
 
+def _stages(prof: DataFrame) -> DataFrame:
+    return prof.sparkSession.createDataFrame([(s, i) for i, s in enumerate(L.BUSINESS_STAGES)], "business_stage string, position long")
+
+
+def _counters(prof: DataFrame) -> DataFrame:
+    """(business_stage, pain_points, tools, budgets): ``label=count`` by falling count, then first seen."""
+    c = _stage_labels(prof)
+    c = c.groupBy("business_stage", "kind").agg(F.array_sort(F.collect_list(  # at most a label of the lexicon each
+        F.struct((-F.col("count")).alias("n"), "first_seq", "pos", "label"))).alias("l"))
+    said = F.array_join(F.transform("l", lambda x: F.concat(x["label"], F.lit("="), (-x["n"]).cast("string"))), ", ")
+    return c.groupBy("business_stage").agg(*[F.max(F.when(F.col("kind") == k, said)).alias(n) for k, n in
+                                             (("pain_point", "pain_points"), ("tool", "tools"), ("budget", "budgets"))])
+
+
 def segment_profile(prof: DataFrame) -> DataFrame:
-    """F19 (+E7): per stage of the scale: posters and average engagement (NULL when none)."""
-    st = prof.sparkSession.createDataFrame([(s, i) for i, s in enumerate(L.BUSINESS_STAGES)], "business_stage string, stage_idx int")
+    """F19 (+E7): per stage of the scale: posters, average engagement (NULL when none) and the counters of
+    pain points, tools and budgets ('' when none)."""
     agg = (prof.filter(F.col("business_stage").isNotNull()).groupBy("business_stage")
            .agg(F.count(F.lit(1)).alias("posters"), _r(F.avg("total_engagement")).alias("avg_engagement")))
-    return (st.join(agg, "business_stage", "left")
-            .select("business_stage", F.coalesce("posters", F.lit(0)).cast("long").alias("posters"), "avg_engagement"))
+    return (_stages(prof).join(agg, "business_stage", "left").join(_counters(prof), "business_stage", "left")
+            .select("business_stage", F.coalesce("posters", F.lit(0)).cast("long").alias("posters"), "avg_engagement",
+                    *[F.coalesce(c, F.lit("")).alias(c) for c in ("pain_points", "tools", "budgets")]))
 
 
 def budget_by_stage(prof: DataFrame) -> DataFrame:
-    """budget ranges inside each stage in scale order, count > 0, % of the stage's budget total, bar units."""
+    """budget ranges inside each stage (count > 0) with both scale positions, % of the stage's budget
+    total and bar units; a stage without budget data has one row without a range."""
     c = crosstab(prof, "business_stage", "budget_range").drop("first_seq")
     w = Window.partitionBy("business_stage")
     pct = F.col("count") * 100.0 / F.sum("count").over(w)
-    return c.select("business_stage", "budget_range", F.col("count").cast("long").alias("count"),
-                    _r(pct).alias("pct"), F.floor(pct / 5).cast("long").alias("bar"))
+    return (_stages(prof).join(c, "business_stage", "left")
+            .select("position", "business_stage", SC.scale_index(F.col("budget_range"), L.BUDGET_RANGES).cast("long").alias("budget_position"),
+                    "budget_range", F.coalesce("count", F.lit(0)).cast("long").alias("count"), _r(pct).alias("pct"), F.floor(pct / 5).cast("long").alias("bar")))
 
 
 def budget_coverage(prof: DataFrame) -> DataFrame:
@@ -149,8 +170,8 @@ def _ranked(df: DataFrame, part: list[str] | None, k: int | None, keys=("first_s
     return rank_by(df, order, k, part=part).withColumn("rank", F.col("rank").cast("long"))
 
 
-def top3_per_stage(prof: DataFrame, k: int = 3) -> DataFrame:
-    """Per stage, top-k pain points, tools and budgets with % of the stage's counter."""
+def _stage_labels(prof: DataFrame) -> DataFrame:
+    """(business_stage, kind, label, count, first_seq, pos) of pain points, tools and budgets per stage."""
     p = prof.filter(F.col("business_stage").isNotNull())
     tags = [p.select("business_stage", "first_seq", F.lit(kind).alias("kind"), F.posexplode(c).alias("pos", "label"))
             for kind, c in (("pain_point", "pain_points"), ("tool", "tool_preferences"))]
@@ -159,7 +180,12 @@ def top3_per_stage(prof: DataFrame, k: int = 3) -> DataFrame:
     e = tags[0].unionByName(tags[1]).unionByName(bud)
     c = e.groupBy("business_stage", "kind", "label").agg(F.count(F.lit(1)).alias("count"),
                                                           F.min(F.struct("first_seq", "pos")).alias("_k"))
-    c = c.select("business_stage", "kind", "label", "count", F.col("_k.first_seq").alias("first_seq"), F.col("_k.pos").alias("pos"))
+    return c.select("business_stage", "kind", "label", "count", F.col("_k.first_seq").alias("first_seq"), F.col("_k.pos").alias("pos"))
+
+
+def top3_per_stage(prof: DataFrame, k: int = 3) -> DataFrame:
+    """Per stage, top-k pain points, tools and budgets with % of the stage's counter."""
+    c = _stage_labels(prof)
     c = c.withColumn("pct", _r(F.col("count") * 100.0 / F.sum("count").over(Window.partitionBy("business_stage", "kind"))))
     r = _ranked(c, ["business_stage", "kind"], k, ("first_seq", "pos"))
     return r.select("business_stage", "kind", "rank", "label", F.col("count").cast("long").alias("count"), "pct")
@@ -176,11 +202,11 @@ def flow_top5(prof: DataFrame, k: int = 5) -> DataFrame:
 
 def stage_ranking(prof: DataFrame) -> DataFrame:
     """Stages by average readiness (ties by first appearance), with most / least ready flags."""
-    s = readiness_by_stage(prof)
+    s = _stage_scores(prof)  # ranked on the exact average, rounded last
     w = Window.orderBy(F.col("avg_score").desc(), F.col("first_seq"))
     r = s.withColumn("rank", F.row_number().over(w).cast("long"))
     n = F.count(F.lit(1)).over(Window.partitionBy())
-    return r.select("rank", "business_stage", "avg_score", "posters",
+    return r.select("rank", "business_stage", _r(F.col("avg_score")).alias("avg_score"), "posters",
                     (F.col("rank") == 1).alias("most_ready"), (F.col("rank") == n).alias("least_ready"))
 
 
@@ -245,14 +271,18 @@ def heatmap_bucket(prof: DataFrame) -> DataFrame:
 
 
 def tree_drilldown(prof: DataFrame) -> DataFrame:
-    """Stage (count, % of posters) -> business type (count, % of stage)."""
+    """Stage (count, % of posters) -> business type (count, % of stage), both in falling count, then
+    first seen; a stage without typed posters has one row without a type."""
     total = prof.agg(F.count(F.lit(1)).alias("_total"))
-    st = prof.filter(F.col("business_stage").isNotNull()).groupBy("business_stage").agg(F.count(F.lit(1)).alias("stage_count"))
-    ty = crosstab(prof, "business_stage", "business_type").drop("first_seq").withColumnRenamed("count", "type_count")
-    j = ty.join(st, "business_stage").crossJoin(total)
-    return j.select("business_stage", F.col("stage_count").cast("long").alias("stage_count"),
+    st = (prof.filter(F.col("business_stage").isNotNull()).groupBy("business_stage")
+          .agg(F.count(F.lit(1)).alias("stage_count"), F.min("first_seq").alias("f")))
+    st = st.withColumn("stage_rank", F.row_number().over(Window.orderBy(F.col("stage_count").desc(), "f")).cast("long"))
+    ty = crosstab(prof, "business_stage", "business_type").withColumnRenamed("count", "type_count")
+    ty = ty.withColumn("type_rank", F.row_number().over(Window.partitionBy("business_stage").orderBy(F.col("type_count").desc(), "first_seq")).cast("long"))
+    j = st.join(ty, "business_stage", "left").crossJoin(total)  # one-row side
+    return j.select("stage_rank", "business_stage", F.col("stage_count").cast("long").alias("stage_count"),
                     _r(F.col("stage_count") / F.col("_total") * 100).alias("stage_pct"),
-                    "business_type", F.col("type_count").cast("long").alias("type_count"),
+                    "type_rank", "business_type", F.col("type_count").cast("long").alias("type_count"),
                     _r(F.col("type_count") / F.col("stage_count") * 100).alias("type_pct"))
 
 
@@ -271,6 +301,17 @@ def composition(prof: DataFrame) -> DataFrame:
                     "business_stage", F.col("count").cast("long").alias("count"))
 
 
+#: the sections of the demographic report, in order
+SECTIONS = [
+    "community_totals", "label_distributions", "stage_by_type", "market_by_stage", "pain_point_distribution",
+    "tool_distribution", "readiness_by_stage", "engagement_by_type", "team_size_distribution", "budget_stage_grid",
+    "segment_profile", "budget_by_stage", "budget_coverage", "overall_readiness", "modes",
+    "top3_per_stage", "flow_top5", "stage_ranking", "breakdown_share", "bar_units",
+    "funnel", "radar_norm", "heatmap_bucket", "tree_drilldown", "pie_units",
+    "composition",
+]
+
+
 def report_sections(prof: DataFrame, names: list[str] | None = None) -> dict[str, DataFrame]:
     """Statistics and report tables of the demographic report, from one profiles table (A9 input).
 

@@ -1,9 +1,8 @@
 """Session helpers.
 
-Library code never creates machine-local scratch folders: durable state
-(streaming checkpoints, lineage cuts) goes under the shared folder named by
-``spark.checkpoint.dir``.  Only tests and the bench set that setting, and only
-when the session leaves it unset.
+Durable state (streaming checkpoints, written tables, lineage cuts) goes under the
+shared folder named by ``spark.checkpoint.dir``.  A session in one process may leave
+it unset; on a cluster the library raises instead of using a machine-local folder.
 """
 
 from __future__ import annotations
@@ -58,15 +57,26 @@ def bounded_batches(spark: SparkSession, rows: int = 1000) -> None:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+def _is_local(spark: SparkSession) -> bool:
+    try:
+        master = spark.sparkContext.master
+    except Exception:  # noqa: BLE001 -- Spark Connect: no SparkContext on the client
+        return False
+    return master == "local" or master.startswith("local[")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint dir; create a scratch one only when unset (local runs)."""
+    """The session's checkpoint folder.  Only a session in one process (``local``, ``local[n]``) may
+    leave it unset and gets a scratch folder; any other must name a folder that all its machines share."""
     d = spark.conf.get("spark.checkpoint.dir", None)
     try:
         d = d or spark.sparkContext.getCheckpointDir()
     except Exception:  # noqa: BLE001 -- Spark Connect: no SparkContext on the client
         pass
     if not d:
-        d = tempfile.mkdtemp(prefix="threadsift-ckpt-")  # local runs only: nothing configured a shared folder
+        if not _is_local(spark):
+            raise RuntimeError("spark.checkpoint.dir is not set; name a folder that the driver and all executors share")
+        d = tempfile.mkdtemp(prefix="threadsift-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     try:
         spark.sparkContext.setCheckpointDir(d)
@@ -87,34 +97,3 @@ def checkpoint_path(spark: SparkSession, name: str) -> str:
         raise RuntimeError("spark.checkpoint.dir is not set; configure a shared folder for the cluster")
     base = base.rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-_MEMO: dict = {}
-
-
-def _session_id(spark: SparkSession) -> int:
-    js = getattr(spark, "_jsparkSession", None)  # classic sessions; Spark Connect has none
-    return id(js) if js is not None else id(spark)
-
-
-def session_memo(spark: SparkSession, key: tuple, build):
-    """Reuse a DataFrame (an immutable plan) built earlier in this session for ``key``.
-
-    Saves driver-side work only (file listing, footer reads, analysis of large
-    expression trees); execution still happens on every action unless the
-    builder itself persisted the result.
-    """
-    k = (_session_id(spark),) + tuple(key)
-    if k not in _MEMO:
-        _MEMO[k] = build()
-    return _MEMO[k]
-
-
-def release(spark: SparkSession) -> None:
-    """Unpersist every DataFrame this session memoised and forget them (long-lived sessions)."""
-    sid = _session_id(spark)
-    for k in [k for k in _MEMO if k[0] == sid]:
-        try:
-            _MEMO.pop(k).unpersist()
-        except Exception:  # noqa: BLE001 -- a frame that was never persisted
-            pass

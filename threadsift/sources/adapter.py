@@ -1,65 +1,74 @@
 """Adapter: the driver's test tables -> the post and page shapes the operators expect.
 
 The test tables hold no social posts, so post fields are derived row by row,
-deterministically, from ``documents`` (text, source), ``events`` (per-user
-counts -> likes) and ``conversations`` (per-conversation turns -> comments).
-No row is filtered or capped: every document becomes one post, and the work
-grows with the tables.  The same derivation is written in DuckDB SQL in
-``threadsift.plans.oracle`` so the two engines can be compared.
-
-Derivation (fixed here, mirrored in the oracle):
+deterministically, from ``documents`` (text, source), ``events`` (likes) and
+``conversations`` (comments).  Every document becomes one post, and every event
+and every turn counts once: it belongs to one document, chosen by its id modulo
+the number of documents.  ``threadsift.plans.sqlgen.posts_cte`` has the same
+derivation in DuckDB SQL.
 
 * ``seq = doc_id``; ``author = '' if doc_id % 17 == 0 else source + '/' + lang`` (~80 posters + a blank one)
 * ``url = '' if doc_id % 5 == 0 else https://example.org/groups/1/posts/<doc_id % 400>/``
   (forces URL collisions for the de-duplication operators)
-* ``likes`` = events of user ``doc_id % 150`` as text, written with
+* ``likes`` = events with ``event_id % n_docs == doc_id`` as text, written with
   Arabic-Indic digits when ``doc_id % 3 == 0``, ``''`` when ``% 7``,
   ``'1.2K'`` when ``% 11``, ``'1,234'`` when ``% 13`` (first rule wins)
-* ``comments`` = turns of conversation ``doc_id % 100`` as text; ``shares = ''``
+* ``comments`` = turns with ``(conv_id * 8 + turn) % n_docs == doc_id`` as text; ``shares = ''``
+* a line of ``phrases`` follows the text: words of the lexicons, a category (or none) by
+  ``doc_id`` for each of them, so that every scale and every tag has posts of several kinds
 * ``with_counts=True`` appends ``\\n<doc_id%97> comments\\n<doc_id%13> shares\\n<doc_id*7> EGP``
+
+The documents are joined with the counts on doc_id, tables that grow alike; Spark
+chooses the join by their measured sizes.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadsift.functions.text import ARABIC_DIGITS, ASCII_DIGITS
-from threadsift.operators.parallel import spread
-from threadsift.session import session_memo
+from threadsift import lexicons as L
+from threadsift.functions.text import ARABIC_DIGITS, ASCII_DIGITS, SHARE_MARKERS, VIDEO_MARKERS
+
+#: how many documents in a row share a phrase, for each of ``phrases()`` in turn
+STEPS = (1, 2, 3, 5, 7, 11, 13, 17, 19, 23, 29)
 
 
-def _memo(spark: SparkSession, key: tuple, build):
-    return session_memo(spark, ("adapter",) + key, build)
+def _plain(words) -> str:
+    """The first entry that stands for itself as a regular expression."""
+    return next((w for w in words if not re.search(r"[\\^$.|?*+()\[{]", w)), "")
+
+
+def phrases() -> list[list[str]]:
+    """Lists of phrases: one word of each category of a lexicon, and the text markers."""
+    out = [[_plain(lex.keywords(c)) for c in lex.categories] for lex in L.demographic_lexicons().values()]
+    seg = L.segment_lexicon()
+    out.append([next(k for k in seg.keywords(c) if k == k.lower()) for c in seg.categories])
+    out.append([L.URGENCY_KEYWORDS[0], " ".join(L.URGENCY_KEYWORDS[:3]), " ".join(L.SEVERITY_KEYWORDS[:4])])
+    for lex in (L.pain_lexicon(), L.pain_point_lexicon(), L.tool_lexicon()):
+        out.append([_plain(lex.keywords(c)) for c in lex.categories])
+    out.append([VIDEO_MARKERS[-1], SHARE_MARKERS[-1], L.TRUNCATION_MARKERS[0]])
+    return out
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    return _memo(spark, ("table", path), lambda: spark.read.parquet(path))
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def text_table(spark: SparkSession, sf_dir: str, name: str, cols: list[str]) -> DataFrame:
-    """Scan a text-heavy table and make sure the CPU-bound text work has enough tasks."""
-    return spread(table(spark, sf_dir, name).select(*cols), key=cols[0])
+def _by_document(rows: DataFrame, key, n_docs: DataFrame, out: str) -> DataFrame:
+    """(doc_id, out): how many rows belong to each document; n_docs is one row."""
+    return (rows.select(key.alias("__id")).crossJoin(F.broadcast(n_docs)).groupBy((F.col("__id") % F.col("n_docs")).alias("doc_id"))
+            .agg(F.count(F.lit(1)).alias(out)))
 
 
 def posts_from_tables(spark: SparkSession, sf_dir: str, with_counts: bool = False) -> DataFrame:
-    return _memo(spark, ("posts", sf_dir, with_counts), lambda: _posts(spark, sf_dir, with_counts))
-
-
-def _posts(spark: SparkSession, sf_dir: str, with_counts: bool) -> DataFrame:
-    docs = text_table(spark, sf_dir, "documents", ["doc_id", "text", "source", "lang"])
-    # Per-key counts are aggregated before the join (one row per user / conversation),
-    # over the whole events / conversations tables.  Only users 0..149 and
-    # conversations 0..99 can match ``doc_id % 150`` / ``doc_id % 100``, so the build
-    # sides have at most 150 and 100 rows by construction: broadcasting them is
-    # provably bounded and keeps the documents from being shuffled on a 150-value key.
-    ev = (table(spark, sf_dir, "events").filter(F.col("user_id").between(0, 149))
-          .groupBy("user_id").agg(F.count(F.lit(1)).alias("n_events")))
-    cv = (table(spark, sf_dir, "conversations").filter(F.col("conv_id").between(0, 99))
-          .groupBy("conv_id").agg(F.count(F.lit(1)).alias("n_turns")))
-    d = (docs.join(F.broadcast(ev), (docs.doc_id % 150) == ev.user_id, "left")
-         .join(F.broadcast(cv), (docs.doc_id % 100) == cv.conv_id, "left"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    n_docs = docs.agg((F.coalesce(F.max("doc_id"), F.lit(0)) + 1).alias("n_docs"))
+    ev = _by_document(table(spark, sf_dir, "events"), F.col("event_id"), n_docs, "n_events")
+    cv = _by_document(table(spark, sf_dir, "conversations"), F.col("conv_id") * 8 + F.col("turn"), n_docs, "n_turns")
+    d = docs.join(ev, "doc_id", "left").join(cv, "doc_id", "left")
     n = F.coalesce(F.col("n_events"), F.lit(0)).cast("string")
     i = F.col("doc_id")
     likes = (F.when(i % 3 == 0, F.translate(n, ASCII_DIGITS, ARABIC_DIGITS))
@@ -67,7 +76,9 @@ def _posts(spark: SparkSession, sf_dir: str, with_counts: bool) -> DataFrame:
              .when(i % 11 == 0, F.lit("1.2K"))
              .when(i % 13 == 0, F.lit("1,234"))
              .otherwise(n))
-    text = F.col("text")
+    said = [F.element_at(F.array(*[F.lit(p) for p in [*ps, "", ""]]), (F.floor(i / s) % (len(ps) + 2) + 1).cast("int"))
+            for ps, s in zip(phrases(), STEPS)]
+    text = F.concat(F.col("text"), F.lit("\n"), F.concat_ws(" ", *said))
     if with_counts:
         text = F.concat(text, F.lit("\n"), (i % 97).cast("string"), F.lit(" comments\n"),
                         (i % 13).cast("string"), F.lit(" shares\n"), (i * 7).cast("string"), F.lit(" EGP"))
@@ -91,12 +102,9 @@ def _posts(spark: SparkSession, sf_dir: str, with_counts: bool) -> DataFrame:
 def decorated_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages with a deterministic fragment inside the article, by ``page_id % 4``:
     a clean post link, a comment-only link, a ``permalink.php`` link, or no link;
-    plus a reactions label, comment/share count nodes, an author link, two images."""
-    return _memo(spark, ("pages", sf_dir), lambda: _pages(spark, sf_dir))
-
-
-def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = text_table(spark, sf_dir, "pages", ["page_id", "url", "html"])
+    plus a reactions label, comment/share count nodes, an author link, two images.
+    Pages are dealt by page_id, since cutting markup is far more work than moving it."""
+    p = table(spark, sf_dir, "pages").select("page_id", "url", "html").repartition("page_id")
     pid = F.col("page_id").cast("string")
     k = F.col("page_id") % 4
     link = (F.when(k == 0, F.concat(F.lit('<a href="https://example.org/groups/1/posts/'), pid, F.lit('/">'),

@@ -1,9 +1,8 @@
 """Post readers (A1-A5, E6) and the page-unit scan (A10).
 
-Total input order ``seq`` is a struct ``(file_key, block, pos)``: the file's
-name (or modification time), the byte offset of the split, and the row's
-position inside the split (JSON lines) or inside the file's ``posts`` array
-(batched files).  It is computed without any driver round-trip or global
+Total input order ``seq`` is a struct ``(file_key, block, line, pos)``: the file's
+name (or modification time), the byte offset of the split, the line's place in the
+split, and the post's place in a line's ``posts`` array (batched files).  It is computed without any driver round-trip or global
 window, so it scales with the number of files and splits.
 """
 
@@ -13,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threadsift import schema as S
+from threadsift.functions.text import py_strip
 
 
 def _file_key(order: str):
@@ -20,12 +20,12 @@ def _file_key(order: str):
         return F.col("_metadata.file_name")
     if order == "mtime":
         # modification time first, name breaks ties
-        return F.concat(F.date_format(F.col("_metadata.file_modification_time"), "yyyyMMddHHmmssSSS"),
+        return F.concat(F.lpad(F.unix_micros(F.col("_metadata.file_modification_time")).cast("string"), 20, "0"),
                         F.lit("/"), F.col("_metadata.file_name"))
     raise ValueError(order)
 
 
-def read_jsonl(spark: SparkSession, path, glob: str | None = None, order: str = "name") -> tuple[DataFrame, DataFrame]:
+def read_jsonl(spark: SparkSession, path, glob: str | None = None, order: str = "name", skip_unreadable: bool = True) -> tuple[DataFrame, DataFrame]:
     """A2: JSON lines with an explicit schema. Returns ``(posts, quarantine)``.
 
     Lines are scanned as text and parsed with ``from_json`` (PERMISSIVE): blank
@@ -33,16 +33,16 @@ def read_jsonl(spark: SparkSession, path, glob: str | None = None, order: str =
     raw text instead of failing the job, and both outputs can be queried
     independently (no restriction on corrupt-record-only queries).
     """
-    r = spark.read
+    r = spark.read.option("ignoreCorruptFiles", skip_unreadable)
     if glob:
         r = r.option("pathGlobFilter", glob)
     raw = r.text(path)
     raw = raw.select(
         "value",
         F.struct(_file_key(order).alias("file_key"), F.col("_metadata.file_block_start").alias("block"),
-                 F.monotonically_increasing_id().alias("pos")).alias("seq"),
+                 F.monotonically_increasing_id().alias("line"), F.lit(0).cast("long").alias("pos")).alias("seq"),
         F.col("_metadata.file_name").alias("file_name"))
-    raw = raw.filter(F.trim(F.col("value")) != "")
+    raw = raw.filter(py_strip(F.col("value")) != "")
     parsed = raw.select("seq", "file_name", "value", F.from_json("value", S.POST_WITH_CORRUPT, {
         "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}).alias("r"))
     good = (parsed.filter(F.col("r._corrupt_record").isNull() & F.col("r").isNotNull())
@@ -52,40 +52,42 @@ def read_jsonl(spark: SparkSession, path, glob: str | None = None, order: str =
     return good, bad
 
 
-def read_batched(spark: SparkSession, path, glob: str | None = None, order: str = "name") -> tuple[DataFrame, DataFrame]:
+def read_batched(spark: SparkSession, path, glob: str | None = None, order: str = "name", lines: bool = False,
+                 skip_unreadable: bool = True) -> tuple[DataFrame, DataFrame]:
     """A1: batched files ``{"posts": [...]}``; returns ``(posts, quarantine)``.
 
-    Each file is one JSON document (read whole; such files are small by design)
-    parsed with ``from_json`` in PERMISSIVE mode: a file without ``posts`` yields
-    no rows, a malformed file is quarantined and the other files still load (A3).
+    Each file is one JSON document (read whole), or with ``lines`` each line is one, so
+    that many wrappers share a file.  Parsed with ``from_json`` in PERMISSIVE mode: a
+    document without ``posts`` yields no rows, a malformed one is quarantined and the
+    others still load (A3); a file that cannot be read at all is skipped.
     """
-    r = spark.read.option("wholetext", True)
+    r = spark.read.option("wholetext", not lines).option("ignoreCorruptFiles", skip_unreadable)
     if glob:
         r = r.option("pathGlobFilter", glob)
-    raw = r.text(path).select("value", _file_key(order).alias("file_key"),
-                              F.col("_metadata.file_name").alias("file_name"))
-    parsed = raw.select("file_key", "file_name", "value", F.from_json("value", S.WRAPPER, {
+    raw = r.text(path).select("value", _file_key(order).alias("file_key"), F.col("_metadata.file_name").alias("file_name"),
+                              F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"))
+    raw = raw.filter(py_strip(F.col("value")) != "")
+    parsed = raw.select("file_key", "file_name", "block", "line", "value", F.from_json("value", S.WRAPPER, {
         "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}).alias("w"))
     ok = F.col("w").isNotNull() & F.col("w._corrupt_record").isNull()
     bad = (parsed.filter(~ok)
-           .select(F.struct(F.col("file_key"), F.lit(0).cast("long").alias("block"),
-                            F.lit(-1).cast("long").alias("pos")).alias("seq"),
+           .select(F.struct("file_key", "block", "line", F.lit(-1).cast("long").alias("pos")).alias("seq"),
                    "file_name", F.col("value").alias("_corrupt_record")))
     good = (parsed.filter(ok)
-            .select("file_key", F.posexplode("w.posts").alias("pos", "post"))
-            .select(F.struct(F.col("file_key"), F.lit(0).cast("long").alias("block"),
-                             F.col("pos").cast("long").alias("pos")).alias("seq"), "post.*"))
+            .select("file_key", "block", "line", F.posexplode("w.posts").alias("pos", "post"))
+            .select(F.struct("file_key", "block", "line", F.col("pos").cast("long").alias("pos")).alias("seq"), "post.*"))
     return good, bad
 
 
-def read_posts(spark: SparkSession, jsonl_path=None, batched_path=None, order: str = "name") -> tuple[DataFrame, DataFrame]:
+def read_posts(spark: SparkSession, jsonl_path=None, batched_path=None, order: str = "name", glob: str | None = None,
+               lines: bool = False) -> tuple[DataFrame, DataFrame]:
     """JSON lines plus legacy batched files, unioned by name (bag)."""
     parts, bads = [], []
     if jsonl_path:
-        g, b = read_jsonl(spark, jsonl_path, order=order)
+        g, b = read_jsonl(spark, jsonl_path, glob, order)
         parts.append(g); bads.append(b)
     if batched_path:
-        g, b = read_batched(spark, batched_path, order=order)
+        g, b = read_batched(spark, batched_path, glob, order, lines)
         parts.append(g); bads.append(b)
     if not parts:
         raise ValueError("no input path")

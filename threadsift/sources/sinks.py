@@ -16,12 +16,12 @@ def append_jsonl(df: DataFrame, path: str, max_records_per_file: int | None = No
 
 
 def result_document(tag_stats: DataFrame, totals: DataFrame, samples: DataFrame) -> DataFrame:
-    """One nested document ``{total_posts_analyzed, total_mentions, pain_points: map, sample_posts: [..]}``.
+    """One nested document ``{total_posts_analyzed, total_mentions, pain_points: [..], sample_posts: [..]}``;
+    tags come in rank order, each with its counts by segment.
 
     Each input is already aggregated (bounded by the lexicon size / the sample size).
     """
-    stats_map = tag_stats.agg(F.map_from_entries(F.collect_list(F.struct(
-        F.col("tag"), F.struct(*[c for c in tag_stats.columns if c != "tag"])))).alias("pain_points"))
+    stats_map = tag_stats.agg(F.array_sort(F.collect_list(F.struct(*tag_stats.columns))).alias("pain_points"))
     sample_arr = samples.agg(F.array_sort(F.collect_list(F.struct(*samples.columns))).alias("sample_posts"))
     return totals.crossJoin(stats_map).crossJoin(sample_arr)
 

@@ -2,11 +2,12 @@
 
 Each call processes what has landed since the last run (``availableNow``) and
 stops, which is the streaming form of the reference's bounded rounds; the
-checkpoint makes a restart resume without re-emitting (H3).  Two dedup plans:
+checkpoint makes a restart resume without re-emitting (H3).  Three dedup plans:
 
 * ``ingest_dedup``: ``dropDuplicates(["dedup_key"])`` -- state holds only the
   key column (H2); state grows with the number of distinct keys, exactly like
   the reference's in-memory set, and lives in the (RocksDB-capable) state store.
+* ``ingest_first``: the smallest ``index`` per key as streaming state, for a defined survivor.
 * ``ingest_anti_join``: ``foreachBatch`` that keeps the first row per key in
   the batch and anti-joins the keys already stored in the sink table, for very
   long histories where state-store size matters more than latency.
@@ -18,23 +19,37 @@ under ``threadsift.session.checkpoint_path`` derive them from
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threadsift import schema as S
 from threadsift.functions.identity import dedup_key
-from threadsift.functions.text import content_ok
+from threadsift.functions.text import content_ok, py_strip
 from threadsift.operators.dedup import keep_first
 
 
 def landing_stream(spark: SparkSession, landing: str, max_files: int | None = None) -> DataFrame:
-    """JSON-lines landing folder as a stream; malformed lines are dropped from the post stream."""
+    """The posts of a JSON-lines landing folder as a stream; ``quarantine`` keeps its malformed lines."""
     r = (spark.readStream.schema(S.POST_WITH_CORRUPT).option("mode", "PERMISSIVE")
          .option("columnNameOfCorruptRecord", "_corrupt_record"))
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
-    s = r.json(landing)
-    return s.filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
+    return r.json(landing).filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
+
+
+def quarantine(spark: SparkSession, landing: str, path: str, checkpoint: str, max_files: int | None = None):
+    """A3 on the stream: malformed lines of the landing folder, raw, into ``path``; blank lines are skipped."""
+    r = spark.readStream
+    if max_files:
+        r = r.option("maxFilesPerTrigger", max_files)
+    parsed = r.text(landing).filter(py_strip(F.col("value")) != "").select("value", F.from_json("value", S.POST_WITH_CORRUPT, {
+        "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}).alias("r"))
+    bad = parsed.filter(F.col("r").isNull() | F.col("r._corrupt_record").isNotNull()).select(F.col("value").alias("line"))
+    q = (bad.writeStream.format("parquet").option("checkpointLocation", checkpoint)
+         .outputMode("append").trigger(availableNow=True).start(path))
+    q.awaitTermination()
+    return q
 
 
 def prepared(stream: DataFrame) -> DataFrame:
@@ -65,32 +80,73 @@ def ingest_dedup(spark: SparkSession, landing: str, sink: str, checkpoint: str,
     return q
 
 
-def ingest_anti_join(spark: SparkSession, landing: str, sink: str, checkpoint: str, max_files: int | None = None,
-                     metrics: str | None = None):
-    """H3 alternative: per micro-batch keep-first by ``index`` then anti-join stored keys.
+def ingest_first(spark: SparkSession, landing: str, sink: str, checkpoint: str, max_files: int | None = None):
+    """H2 with a defined survivor: the post of smallest ``index`` for each key, whatever the files'
+    order.  State holds one key and one number per post; each batch writes the keys whose first
+    post became smaller to its own folder (a replay writes the same again), ``first_posts`` reads them."""
+    firsts = prepared(landing_stream(spark, landing, max_files)).groupBy("dedup_key").agg(F.min("index").alias("index"))
 
-    Each batch writes to its own ``batch=<id>`` folder with overwrite, so a retried
-    batch replaces its own output (idempotent) and never duplicates rows.
-    """
     def per_batch(df: DataFrame, batch_id: int) -> None:
-        fresh = keep_first(df, "dedup_key", "index")
+        df.write.mode("overwrite").parquet(f"{sink.rstrip('/')}/batch={batch_id}")
+
+    q = (firsts.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
+         .foreachBatch(per_batch).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return q
+
+
+def first_posts(spark: SparkSession, sink: str) -> DataFrame:
+    """(dedup_key, index) kept by ``ingest_first``."""
+    return spark.read.parquet(sink).groupBy("dedup_key").agg(F.min("index").alias("index"))
+
+
+STORED = "dedup_key string, index long, batch long"
+
+
+def store_batch(df: DataFrame, batch_id: int, sink: str) -> str:
+    """H3: the batch's first post per key, without the keys stored by earlier batches, written over
+    ``batch=<id>``.  Only earlier batches count as stored, so a replayed batch finds the same rows."""
+    spark, out = df.sparkSession, f"{sink.rstrip('/')}/batch={batch_id}"
+    fresh = keep_first(df, "dedup_key", "index")
+    if batch_id > 0:
         try:
-            stored = df.sparkSession.read.parquet(sink).select("dedup_key")
-            stored = stored.filter(F.col("batch") != batch_id) if "batch" in stored.columns else stored
-            fresh = fresh.join(stored.select("dedup_key").distinct(), "dedup_key", "left_anti")
-        except Exception as e:  # noqa: BLE001 -- first batch: sink does not exist yet
-            if "PATH_NOT_FOUND" not in str(e) and "Path does not exist" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
+            # the folder names give ``batch``: folders of this and later batches are not read at all
+            seen = spark.read.schema(STORED).parquet(sink).filter(F.col("batch") < batch_id).select("dedup_key")
+            fresh = fresh.join(seen, "dedup_key", "left_anti")
+        except Exception as e:  # noqa: BLE001 -- nothing stored yet
+            if "PATH_NOT_FOUND" not in str(e) and "Path does not exist" not in str(e):
                 raise
-        out = f"{sink.rstrip('/')}/batch={batch_id}"
-        fresh.write.mode("overwrite").parquet(out)
+    fresh.write.mode("overwrite").parquet(out)
+    return out
+
+
+def ingest_anti_join(spark: SparkSession, landing: str, sink: str, checkpoint: str, max_files: int | None = None,
+                     metrics: str | None = None, idle_limit: int | None = None, max_rounds: int | None = None):
+    """H3/H5: per micro-batch ``store_batch``; state lives in the sink, not in the stream.
+
+    ``idle_limit`` ends the run after so many batches in a row without a new post, ``max_rounds``
+    after so many batches; what has not been read stays for the next run.
+    """
+    idle, rounds, stopped = [0], [0], [False]
+
+    def per_batch(df: DataFrame, batch_id: int) -> None:
+        if (idle_limit and idle[0] >= idle_limit) or (max_rounds and rounds[0] >= max_rounds):
+            stopped[0] = True
+            raise RuntimeError("the run has reached its limit")  # this batch is not committed
+        out = store_batch(df, batch_id, sink)
+        n = df.sparkSession.read.schema(STORED).parquet(out).count()
         if metrics:  # H4: one progress row per round (new posts accepted in this micro-batch)
-            n = df.sparkSession.read.parquet(out).agg(F.count(F.lit(1)).alias("new_posts"))
-            n.select(F.lit(batch_id).cast("long").alias("round"), F.col("new_posts").cast("long")) \
+            df.sparkSession.createDataFrame([(batch_id, n)], "round long, new_posts long") \
                 .write.mode("overwrite").parquet(f"{metrics.rstrip('/')}/batch={batch_id}")
+        idle[0], rounds[0] = (0 if n else idle[0] + 1), rounds[0] + 1
 
     q = (prepared(landing_stream(spark, landing, max_files)).writeStream
          .option("checkpointLocation", checkpoint).foreachBatch(per_batch).trigger(availableNow=True).start())
-    q.awaitTermination()
+    try:
+        q.awaitTermination()
+    except StreamingQueryException:
+        if not stopped[0]:
+            raise
     return q
 
 
