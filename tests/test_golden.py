@@ -150,3 +150,45 @@ def test_dedup_key_reads_whole_texts(spark):
     head = "x" * 500
     df = spark.createDataFrame([("", head + "a"), ("", head + "b"), ("", " " + head + "a ")], "url string, text string")
     assert df.select(ID.dedup_key(F.col("url"), F.col("text")).alias("k")).distinct().count() == 2
+
+
+def html(spark, values, column):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, html string")
+    return [r[0] for r in df.orderBy("i").select(column).collect()]
+
+
+def test_units_and_nested_elements(spark):
+    from threadsift.sources.readers import page_units
+    page = ('<body><div role="feed"><div class="u">one<div>deep</div></div><p>x</p><div role="article">two<div role="article">reply</div></div></div>'
+            '<div role="article">three<div>open</body>')
+    got = sorted((r.kind, r.unit_pos, r.html) for r in page_units(spark.createDataFrame([(1, page), (2, ""), (3, None)], "page_id long, html string")).collect())
+    assert got == [("article", 0, 'two<div role="article">reply</div>'), ("article", 1, "reply"), ("article", 2, "three<div>open</body>"),
+                   ("feed", 0, "one<div>deep</div>"), ("feed", 1, 'two<div role="article">reply</div>')]
+
+
+def test_body_text_blocks(spark):
+    got = html(spark, [
+        '<div dir="auto"><div>one</div><div>longer two</div></div>',
+        '<div dir="auto">I <span>really</span> like <a href="#">this</a> thing</div>',
+        '<div dir="auto">post body</div><div role="article"><div dir="auto">a longer reply than the post</div></div>',
+        '<span dir="auto">span body</span>', '<div dir="auto">tiny</div><p>whole text</p>',
+        '<div dir="auto">short1</div><div data-ad-preview="message">the message<br>itself</div>', "y" * 5000], H.body_text())
+    assert got == ["one\nlonger two", "I really like this thing", "post body", "span body", "tiny\nwhole text", "the message\nitself", "y" * 5000]
+
+
+def test_counts_of_whole_nodes(spark):
+    units = ["<p>12 comments</p><span>8 comments</span>", "<span><b>8</b> comments</span>", '<div role="button"><span>1.2K</span> shares</div>',
+             "<div>Hello there</div><div><span>8 comments</span></div>", '<div role="article"><span>9 comments</span></div>', "<span>8 comments and more of them</span>"]
+    c, s = H.anchored_counts()
+    assert html(spark, units, c) == ["8", "8", "", "8", "", ""] and html(spark, units, s) == ["", "", "1.2K", "", "", ""]
+
+
+def test_reactions_authors_and_permalinks(spark):
+    assert html(spark, ['<span aria-label="25 reactions"></span>', '<span aria-hidden="true">1.2K</span>', '<span aria-hidden="true">x 3</span>'],
+                H.reaction_count(fallback=True)) == ["25", "1.2K", ""]
+    many = "".join(f'<a href="https://www.facebook.com/u/{i}">reply {i}</a>' for i in range(40))
+    assert html(spark, ['<h2><strong><span><a href="/x">Sam Doe</a></span></strong></h2>', '<div data-ad-rendering-role="profile_name"><b><a href="/y">Ann Lee</a></b></div>',
+                        many + '<a href="https://www.facebook.com/z">Late Name</a>'], H.author_from_links()) == ["Sam Doe", "Ann Lee", "Late Name"]
+    assert html(spark, ['<a href="https://f/posts/x?comment_id=1">a</a><a href="https://f/groups/1/posts/77/?comment_id=2">b</a>',
+                        '<a href="/posts/55?comment_id=1">a</a>'], H.permalink(F.col("html"), "9")) == [
+        "https://f/groups/1/posts/77/", "https://www.facebook.com/groups/9/posts/55/"]

@@ -1,11 +1,11 @@
-"""Column builders over saved HTML.
-
-The reference walks a live DOM; here each unit is a string column and every
-extraction is ``regexp_extract_all`` + array ``filter``/``transform`` + first
-element, evaluated row by row on the executors.  Limits of the regex view
-(stated once): nested elements are not balanced, so "remove nested replies"
-keeps the part of a unit before its first nested ``role="article"``; entity
-decoding covers the common named entities only.
+"""Column builders over saved HTML.
+
+The reference walks a live DOM; here each page or unit is a string column and every
+extraction is an expression evaluated row by row on the executors.  Elements are cut
+by depth: the opening and closing tags of one name are extracted in order, a fold
+carries their depth, and an element ends where the depth falls back (``elements``,
+``without``).  Units and functions work on inner markup.  Entity decoding covers the
+common named entities only.
 """
 
 from __future__ import annotations
@@ -38,14 +38,16 @@ BAD_AUTHOR_WORDS = [
     "group", "expert", "contributor", "rising", "posts",
 ]
 AUTHOR_LINK_HOSTS = ["facebook.com", "/profile.php", "/user/", "/groups/"]
-AUTHOR_LINKS_LOOKED_AT = 30
+ARTICLE_AUTHOR_HOSTS = ["facebook.com", "/profile.php"]
+MESSAGE_MARKS = ['data-ad-rendering-role="story_message"', 'data-ad-preview="message"', 'data-ad-comet-preview="message"']
+COMMENT_BASE = r"^(https?://[^/]+/groups/[^/]+/posts/\d+/)"
 TIMESTAMP_BAD_WORDS = ["facebook", "http", "share", "مشاركة"]
 TIMESTAMP_MAX_CHARS = 30
 IMAGE_HOST_MARK, IMAGE_CDN_MARK = "fbcdn.net", "scontent"
 IMAGE_EXCLUDE = ["profile", "emoji", "rsrc.php"]
 SKELETON_MAX_HTML, ARTICLE_MIN_HTML = 1500, 2000
 COMMENT_MAX_HTML, POST_MIN_HTML = 3000, 5000
-BODY_MIN_CHARS, BODY_FALLBACK_CAP = 5, 2000
+BODY_MIN_CHARS, BODY_SHORT = 5, 10
 # End of fixed values.
 # ---------------------------------------------------------------------------
 
@@ -72,20 +74,114 @@ def decode_entities(c) -> Column:
     return x
 
 
-def before_nested_article(html) -> Column:
-    """Drop nested replies: keep the unit up to its first nested ``role="article"`` element."""
-    return F.regexp_replace(col_(html), r'(?s)<div[^>]*role="article".*$', "")
+_N = [0]
+
+
+def _name(x: str) -> str:
+    _N[0] += 1
+    return f"{x}{_N[0]}"
+
+
+def let(value: str, body) -> str:
+    """SQL: ``body(name)`` with ``value`` evaluated once under that name."""
+    v = _name("v")
+    return f"element_at(transform(array({value}), {v} -> {body(v)}), 1)"
+
+
+def _cut(h: str, tag: str, body) -> str:
+    """SQL: body(m, g, d) over the tags of one name, the texts between them (one more) and the depth after each tag."""
+    pat = f"r'(?is)</?(?:{tag})\\b[^>]*>'"
+
+    def depths(s):
+        a, t = _name("a"), _name("t")
+        step = f"{a}.d + CASE WHEN startswith({t}, '</') THEN -1 ELSE 1 END"
+        fold = (f"aggregate({s}.m, named_struct('d', 0, 'o', CAST(array() AS array<int>)), "
+                f"({a}, {t}) -> named_struct('d', {step}, 'o', concat({a}.o, array({step}))), {a} -> {a}.o)")
+        return let(fold, lambda d: body(f"{s}.m", f"{s}.g", d))
+    return let(h, lambda x: let(f"named_struct('m', regexp_extract_all({x}, {pat}, 0), 'g', split({x}, {pat}, -1))", depths))
+
+
+def _ends(d: str, i: str, n: str) -> str:
+    k = _name("k")
+    return f"coalesce(get(filter(sequence(0, {n} - 1), {k} -> {k} > {i} AND {d}[{k}] = {d}[{i}] - 1), 0), {n})"
+
+
+def elements(h: str, tag: str, wanted: str) -> str:
+    """SQL: array<struct<pos int, html string>> of the elements ``tag`` in document order, with their inner
+    markup.  ``wanted`` is a condition on the opening tag {t} and its depth {d} (1 = outermost)."""
+    def body(m, g, d):
+        i, k = _name("i"), _name("k")
+        n = f"size({m})"
+        open_ = f"NOT startswith({m}[{i}], '</') AND ({wanted.format(t=f'{m}[{i}]', d=f'{d}[{i}]')})"
+
+        def one(e):
+            a, q = _name("a"), _name("q")
+            inner = f"concat({g}[{i} + 1], array_join(transform(filter(sequence(0, {n} - 1), {k} -> {k} > {i} AND {k} < {e}), {k} -> concat({m}[{k}], {g}[{k} + 1])), ''))"
+            pos = f"aggregate(sequence(0, {i}), 0, ({a}, {q}) -> {a} + length({g}[{q}]) + CASE WHEN {q} < {i} THEN length({m}[{q}]) ELSE 0 END)"
+            return f"struct({pos} AS pos, {inner} AS html)"
+        return (f"CASE WHEN {n} = 0 THEN CAST(array() AS array<struct<pos:int,html:string>>) ELSE "
+                f"transform(filter(sequence(0, {n} - 1), {i} -> {open_}), {i} -> {let(_ends(d, i, n), one)}) END")
+    return _cut(h, tag, body)
+
+
+def without(h: str, tag: str, wanted: str) -> str:
+    """SQL: the markup without the elements ``tag`` whose opening tag {t} satisfies ``wanted``."""
+    def body(m, g, d):
+        i, k, r = _name("i"), _name("k"), _name("r")
+        n = f"size({m})"
+        gone = (f"transform(filter(sequence(0, {n} - 1), {i} -> NOT startswith({m}[{i}], '</') AND ({wanted.format(t=f'{m}[{i}]', d=f'{d}[{i}]')})), "
+                f"{i} -> struct({i} AS i, {_ends(d, i, n)} AS e))")
+
+        def keep(rs):
+            tag_ = f"CASE WHEN exists({rs}, {r} -> {k} BETWEEN {r}.i AND {r}.e) THEN '' ELSE {m}[{k}] END"
+            text = f"CASE WHEN exists({rs}, {r} -> {k} >= {r}.i AND {k} < {r}.e) THEN '' ELSE {g}[{k} + 1] END"
+            return f"concat({g}[0], array_join(transform(sequence(0, {n} - 1), {k} -> concat({tag_}, {text})), ''))"
+        return f"CASE WHEN {n} = 0 THEN {g}[0] ELSE {let(gone, keep)} END"
+    return _cut(h, tag, body)
+
+
+def has(attribute: str) -> str:
+    """SQL condition for ``elements``: the opening tag carries the attribute."""
+    return f"contains({{t}}, '{attribute}')"
+
+
+ARTICLE, FEED, AUTO = has('role="article"'), has('role="feed"'), has('dir="auto"')
+
+
+def feed_units(h: str = "html") -> str:
+    """SQL: A10, the direct children of the page's feed."""
+    return let(f"get({elements(h, 'div', FEED)}, 0).html", lambda f: f"CASE WHEN {f} IS NULL THEN CAST(array() AS array<struct<pos:int,html:string>>) ELSE {elements(f, 'div', '{d} = 1')} END")
+
+
+def articles(h: str = "html") -> str:
+    """SQL: A10, every article element of the page, nested ones too."""
+    return elements(h, "div", ARTICLE)
+
+
+def own_markup(h: str = "html") -> str:
+    """SQL: a unit without its nested replies."""
+    return without(h, "div", ARTICLE)
 
 
 def visible_text(html) -> Column:
-    """Tags removed, block ends and ``<br>`` as line breaks, common entities decoded."""
+    """Line breaks at ``<br>`` and at the ends of blocks only, other tags removed, common entities decoded."""
     x = F.regexp_replace(col_(html), r"(?is)<script\b.*?</script>|<style\b.*?</style>", "")
-    x = F.regexp_replace(x, r"(?i)<br\s*/?>|</(?:div|p|li|h[1-6]|span|a|article|nav|ul)>", "\n")
+    x = F.regexp_replace(x, r"(?i)<br\s*/?>|</(?:div|p|li|h[1-6])>", "\n")
     x = F.regexp_replace(x, r"<[^>]*>", "")
     x = decode_entities(x)
     return F.regexp_replace(x, r"\n{3,}", "\n\n")
 
 
+def content_text(html) -> Column:
+    """All text of a node, as it stands in the markup."""
+    return decode_entities(F.regexp_replace(col_(html), r"<[^>]*>", ""))
+
+
+def _in_order(*arrays: str) -> Column:
+    """Elements of several searches in document order: array<string> of their markup."""
+    return F.transform(F.array_sort(F.concat(*[F.expr(a) for a in arrays])), lambda e: e["html"])
+
+
 def links(html) -> Column:
     """Ordered array of ``struct(href, txt)`` for every ``<a href=...>text</a>``."""
     h = col_(html)
@@ -128,57 +224,75 @@ def _node_count(nodes: Column, pattern: str) -> Column:
     return F.coalesce(F.translate(F.regexp_replace(val, r"\s+", ""), ARABIC_DIGITS, ASCII_DIGITS), F.lit(""))
 
 
-def anchored_counts(html) -> tuple[Column, Column]:
-    """Whole-node texts like ``8 comments`` (<= 25 chars), nested replies excluded."""
-    h = before_nested_article(html)
-    nodes = F.transform(F.regexp_extract_all(h, F.lit(r">([^<>]+)<"), 1),
-                        lambda t: py_strip(F.translate(decode_entities(t), BIDI_MARKS, "")))
+def anchored_counts(h: str = "html") -> tuple[Column, Column]:
+    """Span, link and button nodes whose whole text is a count (<= 25 chars), nested replies excluded."""
+    own = own_markup(h)
+    button = 'contains({t}, \'role="button"\') OR contains({t}, \'role="link"\')'
+    nodes = F.transform(_in_order(elements(own, "span", "true"), elements(own, "a", "true"), elements(own, "div", button)),
+                        lambda t: py_strip(F.translate(content_text(t), BIDI_MARKS, "")))
     return _node_count(nodes, NODE_COMMENTS), _node_count(nodes, NODE_SHARES)
 
 
-def engagement_counts(html) -> tuple[Column, Column]:
+def line_counts(h: str = "html") -> tuple[Column, Column]:
+    """C7 over a unit's own text."""
+    return engagement_from_lines(visible_text(F.expr(own_markup(h))))
+
+
+def engagement_counts(h: str = "html") -> tuple[Column, Column]:
     """Anchored counts, each field falling back to the line parser."""
-    ac, as_ = anchored_counts(html)
-    lc, ls = engagement_from_lines(visible_text(before_nested_article(html)))
-    return (F.when(ac != "", ac).otherwise(lc), F.when(as_ != "", as_).otherwise(ls))
+    (ac, as_), (lc, ls) = anchored_counts(h), line_counts(h)
+    return F.when(ac != "", ac).otherwise(lc), F.when(as_ != "", as_).otherwise(ls)
 
 
-def reaction_count(html) -> Column:
-    """First number inside an ``aria-label`` that mentions like/react (en/ar)."""
-    labels = F.regexp_extract_all(col_(html), F.lit(r'aria-label="([^"]*)"'), 1)
+def reaction_count(h: str = "html", fallback: bool = False) -> Column:
+    """First number inside an ``aria-label`` that mentions like/react (en/ar); with ``fallback``
+    (articles) else the first hidden span that is a bare number."""
+    labels = F.regexp_extract_all(F.expr(h), F.lit(r'aria-label="([^"]*)"'), 1)
     hit = F.filter(labels, lambda a: _any(F.lower(a), REACTION_WORDS) | _any(a, REACTION_WORDS_AR))
     nums = F.filter(F.transform(hit, lambda a: F.regexp_extract(a, REACTION_NUMBER, 1)), lambda v: v != "")
-    v = first(nums)
-    return F.coalesce(F.translate(F.replace(v, F.lit(" "), F.lit("")), ARABIC_DIGITS, ASCII_DIGITS), F.lit(""))
+    v = F.replace(first(nums), F.lit(" "), F.lit(""))
+    if fallback:
+        hidden = F.transform(F.expr(elements(h, "span", has('aria-hidden="true"'))), lambda e: py_strip(content_text(e["html"])))
+        v = F.coalesce(v, first(F.filter(hidden, lambda t: t.rlike(r"^[\d,٠-٩\.]+[KkMm]?$"))))
+    return F.coalesce(F.translate(v, ARABIC_DIGITS, ASCII_DIGITS), F.lit(""))
 
 
 # ---------------------------------------------------------------- C13, C17, C18
-def author_from_links(html) -> Column:
-    """Heading link first (3..59 chars, not a post link); else the first of 30 links passing the name rules."""
-    h = col_(html)
-    head = F.arrays_zip(
-        F.regexp_extract_all(h, F.lit(r'(?is)<h[23][^>]*>\s*<a\b[^>]*?href="([^"]*)"[^>]*>.*?</a>'), 1).alias("href"),
-        F.transform(F.regexp_extract_all(h, F.lit(r'(?is)<h[23][^>]*>\s*<a\b[^>]*?href="[^"]*"[^>]*>(.*?)</a>'), 1),
-                    lambda t: py_strip(decode_entities(F.regexp_replace(t, "<[^>]*>", "")))).alias("txt"))
+def _named(lk: Column, hosts: list[str]) -> Column:
+    ok = F.filter(lk, lambda l: (F.length(l["txt"]) > 2) & (F.length(l["txt"]) < 60)
+                  & ~_any(F.lower(l["txt"]), BAD_AUTHOR_WORDS)
+                  & ~l["href"].contains("/posts/") & ~l["href"].contains("/permalink.php")
+                  & ~l["txt"].contains("?") & ~l["txt"].contains(":")
+                  & _any(l["href"], hosts))
+    return first(ok)["txt"]
+
+
+def author_from_links(h: str = "html") -> Column:
+    """A link in a profile-name element or a heading (3..59 chars, not a post link); else the first
+    link of the unit that passes the name rules."""
+    name = has('data-ad-rendering-role="profile_name"')
+    heads = _in_order(elements(h, "div", name), elements(h, "span", name), elements(h, "h2", "true"), elements(h, "h3", "true"))
+    head = F.flatten(F.transform(heads, links))
     ok_head = F.filter(head, lambda l: (F.length(l["txt"]) > 2) & (F.length(l["txt"]) < 60) & ~l["href"].contains("/posts/"))
-    lk = F.slice(links(h), 1, AUTHOR_LINKS_LOOKED_AT)
-    ok_link = F.filter(lk, lambda l: (F.length(l["txt"]) > 2) & (F.length(l["txt"]) < 60)
-                       & ~_any(F.lower(l["txt"]), BAD_AUTHOR_WORDS)
-                       & ~l["href"].contains("/posts/") & ~l["href"].contains("/permalink.php")
-                       & ~l["txt"].contains("?") & ~l["txt"].contains(":")
-                       & _any(l["href"], AUTHOR_LINK_HOSTS))
-    return F.coalesce(first(ok_head)["txt"], first(ok_link)["txt"], F.lit(""))
+    return F.coalesce(first(ok_head)["txt"], _named(links(F.expr(h)), AUTHOR_LINK_HOSTS), F.lit(""))
+
+
+def article_author(h: str = "html") -> Column:
+    """C13 for article units: the first link that passes the name rules, with fewer hosts."""
+    return F.coalesce(_named(links(F.expr(h)), ARTICLE_AUTHOR_HOSTS), F.lit(""))
 
 
 def permalink(html, group_id: str) -> Column:
-    """C17: first clean post link; else the base of a comment link; else built from group + post id."""
+    """C17: first clean post link; else the first comment link that has a base or a post id."""
     lk = links(html)
     clean = first(F.filter(lk, lambda l: _is_post_link(l["href"])))["href"]
-    com = first(F.filter(lk, lambda l: _is_comment_link(l["href"])))["href"]
-    base = F.nullif(F.regexp_extract(com, r"^(https?://[^/]+/groups/[^/]+/posts/\d+/)", 1), F.lit(""))
-    pid = F.nullif(F.regexp_extract(com, r"/posts/(\d+)", 1), F.lit(""))
-    built = F.concat(F.lit(f"https://www.facebook.com/groups/{group_id}/posts/"), pid, F.lit("/"))
-    return F.coalesce(clean, base, built, F.lit(""))
+
+    def base(l):
+        pid = F.nullif(F.regexp_extract(l["href"], r"/posts/(\d+)", 1), F.lit(""))
+        built = F.concat(F.lit(f"https://www.facebook.com/groups/{group_id}/posts/"), pid, F.lit("/"))
+        return F.coalesce(F.nullif(F.regexp_extract(l["href"], COMMENT_BASE, 1), F.lit("")), built)
+    from_comment = first(F.filter(F.transform(F.filter(lk, lambda l: _is_comment_link(l["href"])), base), lambda u: u.isNotNull()))
+    return F.coalesce(clean, from_comment, F.lit(""))
 
 
 def time_label(html) -> Column:
@@ -197,15 +311,24 @@ def image_urls(html) -> Column:
 
 
 # ---------------------------------------------------------------- C20-C22, B6, B7
-def body_text(html) -> Column:
-    """C20: longest ``dir="auto"`` block (> 5 chars, first wins ties), else the whole unit text capped at 2000."""
-    h = before_nested_article(html)
-    blocks = F.transform(F.regexp_extract_all(h, F.lit(r'(?is)<div[^>]*dir="auto"[^>]*>(.*?)</div>'), 1),
-                         lambda b: py_strip(visible_text(b)))
-    cand = F.filter(blocks, lambda b: F.length(b) > BODY_MIN_CHARS)
-    best = F.aggregate(cand, F.lit(""), lambda acc, b: F.when(F.length(b) > F.length(acc), b).otherwise(acc))
-    whole = F.substring(py_strip(visible_text(h)), 1, BODY_FALLBACK_CAP)
-    return F.when(F.coalesce(best, F.lit("")) != "", best).otherwise(whole)
+def _longest(blocks: Column, over: int) -> Column:
+    """The longest text of more than ``over`` characters, the first of equals; '' without one."""
+    return F.aggregate(blocks, F.lit(""), lambda acc, b: F.when((F.length(b) > F.length(acc)) & (F.length(b) > over), b).otherwise(acc))
+
+
+def _texts(sql: str) -> Column:
+    return F.transform(F.expr(sql), lambda e: py_strip(visible_text(e["html"])))
+
+
+def body_text(h: str = "html") -> Column:
+    """C20: longest ``dir="auto"`` block (> 5 chars), else such a span, else the whole text of the unit without
+    its replies; a result under 10 characters gives way to a longer message block."""
+    own = own_markup(h)
+    block, span = _longest(_texts(elements(own, "div", AUTO)), BODY_MIN_CHARS), _longest(_texts(elements(own, "span", AUTO)), BODY_MIN_CHARS)
+    body = F.when(block != "", block).when(span != "", span).otherwise(py_strip(visible_text(F.expr(own))))
+    mark = " OR ".join(f"contains({{t}}, '{x}')" for x in MESSAGE_MARKS)
+    message = _longest(_texts(elements(h, "div", mark)), 0)
+    return F.when((F.length(body) < BODY_SHORT) & (F.length(message) > F.length(body)), message).otherwise(body)
 
 
 def is_comment(html) -> Column:
@@ -233,6 +356,11 @@ def harvested_post_ids(html) -> Column:
     return F.array_distinct(F.filter(F.transform(clean, lambda x: F.regexp_extract(x, r"/posts/(\d+)", 1)), lambda v: v != ""))
 
 
+def post_links(html) -> Column:
+    """Distinct clean ``/posts/`` links of a page, in order."""
+    return F.array_distinct(F.transform(F.filter(links(html), lambda l: l["href"].contains("/posts/") & ~l["href"].contains("comment_id=")), lambda l: l["href"]))
+
+
 def is_skeleton(html) -> Column:
     """Placeholder unit: under 1500 chars of HTML and no link."""
     return (F.length(col_(html)) < SKELETON_MAX_HTML) & ~col_(html).rlike(r"(?i)<a[\s>]")

@@ -1,4 +1,6 @@
-"""Saved pages -> feed units and the per-unit extractions."""
+"""Saved pages -> units, their single extractions, and posts.
+
+The oracles do not read markup: they know each unit by construction (``adapter.unit_markup``)."""
 
 from __future__ import annotations
 
@@ -6,242 +8,118 @@ from pyspark.sql import functions as F
 
 from threadsift.functions import html as H
 from threadsift.functions.identity import DEFAULT_GROUP_ID
+from threadsift.operators import dedup as DD
+from threadsift.plans import pages as PG
 from threadsift.plans import sqlgen as G
 from threadsift.plans.registry import register
-from threadsift.sources.adapter import decorated_pages
+from threadsift.sources import adapter as AD
+from threadsift.sources.adapter import decorated_pages, posts_from_tables
 from threadsift.sources.readers import page_units as _units
-from threadsift.functions.text import BIDI_MARKS
 
 
 def units(spark, sf):
     return _units(decorated_pages(spark, sf))
 
 
-# ------------------------------------------------------------ oracle helpers
-def _pages_sql() -> str:
-    k = "page_id % 4"
-    pid = "CAST(page_id AS VARCHAR)"
-    link = (f"CASE WHEN {k} = 0 THEN '<a href=\"https://example.org/groups/1/posts/' || {pid} || '/\">' || CAST(page_id % 23 + 1 AS VARCHAR) || 'h</a>' "
-            f"WHEN {k} = 1 THEN '<a href=\"https://example.org/groups/1/posts/' || {pid} || '/?comment_id=' || CAST(page_id + 7 AS VARCHAR) || '\">Reply</a>' "
-            f"WHEN {k} = 2 THEN '<a href=\"https://example.org/permalink.php?story_fbid=' || {pid} || '&amp;id=1\">2d</a>' ELSE '' END")
-    frag = (f"'<h2><a href=\"https://example.org/user/' || CAST(page_id % 30 AS VARCHAR) || '\">Member ' || CAST(page_id % 30 AS VARCHAR) || '</a></h2>' || "
-            f"{link} || '<span aria-label=\"' || CAST(page_id % 50 AS VARCHAR) || ' reactions\"></span>' || "
-            f"'<span>' || CAST(page_id % 9 AS VARCHAR) || ' comments</span>' || '<span>' || CAST(page_id % 5 AS VARCHAR) || ' shares</span>' || "
-            f"'<img src=\"https://scontent.example.fbcdn.net/v/p' || {pid} || '.jpg\">' || "
-            f"'<img src=\"https://static.example.fbcdn.net/rsrc.php/emoji.png\">' || "
-            f"CASE WHEN page_id % 3 = 0 THEN '<div dir=\"auto\">Post ' || {pid} || ' body<br>about ' || url || '</div>' || "
-            f"'<div dir=\"auto\">short</div>' ELSE '' END")
-    return (f"dpages AS (SELECT page_id, url, replace(html, '</article>', {frag} || '</article>') AS html FROM pages),\n"
-            "units AS (SELECT page_id, CAST(generate_subscripts(u, 1) - 1 AS INTEGER) AS unit_pos, unnest(u) AS html FROM "
-            "(SELECT page_id, regexp_extract_all(html, '(?is)(<article\\b.*?</article>|<div[^>]*role=\"article\".*?</div>)', 1) AS u FROM dpages))")
-
-
-WITH = "WITH " + _pages_sql()
-
-
-def decode(x: str) -> str:
-    for a, b in H.ENTITIES:
-        x = f"replace({x}, {G.q(a)}, {G.q(b)})"
-    return x
-
-
-def before_nested(h: str) -> str:
-    return f"regexp_replace({h}, '(?s)<div[^>]*role=\"article\".*$', '')"
-
-
-def visible(h: str) -> str:
-    x = f"regexp_replace({h}, '(?is)<script\\b.*?</script>|<style\\b.*?</style>', '', 'g')"
-    x = f"regexp_replace({x}, '(?i)<br\\s*/?>|</(?:div|p|li|h[1-6]|span|a|article|nav|ul)>', chr(10), 'g')"
-    x = f"regexp_replace({x}, '<[^>]*>', '', 'g')"
-    x = decode(x)
-    return f"regexp_replace({x}, '\\n{{3,}}', chr(10) || chr(10), 'g')"
-
-
-def links(h: str) -> str:
-    hrefs = f"list_transform(regexp_extract_all({h}, '(?is)<a\\b[^>]*?href=\"([^\"]*)\"[^>]*>.*?</a>', 1), lambda x: {decode('x')})"
-    txts = (f"list_transform(regexp_extract_all({h}, '(?is)<a\\b[^>]*?href=\"[^\"]*\"[^>]*>(.*?)</a>', 1), "
-            f"lambda t: {G.strip(decode(chr(114) + 'egexp_replace(t, ' + G.q('<[^>]*>') + ', ' + G.q('') + ', ' + G.q('g') + ')'))})")
-    return f"list_transform(range(1, len({hrefs}) + 1), lambda i: {{'href': ({hrefs})[i], 'txt': ({txts})[i]}})"
-
-
-def is_post_link(l: str) -> str:
-    return f"((contains({l}.href, '/posts/') OR contains({l}.href, '/permalink.php')) AND NOT contains({l}.href, 'comment_id='))"
-
-
-def any_sql(x: str, words: list[str]) -> str:
-    return "(" + " OR ".join(f"contains({x}, {G.q(w)})" for w in words) + ")"
-
-
-def first(lst: str) -> str:
-    return f"({lst})[1]"
-
-
-# ----------------------------------------------------------------- queries
-@register("page_units", WITH + "\nSELECT page_id, unit_pos, CAST(length(html) AS BIGINT) AS html_len, md5(html) AS html_md5 FROM units")
-def page_units(spark, sf):
-    """A10: pages cut into feed units with their position."""
-    u = units(spark, sf)
-    return u.select("page_id", "unit_pos", F.length("html").cast("long").alias("html_len"), F.md5("html").alias("html_md5"))
-
-
-@register("unit_filters", WITH + f"""
-SELECT page_id, unit_pos, length(html) < {H.SKELETON_MAX_HTML} AND NOT regexp_matches(html, '(?i)<a[\\s>]') AS skeleton,
-  length(html) >= {H.ARTICLE_MIN_HTML} AS big_enough FROM units""")
-def unit_filters(spark, sf):
-    """Skeleton units (small and link-less) and the article size floor."""
-    u = units(spark, sf)
-    return u.select("page_id", "unit_pos", H.is_skeleton(F.col("html")).alias("skeleton"), H.big_enough(F.col("html")).alias("big_enough"))
-
-
-def _line_count_sql(lines: str, pattern: str) -> str:
-    marks = "[" + BIDI_MARKS + "]"
-    clean = f"list_transform({lines}, lambda l: {G.strip(chr(114) + 'egexp_replace(' + G.strip('l') + ', ' + G.q('^' + marks + '+|' + marks + '+$') + ', ' + G.q('') + ', ' + G.q('g') + ')')})"
-    cand = (f"list_filter({clean}, lambda l: l <> '' AND length(l) <= {H.LINE_MAX_CHARS} AND regexp_matches(l, '^[0-9٠-٩]') "
-            f"AND NOT {any_sql('lower(l)', H.ENGAGEMENT_SKIP_WORDS)})")
-    pat = pattern.replace(r"[\d", "[0-9").replace(r"\d", "[0-9]")
-    got = f"list_filter(list_transform({cand}, lambda l: regexp_extract(l, {G.q(pat)}, 1)), lambda v: v <> '')"
-    v = f"regexp_replace(replace({first(got)}, ' ', ''), '[.,]+$', '')"
-    return f"coalesce({G.ascii_digits(v)}, '')"
-
-
-LINES = f"string_split({visible(before_nested('html'))}, chr(10))"
-
-
-@register("engagement_lines", WITH + f"""
-SELECT page_id, unit_pos, {_line_count_sql(LINES, H.LINE_COMMENTS)} AS comments, {_line_count_sql(LINES, H.LINE_SHARES)} AS shares FROM units""")
-def engagement_lines(spark, sf):
-    """Comment / share counts from short number-leading lines of the visible text."""
-    u = units(spark, sf)
-    c, s = H.engagement_from_lines(H.visible_text(H.before_nested_article(F.col("html"))))
-    return u.select("page_id", "unit_pos", c.alias("comments"), s.alias("shares"))
-
-
-def _node_sql(pattern: str) -> str:
-    nodes = (f"list_transform(regexp_extract_all({before_nested('html')}, '>([^<>]+)<', 1), "
-             f"lambda t: {G.strip('translate(' + decode('t') + ', ' + G.q(BIDI_MARKS) + ', ' + G.q('') + ')')})")
-    cand = f"list_filter({nodes}, lambda t: t <> '' AND length(t) <= {H.NODE_MAX_CHARS})"
-    got = f"list_filter(list_transform({cand}, lambda t: regexp_extract(t, {G.q('(?i)' + pattern)}, 1)), lambda v: v <> '')"
-    return f"coalesce({G.ascii_digits(chr(114) + 'egexp_replace(' + first(got) + ', ' + G.q(chr(92) + 's+') + ', ' + G.q('') + ', ' + G.q('g') + ')')}, '')"
-
-
-@register("anchored_counts", WITH + f"""
-SELECT page_id, unit_pos, {_node_sql(H.NODE_COMMENTS)} AS comments, {_node_sql(H.NODE_SHARES)} AS shares FROM units""")
-def anchored_counts(spark, sf):
-    """Whole-node count texts ('8 comments'), nested replies excluded."""
-    u = units(spark, sf)
-    c, s = H.anchored_counts(F.col("html"))
-    return u.select("page_id", "unit_pos", c.alias("comments"), s.alias("shares"))
-
-
-@register("engagement_fallback", WITH + f"""
-, x AS (SELECT page_id, unit_pos, {_node_sql(H.NODE_COMMENTS)} AS ac, {_node_sql(H.NODE_SHARES)} AS as_,
-  {_line_count_sql(LINES, H.LINE_COMMENTS)} AS lc, {_line_count_sql(LINES, H.LINE_SHARES)} AS ls FROM units)
-SELECT page_id, unit_pos, CASE WHEN ac <> '' THEN ac ELSE lc END AS comments, CASE WHEN as_ <> '' THEN as_ ELSE ls END AS shares FROM x""")
-def engagement_fallback(spark, sf):
-    """Anchored counts with the line parser as per-field fallback."""
-    u = units(spark, sf)
-    c, s = H.engagement_counts(F.col("html"))
-    return u.select("page_id", "unit_pos", c.alias("comments"), s.alias("shares"))
-
-
-@register("reaction_label", WITH + f"""
-, x AS (SELECT page_id, unit_pos, list_filter(list_transform(list_filter(regexp_extract_all(html, 'aria-label="([^"]*)"', 1),
-    lambda a: {any_sql('lower(a)', H.REACTION_WORDS)} OR {any_sql('a', H.REACTION_WORDS_AR)}),
-    lambda a: regexp_extract(a, '([0-9,٠-٩.]+\\s*[KkMm]?)', 1)), lambda v: v <> '') AS nums FROM units)
-SELECT page_id, unit_pos, coalesce({G.ascii_digits("replace(nums[1], ' ', '')")}, '') AS likes FROM x""")
-def reaction_label(spark, sf):
-    """Reaction count from like/react labels."""
-    u = units(spark, sf)
-    return u.select("page_id", "unit_pos", H.reaction_count(F.col("html")).alias("likes"))
-
-
-_HEAD_H = "regexp_extract_all(html, '(?is)<h[23][^>]*>\\s*<a\\b[^>]*?href=\"([^\"]*)\"[^>]*>.*?</a>', 1)"
-_HEAD_T = (f"list_transform(regexp_extract_all(html, '(?is)<h[23][^>]*>\\s*<a\\b[^>]*?href=\"[^\"]*\"[^>]*>(.*?)</a>', 1), "
-           f"lambda t: {G.strip(decode(chr(114) + 'egexp_replace(t, ' + G.q('<[^>]*>') + ', ' + G.q('') + ', ' + G.q('g') + ')'))})")
-
-
-@register("author_from_links", WITH + f"""
-, x AS (SELECT page_id, unit_pos,
-  list_filter(list_transform(range(1, len({_HEAD_H}) + 1), lambda i: {{'href': ({_HEAD_H})[i], 'txt': ({_HEAD_T})[i]}}),
-    lambda l: length(l.txt) > 2 AND length(l.txt) < 60 AND NOT contains(l.href, '/posts/')) AS head,
-  list_filter(({links('html')})[1:{H.AUTHOR_LINKS_LOOKED_AT}], lambda l: length(l.txt) > 2 AND length(l.txt) < 60
-    AND NOT {any_sql('lower(l.txt)', H.BAD_AUTHOR_WORDS)} AND NOT contains(l.href, '/posts/') AND NOT contains(l.href, '/permalink.php')
-    AND NOT contains(l.txt, '?') AND NOT contains(l.txt, ':') AND {any_sql('l.href', H.AUTHOR_LINK_HOSTS)}) AS ok FROM units)
-SELECT page_id, unit_pos, coalesce(head[1].txt, ok[1].txt, '') AS author FROM x""")
-def author_from_links(spark, sf):
-    """Author from the heading link, else from the first 30 links by the name rules."""
-    u = units(spark, sf)
-    return u.select("page_id", "unit_pos", H.author_from_links(F.col("html")).alias("author"))
-
-
-@register("permalink", WITH + f"""
-, x AS (SELECT page_id, unit_pos, list_filter({links('html')}, lambda l: {is_post_link('l')})[1].href AS clean,
-  list_filter({links('html')}, lambda l: contains(l.href, '/posts/') AND contains(l.href, 'comment_id='))[1].href AS com FROM units)
-SELECT page_id, unit_pos, coalesce(clean, nullif(regexp_extract(com, '^(https?://[^/]+/groups/[^/]+/posts/[0-9]+/)', 1), ''),
-  'https://www.facebook.com/groups/{DEFAULT_GROUP_ID}/posts/' || nullif(regexp_extract(com, '/posts/([0-9]+)', 1), '') || '/', '') AS url FROM x""")
-def permalink(spark, sf):
-    """C17: permalink choice (clean link, comment-link base, or built from group + post id)."""
-    u = units(spark, sf)
-    return u.select("page_id", "unit_pos", H.permalink(F.col("html"), DEFAULT_GROUP_ID).alias("url"))
-
-
-@register("time_label", WITH + f"""
-, x AS (SELECT page_id, unit_pos, list_filter({links('html')}, lambda l: {is_post_link('l')})[1].txt AS t FROM units)
-SELECT page_id, unit_pos, CASE WHEN length(t) > 0 AND length(t) < {H.TIMESTAMP_MAX_CHARS} AND NOT {any_sql('lower(t)', H.TIMESTAMP_BAD_WORDS)}
-  THEN t ELSE '' END AS "timestamp" FROM x""")
-def time_label(spark, sf):
-    """Visible time label of the post link."""
-    u = units(spark, sf)
-    return u.select("page_id", "unit_pos", H.time_label(F.col("html")).alias("timestamp"))
-
-
-@register("image_urls", WITH + f"""
-, x AS (SELECT page_id, unit_pos, list_filter(list_transform(regexp_extract_all(html, '(?i)<img\\b[^>]*?src="([^"]*)"', 1), lambda s: {decode('s')}),
-  lambda s: contains(s, '{H.IMAGE_HOST_MARK}') AND NOT {any_sql('s', H.IMAGE_EXCLUDE)} AND contains(s, '{H.IMAGE_CDN_MARK}')) AS l FROM units)
-SELECT page_id, unit_pos, array_to_string(list_filter(list_transform(range(1, len(l) + 1), lambda i: CASE WHEN list_position(l, l[i]) = i THEN l[i] END),
-  lambda v: v IS NOT NULL), '|') AS images FROM x""")
-def image_urls(spark, sf):
-    """Kept image URLs in order, distinct."""
-    u = units(spark, sf)
-    return u.select("page_id", "unit_pos", F.array_join(H.image_urls(F.col("html")), "|").alias("images"))
-
-
-_BLOCKS = (f"list_filter(list_transform(regexp_extract_all({before_nested('html')}, '(?is)<div[^>]*dir=\"auto\"[^>]*>(.*?)</div>', 1), "
-           f"lambda b: {G.strip(visible('b'))}), lambda b: length(b) > {H.BODY_MIN_CHARS})")
-
-
-@register("body_text", WITH + f"""
-, x AS (SELECT page_id, unit_pos, html, {_BLOCKS} AS cand FROM units)
-SELECT page_id, unit_pos, CASE WHEN len(cand) > 0
-  THEN list_reduce(cand, lambda a, b: CASE WHEN length(b) > length(a) THEN b ELSE a END)
-  ELSE substr({G.strip(visible(before_nested('html')))}, 1, {H.BODY_FALLBACK_CAP}) END AS text FROM x""")
-def body_text(spark, sf):
-    """C20: body text of a unit (longest dir=auto block, else the capped unit text)."""
-    u = units(spark, sf)
-    return u.select("page_id", "unit_pos", H.body_text(F.col("html")).alias("text"))
-
-
-@register("post_or_comment", WITH + f"""
-, x AS (SELECT page_id, unit_pos, html, {visible('html')} AS txt,
-  len(list_filter({links('html')}, lambda l: {is_post_link('l')})) > 0 AS has_post,
-  len(list_filter({links('html')}, lambda l: (contains(l.href, '/posts/') OR contains(l.href, '/permalink.php')) AND contains(l.href, 'comment_id='))) > 0 AS has_com
-  FROM units)
-SELECT page_id, unit_pos, CASE WHEN has_post THEN false WHEN has_com THEN true WHEN length(html) < {H.COMMENT_MAX_HTML} THEN true
-  WHEN (regexp_matches(txt, '\\bReply\\b') OR regexp_matches(txt, 'ردّ?\\b')) AND NOT (regexp_matches(txt, '\\bComment\\b') OR contains(txt, 'تعليق')) THEN true
-  WHEN (regexp_matches(txt, '\\bComment\\b') OR contains(txt, 'تعليق')) AND length(html) > {H.POST_MIN_HTML} THEN false
-  ELSE false END AS is_comment FROM x""")
-def post_or_comment(spark, sf):
-    """Post-vs-comment classification of article units."""
-    u = units(spark, sf)
-    return u.select("page_id", "unit_pos", H.is_comment(F.col("html")).alias("is_comment"))
-
-
-@register("permalink_harvest", WITH + f"""
-, x AS (SELECT page_id, list_filter(list_transform(list_filter(list_transform(regexp_extract_all(html, '(?i)<a\\b[^>]*?href="([^"]*)"', 1),
-    lambda h: {decode('h')}), lambda h: contains(h, '/posts/') AND NOT contains(h, 'comment_id=')),
-    lambda h: regexp_extract(h, '/posts/([0-9]+)', 1)), lambda v: v <> '') AS ids FROM dpages)
-SELECT DISTINCT page_id, unnest(ids) AS post_id FROM x""")
+# ------------------------------------------------------------ the units by construction
+U = f"""fu AS (SELECT page_id, unnest(range(0, {AD.FEED_SIZE})) AS j FROM pages),
+feed AS (SELECT page_id, 'feed' AS kind, CAST(j AS INTEGER) AS unit_pos, CAST(page_id * 10 + j AS BIGINT) AS u, CASE WHEN page_id % 5 = 2 AND j = 1 THEN 'skeleton' ELSE 'post' END AS what FROM fu),
+reply AS (SELECT page_id, 'article' AS kind, CAST(row_number() OVER (PARTITION BY page_id ORDER BY unit_pos) - 1 AS INTEGER) AS unit_pos, u, 'reply' AS what FROM feed WHERE what = 'post'),
+art AS (SELECT page_id, 'article' AS kind, CAST((SELECT count(*) FROM reply r WHERE r.page_id = p.page_id) AS INTEGER) AS unit_pos, CAST({AD.ARTICLE_UNIT} AS BIGINT) AS u, 'article' AS what FROM pages p WHERE page_id % 5 IN (2, 3)),
+un0 AS (SELECT * FROM feed UNION ALL SELECT * FROM reply UNION ALL SELECT * FROM art),
+un AS (SELECT *, what IN ('post', 'article') AS full_, CASE WHEN what IN ('post', 'article') THEN {AD.LINK_KIND} END AS lk,
+  CASE what WHEN 'post' THEN {AD.unit_markup(False)} WHEN 'article' THEN {AD.unit_markup(True)} WHEN 'skeleton' THEN {AD.SKELETON} ELSE '{AD.REPLY}' END AS html FROM un0)"""
+WITH = "WITH " + U
+ID = "page_id, kind, unit_pos"
+S = "CAST(u AS VARCHAR)"
+BODY = (f"CASE what WHEN 'skeleton' THEN 'Loading ' || {S} WHEN 'reply' THEN 'A much longer reply, which must not be taken for the body of the post above it' ELSE "
+        f"CASE u % 3 WHEN 0 THEN 'Body ' || {S} || ' first' || chr(10) || 'second bold & wide' WHEN 1 THEN 'Span body ' || {S} || ' here' ELSE 'Message body ' || {S} || chr(10) || 'line two' END END")
+MEMBER = "CASE WHEN full_ THEN 'Member ' || CAST(u % 30 AS VARCHAR) ELSE '' END"
+# article units know links to the host or to profile.php only
+AUTHOR = f"CASE WHEN kind = 'feed' OR u % 2 = 1 THEN {MEMBER} ELSE '' END"
+POST_URL = f"'https://example.org/groups/1/posts/' || {S} || '/'"
+URL = f"CASE WHEN lk IN (0, 1) THEN {POST_URL} WHEN lk = 2 THEN 'https://example.org/permalink.php?story_fbid=' || {S} || '&id=1' ELSE '' END"
+TIME = "CASE lk WHEN 0 THEN CAST(u % 23 + 1 AS VARCHAR) || 'h' WHEN 2 THEN '2d' ELSE '' END"
+LIKES = "CASE WHEN full_ THEN CAST(u % 50 AS VARCHAR) ELSE '' END"
+COMMENTS = "CASE WHEN full_ THEN CAST(u % 9 AS VARCHAR) WHEN what = 'reply' THEN '77' ELSE '' END"
+SHARES = "CASE WHEN full_ THEN CAST(u % 5 AS VARCHAR) ELSE '' END"
+IMAGE = f"CASE WHEN full_ THEN 'https://scontent.example.fbcdn.net/v/p' || {S} || '.jpg' ELSE '' END"
+
+
+def _one(name: str, sql: str, doc: str, *cols):
+    """Register a query of one extraction per unit."""
+    def run(spark, sf):
+        return units(spark, sf).select("page_id", "kind", "unit_pos", *[c().alias(n) for n, c in cols])
+    run.__doc__ = doc
+    register(name, f"{WITH}\nSELECT {ID}, {sql} FROM un")(run)
+
+
+_one("page_units", "CAST(length(html) AS BIGINT) AS html_len, md5(html) AS html_md5", "A10: feed units and article elements of a page, cut by depth.",
+     ("html_len", lambda: F.length("html").cast("long")), ("html_md5", lambda: F.md5("html")))
+_one("unit_filters", "NOT full_ AS skeleton, what = 'article' AS big_enough", "B6/B7: skeleton units (small and link-less) and the article size floor.",
+     ("skeleton", lambda: H.is_skeleton(F.col("html"))), ("big_enough", lambda: H.big_enough(F.col("html"))))
+_one("engagement_lines", f"CASE WHEN full_ THEN '99' WHEN what = 'reply' THEN '77' ELSE '' END AS comments, {SHARES} AS shares",
+     "C7: counts from short number-leading lines of the unit's own text.",
+     ("comments", lambda: H.line_counts()[0]), ("shares", lambda: H.line_counts()[1]))
+_one("anchored_counts", f"{COMMENTS} AS comments, {SHARES} AS shares", "C8: whole-node count texts ('8 comments'), nested replies excluded.",
+     ("comments", lambda: H.anchored_counts()[0]), ("shares", lambda: H.anchored_counts()[1]))
+_one("engagement_fallback", f"{COMMENTS} AS comments, {SHARES} AS shares", "C9: anchored counts with the line parser as per-field fallback.",
+     ("comments", lambda: H.engagement_counts()[0]), ("shares", lambda: H.engagement_counts()[1]))
+_one("reaction_label", f"CASE WHEN what = 'article' AND u % 2 = 1 THEN '' ELSE {LIKES} END AS likes, {LIKES} AS likes_or_hidden",
+     "C10: reaction count from like/react labels, and with the hidden bare number as fallback.",
+     ("likes", lambda: H.reaction_count()), ("likes_or_hidden", lambda: H.reaction_count(fallback=True)))
+_one("author_from_links", f"{MEMBER} AS author, CASE WHEN full_ AND u % 2 = 1 THEN {MEMBER} ELSE '' END AS article_author", "C13: author from profile name, heading or named link.",
+     ("author", lambda: H.author_from_links()), ("article_author", lambda: H.article_author()))
+_one("permalink", f"{URL} AS url", "C17: permalink choice (clean link, first comment link with a base or id).",
+     ("url", lambda: H.permalink(F.col("html"), DEFAULT_GROUP_ID)))
+_one("time_label", f'{TIME} AS "timestamp"', "C18: visible time label of the post link.", ("timestamp", lambda: H.time_label(F.col("html"))))
+_one("image_urls", f"{IMAGE} AS images", "C19: kept image URLs in order, distinct.", ("images", lambda: F.array_join(H.image_urls(F.col("html")), "|")))
+_one("body_text", f"{BODY} AS text", "C20: body text of a unit (block, span, message or whole text).", ("text", lambda: H.body_text()))
+_one("post_or_comment", "NOT coalesce(lk IN (0, 2), false) AS is_comment", "C21: post-vs-comment classification.", ("is_comment", lambda: H.is_comment(F.col("html"))))
+
+
+CLEAN_LINKS = f"""cl AS (SELECT page_id, u FROM un WHERE lk = 0 UNION ALL SELECT page_id, page_id * 10 FROM pages WHERE page_id % 5 = 4)"""
+
+
+@register("permalink_harvest", f"{WITH}, {CLEAN_LINKS}\nSELECT DISTINCT page_id, {S} AS post_id FROM cl")
 def permalink_harvest(spark, sf):
     """Distinct post ids per page from its clean post links."""
     p = decorated_pages(spark, sf)
     return p.select("page_id", F.explode(H.harvested_post_ids(F.col("html"))).alias("post_id")).distinct()
+
+
+@register("id_pre_dedup", f"""WITH {G.posts_cte()}, {U}
+, i AS (SELECT {ID}, CASE WHEN lk = 0 THEN {S} END AS post_id FROM un),
+seen AS (SELECT DISTINCT nullif(regexp_extract(url, '/posts/([0-9]+)', 1), '') AS post_id FROM posts)
+SELECT {ID}, post_id FROM i WHERE post_id IS NULL OR post_id NOT IN (SELECT post_id FROM seen WHERE post_id IS NOT NULL)""")
+def id_pre_dedup(spark, sf):
+    """Units whose clean post id is already stored are skipped before extraction."""
+    u = units(spark, sf).select("page_id", "kind", "unit_pos", H.first(H.harvested_post_ids(F.col("html"))).alias("post_id"))
+    return DD.not_seen_ids(u, posts_from_tables(spark, sf)).select("page_id", "kind", "unit_pos", "post_id")
+
+
+GUESS = f"CASE WHEN {AUTHOR} <> '' THEN {AUTHOR} WHEN what = 'reply' THEN '' ELSE split_part({BODY}, chr(10), 1) END"
+POSTS = f"""pp AS (SELECT {ID}, what, u, lk, {BODY} AS body, {GUESS} AS author, {TIME} AS "timestamp", {URL} AS url,
+  CASE WHEN kind = 'feed' OR u % 2 = 1 OR what = 'article' THEN {LIKES} ELSE '' END AS likes, {COMMENTS} AS comments, {SHARES} AS shares, {IMAGE} AS images FROM un),
+po AS (SELECT *, CASE WHEN author <> '' AND starts_with(body, author || chr(10)) THEN substr(body, length(author) + 2) ELSE body END AS text FROM pp)"""
+
+
+@register("page_posts", f"""{WITH}, {POSTS}
+SELECT {ID}, text, author, "timestamp", url, likes, comments, shares, images, false AS is_video, false AS is_share FROM po WHERE what IN ('post', 'article')""")
+def page_posts(spark, sf):
+    """From a page's units to posts: every extraction chained; skeletons and replies left out by B6 and B7."""
+    h = F.col("html")
+    u = PG.stored(units(spark, sf), "units").filter(F.when(F.col("kind") == "feed", ~H.is_skeleton(h)).otherwise(H.big_enough(h)))
+    return PG.posts_from_units(u).withColumn("images", F.array_join("images", "|"))
+
+
+@register("strategy_union", f"""{WITH}, {POSTS}, {CLEAN_LINKS},
+nf AS (SELECT page_id FROM pages WHERE page_id NOT IN (SELECT page_id FROM un WHERE what = 'post')),
+ln AS (SELECT page_id, u, CAST(row_number() OVER (PARTITION BY page_id ORDER BY u) - 1 AS INTEGER) AS unit_pos FROM cl JOIN nf USING (page_id)),
+c AS (SELECT CASE WHEN what = 'post' THEN 0 ELSE 2 END AS strategy, page_id, unit_pos, {G.dedup_key('url', 'text')} AS key FROM po WHERE what = 'post' OR (what = 'article' AND lk IN (0, 2))
+  UNION ALL SELECT 1, page_id, unit_pos, {POST_URL} FROM ln)
+SELECT key, strategy, page_id, unit_pos FROM c QUALIFY row_number() OVER (PARTITION BY key ORDER BY strategy, page_id, unit_pos) = 1""")
+def strategy_union(spark, sf):
+    """E5: priority union of feed units, link-found posts (only for pages without feed units)
+    and the article supplement without comments; first strategy wins per key."""
+    return PG.strategy_union(decorated_pages(spark, sf), units(spark, sf))

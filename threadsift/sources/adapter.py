@@ -99,32 +99,59 @@ def posts_from_tables(spark: SparkSession, sf_dir: str, with_counts: bool = Fals
     )
 
 
+# ---------------------------------------------------------------- pages
+# The markup below is SQL that Spark and DuckDB read alike, so that the oracle knows every unit by
+# construction.  ``u`` numbers a unit: page_id * 10 + place.
+def _s(x: str) -> str:
+    return f"CAST({x} AS STRING)"
+
+
+REPLY = ('<div dir="auto">A much longer reply, which must not be taken for the body of the post above it</div>'
+         "<span>77 comments</span>")
+LINK_KIND = "((u // 10 + u % 10) % 4)"
+
+
+def unit_markup(article: bool) -> str:
+    """SQL over ``u``: the inner markup of a unit.  Links by LINK_KIND: a clean post link, a useless comment link
+    before a good one, permalink.php, none.  Bodies by u % 3: nested blocks, a span, a short block beside a message."""
+    u, n = _s("u"), _s("u % 30")
+    head = (f"""CASE WHEN u % 2 = 0 THEN '<h2><span><a href="https://example.org/user/' || {n} || '">Member ' || {n} || '</a></span></h2>' """
+            f"""ELSE '<div data-ad-rendering-role="profile_name"><a href="https://www.facebook.com/user/' || {n} || '">Member ' || {n} || '</a></div>' END""")
+    link = (f"""CASE {LINK_KIND} WHEN 0 THEN '<a href="https://example.org/groups/1/posts/' || {u} || '/">' || {_s("u % 23 + 1")} || 'h</a>' """
+            f"""WHEN 1 THEN '<a href="https://example.org/posts/x?comment_id=1">r</a><a href="https://example.org/groups/1/posts/' || {u} || '/?comment_id=7">Reply</a>' """
+            f"""WHEN 2 THEN '<a href="https://example.org/permalink.php?story_fbid=' || {u} || '&amp;id=1">2d</a>' ELSE '' END""")
+    body = (f"""CASE u % 3 WHEN 0 THEN '<div dir="auto"><div>Body ' || {u} || ' first</div><div>second <b>bold</b> &amp; <i>wide</i></div></div><div dir="auto">short</div>' """
+            f"""WHEN 1 THEN '<div><span dir="auto">Span body <b>' || {u} || '</b> here</span></div>' """
+            f"""ELSE '<div dir="auto">short1</div><div data-ad-preview="message">Message body ' || {u} || '<br>line two</div>' END""")
+    likes = f"""'<span aria-label="' || {_s("u % 50")} || ' reactions"></span>'"""
+    if article:
+        likes = f"""CASE WHEN u % 2 = 1 THEN '<div><span aria-hidden="true">' || {_s("u % 50")} || '</span></div>' ELSE {likes} END"""
+    counts = f"""'<p>99 comments</p><span><b>' || {_s("u % 9")} || '</b> comments</span><div role="button"><span>' || {_s("u % 5")} || ' shares</span></div>'"""
+    images = f"""'<img src="https://scontent.example.fbcdn.net/v/p' || {u} || '.jpg"><img src="https://static.example.fbcdn.net/rsrc.php/emoji.png">'"""
+    tail = f"""'<div data-f="' || repeat('x', 2100) || '"></div>'""" if article else f"""'<div role="article">{REPLY}</div>'"""
+    return " || ".join([head, link, body, likes, counts, images, tail])
+
+
+SKELETON = f"""'<div class="s">Loading ' || {_s("u")} || '</div>'"""
+#: by page_id % 5: 0 and 1 a feed of one or two units; 2 a feed whose second unit is a skeleton, and an article;
+#: 3 an article that repeats the first unit of the feed three pages before; 4 a link alone
+FEED_SIZE = "CASE WHEN page_id % 5 < 2 THEN 1 + page_id % 2 WHEN page_id % 5 = 2 THEN 2 ELSE 0 END"
+ARTICLE_UNIT = "CASE page_id % 5 WHEN 2 THEN page_id * 10 + 9 WHEN 3 THEN (page_id - 3) * 10 END"
+
+
 def decorated_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages with a deterministic fragment inside the article, by ``page_id % 4``:
-    a clean post link, a comment-only link, a ``permalink.php`` link, or no link;
-    plus a reactions label, comment/share count nodes, an author link, two images.
+    """Pages with a feed, articles and links after their own markup, of shapes by page_id (see FEED_SIZE).
     Pages are dealt by page_id, since cutting markup is far more work than moving it."""
     p = table(spark, sf_dir, "pages").select("page_id", "url", "html").repartition("page_id")
-    pid = F.col("page_id").cast("string")
-    k = F.col("page_id") % 4
-    link = (F.when(k == 0, F.concat(F.lit('<a href="https://example.org/groups/1/posts/'), pid, F.lit('/">'),
-                                    (F.col("page_id") % 23 + 1).cast("string"), F.lit("h</a>")))
-            .when(k == 1, F.concat(F.lit('<a href="https://example.org/groups/1/posts/'), pid,
-                                   F.lit('/?comment_id='), (F.col("page_id") + 7).cast("string"), F.lit('">Reply</a>')))
-            .when(k == 2, F.concat(F.lit('<a href="https://example.org/permalink.php?story_fbid='), pid,
-                                   F.lit('&amp;id=1">2d</a>')))
-            .otherwise(F.lit("")))
-    frag = F.concat(
-        F.lit('<h2><a href="https://example.org/user/'), (F.col("page_id") % 30).cast("string"), F.lit('">Member '),
-        (F.col("page_id") % 30).cast("string"), F.lit("</a></h2>"),
-        link,
-        F.lit('<span aria-label="'), (F.col("page_id") % 50).cast("string"), F.lit(' reactions"></span>'),
-        F.lit("<span>"), (F.col("page_id") % 9).cast("string"), F.lit(" comments</span>"),
-        F.lit("<span>"), (F.col("page_id") % 5).cast("string"), F.lit(" shares</span>"),
-        F.lit('<img src="https://scontent.example.fbcdn.net/v/p'), pid, F.lit('.jpg">'),
-        F.lit('<img src="https://static.example.fbcdn.net/rsrc.php/emoji.png">'),
-        F.when(F.col("page_id") % 3 == 0, F.concat(
-            F.lit('<div dir="auto">Post '), pid, F.lit(" body<br>about "), F.col("url"), F.lit("</div>"),
-            F.lit('<div dir="auto">short</div>'))).otherwise(F.lit("")),
-    )
-    return p.select("page_id", "url", F.regexp_replace("html", "</article>", F.concat(frag, F.lit("</article>"))).alias("html"))
+
+    def sql(x: str) -> str:
+        return x.replace("//", "div").replace("https:div", "https://")
+
+    def at(markup: str, unit: str) -> str:
+        return f"element_at(transform(array({unit}), u -> {markup}), 1)"
+    unit = f"CASE WHEN page_id % 5 = 2 AND j = 1 THEN {at(SKELETON, 'page_id * 10 + j')} ELSE {at(unit_markup(False), 'page_id * 10 + j')} END"
+    feed = (f"CASE WHEN ({FEED_SIZE}) > 0 THEN '<div role=\"feed\">' || array_join(transform(sequence(0, greatest(({FEED_SIZE}) - 1, 0)), "
+            f"j -> '<div class=\"u\">' || {unit} || '</div>'), '') || '</div>' ELSE '' END")
+    art = f"CASE WHEN page_id % 5 IN (2, 3) THEN '<div role=\"article\">' || {at(unit_markup(True), ARTICLE_UNIT)} || '</div>' ELSE '' END"
+    link = f"CASE WHEN page_id % 5 = 4 THEN '<p>see <a href=\"https://example.org/groups/1/posts/' || {_s('page_id * 10')} || '/\">post</a></p>' ELSE '' END"
+    return p.select("page_id", "url", F.expr(f"html || {sql(feed)} || {sql(art)} || {link}").alias("html"))

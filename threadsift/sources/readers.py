@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threadsift import schema as S
+from threadsift.functions.html import articles, feed_units
 from threadsift.functions.text import py_strip
 
 
@@ -105,14 +106,9 @@ def with_defaults(df: DataFrame, defaults: dict) -> DataFrame:
     return df.withColumns({k: F.coalesce(F.col(k), F.lit(v)) for k, v in defaults.items() if k in df.columns})
 
 
-# Unit markers used to cut saved pages into feed units (A10). Pages from the
-# driver carry <article> blocks; rendered feeds use role="article".
-UNIT_REGEX = r"(?is)(<article\b.*?</article>|<div[^>]*role=\"article\".*?</div>)"
-
-
-def page_units(pages: DataFrame, kind: str = "feed") -> DataFrame:
-    """A10: cut each page into units with their position (``posexplode`` of all matches)."""
-    return (pages.select("page_id", F.posexplode(F.regexp_extract_all("html", F.lit(UNIT_REGEX), 1)).alias("unit_pos", "html"))
-            .withColumn("unit_pos", F.col("unit_pos").cast("int"))
-            .withColumn("kind", F.lit(kind))
-            .select("page_id", "unit_pos", "kind", "html"))
+def page_units(pages: DataFrame) -> DataFrame:
+    """A10: the feed units (direct children of ``role="feed"``) and the article elements of each page, with
+    their position among their kind and their inner markup."""
+    parts = [pages.select("page_id", F.lit(kind).alias("kind"), F.posexplode(F.expr(cut)).alias("unit_pos", "u"))
+             for kind, cut in (("feed", feed_units()), ("article", articles()))]
+    return parts[0].unionByName(parts[1]).select("page_id", F.col("unit_pos").cast("int").alias("unit_pos"), "kind", F.col("u.html").alias("html"))
