@@ -30,7 +30,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 4: the document of smallest doc_id of each group stays (and rows without doc_id)."""
     bounded_batches(spark)
     groups = setsketch.near_groups(docs, SHINGLE, NUM, DEN)
-    gone = groups.filter(~F.col("kept")).select("doc_id").distinct()
+    gone = written(groups.filter(~F.col("kept")).select("doc_id").distinct(), "near-copies")
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
 

@@ -44,34 +44,54 @@ def targets(sizes: DataFrame, weights=WEIGHTS, factor: float = FACTOR, cap: int
             F.least(F.coalesce("level", F.lit(0.0)) * F.col("w"), F.col("most").cast("double")).alias("target")))
 
 
-def _taken(docs: DataFrame, keep: list[str], weights=WEIGHTS, factor: float = FACTOR, cap: int = CAP) -> DataFrame:
-    """The ``keep`` columns as k_<name>, with size, source_size, target and taken."""
+def _keyed(docs: DataFrame) -> DataFrame:
+    """The columns that order a source's documents: doc_id, source, size, key and tie."""
     text = F.coalesce("text", F.lit(""))
-    d = docs.select(*[F.col(c).alias(f"k_{c}") for c in keep], F.col("doc_id").alias("doc_id"), F.col("source").alias("source"),
-                    F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"),
-                    F.md5(F.concat(F.lit(SEED), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))).alias("key"),
-                    F.md5(text).alias("tie"))
-    d = running_sum(d, [F.col("source").asc_nulls_last(), F.col("key"), F.col("doc_id"), F.col("size"), F.col("tie")], F.col("size"), "before", ["source"])
-    d = written(d, "keyed")
+    return docs.select(F.col("doc_id").alias("doc_id"), F.col("source").alias("source"),
+                       F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"),
+                       F.md5(F.concat(F.lit(SEED), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))).alias("key"),
+                       F.md5(text).alias("tie"), *[c for c in docs.columns if c.startswith("k_")])
+
+
+def _placed(d: DataFrame, more: list[str], weights=WEIGHTS, factor: float = FACTOR, cap: int = CAP) -> DataFrame:
+    """d with source_size, target, before (words of the source before the row), epochs (whole ones)
+    and rest (words of the target beyond them)."""
+    order = [F.col("source").asc_nulls_last(), *[F.col(c) for c in ("key", "doc_id", "size", "tie", *more)]]
+    d = written(running_sum(d, order, F.col("size"), "before", ["source"]), "keyed")
     t = targets(d.select("source", "size"), weights, factor, cap).withColumnRenamed("source", "s")
-    d = d.join(t, F.col("source").eqNullSafe(F.col("s")))
-    full = F.when(F.col("source_size") > 0, F.expr("floor(target) div source_size")).otherwise(F.lit(0))
-    rest = F.floor("target") - full * F.col("source_size")
-    taken = full * F.col("size") + F.greatest(F.lit(0), F.least(F.col("size"), rest - F.col("before")))
-    return d.select(*[f"k_{c}" for c in keep], "size", "source_size", "target", taken.cast("long").alias("taken"))
+    d = d.join(t, F.col("source").eqNullSafe(F.col("s"))).drop("s")
+    d = d.withColumn("epochs", F.when(F.col("source_size") > 0, F.expr("floor(target) div source_size")).otherwise(F.lit(0)))
+    return d.withColumn("rest", F.floor("target") - F.col("epochs") * F.col("source_size"))
 
 
 def mix(docs: DataFrame, keep: list[str], **how) -> DataFrame:
     """``keep`` columns, size, source_size, target, taken: one row per row of ``docs``.  Options:
     ``weights``, ``factor`` and ``cap``."""
-    return _taken(docs, keep, **how).withColumnsRenamed({f"k_{c}": c for c in keep})
+    d = _placed(_keyed(docs.select("doc_id", "source", "text", *[F.col(c).alias(f"k_{c}") for c in keep])), [], **how)
+    taken = F.col("epochs") * F.col("size") + F.greatest(F.lit(0), F.least(F.col("size"), F.col("rest") - F.col("before")))
+    return d.select(*[F.col(f"k_{c}").alias(c) for c in keep], "size", "source_size", "target", taken.cast("long").alias("taken"))
 
 
 def mixed(docs: DataFrame, **how) -> DataFrame:
     """The documents of the mix, with the columns of ``docs``: a row per epoch, in whole, but for
-    the one document of a source at which its budget ends, whose text stops at that word."""
+    the one document of a source at which its budget ends, whose text stops at that word.
+
+    Only the place where a source's budget ends (one row per source) is joined to the documents,
+    which compare their own order with it: texts are neither written nor shuffled, unless there are
+    so many sources that Spark must sort the join.  Alike rows (same doc_id and text) are told
+    apart by their place in the scan.
+    """
     cols = docs.columns
-    d = _taken(docs, cols, **how).filter("taken > 0").withColumn("epoch", F.explode(F.expr("sequence(0L, (taken - 1) div size)")))
+    rid = F.monotonically_increasing_id().alias("k_rid")
+    d = _placed(_keyed(docs.select("doc_id", "source", "text", rid)), ["k_rid"], **how)
+    end = d.filter("before <= rest AND rest < before + size")
+    place = F.struct("key", "doc_id", "size", "tie", "k_rid")
+    cuts = written(end.select(F.col("source").alias("s"), "epochs", place.alias("end"), (F.col("rest") - F.col("before")).alias("words")), "cuts")
+    wide = _keyed(docs.select(*[F.col(c).alias(f"k_{c}") for c in cols], "doc_id", "source", "text", F.monotonically_increasing_id().alias("k_rid")))
+    d = wide.join(cuts, F.col("source").eqNullSafe(F.col("s")), "left")
+    extra = F.when(place < F.col("end"), F.col("size")).when(place == F.col("end"), F.col("words")).otherwise(F.lit(0))
+    d = d.withColumn("taken", F.coalesce("epochs", F.lit(0)) * F.col("size") + extra).filter("taken > 0")
+    d = d.withColumn("epoch", F.explode(F.expr("sequence(0L, (taken - 1) div size)")))
     words = F.least(F.col("size"), F.col("taken") - F.col("epoch") * F.col("size"))
     part = F.array_join(F.slice(F.regexp_extract_all("k_text", F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0)), F.lit(1), words.cast("int")), "")
     d = d.withColumn("k_text", F.when(words < F.col("size"), part).otherwise(F.col("k_text")))

@@ -61,15 +61,16 @@ def ownership(found: DataFrame) -> DataFrame:
     return by_owner.groupBy("vhash").agg(F.count("*").alias("n_owners"), F.sum("r").alias("n_repos"))
 
 
-def scan(docs: DataFrame, owner: Column, repo: Column, keep: list[str], text: str = "text", min_owners: int = MIN_OWNERS,
-         out: str = "secrets") -> DataFrame:
-    """The ``keep`` columns and ``out``: array<struct<start, kind_no, end, kind, base, live>> by
-    start, then kind; one row per row of ``docs``.  Vendor spans of widely copied values are gone."""
+def _owned(docs: DataFrame, owner: Column, repo: Column, keep: list[str], text: str) -> DataFrame:
+    """The ``keep`` columns as k_<name>, secrets (all candidates), __owner and __repo."""
     nul = F.lit("\u0000")
     src = docs.select(*[F.col(c).alias(f"k_{c}") for c in keep], F.col(text).alias("__t"), F.coalesce(owner.cast("string"), nul).alias("__owner"),
                       F.coalesce(repo.cast("string"), nul).alias("__repo"))
-    rows = candidates(src, "__t").drop("__t")
-    rows = written(rows.withColumn("__rid", F.monotonically_increasing_id()), "secret-rows")
+    return candidates(src, "__t").drop("__t")
+
+
+def _judged(rows: DataFrame, keep: list[str], min_owners: int, out: str) -> DataFrame:
+    """``rows`` (written, with __rid): the ``keep`` columns and ``out`` with the verdicts."""
     found = rows.filter("size(secrets) > 0").select("__rid", F.col("__owner").alias("owner"), F.col("__repo").alias("repo"), F.inline("secrets"))
     wide = written(ownership(found), "ownership")
     judged = (found.select("__rid", "start", "kind_no", "end", "kind", "base", "vhash")
@@ -82,14 +83,30 @@ def scan(docs: DataFrame, owner: Column, repo: Column, keep: list[str], text: st
     return both.select(*[F.col(f"k_{c}").alias(c) for c in keep], F.coalesce("spans", none).alias(out))
 
 
-def redacted(docs: DataFrame, owner: Column, repo: Column, mark: str = "[SECRET]", text: str = "text") -> DataFrame:
-    """docs with every live-looking span of ``text`` replaced by ``mark``; overlapping spans merge."""
+def scan(docs: DataFrame, owner: Column, repo: Column, keep: list[str], text: str = "text", min_owners: int = MIN_OWNERS,
+         out: str = "secrets") -> DataFrame:
+    """The ``keep`` columns and ``out``: array<struct<start, kind_no, end, kind, base, live>> by
+    start, then kind; one row per row of ``docs``.  Vendor spans of widely copied values are gone."""
+    rows = _owned(docs, owner, repo, keep, text).withColumn("__rid", F.monotonically_increasing_id())
+    return _judged(written(rows, "secret-rows"), keep, min_owners, out)
+
+
+def redacted(docs: DataFrame, owner: Column, repo: Column, mark: str = "[SECRET]", text: str = "text", min_owners: int = MIN_OWNERS) -> DataFrame:
+    """docs with every live-looking span of ``text`` replaced by ``mark``; overlapping spans merge.
+
+    Documents without a candidate pass as they are; only the others, with their texts, are written
+    and joined with the verdicts.
+    """
     cols = docs.columns
-    d = scan(docs, owner, repo, cols, text, out="__secrets").withColumn("__live", F.expr("filter(__secrets, s -> s.live)"))
+    rows = _owned(docs, owner, repo, cols, text)
+    clean = rows.filter("size(secrets) = 0").select(*[F.col(f"k_{c}").alias(c) for c in cols])
+    held = written(rows.filter("size(secrets) > 0").withColumn("__rid", F.monotonically_increasing_id()), "secret-rows")
+    d = _judged(held, cols, min_owners, "__secrets").withColumn("__live", F.expr("filter(__secrets, s -> s.live)"))
     fold = (f"aggregate(__live, struct(0 AS at, CAST(array() AS array<string>) AS o), (a, p) -> struct(greatest(a.at, p.end) AS at, "
             f"CASE WHEN p.start >= a.at THEN concat(a.o, array(substr(`{text}`, a.at + 1, p.start - a.at), '{mark}')) ELSE a.o END AS o), "
             f"a -> array_join(concat(a.o, array(substr(`{text}`, a.at + 1))), ''))")
-    return d.withColumn(text, F.expr(f"CASE WHEN size(__live) > 0 THEN {fold} ELSE `{text}` END")).select(*cols)
+    masked = d.withColumn(text, F.expr(f"CASE WHEN size(__live) > 0 THEN {fold} ELSE `{text}` END")).select(*cols)
+    return clean.unionByName(masked)
 
 
 def digest(docs: DataFrame) -> DataFrame:
