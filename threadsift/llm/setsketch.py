@@ -42,6 +42,7 @@ ROWS, BANDS = 5, 40
 BASE_B, RATE_A, TOP_Q = 1.001, 20.0, (1 << 16) - 2
 MARGIN = 14.0
 BLOCK = 1024
+SLICE = 1 << 19  # bytes of text at a time: a worker's arrays stay at some tens of MB
 _MULT = seeds(ROWS * BANDS, 4) | np.uint64(1)
 _XOR = seeds(ROWS * BANDS, 5)
 
@@ -72,7 +73,7 @@ def sketches(docs: DataFrame, w: int) -> DataFrame:
         for b in batches:
             data, offs = column_bytes(b.column(1))
             n, dig, reg = [], [], []
-            for _, _, d, o in slices(data, offs):
+            for _, _, d, o in slices(data, offs, SLICE):
                 for s in sets_of(d, o, w):
                     n.append(s.size)
                     if s.size:
@@ -136,7 +137,7 @@ def _items(docs: DataFrame, ids: DataFrame, w: int) -> DataFrame:
     def sets(batches):
         for t in batches:
             data, offs = column_bytes(t.column(1))
-            out = [s.tobytes() for _, _, d, o in slices(data, offs) for s in sets_of(d, o, w)]
+            out = [s.tobytes() for _, _, d, o in slices(data, offs, SLICE) for s in sets_of(d, o, w)]
             yield pa.RecordBatch.from_arrays([t.column(0), pa.array(out, pa.binary())], ["id", "items"])
     return written(docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(ids, "id", "left_semi")
                    .select("id", "text").mapInArrow(sets, "id long, items binary"), "sets")
