@@ -96,6 +96,12 @@ def ui_noise_removed(c, patterns: list[str] | None = None) -> Column:
     return reduce(lambda acc, p: F.regexp_replace(acc, CLEAN_FLAGS + p, ""), pats, col_(c))
 
 
+def has_ui_noise(c, patterns: list[str] | None = None) -> Column:
+    """Whether any noise pattern matches: where none does, the fold changes nothing."""
+    pats = UI_CLEANUP_PATTERNS if patterns is None else patterns
+    return col_(c).rlike(CLEAN_FLAGS + "|".join(f"(?:{p})" for p in pats))
+
+
 def normalize_whitespace(c) -> Column:
     """Collapse newline runs, trim each line (multiline), then trim the ends."""
     x = F.regexp_replace(col_(c), r"\n{2,}", "\n")
@@ -104,8 +110,9 @@ def normalize_whitespace(c) -> Column:
 
 
 def clean_text(c) -> Column:
-    """C1 + C2: the cleaned post body."""
-    return normalize_whitespace(ui_noise_removed(c))
+    """C1 + C2: full body-text cleaning; a text without any noise skips the fold."""
+    x = col_(c)
+    return normalize_whitespace(F.when(has_ui_noise(x), ui_noise_removed(x)).otherwise(x))
 
 
 def strip_bidi(c, everywhere: bool = False) -> Column:
