@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from threadsift.llm.text import column_bytes, slices, span_hashes
 
 LONG = 256
-REMEMBER = 4_000_000
+REMEMBER = 1_500_000
 INF = np.int32(np.iinfo(np.int32).max)
 _H = np.uint64(0x9E3779B97F4A7C15)
 
