@@ -46,6 +46,7 @@ TIMESTAMP_MAX_CHARS = 30
 IMAGE_HOST_MARK, IMAGE_CDN_MARK = "fbcdn.net", "scontent"
 IMAGE_EXCLUDE = ["profile", "emoji", "rsrc.php"]
 SKELETON_MAX_HTML, ARTICLE_MIN_HTML = 1500, 2000
+CONTAINER_LEVELS, CONTAINER_MIN_HTML = (4, 7), 5000
 COMMENT_MAX_HTML, POST_MIN_HTML = 3000, 5000
 BODY_MIN_CHARS, BODY_SHORT = 5, 10
 # End of fixed values.
@@ -356,9 +357,37 @@ def harvested_post_ids(html) -> Column:
     return F.array_distinct(F.filter(F.transform(clean, lambda x: F.regexp_extract(x, r"/posts/(\d+)", 1)), lambda v: v != ""))
 
 
-def post_links(html) -> Column:
-    """Distinct clean ``/posts/`` links of a page, in order."""
-    return F.array_distinct(F.transform(F.filter(links(html), lambda l: l["href"].contains("/posts/") & ~l["href"].contains("comment_id=")), lambda l: l["href"]))
+def post_links(h: str = "html") -> str:
+    """SQL: array<struct<post_id string, href string, html string>> of the clean ``/posts/`` links of a page, the
+    first of each post id, in order, with the inner markup of their container: the nearest enclosing article, else
+    the nearest of the 4th to 7th enclosing divs that is over 5000 characters; NULL without one."""
+    low, high = CONTAINER_LEVELS
+
+    def body(m, g, d):
+        k, x, r, l, a, i, e, c = (_name(v) for v in "kxrlaiec")
+        n = f"size({m})"
+        # the texts between div tags hold the links; text k follows tag k - 1
+        found = (f"flatten(transform(sequence(0, {n}), {k} -> transform(filter(regexp_extract_all({g}[{k}], '(?is)<a\\\\b[^>]*?href=\"([^\"]*)\"', 1), "
+                 f"{x} -> contains({x}, '/posts/') AND NOT contains({x}, 'comment_id=')), {x} -> struct(regexp_extract({x}, '/posts/([0-9]+)', 1) AS id, {x} AS href, {k} AS k))))")
+        # back from the link, the first opening tag of each lower depth encloses it
+        def above(l):
+            step = f"NOT startswith({m}[{i}], '</') AND {d}[{i}] = {a}.d"
+            return (f"CASE WHEN {l}.k = 0 THEN CAST(array() AS array<int>) ELSE aggregate(sequence({l}.k - 1, 0, -1), named_struct('d', {d}[{l}.k - 1], 'o', CAST(array() AS array<int>)), "
+                    f"({a}, {i}) -> named_struct('d', {a}.d - CASE WHEN {step} THEN 1 ELSE 0 END, 'o', CASE WHEN {step} THEN concat({a}.o, array({i})) ELSE {a}.o END), {a} -> {a}.o) END")
+
+        def inner(i):
+            return let(_ends(d, i, n), lambda e: f"concat({g}[{i} + 1], array_join(transform(filter(sequence(0, {n} - 1), {k} -> {k} > {i} AND {k} < {e}), {k} -> concat({m}[{k}], {g}[{k} + 1])), ''))")
+
+        def container(up):
+            article = f"get(filter({up}, {i} -> {ARTICLE.format(t=f'{m}[{i}]')}), 0)"
+            large = f"get(filter(transform(slice({up}, {low}, {high - low + 1}), {i} -> {inner(i)}), {x} -> length({x}) > {CONTAINER_MIN_HTML}), 0)"
+            return let(article, lambda q: f"CASE WHEN {q} IS NOT NULL THEN {inner(q)} ELSE {large} END")
+
+        def posts(fs):
+            firsts = f"transform(array_distinct(filter(transform({fs}, {r} -> {r}.id), {r} -> {r} <> '')), {c} -> get(filter({fs}, {r} -> {r}.id = {c}), 0))"
+            return f"transform({firsts}, {l} -> struct({l}.id AS post_id, {l}.href AS href, {let(above(l), container)} AS html))"
+        return let(found, posts)
+    return _cut(h, "div", body)
 
 
 def is_skeleton(html) -> Column:

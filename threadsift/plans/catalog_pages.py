@@ -121,5 +121,6 @@ c AS (SELECT CASE WHEN what = 'post' THEN 0 ELSE 2 END AS strategy, page_id, uni
 SELECT key, strategy, page_id, unit_pos FROM c QUALIFY row_number() OVER (PARTITION BY key ORDER BY strategy, page_id, unit_pos) = 1""")
 def strategy_union(spark, sf):
     """E5: priority union of feed units, link-found posts (only for pages without feed units)
-    and the article supplement without comments; first strategy wins per key."""
-    return PG.strategy_union(decorated_pages(spark, sf), units(spark, sf))
+    and the article supplement without comments; first strategy wins per key.  The SQL lists links
+    without a container too, which the reference drops."""
+    return PG.strategy_union(decorated_pages(spark, sf), units(spark, sf), bare_links=True).select("key", "strategy", "page_id", "unit_pos")

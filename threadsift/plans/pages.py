@@ -36,23 +36,31 @@ def posts_from_units(units: DataFrame, group_id: str = DEFAULT_GROUP_ID) -> Data
     return d.withColumn("text", TX.strip_author_prefix(F.col("text"), F.col("author"))).select("page_id", "kind", "unit_pos", *POST_COLS)
 
 
-def strategy_posts(pages: DataFrame, units: DataFrame) -> DataFrame:
-    """(strategy, page_id, unit_pos, key and post fields) of all candidates: feed units that are no
-    skeletons (0); clean links of pages without such units (1); articles that are large enough and no
-    comments (2).  Candidates without text and media are gone (B5)."""
+def strategy_posts(pages: DataFrame, units: DataFrame, bare_links: bool = False) -> DataFrame:
+    """(strategy, bare, page_id, unit_pos, key and post fields) of all candidates: feed units that are no
+    skeletons (0); the containers of clean links, one a post id, on pages without such units (1); articles that
+    are large enough and no comments (2).  Candidates without text and media are gone (B5).  A link without
+    a container gives no post, or with ``bare_links`` its URL alone."""
     h = F.col("html")
     units = stored(units, "units")
     chosen = units.filter(F.when(F.col("kind") == "feed", ~H.is_skeleton(h)).otherwise(H.big_enough(h) & ~H.is_comment(h)))
-    full = stored(posts_from_units(chosen), "unit-posts").withColumn("strategy", F.when(F.col("kind") == "feed", F.lit(0)).otherwise(F.lit(2)))
     with_feed = units.filter((F.col("kind") == "feed") & ~H.is_skeleton(h)).select("page_id").distinct()
-    link = (pages.join(with_feed, "page_id", "left_anti").select("page_id", F.posexplode(H.post_links(h)).alias("unit_pos", "url"))
-            .withColumns({"strategy": F.lit(1), "kind": F.lit("link"), **{c: F.lit("") for c in POST_COLS if c not in ("url", "images", "is_video", "is_share")},
-                          "images": F.array().cast("array<string>"), "is_video": F.lit(False), "is_share": F.lit(False)}))
-    both = full.unionByName(link)
-    return both.filter(TX.content_ok(F.col("text"), F.col("images"), F.col("url"))).withColumn("key", dedup_key(F.col("url"), F.col("text")))
+    link = stored(pages.join(with_feed, "page_id", "left_anti").select("page_id", F.lit("link").alias("kind"), F.posexplode(F.expr(H.post_links())).alias("unit_pos", "l"))
+                  .select("page_id", "kind", "unit_pos", "l.href", "l.html"), "links")
+    held = link.filter(h.isNotNull())
+    full = (stored(posts_from_units(chosen.unionByName(held.drop("href"))), "unit-posts")
+            .withColumns({"strategy": F.when(F.col("kind") == "feed", F.lit(0)).when(F.col("kind") == "link", F.lit(1)).otherwise(F.lit(2)), "bare": F.lit(False)}))
+    if bare_links:
+        bare = (link.filter(h.isNull()).select("page_id", "kind", "unit_pos", H.decode_entities("href").alias("url"))
+                .withColumns({"strategy": F.lit(1), "bare": F.lit(True), **{c: F.lit("") for c in POST_COLS if c not in ("url", "images", "is_video", "is_share")},
+                              "images": F.array().cast("array<string>"), "is_video": F.lit(False), "is_share": F.lit(False)}))
+        full = full.unionByName(bare)
+    return full.filter(TX.content_ok(F.col("text"), F.col("images"), F.col("url"))).withColumn("key", dedup_key(F.col("url"), F.col("text")))
 
 
-def strategy_union(pages: DataFrame, units: DataFrame) -> DataFrame:
-    """E5: one post per key, the first strategy wins, then page and place."""
-    win = strategy_posts(pages, units).groupBy("key").agg(F.min(F.struct("strategy", "page_id", "unit_pos")).alias("w"))
-    return win.select("key", "w.strategy", "w.page_id", "w.unit_pos")
+def strategy_union(pages: DataFrame, units: DataFrame, bare_links: bool = False) -> DataFrame:
+    """E5: one post per key with its fields; a post wins over a bare link, then the first strategy, then page and place."""
+    place = ["bare", "strategy", "page_id", "unit_pos"]
+    posts = strategy_posts(pages, units, bare_links)
+    win = posts.groupBy("key").agg(F.min(F.struct(*place)).alias("w")).select("key", "w.*")
+    return posts.join(win, ["key", *place], "left_semi").select("key", "strategy", "page_id", "unit_pos", *POST_COLS)
