@@ -26,13 +26,14 @@ def _file_key(order: str):
     raise ValueError(order)
 
 
-def read_jsonl(spark: SparkSession, path, glob: str | None = None, order: str = "name", skip_unreadable: bool = True) -> tuple[DataFrame, DataFrame]:
+def read_jsonl(spark: SparkSession, path, glob: str | None = None, order: str = "name", skip_unreadable: bool = False) -> tuple[DataFrame, DataFrame]:
     """A2: JSON lines with an explicit schema. Returns ``(posts, quarantine)``.
 
     Lines are scanned as text and parsed with ``from_json`` (PERMISSIVE): blank
     lines are skipped, malformed lines land in the quarantine table with their
     raw text instead of failing the job, and both outputs can be queried
-    independently (no restriction on corrupt-record-only queries).
+    independently (no restriction on corrupt-record-only queries).  A read error fails the
+    job; with ``skip_unreadable`` the rest of that file is left out without a trace.
     """
     r = spark.read.option("ignoreCorruptFiles", skip_unreadable)
     if glob:
@@ -54,13 +55,13 @@ def read_jsonl(spark: SparkSession, path, glob: str | None = None, order: str =
 
 
 def read_batched(spark: SparkSession, path, glob: str | None = None, order: str = "name", lines: bool = False,
-                 skip_unreadable: bool = True) -> tuple[DataFrame, DataFrame]:
+                 skip_unreadable: bool = False) -> tuple[DataFrame, DataFrame]:
     """A1: batched files ``{"posts": [...]}``; returns ``(posts, quarantine)``.
 
     Each file is one JSON document (read whole), or with ``lines`` each line is one, so
     that many wrappers share a file.  Parsed with ``from_json`` in PERMISSIVE mode: a
     document without ``posts`` yields no rows, a malformed one is quarantined and the
-    others still load (A3); a file that cannot be read at all is skipped.
+    others still load (A3).  ``skip_unreadable`` as in ``read_jsonl``.
     """
     r = spark.read.option("wholetext", not lines).option("ignoreCorruptFiles", skip_unreadable)
     if glob:
@@ -81,14 +82,14 @@ def read_batched(spark: SparkSession, path, glob: str | None = None, order: str
 
 
 def read_posts(spark: SparkSession, jsonl_path=None, batched_path=None, order: str = "name", glob: str | None = None,
-               lines: bool = False) -> tuple[DataFrame, DataFrame]:
+               lines: bool = False, skip_unreadable: bool = False) -> tuple[DataFrame, DataFrame]:
     """JSON lines plus legacy batched files, unioned by name (bag)."""
     parts, bads = [], []
     if jsonl_path:
-        g, b = read_jsonl(spark, jsonl_path, glob, order)
+        g, b = read_jsonl(spark, jsonl_path, glob, order, skip_unreadable)
         parts.append(g); bads.append(b)
     if batched_path:
-        g, b = read_batched(spark, batched_path, glob, order, lines)
+        g, b = read_batched(spark, batched_path, glob, order, lines, skip_unreadable)
         parts.append(g); bads.append(b)
     if not parts:
         raise ValueError("no input path")
