@@ -202,8 +202,9 @@ def _open_buckets(members: DataFrame, comp: DataFrame) -> DataFrame:
 def _block_pairs(opened: DataFrame, heads: DataFrame, num: int, den: int, full: DataFrame | None = None) -> DataFrame:
     """Pairs of open buckets across components that pass the likelihood, compared in blocks.
 
-    Without ``full``: each member's likeliest partner of every other component in its block.  With
-    the sets in ``full`` (id, items): links, verified here; one for a member and a component.
+    Without ``full``: each member's likeliest partner in its block.  With the sets in ``full`` (id,
+    items): links, verified here; components that a link has joined count as one from then on.  Both
+    are linear in the members of a block.
     """
     threshold, verify = num / den, full is not None
     size = opened.groupBy("key").agg(F.sum((F.col("comp") == F.col("home")).cast("long")).alias("n_in"),
@@ -226,6 +227,7 @@ def _block_pairs(opened: DataFrame, heads: DataFrame, num: int, den: int, full:
     def compare(t: pa.Table):
         i, j, band = (t.column(c)[0].as_py() for c in (1, 2, 3))
         own, ids, comp = (t.column(c).to_numpy() for c in (4, 5, 6))
+        comp = comp.copy()
         n, regs = t.column(7).to_numpy().astype(float), _regs(t.column(8)).astype(np.uint16)
         sets = [] if not verify else [np.frombuffer(v.as_buffer(), np.uint64) for v in t.column(9).combine_chunks()]
         left, right = np.flatnonzero(own == j), np.flatnonzero(own == i)  # block j is never an inner one
@@ -246,14 +248,12 @@ def _block_pairs(opened: DataFrame, heads: DataFrame, num: int, den: int, full:
             r, same, equal = r[ok], same[ok], equal[ok]
             order = np.argsort(-equal, kind="stable")
             if not verify:
-                r = r[order[np.unique(comp[r[order]], return_index=True)[1]]]
-                yield from ((min(ids[x], ids[y]), max(ids[x], ids[y])) for y in r)
+                yield from ((min(ids[x], ids[y]), max(ids[x], ids[y])) for y in r[order[:1]])
                 continue
             first = same.reshape(-1, BANDS, ROWS).all(2).argmax(1) == band
-            met = set()
             for y in r[order][first[order]]:
-                if comp[y] not in met and _linked(sets[x], sets[y], num, den):
-                    met.add(comp[y])
+                if comp[y] != comp[x] and _linked(sets[x], sets[y], num, den):
+                    comp[comp == comp[y]] = comp[x]
                     yield min(ids[x], ids[y]), max(ids[x], ids[y])
 
     def run(batches):
