@@ -355,3 +355,26 @@ def test_gumbel_sample_is_proportional(spark):
     top = d.withColumn("k", w - F.log(-F.log(u))).orderBy(F.desc("k")).limit(2000)
     heavy = top.filter("doc_id % 2 = 0").count()
     assert 1420 < heavy < 1580
+
+
+# ---- words that collide in any polynomial modulo 2 ** 64
+
+
+def test_words_alike_under_a_polynomial(make):
+    a = "".join("ab"[i.bit_count() % 2] for i in range(1024))
+    b = "".join("ba"[i.bit_count() % 2] for i in range(1024))
+    rows = [(1, f"{a} x", "en", "s"), (2, f"{b} x", "en", "s"), (3, f"{a}\n{b}", "en", "s"), (4, f"{a}\n{a}", "en", "s")]
+    comp = {r["doc_id"]: r["component_id"] for r in setsketch.near_groups(make(rows), 2).collect()}
+    assert comp == {i: i for i in (1, 2, 3, 4)}
+    dup = {r["doc_id"]: r["n_dup_lines"] for r in weaksup.judge(make(rows)).collect()}
+    assert dup == {1: 0, 2: 0, 3: 0, 4: 1}
+
+
+def test_passages_of_one_hash_are_told_apart(monkeypatch):
+    """Two independent hashes decide; here the first one always agrees."""
+    real = weaksup.span_hashes
+    monkeypatch.setattr(weaksup, "span_hashes", lambda d, a, b, salt=0: real(d, a, b, salt=1) if salt else np.ones(a.size, np.uint64))
+    words = [f"w{i}" for i in range(40)]
+    data, offs = text_tools.column_bytes(pa.array([" ".join(words), "\n".join(words[:9] * 2)]))
+    got = weaksup._counts(data, offs)
+    assert [got[weaksup.COUNTS.index(c)].tolist() for c in ("n_dup_lines", "n_repeat_words", "n_stutter")] == [[0, 9], [0, 18], [0, 0]]

@@ -1,16 +1,17 @@
 """Byte-level BPE encoding and decoding over rank files (operator 2).
 
-Texts are cut by the pattern; distinct pieces are encoded once per worker (a bounded memory of
-``REMEMBER`` pieces) and their ids gathered back with numpy.  Pieces are laid by length into padded
+Texts are cut by the pattern; distinct pieces are encoded once per worker (a memory of at most
+``REMEMBER`` bytes) and their ids gathered back with numpy.  Pieces are laid by length into padded
 id matrices.  In each round every row merges its leftmost pair of minimum rank; pair ranks come
 from an open-addressing hash table in numpy arrays; finished rows and freed columns are compacted
-away.  A piece longer than ``LONG`` bytes goes alone, merging all places of its minimum-rank pair
-at once, which gives the same ids as one place at a time when no new pair ranks lower (checked;
-else one place is merged).
+away.  The rounds of a row of n bytes cost n * n, so a piece longer than ``LONG`` bytes (a run of that
+many letters without a blank) goes alone with the same merges from a heap, in n * log n.
 
 Decoding gathers each id's bytes from one table.
 
-Defined cases: a null text is empty and has no ids; rows are independent, so repeated rows repeat.
+Defined cases: a null text is empty and has no ids; rows are independent, so repeated rows repeat; an
+empty table gives an empty result; a very long text is encoded whole, in memory in proportion to it;
+columns outside ``carry`` are left out by name, and a carried one may not be named as a result.
 """
 
 from __future__ import annotations
@@ -18,7 +19,8 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterator
-from functools import lru_cache, partial
+from functools import cached_property, lru_cache, partial
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -29,35 +31,50 @@ from pyspark.sql import functions as F
 from threadsift.llm.text import column_bytes, slices, span_hashes
 
 LONG = 256
-REMEMBER = 1_500_000
+REMEMBER = 32 << 20  # bytes
 INF = np.int32(np.iinfo(np.int32).max)
 _H = np.uint64(0x9E3779B97F4A7C15)
 
 
 class Ranks:
-    """A rank file as numpy tables: token bytes, and a hash table from id pairs to merged ids."""
+    """A rank file as numpy tables: token bytes, and a hash table from id pairs to merged ids.
+
+    Built once, on the driver; the arrays (some MB) travel with the tasks, and only the look-up of
+    whole tokens is made anew from them in a worker.
+    """
 
     def __init__(self, blob: bytes):
-        self.ids = {base64.b64decode(t): int(r) for t, r in (line.split() for line in blob.splitlines() if line.strip())}
-        n = max(self.ids.values()) + 1
+        ids = {base64.b64decode(t): int(r) for t, r in (line.split() for line in blob.splitlines() if line.strip())}
+        n = max(ids.values()) + 1
         by_id = [b""] * n
-        for t, r in self.ids.items():
+        for t, r in ids.items():
             by_id[r] = t
-        self.lens = np.array([len(t) for t in by_id], np.int64)
-        self.starts = np.cumsum(self.lens) - self.lens
+        self.lens = np.array([len(t) for t in by_id], np.int32)
         self.bytes = np.frombuffer(b"".join(by_id), np.uint8)
-        self.single = np.array([self.ids[bytes([i])] for i in range(256)], np.int32)
+        self.single = np.array([ids[bytes([i])] for i in range(256)], np.int32)
         left, right, merged = [], [], []
-        for t, r in self.ids.items():
+        for t, r in ids.items():
             for k in range(1, len(t)):
-                a = self.ids.get(t[:k])
-                b = self.ids.get(t[k:])
+                a = ids.get(t[:k])
+                b = ids.get(t[k:])
                 if a is not None and b is not None:
                     left.append(a)
                     right.append(b)
                     merged.append(r)
         self._build(np.array(left, np.uint64), np.array(right, np.uint64), np.array(merged, np.int32))
 
+    @cached_property
+    def starts(self) -> np.ndarray:
+        return np.cumsum(self.lens, dtype=np.int64) - self.lens
+
+    @cached_property
+    def ids(self) -> dict[bytes, int]:
+        raw = self.bytes.tobytes()
+        return {raw[a:a + n]: i for i, (a, n) in enumerate(zip(self.starts.tolist(), self.lens.tolist())) if n}
+
+    def __getstate__(self):
+        return {k: v for k, v in self.__dict__.items() if k not in ("starts", "ids")}
+
     def _build(self, a, b, r):
         bits = max(8, int(np.ceil(np.log2(max(1, a.size) * 4))))
         self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
@@ -125,34 +142,42 @@ class Ranks:
             x = np.flatnonzero(p < w - 2)
             r[x, p[x]] = self.pair(m[x, p[x]], m[x, p[x] + 1])
 
+    def _rank(self, a: int, b: int) -> int:
+        """Rank of one pair, as ``pair`` gives it."""
+        key = a << 32 | b
+        slot = (key * int(_H) & 0xFFFFFFFFFFFFFFFF) >> int(self.shift)
+        while (at := int(self.keys[slot])) >= 0:
+            if at == key:
+                return int(self.vals[slot])
+            slot = slot + 1 & self.mask
+        return int(INF)
+
     def _alone(self, ids: np.ndarray) -> np.ndarray:
-        while ids.size > 1:
-            r = self.pair(ids[:-1], ids[1:])
-            best = r.min()
-            if best == INF:
-                break
-            at = np.flatnonzero(r == best)
-            if at.size > 1:  # leftmost first, none overlapping
-                near = np.flatnonzero(np.diff(at) == 1)
-                if near.size:
-                    run = np.r_[0, np.flatnonzero(np.diff(at) != 1) + 1]
-                    place = np.arange(at.size) - np.repeat(run, np.diff(np.r_[run, at.size]))
-                    at = at[place % 2 == 0]
-            new = ids.copy()
-            new[at] = best
-            keep = np.ones(ids.size, bool)
-            keep[at + 1] = False
-            new = new[keep]
-            if at.size > 1:
-                made = np.flatnonzero(new == best)
-                sides = np.r_[self.pair(new[made[made > 0] - 1], new[made[made > 0]]),
-                              self.pair(new[made[made < new.size - 1]], new[made[made < new.size - 1] + 1])]
-                if sides.size and sides.min() < best:
-                    new = ids.copy()
-                    new[at[0]] = best
-                    new = np.delete(new, at[0] + 1)
-            ids = new
-        return ids
+        """One long piece: the same merges, least rank first and leftmost among equals, from a heap
+        of pairs over linked places."""
+        n = ids.size
+        r = self.pair(ids[:-1], ids[1:])
+        at = np.flatnonzero(r < INF)
+        heap = list(zip(r[at].tolist(), at.tolist()))
+        heapify(heap)
+        tok, rank = ids.tolist(), [*r.tolist(), int(INF)]
+        before, after = list(range(-1, n - 1)), list(range(1, n + 1))
+        while heap:
+            best, i = heappop(heap)
+            if tok[i] < 0 or rank[i] != best:
+                continue  # merged away, or paired anew since
+            gone = after[i]
+            tok[i], tok[gone] = best, -1
+            after[i] = end = after[gone]
+            if end < n:
+                before[end] = i
+            for x, y in ((before[i], i), (i, end)):
+                if x >= 0:
+                    rank[x] = self._rank(tok[x], tok[y]) if y < n else int(INF)
+                    if rank[x] < INF:
+                        heappush(heap, (rank[x], x))
+        out = np.array(tok, np.int32)
+        return out[out >= 0]
 
     def encode_pieces(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all pieces in a row, number of ids of each)."""
@@ -198,19 +223,23 @@ STANDARD = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(
 _SIGN, LETTER, _NUMBER, _SPACE = 0, 1, 2, 3
 
 
-def _all_points() -> tuple[str, np.ndarray]:
-    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
-    return "".join(map(chr, points)), np.array(points)
+def _points(step: int = 1 << 14) -> Iterator[tuple[int, str]]:
+    """All code points that text can hold, ``step`` at a time: (first, the characters)."""
+    for lo, hi in ((0, 0xD800), (0xE000, 0x110000)):
+        for a in range(lo, hi, step):
+            yield a, "".join(map(chr, range(a, min(a + step, hi))))
 
 
 @lru_cache(1)
 def regex_classes() -> np.ndarray:
-    """Class of every code point, as the regex module sees it."""
-    every, at = _all_points()
+    """Class of every code point, as the regex module sees it.  Made on the driver, a stretch of
+    code points at a time; 1.1 MB that travel with the tasks."""
     out = np.zeros(0x110000, np.uint8)
     for cls, pat in ((LETTER, r"\p{L}+"), (_NUMBER, r"\p{N}+"), (_SPACE, r"\s+")):
-        for m in regex.finditer(pat, every):
-            out[at[m.start():m.end()]] = cls
+        find = regex.compile(pat).finditer
+        for first, chars in _points():
+            for m in find(chars):
+                out[first + m.start():first + m.end()] = cls
     return out
 
 
@@ -220,11 +249,11 @@ def observed_classes(pieces_of) -> np.ndarray:
 
     Code points in order fall into runs of one class, and one of each run tells which.
     """
-    every, at = _all_points()
     out = np.zeros(0x110000, np.uint8)
-    for a, b in pieces_of(every):
-        c = every[a]
-        out[at[a:b]] = LETTER if len(pieces_of("a" + c)) == 1 else _NUMBER if len(pieces_of("1" + c)) == 1 else _SIGN
+    for first, chars in _points():
+        for a, b in pieces_of(chars):
+            c = chars[a]
+            out[first + a:first + b] = LETTER if len(pieces_of("a" + c)) == 1 else _NUMBER if len(pieces_of("1" + c)) == 1 else _SIGN
     white = [c for c in np.flatnonzero(regex_classes() == _SPACE) if len(pieces_of("  " + chr(c))) == 1]
     out[white] = _SPACE
     return out
@@ -244,7 +273,7 @@ def _code_points(data: np.ndarray, pos: np.ndarray) -> np.ndarray:
     return cp
 
 
-def standard_pieces(data: np.ndarray, offs: np.ndarray, classes: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def standard_pieces(data: np.ndarray, offs: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(start, end, row) of the matches of STANDARD in a slice of documents, by class runs.
 
     A run of letters, numbers or signs is a match, with one blank before it.  Of a white run that
@@ -256,7 +285,7 @@ def standard_pieces(data: np.ndarray, offs: np.ndarray, classes: np.ndarray | No
         return z, z, z
     pos = np.flatnonzero((data & 0xC0) != 0x80)
     cp = _code_points(data, pos)
-    c, n = (regex_classes() if classes is None else classes)[cp], pos.size
+    c, n = classes[cp], pos.size
     edge = np.zeros(n + 1, bool)
     edge[np.searchsorted(pos, offs)] = True
     begins = edge[:-1].copy()
@@ -304,10 +333,14 @@ def _pattern_pieces(pattern: str):
 
 
 class PieceMemory:
-    """Ids of the distinct pieces seen by one worker, by 64-bit hash, in one growing array; emptied
-    at a bound."""
+    """Ids of the distinct pieces seen by one worker, in one growing array; emptied when it holds
+    ``limit`` bytes.
 
-    def __init__(self, pattern: str, encode, limit: int = REMEMBER, classes: np.ndarray | None = None):
+    A piece is found by a 64-bit hash and taken only if its length and a second, independent hash
+    agree; a piece whose first hash belongs to another one is encoded each time.
+    """
+
+    def __init__(self, pattern: str, encode, classes: np.ndarray, limit: int = REMEMBER):
         self.split = partial(standard_pieces, classes=classes) if pattern == STANDARD else _pattern_pieces(pattern)
         self.encode, self.limit = encode, limit
         self._clear()
@@ -316,37 +349,51 @@ class PieceMemory:
         self.keys, self.code = np.empty(0, np.uint64), np.empty(0, np.int32)  # sorted hashes, their codes
         self.flat, self.used = np.empty(1 << 16, np.int32), 0
         self.start, self.count, self.known = np.empty(1 << 12, np.int64), np.empty(1 << 12, np.int32), 0
+        self.size, self.check = np.empty(1 << 12, np.int32), np.empty(1 << 12, np.uint64)
 
     @staticmethod
     def _room(a: np.ndarray, n: int) -> np.ndarray:
-        return a if n <= a.size else np.r_[a, np.empty(max(a.size, n - a.size), a.dtype)]
+        return a if n <= a.size else np.r_[a, np.empty(max(a.size // 2, n - a.size), a.dtype)]
+
+    def _learn(self, pieces: list[bytes], size: np.ndarray, check: np.ndarray) -> np.ndarray:
+        """Codes of new pieces."""
+        ids, count = self.encode(pieces)
+        k, n = self.known, len(pieces)
+        self.flat = self._room(self.flat, self.used + ids.size)
+        self.flat[self.used:self.used + ids.size] = ids
+        for name, v in (("start", self.used + np.cumsum(count) - count), ("count", count), ("size", size), ("check", check)):
+            a = self._room(getattr(self, name), k + n)
+            a[k:k + n] = v
+            setattr(self, name, a)
+        self.used, self.known = self.used + ids.size, k + n
+        return np.arange(k, k + n)
 
     def ids(self, data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all documents of a slice in a row, number of ids of each document)."""
-        if self.known > self.limit:
+        if 36 * self.known + 4 * self.used > self.limit:
             self._clear()
         starts, ends, rows = self.split(data, offs)
+        sizes, check = ends - starts, span_hashes(data, starts, ends, salt=1)
         h, first, back = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
         at = np.searchsorted(self.keys, h)
         there = at < self.keys.size
         there[there] = self.keys[at[there]] == h[there]
-        code = np.empty(h.size, np.int64)
+        code = np.full(h.size, -1, np.int64)
         code[there] = self.code[at[there]]
+        raw = data.tobytes()
+
+        def bytes_of(i):
+            return [raw[a:b] for a, b in zip(starts[i].tolist(), ends[i].tolist())]
         new = np.flatnonzero(~there)
         if new.size:
-            raw = data.tobytes()
-            ids, count = self.encode([raw[a:b] for a, b in zip(starts[first[new]].tolist(), ends[first[new]].tolist())])
-            k = self.known
-            code[new] = np.arange(k, k + new.size)
+            one = first[new]
+            code[new] = self._learn(bytes_of(one), sizes[one], check[one])
             self.code = np.insert(self.code, at[new], code[new].astype(np.int32))
             self.keys = np.insert(self.keys, at[new], h[new])
-            self.flat = self._room(self.flat, self.used + ids.size)
-            self.flat[self.used:self.used + ids.size] = ids
-            self.start, self.count = self._room(self.start, k + new.size), self._room(self.count, k + new.size)
-            self.start[k:k + new.size] = self.used + np.cumsum(count) - count
-            self.count[k:k + new.size] = count
-            self.used, self.known = self.used + ids.size, k + new.size
         codes = code[back]
+        other = np.flatnonzero((self.size[codes] != sizes) | (self.check[codes] != check))
+        if other.size:
+            codes[other] = self._learn(bytes_of(other), sizes[other], check[other])
         n = self.count[codes].astype(np.int64)
         total = np.r_[0, np.cumsum(n)]
         cut = np.searchsorted(rows, np.arange(offs.size))
@@ -354,18 +401,40 @@ class PieceMemory:
         return self.flat[at + np.repeat(self.start[codes], n)], np.diff(total[cut])
 
 
+_KEPT: dict = {}
+
+
+def kept(key, make):
+    """``make()``, kept by this worker under ``key`` between tasks; one at a time, so that memory of
+    an earlier stage is let go."""
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
+def tables(rank_path: str) -> tuple[str, Ranks, np.ndarray]:
+    """(name, tables of the rank file, classes of the code points), made on the driver."""
+    with open(rank_path, "rb") as f:
+        blob = f.read()
+    return hashlib.sha256(blob).hexdigest(), _ranks(blob), regex_classes()
+
+
 @lru_cache(2)
-def rank_memory(blob: bytes, pattern: str) -> tuple[Ranks, PieceMemory]:
+def _ranks(blob: bytes) -> Ranks:
+    return Ranks(blob)
+
+
+def rank_memory(name: str, ranks: Ranks, classes: np.ndarray, pattern: str) -> tuple[Ranks, PieceMemory]:
     """Tables and memory of one rank file; kept between the tasks of a worker."""
-    ranks = Ranks(blob)
-    return ranks, PieceMemory(pattern, ranks.encode_pieces)
+    return kept((name, pattern), lambda: (ranks, PieceMemory(pattern, ranks.encode_pieces, classes)))
 
 
 def encode(docs: DataFrame, rank_path: str, pattern: str, carry: list[str] | None = None) -> DataFrame:
     """doc_id, the ``carry`` columns, n_tokens, ids (binary: little-endian unsigned 32-bit),
     ids_sha256, decoded_sha256 (of the bytes decoded from those ids), per row of ``docs``.
 
-    The rank file (of bounded size: one vocabulary) is read on the driver and travels with the tasks.
+    The rank file (of bounded size: one vocabulary) is read and its tables are built on the driver.
     """
     return _run(docs, rank_path, pattern, ["doc_id", *(carry or [])], True)
 
@@ -376,14 +445,13 @@ def encode_digests(docs: DataFrame, rank_path: str, pattern: str) -> DataFrame:
 
 
 def _run(docs, rank_path, pattern, cols, with_ids):
-    with open(rank_path, "rb") as f:
-        blob = f.read()
+    made = tables(rank_path)
     src = docs.select(*cols, "text")
     fields = ", ".join(f"`{c}` {src.schema[c].dataType.simpleString()}" for c in cols)
     out = f"{fields}, n_tokens long" + (", ids binary" if with_ids else "") + ", ids_sha256 string, decoded_sha256 string"
 
     def run(batches):
-        ranks, memory = rank_memory(blob, pattern)
+        ranks, memory = rank_memory(*made, pattern)
         for b in batches:
             n, raw, h_ids, h_back = [], [], [], []
             data, offs = column_bytes(b.column(b.num_columns - 1))

@@ -23,7 +23,10 @@ probability close to their Jaccard similarity.
 At similarity 0.8 two documents share no bucket with probability (1 - 0.8**5)**40 = 1.2e-7.
 
 Defined cases: null and word-less texts have an empty set, are linked with nothing and kept;
-rows of one doc_id (repeated rows) are one node; a row without doc_id stays, with a null component.
+rows of one doc_id (repeated rows) are one node; a row without doc_id stays, with a null component;
+an empty table gives an empty result; a very long text is one set, in memory in proportion to it;
+extra columns are left out by name.  A group of the block comparison holds at most 2 * BLOCK members
+of a bucket, whatever the bucket's size.
 """
 
 from __future__ import annotations
@@ -57,10 +60,10 @@ def registers(s: np.ndarray) -> np.ndarray:
     return np.clip(np.floor(1.0 - np.log(x) / np.log(BASE_B)), 0, TOP_Q + 1).astype(np.uint16)
 
 
-def sets_of(data: np.ndarray, offs: np.ndarray, w: int) -> Iterator[np.ndarray]:
+def sets_of(data: np.ndarray, offs: np.ndarray, w: int, salt: int = 0) -> Iterator[np.ndarray]:
     """The sorted set of shingle hashes of each document of a slice."""
     starts, ends, rows = word_spans(data, offs)
-    h, r = shingles(span_hashes(data, starts, ends, lower=True), rows, w)
+    h, r = shingles(span_hashes(data, starts, ends, lower=True, salt=salt), rows, w)
     e = row_edges(r, offs.size - 1)
     for i in range(offs.size - 1):
         s = np.sort(h[e[i]:e[i + 1]])
@@ -68,17 +71,16 @@ def sets_of(data: np.ndarray, offs: np.ndarray, w: int) -> Iterator[np.ndarray]:
 
 
 def sketches(docs: DataFrame, w: int) -> DataFrame:
-    """doc_id, n_shingles, digest (of the set; null when empty), regs (binary)."""
+    """doc_id, n_shingles, digest (of the set, by two independent hashes; null when empty), regs (binary)."""
     def run(batches):
         for b in batches:
             data, offs = column_bytes(b.column(1))
             n, dig, reg = [], [], []
             for _, _, d, o in slices(data, offs, SLICE):
-                for s in sets_of(d, o, w):
+                for s, t in zip(sets_of(d, o, w), sets_of(d, o, w, 1)):
                     n.append(s.size)
                     if s.size:
-                        with np.errstate(over="ignore"):
-                            a, c = mix(s).sum(dtype=np.uint64), np.bitwise_xor.reduce(mix(s + np.uint64(s.size)))
+                        a, c = mix(s).sum(dtype=np.uint64), mix(t).sum(dtype=np.uint64)
                         dig.append(f"{int(a):016x}{int(c):016x}")
                         reg.append(registers(s).tobytes())
                     else:

@@ -23,7 +23,6 @@ SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
 _M1, _M2, _G = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
-_BASE = np.uint64(0xD6E8FEB86659FD93)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -38,19 +37,18 @@ def seeds(n: int, seed: int) -> np.ndarray:
     return mix((np.arange(1, n + 1, dtype=np.uint64) + np.uint64(seed) * np.uint64(1_000_003)) * _G)
 
 
-_EXACT = seeds(256, 11)
-_LOWER = _EXACT.copy()
-_LOWER[65:91] = _EXACT[97:123]
-_POW = np.ones(1, np.uint64)
+#: A-Z folded to a-z
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
+_SALT = seeds(8, 11)
+_PLACE = seeds(1024, 12)
 
 
-def _powers(n: int) -> np.ndarray:
-    global _POW
-    if _POW.size < n:
-        p = np.full(max(n, 1024), _BASE, np.uint64)
-        p[0] = 1
-        _POW = np.multiply.accumulate(p)
-    return _POW
+def _places(n: int) -> np.ndarray:
+    global _PLACE
+    if _PLACE.size < n:
+        _PLACE = seeds(2 * n, 12)
+    return _PLACE
 
 
 def column_bytes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -93,17 +91,28 @@ def word_spans(data: np.ndarray, offs: np.ndarray, gap: np.ndarray = SPACE) -> t
     return starts, ends, np.searchsorted(offs, starts, "right") - 1
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = False) -> np.ndarray:
-    """64-bit hash of each non-empty byte span; ``lower`` folds A-Z."""
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = False, salt: int = 0) -> np.ndarray:
+    """64-bit hash of each non-empty byte span; ``lower`` folds A-Z, each ``salt`` (0 to 7) gives a
+    hash of its own.
+
+    The span is read in words of eight bytes.  Each is mixed, shifted by its place and mixed again
+    before the words are added: nothing in it is linear in the bytes, so no arrangement of bytes
+    cancels out for every salt, as arrangements do in a polynomial modulo a power of two.
+    """
     if not starts.size:
         return np.zeros(0, np.uint64)
     lens = ends - starts
-    base = np.cumsum(lens) - lens
-    pos = np.arange(int(lens.sum())) - np.repeat(base, lens)
-    table = _LOWER if lower else _EXACT
-    v = table[data[pos + np.repeat(starts, lens)]]
-    v *= _powers(int(lens.max()))[pos]
-    return mix(np.add.reduceat(v, base) + lens.astype(np.uint64) * _G)
+    padded = np.zeros(data.size + 8, np.uint8)
+    padded[:data.size] = LOWER[data] if lower else data
+    eight = np.ndarray((data.size + 1,), "<u8", padded.data, strides=(1,))
+    many = (lens + 7) >> 3
+    base = np.cumsum(many) - many
+    k = np.arange(int(many.sum())) - np.repeat(base, many)
+    pos = np.repeat(starts, many) + (k << 3)
+    short = 8 - np.minimum(np.repeat(ends, many) - pos, 8)
+    w = eight[pos] & (np.uint64(0xFFFFFFFFFFFFFFFF) >> (short << 3).astype(np.uint64))
+    v = mix(mix(w + _SALT[salt]) + _places(int(many.max()))[k])
+    return mix(np.add.reduceat(v, base) + lens.astype(np.uint64) * _G + _SALT[salt])
 
 
 def shingles(words: np.ndarray, rows: np.ndarray, w: int) -> tuple[np.ndarray, np.ndarray]:

@@ -10,7 +10,8 @@ Reading back decodes a block with numpy alone: a table gives the byte mask of ea
 the mask spreads the data bytes over 32-bit words, the frequency table turns ranks into ids.
 
 Defined cases: a null text is empty and gives the end id alone; rows tie on doc_id in the order of
-their text's hash; a row without doc_id comes first.
+their text's hash; a row without doc_id comes first; an empty table gives files without blocks; a very
+long text stays whole in one block, which may then hold more ids; extra columns are left out by name.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from threadsift.llm.bpe import LETTER, PieceMemory, observed_classes
+from threadsift.llm.bpe import LETTER, PieceMemory, kept, observed_classes
 from threadsift.llm.text import column_bytes, slices
 
 BLOCK_IDS = 1 << 20
@@ -70,26 +71,34 @@ def unpack_ids(table: bytes, control: bytes, data: bytes, n: int) -> np.ndarray:
     return np.frombuffer(table, "<u4")[unpack(control, data, n)]
 
 
-@lru_cache(2)
-def _memory(spec: str, pattern: str) -> PieceMemory:
-    """The library's encoder behind a memory of distinct pieces; kept between the tasks of a worker."""
+def _tokenizer(spec: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
     tok = Tokenizer.from_str(spec)
     tok.encode_special_tokens = True
+    return tok
 
+
+@lru_cache(1)
+def _tables(spec: str) -> tuple[np.ndarray, np.ndarray]:
+    """(class of every code point as the library sees it, bytes of every token): made on the driver."""
+    tok = _tokenizer(spec)
     split = tok.pre_tokenizer.pre_tokenize_str
-    classes = observed_classes(lambda t: [at for _, at in split(t)])
-    letters = classes == LETTER
-    size = np.zeros(tok.get_vocab_size(), np.int64)
+    size = np.zeros(tok.get_vocab_size(), np.int32)
     for t, i in tok.get_vocab().items():
         size[i] = len(t)  # a byte-level token has a character for each byte
+    return observed_classes(lambda t: [at for _, at in split(t)]), size
+
+
+def _memory(spec: str, pattern: str, classes: np.ndarray, size: np.ndarray) -> PieceMemory:
+    """The library's encoder behind a memory of distinct pieces."""
+    tok = _tokenizer(spec)
 
     def pieces(new):
         # words with their blank keep apart in one text: many go to the library at a time, and the
         # ids fall back into words by their bytes
         texts = [p.decode() for p in new]
-        word = np.array([len(t) > 1 and t[0] == " " and letters[ord(t[1])] for t in texts], bool)
+        word = np.array([len(t) > 1 and t[0] == " " and classes[ord(t[1])] == LETTER for t in texts], bool)
         bundles = [np.array([i]) for i in np.flatnonzero(~word)]
         words = np.flatnonzero(word)
         bundles += [words[i:i + BUNDLE] for i in range(0, words.size, BUNDLE)]
@@ -105,16 +114,17 @@ def _memory(spec: str, pattern: str) -> PieceMemory:
         begin[order] = cut[:-1]
         at = np.arange(ids.size) - np.repeat(np.cumsum(count) - count, count)
         return ids[at + np.repeat(begin, count)], count
-    return PieceMemory(pattern, pieces, classes=classes)
+    return PieceMemory(pattern, pieces, classes)
 
 
 def write_blocks(docs: DataFrame, model: str, pattern: str, path: str) -> None:
     """Encode ``docs`` (doc_id, text) with the tokenizers library and write the id files to ``path``."""
     with open(model, encoding="utf-8") as f:
         spec = f.read()  # one vocabulary: bounded
+    classes, size = _tables(spec)
 
     def run(batches):
-        memory = _memory(spec, pattern)
+        memory = kept((hash(spec), pattern), lambda: _memory(spec, pattern, classes, size))
         held, doc_ids, lens, total, before, block, pid = [], [], [], 0, 0, 0, 0
 
         def flush():
