@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from threadsift.llm import bpe, importance, mixing, ordermin, pii, secret_scan, setsketch, tokenio, toxicity, weaksup
+from threadsift.llm import bpe, importance, jaccard_join, mixing, ordermin, pii, secret_scan, setsketch, tokenio, toxicity, weaksup
 from threadsift.session import bounded_batches, checkpoint_path
 
 QUERIES: dict = {}
@@ -89,3 +89,9 @@ def op10(spark, sf_dir):
 def op3(spark, sf_dir):
     """Documents drawn by importance weight towards labelled good text."""
     return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op11_jaccard_join")
+def op11(spark, sf_dir):
+    """Documents linked on 3-word shingles, Jaccard 0.9 or more, by prefixes under several token orders."""
+    return jaccard_join.linked_groups(table(spark, sf_dir, "documents"), w=3, num=90, den=100)
