@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from threadsift.llm import bpe, importance, jaccard_join, mixing, ordermin, pii, secret_scan, setsketch, tokenio, toxicity, weaksup
+from threadsift.llm import bpe, importance, jaccard_join, mixing, ordermin, pii, secret_scan, setsketch, sliced_search, tokenio, toxicity, weaksup
 from threadsift.session import bounded_batches, checkpoint_path
 
 QUERIES: dict = {}
@@ -95,3 +95,9 @@ def op3(spark, sf_dir):
 def op11(spark, sf_dir):
     """Documents linked on 3-word shingles, Jaccard 0.9 or more, by prefixes under several token orders."""
     return jaccard_join.linked_groups(table(spark, sf_dir, "documents"), w=3, num=90, den=100)
+
+
+@query("op12_sliced_search")
+def op12(spark, sf_dir):
+    """The ten best documents for each benchmark item."""
+    return sliced_search.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 10)
