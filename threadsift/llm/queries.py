@@ -1,11 +1,11 @@
-"""The thin queries of the ten operators over the driver's tables, and their DuckDB SQL."""
+"""The thin queries of the thirteen operators over the driver's tables, and their DuckDB SQL."""
 
 from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from threadsift.llm import bpe, importance, jaccard_join, mixing, ordermin, pii, secret_scan, setsketch, sliced_search, tokenio, toxicity, weaksup
+from threadsift.llm import bpe, importance, jaccard_join, mixing, ordermin, periodic, pii, secret_scan, setsketch, sliced_search, tokenio, toxicity, weaksup
 from threadsift.session import bounded_batches, checkpoint_path
 
 QUERIES: dict = {}
@@ -97,7 +97,13 @@ def op11(spark, sf_dir):
     return jaccard_join.linked_groups(table(spark, sf_dir, "documents"), w=3, num=90, den=100)
 
 
-@query("op12_sliced_search")
+@query("op12_sliced_search", sliced_search.ORACLE)
 def op12(spark, sf_dir):
     """The ten best documents for each benchmark item."""
     return sliced_search.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 10)
+
+
+@query("op13_periodic_runs")
+def op13(spark, sf_dir):
+    """Periodic runs of words in every text, and the text without their repeats."""
+    return periodic.digest(table(spark, sf_dir, "documents"))

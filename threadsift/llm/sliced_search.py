@@ -227,3 +227,26 @@ def rank(docs: DataFrame, items: DataFrame, k: int = 10) -> DataFrame:
         found = one if found is None else found.unionByName(one)
     place = F.row_number().over(Window.partitionBy("item_id").orderBy(F.desc("score"), F.asc_nulls_first("doc_id")))
     return found.withColumn("rank", place).filter(F.col("rank") <= k).select("item_id", "rank", "doc_id", "score")
+
+
+def _oracle() -> str:
+    """The same result in DuckDB SQL."""
+    pattern = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+    low = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"""
+WITH p AS (SELECT rid, doc_id, unnest(regexp_extract_all({low}, '{pattern}')) AS term FROM (SELECT row_number() OVER () AS rid, doc_id, text FROM documents)),
+tf AS (SELECT rid, doc_id, term, count(*) AS c FROM p GROUP BY ALL),
+len AS (SELECT rid, CAST(sum(c) AS BIGINT) AS n FROM tf GROUP BY rid),
+total AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM len),
+m AS (SELECT rid, 25 + (75 * n * n_docs) // n_terms AS m FROM len, total),
+q AS (SELECT item_id, term, count(*) AS times FROM (SELECT item_id, unnest(regexp_extract_all({low}, '{pattern}')) AS term
+      FROM (SELECT item_id, min(text) AS text FROM benchmark GROUP BY item_id)) GROUP BY ALL),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1))) AS BIGINT) AS w
+      FROM (SELECT term, count(*) AS df FROM tf WHERE term IN (SELECT term FROM q) GROUP BY term), total),
+s AS (SELECT item_id, rid, doc_id, CAST(sum(times * w * ((1000000000 * c) // (1000 * c + 8 * m))) AS BIGINT) AS score
+      FROM q JOIN w USING (term) JOIN tf USING (term) JOIN m USING (rid) GROUP BY ALL)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS FIRST) AS rank FROM s WHERE score > 0) WHERE rank <= 10"""
+
+
+ORACLE = _oracle()
