@@ -11,13 +11,17 @@ weigh on the speed and never on the result.
 
 1. Equal sets (by a digest of two independent hashes) become one class; one member goes on.
 2. Each shingle in a prefix of the first order is a bucket, with its smallest id as leader.  Members are
-   compared with their leader only: linear in the bucket.  Cheap tests come first: the sizes, and the
+   held against their leader only: linear in the bucket.  Cheap tests come first: the sizes, and the
    most that two sets can share given where the common shingle stands in both; then the prefixes of the
-   other orders; then the full sets.
-3. Links form components.  Buckets that still hold several components are compared inside tasks in
-   blocks of ``BLOCK`` members, across components only.  A first pass writes the members that pass all
-   filters with some partner, a second one lays those with their full sets and writes links: what leaves
-   a task is linear in its members, and no pair in a common bucket goes unchecked.
+   other orders.  Pairs that pass tie documents into clusters.
+3. Buckets that still hold several clusters are compared inside tasks in blocks of ``BLOCK`` members,
+   across clusters only, by the same tests.  Now every pair that passes all filters has both ends in
+   one cluster, and every document stands in one cluster only: full sets move once a block.
+4. Within a cluster, sets are compared in full: first each with the cluster's smallest id, then, where
+   that leaves several components, across components in blocks; pairs that fail a filter are skipped.
+
+What leaves a task is linear in its members (an edge that joins two groups makes them one from then
+on), and no pair in a common bucket goes unchecked.
 
 Defined cases: null and word-less texts have an empty set and are linked with nothing; rows of one
 doc_id (repeated rows) are one node; a row without doc_id has a null component; ties in an order fall by
@@ -138,11 +142,8 @@ def _meet(x: np.ndarray, y: np.ndarray) -> bool:
     return bool((x[np.minimum(at, x.size - 1)] == y).any())
 
 
-def _led(members: DataFrame, heads: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs (leader, member) that pass every filter."""
-    ok = _may_share(F.col("n"), F.col("pos"), F.col("ln"), F.col("lpos"), num, den)
-    pairs = members.filter("id <> leader").filter(ok).select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
-
+def _passing(pairs: DataFrame, heads: DataFrame) -> DataFrame:
+    """Pairs (a, b) whose prefixes meet under the other orders too."""
     def run(batches):
         for t in batches:
             ok = [all(map(_meet, x, y)) for x, y in zip(_orders(t.column(2)), _orders(t.column(3)))]
@@ -153,7 +154,7 @@ def _led(members: DataFrame, heads: DataFrame, num: int, den: int) -> DataFrame:
 
 
 def _open(members: DataFrame, comp: DataFrame) -> DataFrame:
-    """Members (key, id, n, pos, comp, home) of buckets that still hold several components, without the
+    """Members (key, id, n, pos, comp, home) of groups that still hold several components, without the
     leader, whose pairs are all known; ``home`` is its component."""
     m = members.join(comp, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
     lead = m.filter("id = leader").select("key", F.col("comp").alias("home"))
@@ -163,8 +164,9 @@ def _open(members: DataFrame, comp: DataFrame) -> DataFrame:
 
 
 def _block_pass(opened: DataFrame, heads: DataFrame, num: int, den: int, full: DataFrame | None = None) -> DataFrame:
-    """Open buckets in blocks.  Without ``full``: (key, id) of members that pass all filters with a
-    partner of another component.  With the sets in ``full`` (id, items): the links (a, b) among them."""
+    """Open groups in blocks, across components: pairs (a, b) that pass all filters, or with the sets in
+    ``full`` (id, items) pairs that are linked.  Components that a pair has joined count as one from
+    then on, so a block gives fewer pairs than it has members."""
     inside = F.col("comp") == F.col("home")
     size = opened.groupBy("key").agg(F.sum(inside.cast("long")).alias("n_in"), F.sum((~inside).cast("long")).alias("n_out"))
     blocks = written(size.select("key", F.ceil(F.col("n_in") / BLOCK).alias("bi"), F.ceil(F.col("n_out") / BLOCK).alias("bo")), "blocks")
@@ -194,7 +196,6 @@ def _block_pass(opened: DataFrame, heads: DataFrame, num: int, den: int, full: D
             who = np.repeat(right, [pre[y][k].size for y in right])
             order = np.argsort(flat, kind="stable")
             tokens.append((flat[order], who[order]))
-        passed = np.zeros(own.size, bool)
         for x in left:
             go = np.zeros(own.size, bool)
             most = np.minimum(pos[right], pos[x]) + np.minimum(n[right] - pos[right], n[x] - pos[x])
@@ -210,20 +211,10 @@ def _block_pass(opened: DataFrame, heads: DataFrame, num: int, den: int, full: D
                 met = np.zeros(own.size, bool)
                 met[who[at]] = True
                 go &= met
-            r = np.flatnonzero(go)
-            if not verify:
-                passed[r] = True
-                passed[x] |= r.size > 0
-                continue
-            for y in r:
-                if comp[y] != comp[x] and _linked(sets[x], sets[y], num, den):
+            for y in np.flatnonzero(go):
+                if comp[y] != comp[x] and (not verify or _linked(sets[x], sets[y], num, den)):
                     comp[comp == comp[y]] = comp[x]
                     yield min(ids[x], ids[y]), max(ids[x], ids[y])
-        if not verify:
-            key = t.column(0)[0].as_py()
-            yield from ((key, ids[y]) for y in np.flatnonzero(passed))
-
-    names = ["a", "b"] if verify else ["key", "id"]
 
     def run(batches):
         held: list[pa.RecordBatch] = []
@@ -231,7 +222,7 @@ def _block_pass(opened: DataFrame, heads: DataFrame, num: int, den: int, full: D
 
         def flush():
             got = list(compare(pa.Table.from_batches(held)))
-            return pa.RecordBatch.from_arrays([pa.array([int(p[k]) for p in got], pa.int64()) for k in (0, 1)], names)
+            return pa.RecordBatch.from_arrays([pa.array([int(p[k]) for p in got], pa.int64()) for k in (0, 1)], ["a", "b"])
         for b in batches:
             if not b.num_rows:
                 continue
@@ -246,7 +237,7 @@ def _block_pass(opened: DataFrame, heads: DataFrame, num: int, den: int, full: D
                 held.append(b.slice(x, y - x))
         if held:
             yield flush()
-    return laid.mapInArrow(run, ", ".join(f"{c} long" for c in names)).distinct()
+    return laid.mapInArrow(run, "a long, b long").distinct()
 
 
 def linked_groups(docs: DataFrame, w: int = 3, num: int = 90, den: int = 100) -> DataFrame:
@@ -260,26 +251,33 @@ def linked_groups(docs: DataFrame, w: int = 3, num: int = 90, den: int = 100) ->
     reps = written(live.groupBy("digest").agg(F.min("doc_id").alias("id")), "classes")
     heads = written(live.join(reps.withColumnRenamed("id", "doc_id"), ["digest", "doc_id"], "left_semi").dropDuplicates(["digest"])
                     .select(F.col("doc_id").alias("id"), "n_shingles", "first", "others"), "heads")
-    rows = heads.select("id", F.col("n_shingles").alias("n"), F.posexplode("first").alias("pos", "key"))
+    rows = heads.select("id", F.col("n_shingles").cast("int").alias("n"), F.posexplode("first").alias("pos", "key"))
     leaders = written(rows.groupBy("key").agg(F.min(F.struct("id", "n", "pos")).alias("l"), F.count("*").alias("c")).filter("c > 1")
-                      .select("key", F.col("l.id").alias("leader"), F.col("l.n").alias("ln"), F.col("l.pos").alias("lpos"), "c"), "leaders")
+                      .select("key", F.col("l.id").alias("leader"), F.col("l.n").alias("ln"), F.col("l.pos").alias("lpos"), (F.col("c") > 2).alias("crowded")), "leaders")
     members = written(rows.join(leaders, "key"), "members")
-    cand = written(_led(members, heads, num, den), "candidates")
 
+    # clusters: documents tied by pairs that pass every filter
+    share = _may_share(*(F.col(c).cast("long") for c in ("n", "pos", "ln", "lpos")), num, den)
+    pairs = members.filter("id <> leader").filter(share).select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
+    ties = written(_passing(pairs, heads), "ties")
+    cluster = components(ties)
+    more = written(_block_pass(_open(members.filter("crowded"), cluster), heads, num, den), "ties")
+    if more.limit(1).count():
+        cluster = components(written(ties.union(more), "ties"))
+
+    # within clusters, on full sets
+    full = _items(docs, cluster.select("id"), w)
+    pairs = cluster.filter("id <> comp").select(F.col("comp").alias("a"), F.col("id").alias("b"))
     # a doc_id with several texts ties its classes together
     mine = written(live.select("doc_id", "digest").distinct().join(reps, "digest").select("doc_id", "id"), "mine")
     several = mine.groupBy("doc_id").agg(F.min("id").alias("a"), F.max("id").alias("z")).filter("a <> z")
     tied = mine.join(several, "doc_id").filter("id <> a").select("a", F.col("id").alias("b"))
-    full = _items(docs, cand.select(F.col("a").alias("id")).union(cand.select("b")).distinct(), w)
-    links = written(_verified(cand, full, num, den).union(tied), "links")
+    links = written(_verified(written(_passing(pairs, heads), "candidates"), full, num, den).union(tied), "links")
     comp = components(links)
-    opened = _open(members.filter("c > 2"), comp)
-    near = written(_block_pass(opened, heads, num, den), "near")
-    if near.limit(1).count():
-        full = _items(docs, near.select("id").distinct(), w)
-        more = written(_block_pass(opened.join(near, ["key", "id"], "left_semi"), heads, num, den, full), "links")
-        if more.limit(1).count():
-            comp = components(written(links.union(more), "links"))
+    of = cluster.join(heads.select("id", "n_shingles"), "id").select(F.col("comp").alias("key"), "id", F.col("n_shingles").cast("int").alias("n"), F.lit(0).alias("pos"), F.col("comp").alias("leader"))
+    more = written(_block_pass(_open(of, comp), heads, num, den, full), "links")
+    if more.limit(1).count():
+        comp = components(written(links.union(more), "links"))
     node = written(mine.join(comp, "id", "left").groupBy("doc_id").agg(F.min(F.coalesce("comp", "id")).alias("component_id")), "nodes")
     return (base.select("doc_id", "n_shingles").join(node, "doc_id", "left")
             .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")))
