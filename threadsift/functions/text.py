@@ -9,6 +9,7 @@ so that only ``\\n`` ends a line, as in Python.
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column
@@ -85,34 +86,71 @@ def col_(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+#: the characters that Python's ``str.strip`` removes
+PY_BLANKS = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
+#: a run of blanks that holds a line end, from its first blank on; possessive, so a long run is read once
+_LINE_GAP = r"(?U)(?<![\s\x1c-\x1f])[\s\x1c-\x1f&&[^\n]]*+\n[\s\x1c-\x1f]*+"
+
+
 def py_strip(c) -> Column:
-    """Python ``str.strip()``: remove leading/trailing Unicode whitespace (Spark ``trim`` strips spaces only)."""
-    return F.regexp_replace(col_(c), r"(?U)^\s+|\s+$", "")
+    """Python ``str.strip()``: leading and trailing Unicode whitespace removed, in one pass over the ends."""
+    return F.btrim(col_(c), F.lit(PY_BLANKS))
+
+
+def _folded(c: Column) -> Column:
+    """Lower case, with the letters that meet an ASCII letter only when case is ignored."""
+    return F.lower(F.translate(c, "ſİı", "sii"))
+
+
+def _needed(pattern: str) -> str | None:
+    """Lower-case characters that every match of a noise pattern holds; None for the patterns of bare numbers."""
+    if "·" in pattern:
+        return "·"
+    plain = re.split(r"[\\(\[^]", pattern)[0]
+    if plain.endswith("?"):
+        plain = plain[:-2]  # the last letter may be missing
+    return plain.strip().lower() or None
+
+
+#: a line of digits only, which every pattern of bare numbers needs
+_NUMBER_LINE = r"(?mdU)^[\s&&[^\n]]*+[\d٠-٩]++[\s&&[^\n]]*+$"
 
 
 def ui_noise_removed(c, patterns: list[str] | None = None) -> Column:
-    """Ordered fold of ``regexp_replace`` over the interface-noise patterns (order preserved)."""
+    """Ordered fold of ``regexp_replace`` over the interface-noise patterns (order preserved).  A
+    pattern runs only where the text so far holds the characters that it needs."""
     pats = UI_CLEANUP_PATTERNS if patterns is None else patterns
-    return reduce(lambda acc, p: F.regexp_replace(acc, CLEAN_FLAGS + p, ""), pats, col_(c))
 
+    def step(acc: Column, p: str) -> Column:
+        need = _needed(p)
+
+        def one(y: Column) -> Column:
+            may = y.rlike(_NUMBER_LINE) if need is None else _folded(y).contains(need)
+            return F.when(may, F.regexp_replace(y, CLEAN_FLAGS + p, "")).otherwise(y)
+        return F.element_at(F.transform(F.array(acc), one), 1)  # the text so far, once, under a name
+    return reduce(step, pats, col_(c))
 
-def has_ui_noise(c, patterns: list[str] | None = None) -> Column:
-    """Whether any noise pattern matches: where none does, the fold changes nothing."""
+
+def may_hold_noise(c, patterns: list[str] | None = None) -> Column:
+    """Whether any noise pattern can match; where none can, the fold changes nothing."""
     pats = UI_CLEANUP_PATTERNS if patterns is None else patterns
-    return col_(c).rlike(CLEAN_FLAGS + "|".join(f"(?:{p})" for p in pats))
+    need = {_needed(p) for p in pats}
+    words = sorted(w for w in need if w and not any(o and o != w and o in w for o in need))
+    x = col_(c)
+    found = F.exists(F.array(_folded(x)), lambda y: contains_any(y, words)) if words else F.lit(False)
+    return found | x.rlike(_NUMBER_LINE) if None in need else found
 
 
 def normalize_whitespace(c) -> Column:
-    """Collapse newline runs, trim each line (multiline), then trim the ends."""
-    x = F.regexp_replace(col_(c), r"\n{2,}", "\n")
-    x = F.regexp_replace(x, r"(?mdU)^\s+|\s+$", "")
-    return py_strip(x)
+    """Newline runs collapsed, each line trimmed, then the ends: a run of blanks within the text that holds
+    a line end becomes one newline, any other stays."""
+    return py_strip(F.regexp_replace(col_(c), _LINE_GAP, "\n"))
 
 
 def clean_text(c) -> Column:
-    """C1 + C2: full body-text cleaning; a text without any noise skips the fold."""
+    """C1 + C2: full body-text cleaning; a text that no noise pattern can match skips the fold."""
     x = col_(c)
-    return normalize_whitespace(F.when(has_ui_noise(x), ui_noise_removed(x)).otherwise(x))
+    return normalize_whitespace(F.when(may_hold_noise(x), ui_noise_removed(x)).otherwise(x))
 
 
 def strip_bidi(c, everywhere: bool = False) -> Column:

@@ -4,8 +4,8 @@ Keep-first is an aggregation of fixed width, not a window: ``groupBy(key)`` with
 ``min(order)`` is a hash aggregation whose partial step runs inside every map task,
 so a key shared by a third of all rows (a viral text, a blank URL) is one row per
 task before the shuffle.  Only when the other columns are wanted are the kept rows
-fetched, by a semi join on their order value; long texts never pass through a sort
-of the aggregation.
+fetched, by a semi join on key and order value; long texts never pass through a sort
+of the aggregation.  An order value may repeat, within a key too: one row of a key stays.
 """
 
 from __future__ import annotations
@@ -22,10 +22,23 @@ def first_order(df: DataFrame, key: Column, order: str = "seq", out: str = "__ke
     return df.select(key.alias(out), F.col(order)).groupBy(out).agg(F.min(order).alias(order))
 
 
-def keep_first(df: DataFrame, key: Column | str, order: str = "seq") -> DataFrame:
-    """First row (smallest ``order``) per ``key``.  ``order`` is unique, as the input order is."""
+def keep_first(df: DataFrame, key: Column | str, order: str = "seq", null_key: bool = True, unique: bool = False) -> DataFrame:
+    """First row (smallest ``order``, a value or a struct of values) per ``key``; of rows that tie in both, one.
+
+    A NULL key is a key like any other, or with ``null_key=False`` leaves its rows out.  Rows without an
+    order value come after all others of their key.  ``unique`` says that no two rows share an order
+    value, as with a total input order: then no tie has to be looked for among the kept rows.
+    """
     k = F.col(key) if isinstance(key, str) else key
-    return df.join(first_order(df, k, order).select(order), order, "left_semi").select(*df.columns)
+    # never NULL: no filter is derived from it, which would compute a costly key once more
+    rows = df.withColumn("__key", F.coalesce(F.concat(F.lit("k"), k.cast("string")), F.lit("")))
+    first = rows.groupBy("__key").agg(F.min(order).alias("__order"), F.max((F.col("__key") != "").cast("int")).alias("__some"))
+    if not null_key:
+        first = first.filter("__some = 1")
+    left, right = rows.alias("l"), first.alias("r")
+    on = (F.col("l.__key") == F.col("r.__key")) & F.col(f"l.{order}").eqNullSafe(F.col("r.__order"))
+    kept = left.join(right, on, "left_semi")
+    return (kept if unique else kept.dropDuplicates(["__key", order])).select(*df.columns)
 
 
 def text_key(text: str = "text") -> Column:
@@ -34,18 +47,18 @@ def text_key(text: str = "text") -> Column:
     return F.when(t != "", F.sha2(t, 256))
 
 
-def distinct_text_first(df: DataFrame, text: str = "text", order: str = "seq") -> DataFrame:
+def distinct_text_first(df: DataFrame, text: str = "text", order: str = "seq", unique: bool = False) -> DataFrame:
     """Unique posts by stripped text, first in input order; empty texts dropped.
 
     The grouping key is the SHA-256 of the stripped text (32 bytes) rather than the
     text itself; a collision has probability ~2^-128 even at trillions of posts.
     """
-    return keep_first(df.filter(text_key(text).isNotNull()), text_key(text), order)
+    return keep_first(df, text_key(text), order, null_key=False, unique=unique)
 
 
-def distinct_key_first(df: DataFrame, order: str = "seq") -> DataFrame:
+def distinct_key_first(df: DataFrame, order: str = "seq", unique: bool = False) -> DataFrame:
     """Unique posts by dedup key (URL, else a hash of the text), first wins."""
-    return keep_first(df, dedup_key(F.col("url"), F.col("text")), order)
+    return keep_first(df, dedup_key(F.col("url"), F.col("text")), order, unique=unique)
 
 
 def not_seen(incoming: DataFrame, stored: DataFrame) -> DataFrame:

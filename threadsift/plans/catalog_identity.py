@@ -22,6 +22,15 @@ def dedup_key_first(spark, sf):
     return DD.first_order(p, dedup_key(F.col("url"), F.col("text")), "seq", "dedup_key").select("seq", "dedup_key")
 
 
+@register("distinct_key_posts", "WITH " + G.posts_cte() + f"""
+SELECT seq, author, url, likes, md5(text) AS text_md5 FROM (SELECT *, {KEY_SQL} AS dedup_key FROM posts)
+QUALIFY row_number() OVER (PARTITION BY dedup_key ORDER BY seq) = 1""")
+def distinct_key_posts(spark, sf):
+    """The whole posts that ``dedup_key_first`` keeps."""
+    p = DD.distinct_key_first(posts_from_tables(spark, sf), unique=True)
+    return p.select("seq", "author", "url", "likes", F.md5("text").alias("text_md5"))
+
+
 @register("resume_anti_join", "WITH " + G.posts_cte() + f"""
 , stored AS (SELECT DISTINCT {KEY_SQL} AS k FROM posts p JOIN labels l ON l.doc_id = p.seq)
 SELECT seq FROM posts WHERE {KEY_SQL} NOT IN (SELECT k FROM stored)""")

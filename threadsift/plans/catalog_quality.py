@@ -19,7 +19,7 @@ UNIQUE_CTE = "WITH " + G.posts_cte() + f"""
 
 
 def unique_posts(spark, sf):
-    return distinct_text_first(with_defaults(posts_from_tables(spark, sf), DEFAULTS_QUALITY))
+    return distinct_text_first(with_defaults(posts_from_tables(spark, sf), DEFAULTS_QUALITY), unique=True)
 
 
 @register("dedup_text_first", UNIQUE_CTE + "\nSELECT seq, md5(text) AS text_md5 FROM u")

@@ -119,15 +119,20 @@ def stream_keys(spark, sf):
     return spark.read.parquet(sink).select("dedup_key")
 
 
-@register("stream_resume", FIRST_SQL)
+@register("stream_resume", "WITH " + G.posts_cte() + f"""
+, r AS (SELECT {KEY_SQL} AS dedup_key, seq % 2 AS run, seq // 2 AS "index" FROM posts WHERE NOT (length({G.strip('text')}) < 5 AND url = ''))
+SELECT dedup_key, run, "index" FROM r QUALIFY row_number() OVER (PARTITION BY dedup_key ORDER BY run, "index") = 1""")
 def stream_resume(spark, sf):
-    """H3: two runs over a growing landing folder; the second adds nothing, as its posts are stored."""
-    landing = land_posts(spark, sf)
+    """H3: three runs over a growing landing folder, each numbering its posts from 0: even posts, odd posts,
+    and the even ones once more; a key is stored once, by the run that first had it."""
+    landing = checkpoint_path(spark, "landing")
     sink, ck = checkpoint_path(spark, "sink"), checkpoint_path(spark, "ckpt")
-    ING.ingest_anti_join(spark, landing, sink, ck)
-    SK.append_jsonl(posts_from_tables(spark, sf).select(*POST_COLS), landing, POSTS_PER_FILE)  # the same posts land again
-    ING.ingest_anti_join(spark, landing, sink, ck)
-    return spark.read.schema(ING.STORED).parquet(sink).select("dedup_key", "index")
+    for run in (0, 1, 0):
+        posts = posts_from_tables(spark, sf).filter(F.col("seq") % 2 == run).withColumn("index", F.expr("seq div 2"))
+        # files that hold a stretch of the run each; their names rise with it
+        SK.append_jsonl(posts.withColumn("timestamp", F.lit(str(run))).select(*POST_COLS).repartitionByRange("index").sortWithinPartitions("index"), landing)
+        ING.ingest_anti_join(spark, landing, sink, ck, order="name")
+    return spark.read.parquet(sink).select("dedup_key", F.col("timestamp").cast("long").alias("run"), "index")
 
 
 @register("stream_quarantine", f"""
@@ -153,7 +158,7 @@ def stream_tag_counts(spark, sf):
     s = ING.landing_stream(spark, landing, 1).filter(F.coalesce("text", F.lit("")) != "")
     sink, ck = checkpoint_path(spark, "tags"), checkpoint_path(spark, "ckpt")
     ING.live_tag_counts(spark, s, LX.tags("text", PROBE), sink, ck)
-    return spark.read.parquet(sink)
+    return ING.live_counts(spark, sink)
 
 
 ROUNDS_SQL = """WITH firsts AS (SELECT user_id, event_type, min(ts) AS t FROM events GROUP BY ALL),

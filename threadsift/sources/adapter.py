@@ -64,8 +64,9 @@ def _by_document(rows: DataFrame, key, n_docs: DataFrame, out: str) -> DataFrame
 
 
 def posts_from_tables(spark: SparkSession, sf_dir: str, with_counts: bool = False) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
-    n_docs = docs.agg((F.coalesce(F.max("doc_id"), F.lit(0)) + 1).alias("n_docs"))
+    # dealt by doc_id under a fixed rule: the joins on doc_id want it, and the work on texts uses all cores however the files are cut
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang").repartition("doc_id")
+    n_docs = table(spark, sf_dir, "documents").agg((F.coalesce(F.max("doc_id"), F.lit(0)) + 1).alias("n_docs"))
     ev = _by_document(table(spark, sf_dir, "events"), F.col("event_id"), n_docs, "n_events")
     cv = _by_document(table(spark, sf_dir, "conversations"), F.col("conv_id") * 8 + F.col("turn"), n_docs, "n_turns")
     d = docs.join(ev, "doc_id", "left").join(cv, "doc_id", "left")

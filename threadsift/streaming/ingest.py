@@ -9,8 +9,9 @@ checkpoint makes a restart resume without re-emitting (H3).  Three dedup plans:
   the reference's in-memory set, and lives in the (RocksDB-capable) state store.
 * ``ingest_first``: the smallest ``index`` per key as streaming state, for a defined survivor.
 * ``ingest_anti_join``: ``foreachBatch`` that keeps the first row per key in
-  the batch and anti-joins the keys already stored in the sink table, for very
-  long histories where state-store size matters more than latency.
+  the batch and leaves out the keys that earlier batches stored, by a bucketed key
+  index with Bloom filters (``keyindex``), for very long histories where
+  state-store size matters more than latency.
 
 All paths (landing, sink, checkpoint) must be on shared storage; helpers
 under ``threadsift.session.checkpoint_path`` derive them from
@@ -27,15 +28,20 @@ from threadsift import schema as S
 from threadsift.functions.identity import dedup_key
 from threadsift.functions.text import content_ok, py_strip
 from threadsift.operators.dedup import keep_first
+from threadsift.streaming import keyindex as KI
 
 
-def landing_stream(spark: SparkSession, landing: str, max_files: int | None = None) -> DataFrame:
-    """The posts of a JSON-lines landing folder as a stream; ``quarantine`` keeps its malformed lines."""
+def landing_stream(spark: SparkSession, landing: str, max_files: int | None = None, files: bool = False) -> DataFrame:
+    """The posts of a JSON-lines landing folder as a stream; ``quarantine`` keeps its malformed lines.
+    With ``files`` also file_time and file_name."""
     r = (spark.readStream.schema(S.POST_WITH_CORRUPT).option("mode", "PERMISSIVE")
          .option("columnNameOfCorruptRecord", "_corrupt_record"))
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
-    return r.json(landing).filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
+    posts = r.json(landing)
+    if files:
+        posts = posts.select("*", F.col("_metadata.file_modification_time").alias("file_time"), F.col("_metadata.file_name").alias("file_name"))
+    return posts.filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
 
 
 def quarantine(spark: SparkSession, landing: str, path: str, checkpoint: str, max_files: int | None = None):
@@ -103,26 +109,28 @@ def first_posts(spark: SparkSession, sink: str) -> DataFrame:
 STORED = "dedup_key string, index long, batch long"
 
 
-def store_batch(df: DataFrame, batch_id: int, sink: str) -> str:
+FILE_ORDER = {"mtime": ["file_time", "file_name"], "name": ["file_name"]}
+
+
+def store_batch(df: DataFrame, batch_id: int, sink: str, index: str | None = None, order: str = "mtime") -> str:
     """H3: the batch's first post per key, without the keys stored by earlier batches, written over
-    ``batch=<id>``.  Only earlier batches count as stored, so a replayed batch finds the same rows."""
+    ``batch=<id>``; their keys go to the key index beside the sink.  Only earlier batches count as
+    stored, so a replayed batch finds the same rows.
+
+    First is by the order of the files (by time and name, or by name alone) and then by ``index``, where
+    ``df`` names its files: the running index starts again at 0 with every run, so it alone orders nothing.
+    """
     spark, out = df.sparkSession, f"{sink.rstrip('/')}/batch={batch_id}"
-    fresh = keep_first(df, "dedup_key", "index")
-    if batch_id > 0:
-        try:
-            # the folder names give ``batch``: folders of this and later batches are not read at all
-            seen = spark.read.schema(STORED).parquet(sink).filter(F.col("batch") < batch_id).select("dedup_key")
-            fresh = fresh.join(seen, "dedup_key", "left_anti")
-        except Exception as e:  # noqa: BLE001 -- nothing stored yet
-            if "PATH_NOT_FOUND" not in str(e) and "Path does not exist" not in str(e):
-                raise
-    fresh.write.mode("overwrite").parquet(out)
+    index = index or f"{sink.rstrip('/')}-keys"
+    rows = df.withColumn("__at", F.struct(*[c for c in FILE_ORDER[order] if c in df.columns], "index"))
+    KI.unseen(keep_first(rows, "dedup_key", "__at").drop("__at", "file_time", "file_name"), batch_id, index).write.mode("overwrite").parquet(out)
+    KI.add(spark.read.schema(STORED).parquet(out), batch_id, index)
     return out
 
 
 def ingest_anti_join(spark: SparkSession, landing: str, sink: str, checkpoint: str, max_files: int | None = None,
-                     metrics: str | None = None, idle_limit: int | None = None, max_rounds: int | None = None):
-    """H3/H5: per micro-batch ``store_batch``; state lives in the sink, not in the stream.
+                     metrics: str | None = None, idle_limit: int | None = None, max_rounds: int | None = None, order: str = "mtime"):
+    """H3/H5: per micro-batch ``store_batch``; state lives in the sink and its key index, not in the stream.
 
     ``idle_limit`` ends the run after so many batches in a row without a new post, ``max_rounds``
     after so many batches; what has not been read stays for the next run.
@@ -133,14 +141,14 @@ def ingest_anti_join(spark: SparkSession, landing: str, sink: str, checkpoint: s
         if (idle_limit and idle[0] >= idle_limit) or (max_rounds and rounds[0] >= max_rounds):
             stopped[0] = True
             raise RuntimeError("the run has reached its limit")  # this batch is not committed
-        out = store_batch(df, batch_id, sink)
+        out = store_batch(df, batch_id, sink, order=order)
         n = df.sparkSession.read.schema(STORED).parquet(out).count()
         if metrics:  # H4: one progress row per round (new posts accepted in this micro-batch)
             df.sparkSession.createDataFrame([(batch_id, n)], "round long, new_posts long") \
                 .write.mode("overwrite").parquet(f"{metrics.rstrip('/')}/batch={batch_id}")
         idle[0], rounds[0] = (0 if n else idle[0] + 1), rounds[0] + 1
 
-    q = (prepared(landing_stream(spark, landing, max_files)).writeStream
+    q = (prepared(landing_stream(spark, landing, max_files, files=True)).writeStream
          .option("checkpointLocation", checkpoint).foreachBatch(per_batch).trigger(availableNow=True).start())
     try:
         q.awaitTermination()
@@ -151,13 +159,24 @@ def ingest_anti_join(spark: SparkSession, landing: str, sink: str, checkpoint: s
 
 
 def live_tag_counts(spark: SparkSession, stream: DataFrame, tags_col, sink: str, checkpoint: str):
-    """H6: running tag counts kept live (complete mode), each trigger overwrites the sink table."""
+    """H6: running tag counts kept live (complete mode): each trigger writes a folder of its own, and
+    ``live_counts`` reads the newest, so that no reader meets a table half replaced."""
     counts = stream.select(F.explode(tags_col).alias("tag")).groupBy("tag").agg(F.count(F.lit(1)).alias("frequency"))
 
     def write(df: DataFrame, batch_id: int) -> None:
-        df.write.mode("overwrite").parquet(sink)
+        df.write.mode("overwrite").parquet(f"{sink.rstrip('/')}/batch={batch_id}")
 
     q = (counts.writeStream.outputMode("complete").option("checkpointLocation", checkpoint)
          .foreachBatch(write).trigger(availableNow=True).start())
     q.awaitTermination()
     return q
+
+
+def live_counts(spark: SparkSession, sink: str) -> DataFrame:
+    """(tag, frequency) of the newest folder that ``live_tag_counts`` finished."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    base = hadoop.Path(sink)
+    fs = base.getFileSystem(spark._jsc.hadoopConfiguration())
+    done = [int(d.getPath().getName()[6:]) for d in fs.listStatus(base)
+            if d.getPath().getName().startswith("batch=") and fs.exists(hadoop.Path(d.getPath(), "_SUCCESS"))]
+    return spark.read.schema("tag string, frequency long").parquet(f"{sink.rstrip('/')}/batch={max(done)}")
