@@ -121,14 +121,20 @@ def ui_noise_removed(c, patterns: list[str] | None = None) -> Column:
     pattern runs only where the text so far holds the characters that it needs."""
     pats = UI_CLEANUP_PATTERNS if patterns is None else patterns
 
+    def state(y: Column) -> Column:
+        return F.struct(y.alias("text"), _folded(y).alias("low"))
+
+    def once(value: Column, body) -> Column:
+        return F.element_at(F.transform(F.array(value), body), 1)  # the value, made once, under a name
+
     def step(acc: Column, p: str) -> Column:
         need = _needed(p)
 
-        def one(y: Column) -> Column:
-            may = y.rlike(_NUMBER_LINE) if need is None else _folded(y).contains(need)
-            return F.when(may, F.regexp_replace(y, CLEAN_FLAGS + p, "")).otherwise(y)
-        return F.element_at(F.transform(F.array(acc), one), 1)  # the text so far, once, under a name
-    return reduce(step, pats, col_(c))
+        def one(s: Column) -> Column:
+            may = s["text"].rlike(_NUMBER_LINE) if need is None else s["low"].contains(need)
+            return F.when(may, state(F.regexp_replace(s["text"], CLEAN_FLAGS + p, ""))).otherwise(s)
+        return once(acc, one)
+    return reduce(step, pats, once(col_(c), state))["text"]
 
 
 def may_hold_noise(c, patterns: list[str] | None = None) -> Column:

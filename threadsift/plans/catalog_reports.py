@@ -7,11 +7,17 @@ from threadsift.plans import statistics as ST
 from threadsift.plans import sqlgen as G
 from threadsift.plans.catalog_profiles import profiles
 from threadsift.plans.demographics import LABEL_COLS
+from threadsift.plans.pages import stored
 from threadsift.plans.registry import register
 
 PROF = "WITH " + G.profiles_cte()
 
 
+def cells(spark, sf):
+    """The report cube, written: whatever a section reads of it, profiles are built once."""
+    return stored(ST.report_cells(profiles(spark, sf)), "report-cells")
+
+
 def _vals(name: str, labels: list[str]) -> str:
     rows = ", ".join(f"({G.q(x)}, {i})" for i, x in enumerate(labels))
     return f"(SELECT * FROM (VALUES {rows}) v({name}, {name}_idx))"
@@ -42,13 +48,13 @@ SELECT count(*) AS total_posters, CAST(coalesce(sum(post_count), 0) AS BIGINT) A
   round(coalesce(sum(post_count), 0) / greatest(count(*), 1), 6) AS avg_posts_per_poster FROM prof""")
 def community_totals(spark, sf):
     """Totals and per-poster averages."""
-    return ST.community_totals(profiles(spark, sf))
+    return ST.community_totals(cells(spark, sf))
 
 
 @register("label_distributions", PROF + f", {LABEL_DIST}\nSELECT dimension, label, count FROM ldist")
 def label_distributions(spark, sf):
     """six label distributions over posters (NULL skipped)."""
-    return ST.label_distributions(profiles(spark, sf)).drop("first_seq")
+    return ST.label_distributions(cells(spark, sf)).drop("first_seq")
 
 
 @register("stage_by_type", PROF + """
@@ -56,7 +62,7 @@ SELECT business_type, business_stage, count(*) AS count FROM prof
 WHERE business_stage IS NOT NULL AND business_type IS NOT NULL GROUP BY business_type, business_stage""")
 def stage_by_type(spark, sf):
     """business type x stage cross-tab."""
-    return ST.crosstab(profiles(spark, sf), "business_type", "business_stage").drop("first_seq")
+    return ST.crosstab(cells(spark, sf), "business_type", "business_stage").drop("first_seq")
 
 
 @register("market_by_stage", PROF + """
@@ -64,14 +70,14 @@ SELECT business_stage, target_market, count(*) AS count FROM prof
 WHERE business_stage IS NOT NULL AND target_market IS NOT NULL GROUP BY business_stage, target_market""")
 def market_by_stage(spark, sf):
     """stage x target market cross-tab."""
-    return ST.crosstab(profiles(spark, sf), "business_stage", "target_market").drop("first_seq")
+    return ST.crosstab(cells(spark, sf), "business_stage", "target_market").drop("first_seq")
 
 
 @register("tag_tool_distribution", PROF + f", {_listdist('pd', 'pain_points')}, {_listdist('td', 'tool_preferences')}" + """
 SELECT 'pain_points' AS kind, label, count FROM pd UNION ALL SELECT 'tool_preferences', label, count FROM td""")
 def tag_tool_distribution(spark, sf):
     """posters per pain point and per tool."""
-    p = profiles(spark, sf)
+    p = cells(spark, sf)
     a = ST.list_distribution(p, "pain_points").selectExpr("'pain_points' AS kind", "label", "count")
     b = ST.list_distribution(p, "tool_preferences").selectExpr("'tool_preferences' AS kind", "label", "count")
     return a.unionByName(b)
@@ -82,7 +88,7 @@ SELECT business_stage, round(avg(readiness_score), 6) AS avg_score, min(readines
   max(readiness_score) AS max_score, count(*) AS posters FROM prof WHERE business_stage IS NOT NULL GROUP BY business_stage""")
 def readiness_by_stage(spark, sf):
     """readiness average / min / max / posters per stage."""
-    return ST.readiness_by_stage(profiles(spark, sf)).drop("first_seq")
+    return ST.readiness_by_stage(cells(spark, sf)).drop("first_seq")
 
 
 @register("engagement_by_type", PROF + """
@@ -90,13 +96,13 @@ SELECT business_type, CAST(sum(total_engagement) AS BIGINT) AS total_engagement,
   count(*) AS posters FROM prof WHERE business_type IS NOT NULL GROUP BY business_type""")
 def engagement_by_type(spark, sf):
     """engagement per business type."""
-    return ST.engagement_by_type(profiles(spark, sf))
+    return ST.engagement_by_type(cells(spark, sf))
 
 
 @register("team_size_distribution", PROF + "\nSELECT team_size, count(*) AS count FROM prof GROUP BY team_size")
 def team_size_distribution(spark, sf):
     """team-size distribution."""
-    return ST.team_size_distribution(profiles(spark, sf)).drop("first_seq")
+    return ST.team_size_distribution(cells(spark, sf)).drop("first_seq")
 
 
 @register("budget_stage_grid", PROF + f"""
@@ -108,7 +114,7 @@ LEFT JOIN (SELECT business_stage, budget_range, count(*) AS count FROM prof
   ON c.business_stage = g.business_stage AND c.budget_range = g.budget_range""")
 def budget_stage_grid(spark, sf):
     """F15 (+E8): stage x budget over the full scale grid, missing cells 0."""
-    return ST.budget_stage_grid(profiles(spark, sf))
+    return ST.budget_stage_grid(cells(spark, sf))
 
 
 @register("segment_profile", PROF + f"""
@@ -123,7 +129,7 @@ FROM {_vals('business_stage', L.BUSINESS_STAGES)} s LEFT JOIN
 LEFT JOIN k ON k.business_stage = s.business_stage""")
 def segment_profile(spark, sf):
     """F19 (+E7): posters and average engagement per stage of the scale."""
-    return ST.segment_profile(profiles(spark, sf))
+    return ST.segment_profile(cells(spark, sf))
 
 
 @register("budget_by_stage", PROF + f"""
@@ -134,7 +140,7 @@ FROM {_vals('business_stage', L.BUSINESS_STAGES)} s LEFT JOIN (SELECT business_s
       WHERE business_stage IS NOT NULL AND budget_range IS NOT NULL GROUP BY ALL) c ON c.business_stage = s.business_stage""")
 def budget_by_stage(spark, sf):
     """budget distribution inside each stage (% of the stage's budget total)."""
-    return ST.budget_by_stage(profiles(spark, sf))
+    return ST.budget_by_stage(cells(spark, sf))
 
 
 @register("budget_coverage", PROF + f"""
@@ -148,14 +154,14 @@ SELECT count(budget_range) AS with_budget, count(*) AS total_posters,
 FROM prof""")
 def budget_coverage(spark, sf):
     """Budget coverage and average budget range."""
-    return ST.budget_coverage(profiles(spark, sf))
+    return ST.budget_coverage(cells(spark, sf))
 
 
 @register("overall_readiness", PROF + """
 SELECT round(avg(readiness_score), 6) AS overall_readiness, count(*) AS scored_posters FROM prof WHERE business_stage IS NOT NULL""")
 def overall_readiness(spark, sf):
     """mean readiness over scored posters."""
-    return ST.overall_readiness(profiles(spark, sf))
+    return ST.overall_readiness(cells(spark, sf))
 
 
 _MODES_SQL = PROF + f", {LABEL_DIST}, {_listdist('pd', 'pain_points')}, {_listdist('td', 'tool_preferences')}" + """
@@ -167,7 +173,7 @@ SELECT dimension, label, count FROM allc QUALIFY row_number() OVER (PARTITION BY
 @register("modes", _MODES_SQL)
 def modes(spark, sf):
     """most common type / stage / industry / pain point / tool, first seen wins ties."""
-    return ST.modes(profiles(spark, sf))
+    return ST.modes(cells(spark, sf))
 
 
 @register("top3_per_stage", PROF + STAGE_LABELS + """
@@ -176,7 +182,7 @@ SELECT business_stage, kind, row_number() OVER (PARTITION BY business_stage, kin
 FROM c QUALIFY rank <= 3""")
 def top3_per_stage(spark, sf):
     """Top-3 pain points / tools / budgets per stage with % inside the stage's counter."""
-    return ST.top3_per_stage(profiles(spark, sf))
+    return ST.top3_per_stage(cells(spark, sf))
 
 
 @register("flow_top5", PROF + f", {LABEL_DIST}, {_listdist('pd', 'pain_points')}, {_listdist('td', 'tool_preferences')}" + """
@@ -185,7 +191,7 @@ def top3_per_stage(spark, sf):
 SELECT level, row_number() OVER (PARTITION BY level ORDER BY count DESC, k) AS rank, label, count FROM allc QUALIFY rank <= 5""")
 def flow_top5(spark, sf):
     """The three top-5 flow lists (segments, pain points, tools)."""
-    return ST.flow_top5(profiles(spark, sf))
+    return ST.flow_top5(cells(spark, sf))
 
 
 @register("stage_ranking", PROF + """
@@ -196,7 +202,7 @@ SELECT row_number() OVER (ORDER BY avg_score DESC, first_seq) AS rank, business_
   row_number() OVER (ORDER BY avg_score DESC, first_seq) = count(*) OVER () AS least_ready FROM s""")
 def stage_ranking(spark, sf):
     """Stages ranked by average readiness; most / least ready."""
-    return ST.stage_ranking(profiles(spark, sf))
+    return ST.stage_ranking(cells(spark, sf))
 
 
 @register("breakdown_share", PROF + f", {LABEL_DIST}, {_listdist('pd', 'pain_points')}, {_listdist('td', 'tool_preferences')}" + """
@@ -207,7 +213,7 @@ SELECT dimension, row_number() OVER (PARTITION BY dimension ORDER BY count DESC,
 FROM allc""")
 def breakdown_share(spark, sf):
     """Breakdown tables (labels over posters, tags/tools over their distribution sum)."""
-    return ST.breakdown_share(profiles(spark, sf))
+    return ST.breakdown_share(cells(spark, sf))
 
 
 @register("bar_units", PROF + f", {LABEL_DIST}" + """
@@ -220,7 +226,7 @@ SELECT chart, label, count,
 FROM u WINDOW w AS (PARTITION BY chart)""")
 def bar_units(spark, sf):
     """Bar lengths and % of sum for the stage, industry and team-size charts."""
-    return ST.bar_units(profiles(spark, sf))
+    return ST.bar_units(cells(spark, sf))
 
 
 @register("funnel", PROF + f", {LABEL_DIST}" + f"""
@@ -231,7 +237,7 @@ SELECT CAST({G.scale_index('label', L.TECH_LEVELS)} AS BIGINT) AS level_idx, lab
 FROM ldist WHERE dimension = 'tech_level'""")
 def funnel(spark, sf):
     """Technical-level funnel in declared order."""
-    return ST.funnel(profiles(spark, sf))
+    return ST.funnel(cells(spark, sf))
 
 
 @register("radar_norm", PROF + """
@@ -240,7 +246,7 @@ SELECT business_stage, round(a, 6) AS avg_score, round(a / max(a) OVER () * 100,
   CAST(floor(a / max(a) OVER () * 100 / 5) AS BIGINT) AS blocks FROM s""")
 def radar_norm(spark, sf):
     """Readiness per stage normalised to best = 100."""
-    return ST.radar_norm(profiles(spark, sf))
+    return ST.radar_norm(cells(spark, sf))
 
 
 @register("heatmap_bucket", PROF + f"""
@@ -252,7 +258,7 @@ SELECT business_stage, target_market, CAST(count AS BIGINT) AS count,
        WHEN count / max(count) OVER () > 0.4 THEN 'mid' ELSE 'low' END AS bucket FROM j""")
 def heatmap_bucket(spark, sf):
     """Stage x market heat-map buckets over the full grid."""
-    return ST.heatmap_bucket(profiles(spark, sf))
+    return ST.heatmap_bucket(cells(spark, sf))
 
 
 @register("tree_drilldown", PROF + """
@@ -265,7 +271,7 @@ SELECT stage_rank, st.business_stage, st.stage_count, round(st.stage_count / (SE
 FROM sr st LEFT JOIN ty ON ty.business_stage = st.business_stage""")
 def tree_drilldown(spark, sf):
     """Stage -> business type drill-down with shares."""
-    return ST.tree_drilldown(profiles(spark, sf))
+    return ST.tree_drilldown(cells(spark, sf))
 
 
 @register("pie_units", PROF + """
@@ -274,7 +280,7 @@ SELECT business_type, count, round(count / sum(count) OVER () * 100, 6) AS pct,
   CAST(floor(count / sum(count) OVER () * 100 / 5) AS BIGINT) AS slices FROM d""")
 def pie_units(spark, sf):
     """Business-type pie slices."""
-    return ST.pie_units(profiles(spark, sf))
+    return ST.pie_units(cells(spark, sf))
 
 
 @register("composition", PROF + f"""
@@ -282,4 +288,4 @@ SELECT business_type, CAST({G.scale_index('business_stage', L.BUSINESS_STAGES)}
 FROM prof WHERE business_stage IS NOT NULL AND business_type IS NOT NULL GROUP BY ALL""")
 def composition(spark, sf):
     """Non-zero stage composition per business type in declared order."""
-    return ST.composition(profiles(spark, sf))
+    return ST.composition(cells(spark, sf))

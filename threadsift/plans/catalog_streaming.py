@@ -274,20 +274,22 @@ def run_summary(spark, sf):
 
 
 def _section_sql() -> str:
+    """The rows of every section from one materialised table of profiles."""
+    prefix = "WITH " + G.profiles_cte()
     lists = {"pain_point_distribution": ("tag_tool_distribution", " WHERE kind = 'pain_points'"),
              "tool_distribution": ("tag_tool_distribution", " WHERE kind = 'tool_preferences'")}
     parts = []
     for n in ST.SECTIONS:
         q, where = lists.get(n, (n, ""))
-        parts.append(f"SELECT '{n}' AS section, (SELECT count(*) FROM ({ORACLES[q]}) x{where}) AS rows")
-    return " UNION ALL ".join(parts)
+        rest = ORACLES[q].removeprefix(prefix).strip()
+        parts.append(f"SELECT '{n}' AS section, (SELECT count(*) FROM ({'WITH ' + rest[1:] if rest.startswith(',') else rest}) x{where}) AS rows")
+    return prefix.replace("prof AS (", "prof AS MATERIALIZED (") + "\n" + "\nUNION ALL ".join(parts)
 
 
 @register("report_sink", _section_sql())
 def report_sink(spark, sf):
     """All report sections written as named outputs; returns (section, rows)."""
-    prof = profiles(spark, sf).checkpoint()  # one materialisation feeds every section
-    paths = SK.write_report(ST.report_sections(prof), checkpoint_path(spark, "report"))
+    paths = SK.write_report(ST.report_sections(profiles(spark, sf)), checkpoint_path(spark, "report"))
     parts = [spark.read.parquet(p).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("section"), "rows")
              for n, p in paths.items()]
     return reduce(lambda a, b: a.unionByName(b), parts)

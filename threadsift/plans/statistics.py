@@ -1,8 +1,9 @@
-"""Community statistics (F8-F24) and report tables (G4-G14) over profiles.
+"""Community statistics (F8-F24) and report tables (G4-G14) from one report cube.
 
-Input is the ``profiles`` table (one row per author).  Every output here is
-bounded by the label scales or lexicons (a few to a few dozen rows), so the
-final windows/sorts run on tiny data; the only shuffles carry aggregated rows.
+``report_cells`` rolls the ``profiles`` table (one row per author) up by GROUPING SETS: one Expand and
+one aggregation give every counter that any section needs, as one row per cell, told apart by
+``grouping_id``.  The cells are bounded by the label scales and lexicons (some hundred rows) and are
+written once; the sections read nothing else, so profiles are built and read once a report.
 
 Tie order follows the reference's insertion order: posters are visited by
 the seq of their first post, so a label's tie key is the smallest
@@ -19,6 +20,7 @@ from threadsift import lexicons as L
 from threadsift.functions import scoring as SC
 from threadsift.operators.reports import heat_bucket, rank_by
 from threadsift.plans.demographics import LABEL_COLS
+from threadsift.plans.pages import stored
 
 R6 = 6
 
@@ -27,64 +29,96 @@ def _r(c: Column) -> Column:
     return F.round(c, R6)
 
 
+# ---------------------------------------------------------------- the cube
+LISTS = ["pain_points", "tool_preferences"]
+_AXES = ["kind", "label", *LABEL_COLS, "team_size"]
+PAIRS = [("business_type", "business_stage"), ("business_stage", "target_market"), ("business_stage", "budget_range")]
+#: name of a grouping set -> the columns it groups by
+SETS = ({"all": ["kind"], "list": ["kind", "label"], "stage_list": ["kind", "label", "business_stage"]}
+        | {c: ["kind", c] for c in [*LABEL_COLS, "team_size"]} | {f"{a}/{b}": ["kind", a, b] for a, b in PAIRS})
+_PLACES = 1 << 10  # a list has fewer entries than this
+
+
+def report_cells(prof: DataFrame) -> DataFrame:
+    """(what, kind, the axes, count, posts, engagement, readiness, low, high, first_seq, pos): one row per cell of
+    every grouping set.  A poster is a row of kind ``poster`` and one more for each entry of its lists."""
+    entries = F.concat(F.array(F.struct(F.lit("poster").alias("kind"), F.lit(None).cast("string").alias("label"), F.lit(0).alias("pos"))),
+                       *[F.expr(f"transform({c}, (x, i) -> struct('{c}' AS kind, x AS label, i AS pos))") for c in LISTS])
+    rows = prof.select("first_seq", "post_count", "total_engagement", "readiness_score", *LABEL_COLS, "team_size", F.inline(entries))
+    cube = rows.groupingSets([[F.col(c) for c in cols] for cols in SETS.values()], *_AXES).agg(
+        F.grouping_id().alias("gid"), F.count(F.lit(1)).alias("count"), F.sum("post_count").cast("long").alias("posts"),
+        F.sum("total_engagement").cast("long").alias("engagement"), F.sum("readiness_score").cast("double").alias("readiness"),
+        F.min("readiness_score").cast("long").alias("low"), F.max("readiness_score").cast("long").alias("high"),
+        F.min(F.col("first_seq") * _PLACES + F.col("pos")).alias("k"))
+    what = F.lit(None).cast("string")
+    for name, cols in SETS.items():
+        gid = sum(1 << (len(_AXES) - 1 - i) for i, c in enumerate(_AXES) if c not in cols)
+        what = F.when(F.col("gid") == gid, F.lit(name)).otherwise(what)
+    cells = cube.withColumn("what", what).filter((F.col("kind") == "poster") != F.col("what").isin("list", "stage_list"))
+    return cells.select("what", *_AXES, "count", "posts", "engagement", "readiness", "low", "high",
+                        F.expr(f"k div {_PLACES}").alias("first_seq"), (F.col("k") % _PLACES).cast("int").alias("pos"))
+
+
+def _cells(cells: DataFrame, what: str) -> DataFrame:
+    """The cells of one grouping set whose labels are all present."""
+    d = cells.filter(F.col("what") == what)
+    for c in SETS[what]:
+        d = d.filter(F.col(c).isNotNull())
+    return d
+
+
 # ---------------------------------------------------------------- aggregates
-def community_totals(prof: DataFrame) -> DataFrame:
+def _posters(cells: DataFrame) -> DataFrame:
+    """One row, also without any poster: posters, posts, engagement."""
+    total = _cells(cells, "all")
+    return total.agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(n) for c, n in (("count", "total_posters"), ("posts", "total_posts"), ("engagement", "total_engagement"))])
+
+
+def community_totals(cells: DataFrame) -> DataFrame:
     """F8 + F24: posters, posts, engagement, and per-poster averages with a zero guard."""
-    return prof.agg(F.count(F.lit(1)).alias("total_posters"),
-                    F.coalesce(F.sum("post_count"), F.lit(0)).cast("long").alias("total_posts"),
-                    F.coalesce(F.sum("total_engagement"), F.lit(0)).cast("long").alias("total_engagement")
-                    ).select("*",
+    return _posters(cells).select("*",
                              _r(F.col("total_engagement") / F.greatest(F.col("total_posters"), F.lit(1))).alias("avg_engagement_per_poster"),
                              _r(F.col("total_posts") / F.greatest(F.col("total_posters"), F.lit(1))).alias("avg_posts_per_poster"))
 
 
-def _long_labels(prof: DataFrame, cols: list[str]) -> DataFrame:
-    items = F.array(*[F.struct(F.lit(c).alias("dimension"), F.col(c).alias("label")) for c in cols])
-    return prof.select("first_seq", F.inline(items)).filter(F.col("label").isNotNull())
-
-
-def label_distributions(prof: DataFrame, cols: list[str] | None = None) -> DataFrame:
+def label_distributions(cells: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """(dimension, label, count, first_seq) for the six label columns; NULL skipped."""
-    return (_long_labels(prof, cols or LABEL_COLS).groupBy("dimension", "label")
-            .agg(F.count(F.lit(1)).alias("count"), F.min("first_seq").alias("first_seq")))
+    cols = cols or LABEL_COLS
+    d = cells.filter(F.col("what").isin(cols)).select(F.col("what").alias("dimension"), F.coalesce(*[F.when(F.col("what") == c, F.col(c)) for c in cols]).alias("label"),
+                                                      "count", "first_seq")
+    return d.filter(F.col("label").isNotNull())
 
 
-def crosstab(prof: DataFrame, a: str, b: str) -> DataFrame:
-    """counts of (a, b) where both are non-null."""
-    return (prof.filter(F.col(a).isNotNull() & F.col(b).isNotNull())
-            .groupBy(a, b).agg(F.count(F.lit(1)).alias("count"), F.min("first_seq").alias("first_seq")))
+def crosstab(cells: DataFrame, a: str, b: str) -> DataFrame:
+    """counts of (a, b) where both are non-null; one of ``PAIRS``, either way round."""
+    what = f"{a}/{b}" if (a, b) in PAIRS else f"{b}/{a}"
+    return _cells(cells, what).select(a, b, "count", "first_seq")
 
 
-def list_distribution(prof: DataFrame, col: str) -> DataFrame:
+def list_distribution(cells: DataFrame, col: str) -> DataFrame:
     """how many posters carry each tag/tool; tie key (first_seq, position)."""
-    e = prof.select("first_seq", F.posexplode(col).alias("pos", "label"))
-    return e.groupBy("label").agg(F.count(F.lit(1)).alias("count"),
-                                  F.min(F.struct("first_seq", "pos")).alias("_k")) \
-        .select("label", "count", F.col("_k.first_seq").alias("first_seq"), F.col("_k.pos").alias("pos"))
+    return _cells(cells, "list").filter(F.col("kind") == col).select("label", "count", "first_seq", "pos")
 
 
-def readiness_by_stage(prof: DataFrame) -> DataFrame:
+def readiness_by_stage(cells: DataFrame) -> DataFrame:
     """average / min / max readiness and poster count per stage."""
-    return _stage_scores(prof).withColumn("avg_score", _r(F.col("avg_score")))
+    return _stage_scores(cells).withColumn("avg_score", _r(F.col("avg_score")))
 
 
-def _stage_scores(prof: DataFrame) -> DataFrame:
-    return (prof.filter(F.col("business_stage").isNotNull()).groupBy("business_stage")
-            .agg(F.avg("readiness_score").alias("avg_score"), F.min("readiness_score").cast("long").alias("min_score"),
-                 F.max("readiness_score").cast("long").alias("max_score"), F.count(F.lit(1)).alias("posters"),
-                 F.min("first_seq").alias("first_seq")))
+def _stage_scores(cells: DataFrame) -> DataFrame:
+    return _cells(cells, "business_stage").select("business_stage", (F.col("readiness") / F.col("count")).alias("avg_score"), F.col("low").alias("min_score"),
+                                                  F.col("high").alias("max_score"), F.col("count").alias("posters"), "first_seq")
 
 
-def engagement_by_type(prof: DataFrame) -> DataFrame:
+def engagement_by_type(cells: DataFrame) -> DataFrame:
     """engagement per business type (sum, average, posters)."""
-    return (prof.filter(F.col("business_type").isNotNull()).groupBy("business_type")
-            .agg(F.sum("total_engagement").cast("long").alias("total_engagement"),
-                 _r(F.avg("total_engagement")).alias("avg_engagement"), F.count(F.lit(1)).alias("posters")))
+    return _cells(cells, "business_type").select("business_type", F.col("engagement").alias("total_engagement"),
+                                                 _r(F.col("engagement") / F.col("count")).alias("avg_engagement"), F.col("count").alias("posters"))
 
 
-def team_size_distribution(prof: DataFrame) -> DataFrame:
+def team_size_distribution(cells: DataFrame) -> DataFrame:
     """F14."""
-    return prof.groupBy("team_size").agg(F.count(F.lit(1)).alias("count"), F.min("first_seq").alias("first_seq"))
+    return _cells(cells, "team_size").select("team_size", "count", "first_seq")
 
 
 def scale_grid(spark, rows: tuple[str, list[str]], cols: tuple[str, list[str]]) -> DataFrame:
@@ -94,21 +128,21 @@ def scale_grid(spark, rows: tuple[str, list[str]], cols: tuple[str, list[str]])
     return spark.createDataFrame(data, f"{rn} string, {rn}_idx int, {cn} string, {cn}_idx int")
 
 
-def budget_stage_grid(prof: DataFrame) -> DataFrame:
+def budget_stage_grid(cells: DataFrame) -> DataFrame:
     """stage x budget counts over the full 4 x 4 scale grid (missing cells 0)."""
-    g = scale_grid(prof.sparkSession, ("business_stage", L.BUSINESS_STAGES), ("budget_range", L.BUDGET_RANGES))
-    c = crosstab(prof, "business_stage", "budget_range").drop("first_seq")
+    g = scale_grid(cells.sparkSession, ("business_stage", L.BUSINESS_STAGES), ("budget_range", L.BUDGET_RANGES))
+    c = crosstab(cells, "business_stage", "budget_range").drop("first_seq")
     return (g.join(F.broadcast(c), ["business_stage", "budget_range"], "left")
             .select("business_stage", "budget_range", F.coalesce(F.col("count"), F.lit(0)).cast("long").alias("count")))
 
 
-def _stages(prof: DataFrame) -> DataFrame:
-    return prof.sparkSession.createDataFrame([(s, i) for i, s in enumerate(L.BUSINESS_STAGES)], "business_stage string, position long")
+def _stages(cells: DataFrame) -> DataFrame:
+    return cells.sparkSession.createDataFrame([(s, i) for i, s in enumerate(L.BUSINESS_STAGES)], "business_stage string, position long")
 
 
-def _counters(prof: DataFrame) -> DataFrame:
+def _counters(cells: DataFrame) -> DataFrame:
     """(business_stage, pain_points, tools, budgets): ``label=count`` by falling count, then first seen."""
-    c = _stage_labels(prof)
+    c = _stage_labels(cells)
     c = c.groupBy("business_stage", "kind").agg(F.array_sort(F.collect_list(  # at most a label of the lexicon each
         F.struct((-F.col("count")).alias("n"), "first_seq", "pos", "label"))).alias("l"))
     said = F.array_join(F.transform("l", lambda x: F.concat(x["label"], F.lit("="), (-x["n"]).cast("string"))), ", ")
@@ -116,49 +150,48 @@ def _counters(prof: DataFrame) -> DataFrame:
                                              (("pain_point", "pain_points"), ("tool", "tools"), ("budget", "budgets"))])
 
 
-def segment_profile(prof: DataFrame) -> DataFrame:
+def segment_profile(cells: DataFrame) -> DataFrame:
     """F19 (+E7): per stage of the scale: posters, average engagement (NULL when none) and the counters of
     pain points, tools and budgets ('' when none)."""
-    agg = (prof.filter(F.col("business_stage").isNotNull()).groupBy("business_stage")
-           .agg(F.count(F.lit(1)).alias("posters"), _r(F.avg("total_engagement")).alias("avg_engagement")))
-    return (_stages(prof).join(agg, "business_stage", "left").join(_counters(prof), "business_stage", "left")
+    agg = _cells(cells, "business_stage").select("business_stage", F.col("count").alias("posters"), _r(F.col("engagement") / F.col("count")).alias("avg_engagement"))
+    return (_stages(cells).join(agg, "business_stage", "left").join(_counters(cells), "business_stage", "left")
             .select("business_stage", F.coalesce("posters", F.lit(0)).cast("long").alias("posters"), "avg_engagement",
                     *[F.coalesce(c, F.lit("")).alias(c) for c in ("pain_points", "tools", "budgets")]))
 
 
-def budget_by_stage(prof: DataFrame) -> DataFrame:
+def budget_by_stage(cells: DataFrame) -> DataFrame:
     """budget ranges inside each stage (count > 0) with both scale positions, % of the stage's budget
     total and bar units; a stage without budget data has one row without a range."""
-    c = crosstab(prof, "business_stage", "budget_range").drop("first_seq")
+    c = crosstab(cells, "business_stage", "budget_range").drop("first_seq")
     w = Window.partitionBy("business_stage")
     pct = F.col("count") * 100.0 / F.sum("count").over(w)
-    return (_stages(prof).join(c, "business_stage", "left")
+    return (_stages(cells).join(c, "business_stage", "left")
             .select("position", "business_stage", SC.scale_index(F.col("budget_range"), L.BUDGET_RANGES).cast("long").alias("budget_position"),
                     "budget_range", F.coalesce("count", F.lit(0)).cast("long").alias("count"), _r(pct).alias("pct"), F.floor(pct / 5).cast("long").alias("bar")))
 
 
-def budget_coverage(prof: DataFrame) -> DataFrame:
+def budget_coverage(cells: DataFrame) -> DataFrame:
     """F21 + D10: posters with a budget, their share, and the average budget range."""
-    idx = SC.scale_index(F.col("budget_range"), L.BUDGET_RANGES) + 1
-    a = prof.agg(F.count(F.lit(1)).alias("total_posters"), F.count("budget_range").alias("with_budget"),
-                 F.avg(idx).alias("_avg"))
+    b = _cells(cells, "budget_range").withColumn("i", SC.scale_index(F.col("budget_range"), L.BUDGET_RANGES) + 1)
+    a = (b.agg(F.coalesce(F.sum("count"), F.lit(0)).cast("long").alias("with_budget"), (F.sum(F.col("i") * F.col("count")) / F.sum("count")).alias("_avg"))
+         .crossJoin(_posters(cells)))  # one row each
     return a.select("with_budget", "total_posters",
                     _r(F.when(F.col("total_posters") > 0, F.col("with_budget") * 100.0 / F.col("total_posters"))).alias("pct"),
                     _r(F.col("_avg")).alias("avg_budget_index"),
                     SC.average_budget_label(F.col("_avg")).alias("avg_budget_range"))
 
 
-def overall_readiness(prof: DataFrame) -> DataFrame:
+def overall_readiness(cells: DataFrame) -> DataFrame:
     """mean readiness over posters that have a stage."""
-    return prof.filter(F.col("business_stage").isNotNull()).agg(
-        _r(F.avg("readiness_score")).alias("overall_readiness"), F.count(F.lit(1)).alias("scored_posters"))
+    return _cells(cells, "business_stage").agg(_r(F.sum("readiness") / F.sum("count")).alias("overall_readiness"),
+                                              F.coalesce(F.sum("count"), F.lit(0)).cast("long").alias("scored_posters"))
 
 
-def modes(prof: DataFrame) -> DataFrame:
+def modes(cells: DataFrame) -> DataFrame:
     """most common type, stage, industry, pain point and tool (first seen wins ties)."""
-    lab = label_distributions(prof, ["business_type", "business_stage", "industry"]) \
+    lab = label_distributions(cells, ["business_type", "business_stage", "industry"]) \
         .withColumn("pos", F.lit(0))
-    tg = [list_distribution(prof, c).withColumn("dimension", F.lit(c)) for c in ("pain_points", "tool_preferences")]
+    tg = [list_distribution(cells, c).withColumn("dimension", F.lit(c)) for c in ("pain_points", "tool_preferences")]
     allc = lab.unionByName(tg[0]).unionByName(tg[1])
     r = rank_by(allc, [F.col("count").desc(), F.col("first_seq"), F.col("pos")], 1, part=["dimension"])
     return r.select("dimension", "label", F.col("count").cast("long").alias("count"))
@@ -170,39 +203,34 @@ def _ranked(df: DataFrame, part: list[str] | None, k: int | None, keys=("first_s
     return rank_by(df, order, k, part=part).withColumn("rank", F.col("rank").cast("long"))
 
 
-def _stage_labels(prof: DataFrame) -> DataFrame:
+def _stage_labels(cells: DataFrame) -> DataFrame:
     """(business_stage, kind, label, count, first_seq, pos) of pain points, tools and budgets per stage."""
-    p = prof.filter(F.col("business_stage").isNotNull())
-    tags = [p.select("business_stage", "first_seq", F.lit(kind).alias("kind"), F.posexplode(c).alias("pos", "label"))
-            for kind, c in (("pain_point", "pain_points"), ("tool", "tool_preferences"))]
-    bud = p.filter(F.col("budget_range").isNotNull()).select(
-        "business_stage", "first_seq", F.lit("budget").alias("kind"), F.lit(0).alias("pos"), F.col("budget_range").alias("label"))
-    e = tags[0].unionByName(tags[1]).unionByName(bud)
-    c = e.groupBy("business_stage", "kind", "label").agg(F.count(F.lit(1)).alias("count"),
-                                                          F.min(F.struct("first_seq", "pos")).alias("_k"))
-    return c.select("business_stage", "kind", "label", "count", F.col("_k.first_seq").alias("first_seq"), F.col("_k.pos").alias("pos"))
-
-
-def top3_per_stage(prof: DataFrame, k: int = 3) -> DataFrame:
+    named = F.when(F.col("kind") == LISTS[0], F.lit("pain_point")).otherwise(F.lit("tool"))
+    tags = _cells(cells, "stage_list").select("business_stage", named.alias("kind"), "label", "count", "first_seq", "pos")
+    bud = crosstab(cells, "business_stage", "budget_range").select("business_stage", F.lit("budget").alias("kind"), F.col("budget_range").alias("label"), "count", "first_seq", F.lit(0).alias("pos"))
+    return tags.unionByName(bud)
+
+
+def top3_per_stage(cells: DataFrame, k: int = 3) -> DataFrame:
     """Per stage, top-k pain points, tools and budgets with % of the stage's counter."""
-    c = _stage_labels(prof)
+    c = _stage_labels(cells)
     c = c.withColumn("pct", _r(F.col("count") * 100.0 / F.sum("count").over(Window.partitionBy("business_stage", "kind"))))
     r = _ranked(c, ["business_stage", "kind"], k, ("first_seq", "pos"))
     return r.select("business_stage", "kind", "rank", "label", F.col("count").cast("long").alias("count"), "pct")
 
 
-def flow_top5(prof: DataFrame, k: int = 5) -> DataFrame:
+def flow_top5(cells: DataFrame, k: int = 5) -> DataFrame:
     """Top-5 stages, pain points and tools (three ranked lists)."""
-    st = label_distributions(prof, ["business_stage"]).select(F.lit("segment").alias("level"), "label", "count", "first_seq", F.lit(0).alias("pos"))
-    pp = list_distribution(prof, "pain_points").select(F.lit("pain_point").alias("level"), "label", "count", "first_seq", "pos")
-    tl = list_distribution(prof, "tool_preferences").select(F.lit("tool").alias("level"), "label", "count", "first_seq", "pos")
+    st = label_distributions(cells, ["business_stage"]).select(F.lit("segment").alias("level"), "label", "count", "first_seq", F.lit(0).alias("pos"))
+    pp = list_distribution(cells, "pain_points").select(F.lit("pain_point").alias("level"), "label", "count", "first_seq", "pos")
+    tl = list_distribution(cells, "tool_preferences").select(F.lit("tool").alias("level"), "label", "count", "first_seq", "pos")
     r = _ranked(st.unionByName(pp).unionByName(tl), ["level"], k, ("first_seq", "pos"))
     return r.select("level", "rank", "label", F.col("count").cast("long").alias("count"))
 
 
-def stage_ranking(prof: DataFrame) -> DataFrame:
+def stage_ranking(cells: DataFrame) -> DataFrame:
     """Stages by average readiness (ties by first appearance), with most / least ready flags."""
-    s = _stage_scores(prof)  # ranked on the exact average, rounded last
+    s = _stage_scores(cells)  # ranked on the exact average, rounded last
     w = Window.orderBy(F.col("avg_score").desc(), F.col("first_seq"))
     r = s.withColumn("rank", F.row_number().over(w).cast("long"))
     n = F.count(F.lit(1)).over(Window.partitionBy())
@@ -210,11 +238,11 @@ def stage_ranking(prof: DataFrame) -> DataFrame:
                     (F.col("rank") == 1).alias("most_ready"), (F.col("rank") == n).alias("least_ready"))
 
 
-def breakdown_share(prof: DataFrame) -> DataFrame:
+def breakdown_share(cells: DataFrame) -> DataFrame:
     """Count and % per label; labels over total posters, tags/tools over the distribution sum."""
-    lab = label_distributions(prof).withColumn("pos", F.lit(0))
-    tg = [list_distribution(prof, c).withColumn("dimension", F.lit(c)) for c in ("pain_points", "tool_preferences")]
-    posters = prof.agg(F.count(F.lit(1)).alias("_posters"))
+    lab = label_distributions(cells).withColumn("pos", F.lit(0))
+    tg = [list_distribution(cells, c).withColumn("dimension", F.lit(c)) for c in ("pain_points", "tool_preferences")]
+    posters = _posters(cells).select(F.col("total_posters").alias("_posters"))
     allc = lab.unionByName(tg[0]).unionByName(tg[1]).crossJoin(posters)  # one-row side
     dist_sum = F.sum("count").over(Window.partitionBy("dimension"))
     denom = F.when(F.col("dimension").isin("pain_points", "tool_preferences"), dist_sum).otherwise(F.col("_posters"))
@@ -223,14 +251,14 @@ def breakdown_share(prof: DataFrame) -> DataFrame:
     return r.select("dimension", "rank", "label", F.col("count").cast("long").alias("count"), "pct")
 
 
-def bar_units(prof: DataFrame) -> DataFrame:
+def bar_units(cells: DataFrame) -> DataFrame:
     """Bar lengths int(value * width / max) and % of sum: stage (50), industry (40), team size (30)."""
     parts = []
     for chart, col, width in (("business_stage", "business_stage", 50), ("industry", "industry", 40), ("team_size", "team_size", 30)):
         if col == "team_size":
-            d = team_size_distribution(prof).withColumnRenamed("team_size", "label")
+            d = team_size_distribution(cells).withColumnRenamed("team_size", "label")
         else:
-            d = label_distributions(prof, [col]).drop("dimension")
+            d = label_distributions(cells, [col]).drop("dimension")
         parts.append(d.withColumn("chart", F.lit(chart)).withColumn("width", F.lit(width)))
     u = parts[0].unionByName(parts[1]).unionByName(parts[2])
     w = Window.partitionBy("chart")
@@ -241,9 +269,9 @@ def bar_units(prof: DataFrame) -> DataFrame:
                     _r(F.col("count") / F.sum("count").over(w) * 100).alias("pct"))
 
 
-def funnel(prof: DataFrame, width: int = 50) -> DataFrame:
+def funnel(cells: DataFrame, width: int = 50) -> DataFrame:
     """Tech levels in declared order (present ones), width vs max, centring pad, % of sum."""
-    d = label_distributions(prof, ["tech_level"]).select(F.col("label").alias("tech_level"), "count")
+    d = label_distributions(cells, ["tech_level"]).select(F.col("label").alias("tech_level"), "count")
     d = d.withColumn("level_idx", SC.scale_index(F.col("tech_level"), L.TECH_LEVELS).cast("long"))
     w = Window.partitionBy()
     bar = F.floor(F.col("count") / F.max("count").over(w) * width)
@@ -252,32 +280,31 @@ def funnel(prof: DataFrame, width: int = 50) -> DataFrame:
                     _r(F.col("count") / F.sum("count").over(w) * 100).alias("pct"))
 
 
-def radar_norm(prof: DataFrame) -> DataFrame:
+def radar_norm(cells: DataFrame) -> DataFrame:
     """Average readiness per stage normalised so the best stage is 100; 20-block bar."""
-    s = prof.filter(F.col("business_stage").isNotNull()).groupBy("business_stage").agg(F.avg("readiness_score").alias("avg"))
+    s = _stage_scores(cells).select("business_stage", F.col("avg_score").alias("avg"))
     norm = F.col("avg") / F.max("avg").over(Window.partitionBy()) * 100
     return s.select("business_stage", _r(F.col("avg")).alias("avg_score"), _r(norm).alias("normalized"),
                     F.floor(norm / 5).cast("long").alias("blocks"))
 
 
-def heatmap_bucket(prof: DataFrame) -> DataFrame:
+def heatmap_bucket(cells: DataFrame) -> DataFrame:
     """Stage x market grid with high / mid / low / none buckets relative to the grid max."""
-    g = scale_grid(prof.sparkSession, ("business_stage", L.BUSINESS_STAGES), ("target_market", L.TARGET_MARKETS))
-    c = crosstab(prof, "business_stage", "target_market").drop("first_seq")
+    g = scale_grid(cells.sparkSession, ("business_stage", L.BUSINESS_STAGES), ("target_market", L.TARGET_MARKETS))
+    c = crosstab(cells, "business_stage", "target_market").drop("first_seq")
     j = g.join(F.broadcast(c), ["business_stage", "target_market"], "left").withColumn("count", F.coalesce("count", F.lit(0)))
     mx = F.max("count").over(Window.partitionBy())
     return j.select("business_stage", "target_market", F.col("count").cast("long").alias("count"),
                     heat_bucket(F.col("count"), mx).alias("bucket"))
 
 
-def tree_drilldown(prof: DataFrame) -> DataFrame:
+def tree_drilldown(cells: DataFrame) -> DataFrame:
     """Stage (count, % of posters) -> business type (count, % of stage), both in falling count, then
     first seen; a stage without typed posters has one row without a type."""
-    total = prof.agg(F.count(F.lit(1)).alias("_total"))
-    st = (prof.filter(F.col("business_stage").isNotNull()).groupBy("business_stage")
-          .agg(F.count(F.lit(1)).alias("stage_count"), F.min("first_seq").alias("f")))
+    total = _posters(cells).select(F.col("total_posters").alias("_total"))
+    st = _cells(cells, "business_stage").select("business_stage", F.col("count").alias("stage_count"), F.col("first_seq").alias("f"))
     st = st.withColumn("stage_rank", F.row_number().over(Window.orderBy(F.col("stage_count").desc(), "f")).cast("long"))
-    ty = crosstab(prof, "business_stage", "business_type").withColumnRenamed("count", "type_count")
+    ty = crosstab(cells, "business_stage", "business_type").withColumnRenamed("count", "type_count")
     ty = ty.withColumn("type_rank", F.row_number().over(Window.partitionBy("business_stage").orderBy(F.col("type_count").desc(), "first_seq")).cast("long"))
     j = st.join(ty, "business_stage", "left").crossJoin(total)  # one-row side
     return j.select("stage_rank", "business_stage", F.col("stage_count").cast("long").alias("stage_count"),
@@ -286,17 +313,17 @@ def tree_drilldown(prof: DataFrame) -> DataFrame:
                     _r(F.col("type_count") / F.col("stage_count") * 100).alias("type_pct"))
 
 
-def pie_units(prof: DataFrame) -> DataFrame:
+def pie_units(cells: DataFrame) -> DataFrame:
     """Business-type pie: % of total and int(pct / 5) slices of 20."""
-    d = label_distributions(prof, ["business_type"]).select(F.col("label").alias("business_type"), "count")
+    d = label_distributions(cells, ["business_type"]).select(F.col("label").alias("business_type"), "count")
     pct = F.col("count") / F.sum("count").over(Window.partitionBy()) * 100
     return d.select("business_type", F.col("count").cast("long").alias("count"), _r(pct).alias("pct"),
                     F.floor(pct / 5).cast("long").alias("slices"))
 
 
-def composition(prof: DataFrame) -> DataFrame:
+def composition(cells: DataFrame) -> DataFrame:
     """Per business type, the non-zero stages in declared order with counts."""
-    c = crosstab(prof, "business_type", "business_stage").drop("first_seq")
+    c = crosstab(cells, "business_type", "business_stage").drop("first_seq")
     return c.select("business_type", SC.scale_index(F.col("business_stage"), L.BUSINESS_STAGES).cast("long").alias("position"),
                     "business_stage", F.col("count").cast("long").alias("count"))
 
@@ -315,34 +342,36 @@ SECTIONS = [
 def report_sections(prof: DataFrame, names: list[str] | None = None) -> dict[str, DataFrame]:
     """Statistics and report tables of the demographic report, from one profiles table (A9 input).
 
-    Sections are built lazily by name (plan construction has a driver cost), all 26 by default.
+    The profiles are read once, for the cells, which are written; sections are built from those, by name
+    (plan construction has a driver cost), all 26 by default.
     """
+    cells = stored(report_cells(prof), "report-cells")
     builders = {
-        "community_totals": lambda: community_totals(prof),
-        "label_distributions": lambda: label_distributions(prof),
-        "stage_by_type": lambda: crosstab(prof, "business_type", "business_stage"),
-        "market_by_stage": lambda: crosstab(prof, "business_stage", "target_market"),
-        "pain_point_distribution": lambda: list_distribution(prof, "pain_points"),
-        "tool_distribution": lambda: list_distribution(prof, "tool_preferences"),
-        "readiness_by_stage": lambda: readiness_by_stage(prof),
-        "engagement_by_type": lambda: engagement_by_type(prof),
-        "team_size_distribution": lambda: team_size_distribution(prof),
-        "budget_stage_grid": lambda: budget_stage_grid(prof),
-        "segment_profile": lambda: segment_profile(prof),
-        "budget_by_stage": lambda: budget_by_stage(prof),
-        "budget_coverage": lambda: budget_coverage(prof),
-        "overall_readiness": lambda: overall_readiness(prof),
-        "modes": lambda: modes(prof),
-        "top3_per_stage": lambda: top3_per_stage(prof),
-        "flow_top5": lambda: flow_top5(prof),
-        "stage_ranking": lambda: stage_ranking(prof),
-        "breakdown_share": lambda: breakdown_share(prof),
-        "bar_units": lambda: bar_units(prof),
-        "funnel": lambda: funnel(prof),
-        "radar_norm": lambda: radar_norm(prof),
-        "heatmap_bucket": lambda: heatmap_bucket(prof),
-        "tree_drilldown": lambda: tree_drilldown(prof),
-        "pie_units": lambda: pie_units(prof),
-        "composition": lambda: composition(prof),
+        "community_totals": lambda: community_totals(cells),
+        "label_distributions": lambda: label_distributions(cells),
+        "stage_by_type": lambda: crosstab(cells, "business_type", "business_stage"),
+        "market_by_stage": lambda: crosstab(cells, "business_stage", "target_market"),
+        "pain_point_distribution": lambda: list_distribution(cells, "pain_points"),
+        "tool_distribution": lambda: list_distribution(cells, "tool_preferences"),
+        "readiness_by_stage": lambda: readiness_by_stage(cells),
+        "engagement_by_type": lambda: engagement_by_type(cells),
+        "team_size_distribution": lambda: team_size_distribution(cells),
+        "budget_stage_grid": lambda: budget_stage_grid(cells),
+        "segment_profile": lambda: segment_profile(cells),
+        "budget_by_stage": lambda: budget_by_stage(cells),
+        "budget_coverage": lambda: budget_coverage(cells),
+        "overall_readiness": lambda: overall_readiness(cells),
+        "modes": lambda: modes(cells),
+        "top3_per_stage": lambda: top3_per_stage(cells),
+        "flow_top5": lambda: flow_top5(cells),
+        "stage_ranking": lambda: stage_ranking(cells),
+        "breakdown_share": lambda: breakdown_share(cells),
+        "bar_units": lambda: bar_units(cells),
+        "funnel": lambda: funnel(cells),
+        "radar_norm": lambda: radar_norm(cells),
+        "heatmap_bucket": lambda: heatmap_bucket(cells),
+        "tree_drilldown": lambda: tree_drilldown(cells),
+        "pie_units": lambda: pie_units(cells),
+        "composition": lambda: composition(cells),
     }
     return {n: builders[n]() for n in (names or list(builders))}
