@@ -5,19 +5,20 @@ Two plans give equal results; the caller chooses:
 * **array plan** (``tag``, ``classify``): the lexicon is a literal inside the expression;
   one narrow projection, no shuffle.
 * **join plan** (``tag_join``, ``classify_join``): the lexicon is a table, met by an equi-join on
-  the three-character pieces of a text; no limit on the keywords, no cross join.
+  the three-character piece of each keyword that is rarest in the corpus; no limit on the keywords, no cross join.
   For lexicons of very many keywords.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from threadsift.functions import lexicon as LX
 from threadsift.lexicons import Lexicon
 
 PIECE = 3
+SKETCH_ERROR = 0.0001  # of all pieces counted
 
 
 def tag(df: DataFrame, lex: Lexicon, text: str = "text", out: str = "tags", low: str | None = None) -> DataFrame:
@@ -53,23 +54,49 @@ def keep_tagged(df: DataFrame, col: str = "tags") -> DataFrame:
     return df.filter(F.size(col) > 0)
 
 
+def _pieces(low: str) -> Column:
+    """The distinct three-character pieces of a lower-cased text, in one walk over it."""
+    return F.array_distinct(F.regexp_extract_all(F.col(low), F.lit(f"(?s)(?=({'.' * PIECE}))"), F.lit(1)))
+
+
+def piece_counts(texts: DataFrame, low: str, pieces: list[str]) -> dict[str, int]:
+    """About how many texts hold each of ``pieces``, from one count-min sketch over all texts: some hundred
+    kB, whatever the corpus and however many pieces there are.  Counts are never too low."""
+    row = texts.select(F.explode(_pieces(low)).alias("p")).agg(F.count_min_sketch(F.col("p"), F.lit(SKETCH_ERROR), F.lit(0.99), F.lit(7)).alias("s")).first()
+    if row is None or row["s"] is None:
+        return dict.fromkeys(pieces, 0)
+    sketch = texts.sparkSession._jvm.org.apache.spark.util.sketch.CountMinSketch.readFrom(bytes(row["s"]))
+    return {p: sketch.estimateCount(bytearray(p.encode())) for p in pieces}
+
+
+def rarest_pieces(keywords: list[str], texts: DataFrame, low: str) -> dict[str, str]:
+    """keyword -> the piece of it that the fewest texts hold (ties: the first); keywords of PIECE characters at least."""
+    of = {k: [k[i:i + PIECE] for i in range(len(k) - PIECE + 1)] for k in keywords}
+    n = piece_counts(texts, low, sorted({p for ps in of.values() for p in ps}))
+    return {k: min(ps, key=n.__getitem__) for k, ps in of.items()}
+
+
 def _matches(df: DataFrame, row: str, text: str, lex: Lexicon) -> DataFrame:
     """(row, category, cat_rank, kw_rank): a row for each keyword that a text holds.
 
-    A keyword stands in a text only if its first ``PIECE`` characters do, so both sides meet on
-    those pieces and the match is tested after the equi-join.  Shorter keywords and regular
-    expressions are tested as literals of one expression.
+    A keyword stands in a text only if each of its pieces does, so both sides meet on the piece that is
+    rarest in the corpus.  The candidates of a text are gathered (at most one a keyword) before the text
+    joins them, once, and are tested in one expression.  Shorter keywords and regular expressions are
+    tested as literals of one expression.
     """
-    lt = lex.to_df(df.sparkSession).select("category", "cat_rank", "kw_rank", "keyword")
+    spark = df.sparkSession
     p = df.select(F.col(row).alias("_k"), F.coalesce(F.col(text), F.lit("")).alias("_t"), F.lower(F.coalesce(F.col(text), F.lit(""))).alias("_low"))
     rows = lex.to_rows()
     literal = [r for r in rows if lex.is_regex or len(r[4]) < PIECE]
     out = []
     if len(literal) < len(rows):
-        pieces = F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length("_low") - PIECE + 1, F.lit(1))), lambda i: F.substring(F.col("_low"), i, F.lit(PIECE))))
-        keyed = lt.filter(F.length("keyword") >= PIECE).withColumn("_p", F.substring("keyword", 1, PIECE))
-        near = p.select("_k", F.explode(pieces).alias("_p")).join(keyed, "_p")
-        out.append(near.join(p.select("_k", "_low"), "_k").filter(F.contains("_low", "keyword")).select("_k", "category", "cat_rank", "kw_rank"))
+        keyed = [(r[1], r[2], r[3], r[4]) for r in rows if len(r[4]) >= PIECE]
+        rare = rarest_pieces(sorted({r[3] for r in keyed}), p, "_low")
+        lt = spark.createDataFrame([(rare[r[3]], *r) for r in keyed], "_p string, category string, cat_rank int, kw_rank int, keyword string")
+        near = (p.select("_k", F.explode(_pieces("_low")).alias("_p")).join(lt, "_p").groupBy("_k")
+                .agg(F.collect_list(F.struct("category", "cat_rank", "kw_rank", "keyword")).alias("c")))
+        held = F.filter("c", lambda x: F.contains(F.col("_low"), x["keyword"]))
+        out.append(near.join(p.select("_k", "_low"), "_k").select("_k", F.inline(held)).select("_k", "category", "cat_rank", "kw_rank"))
     if literal:
         hits = F.array(*[F.when(F.col("_t").rlike("(?iu)" + r[4]) if lex.is_regex else F.col("_low").contains(r[4]),
                                 F.struct(F.lit(r[1]).alias("category"), F.lit(r[2]).alias("cat_rank"), F.lit(r[3]).alias("kw_rank"))) for r in literal])
