@@ -43,7 +43,7 @@ def test_stages(stages):
     # masks stand where a live base secret stood, and nowhere else
     find = {k: re.compile(p) for k, p in (("assign", secret_scan.ASSIGN), ("access", "AKIA[A-Z0-9]{12,}"), ("hex", "[0-9a-f]{32,}"))}
     value = re.compile("^" + secret_scan.ASSIGN_HEAD)
-    owners = collections.defaultdict(set)
+    owners, repos = collections.defaultdict(set), collections.defaultdict(set)
     spans = collections.defaultdict(list)
     for r in deduped:
         for k, p in find.items():
@@ -51,9 +51,10 @@ def test_stages(stages):
                 v = value.sub("", m.group()) if k == "assign" else m.group()
                 if k != "assign" or len(v) >= 8:
                     owners[v].add(r["source"])
+                    repos[v].add((r["source"], r["lang"]))
                     spans[r["doc_id"]].append((m.start(), m.end(), v))
     for r, m in zip(sorted(deduped, key=lambda r: r["doc_id"]), sorted(masked, key=lambda r: r["doc_id"])):
-        live = sorted((a, b) for a, b, v in spans[r["doc_id"]] if len(owners[v]) < secret_scan.MIN_OWNERS)
+        live = sorted((a, b) for a, b, v in spans[r["doc_id"]] if len(owners[v]) < secret_scan.MIN_OWNERS and len(repos[v]) < secret_scan.MIN_REPOS)
         t, at, parts = r["text"], 0, []
         for a, b in live:
             if a >= at:

@@ -98,6 +98,14 @@ def test_ownership_separates_examples_from_live(make):
     assert red[0] == rows[0][1] and red[10] == "mine [SECRET]" and red[12] is None
 
 
+def test_many_repositories_of_few_owners_are_examples(make):
+    spread, own = "0123456789abcdef" * 2, "fedcba9876543210" * 2
+    rows = [(i, f"see {spread}", f"repo{i}", f"s{i % 2}") for i in range(secret_scan.MIN_REPOS)] + [(90 + i, f"mine {own}", f"repo{i}", "s1") for i in range(secret_scan.MIN_REPOS - 1)]
+    got = {r["doc_id"]: r for r in secret_scan.digest(make(rows)).collect()}
+    assert all((got[i]["n_example"], got[i]["owned"]) == (1, "2/6") for i in range(6))
+    assert all((got[90 + i]["n_live"], got[90 + i]["owned"]) == (1, "1/5") for i in range(5))
+
+
 @pytest.mark.parametrize("op", ["pii", "secret_scan"])
 def test_empty_table(make, op):
     assert {"pii": pii, "secret_scan": secret_scan}[op].digest(make([])).count() == 0
