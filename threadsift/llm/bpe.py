@@ -28,7 +28,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from threadsift.llm.text import column_bytes, slices, span_hashes
+from threadsift.llm.text import column_bytes, lean, slices, span_hashes
 
 LONG = 256
 REMEMBER = 32 << 20  # bytes
@@ -471,4 +471,4 @@ def _run(docs, rank_path, pattern, cols, with_ids):
             yield pa.RecordBatch.from_arrays(
                 [*b.columns[:-1], pa.array(n, pa.int64()), *([pa.array(raw, pa.binary())] if with_ids else []), pa.array(h_ids), pa.array(h_back)],
                 [*cols, "n_tokens", *(["ids"] if with_ids else []), "ids_sha256", "decoded_sha256"])
-    return src.withColumn("text", F.coalesce("text", F.lit(""))).mapInArrow(run, out)
+    return src.withColumn("text", F.coalesce("text", F.lit(""))).mapInArrow(lean(run), out)

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from threadsift.llm.text import column_bytes, mix, row_edges, seeds, shingles, slices, span_hashes, word_spans, written
+from threadsift.llm.text import column_bytes, lean, mix, row_edges, seeds, shingles, slices, span_hashes, word_spans, written
 
 ROWS, BANDS = 5, 40
 BASE_B, RATE_A, TOP_Q = 1.001, 20.0, (1 << 16) - 2
@@ -88,7 +88,7 @@ def sketches(docs: DataFrame, w: int) -> DataFrame:
                         reg.append(None)
             yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(dig, pa.string()),
                                               pa.array(reg, pa.binary())], ["doc_id", "n_shingles", "digest", "regs"])
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n_shingles long, digest string, regs binary")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(lean(run), "doc_id long, n_shingles long, digest string, regs binary")
 
 
 def _log_p(x: np.ndarray) -> np.ndarray:
@@ -131,7 +131,7 @@ def _estimated(pairs: DataFrame, reps: DataFrame, threshold: float) -> DataFrame
                                t.column(2).to_numpy().astype(float), t.column(4).to_numpy().astype(float), threshold)
                 yield t.select([0, 1]).filter(pa.array(ok))
     return (pairs.join(x, "b").join(y, "a").filter(near).select("a", "b", "na", "ra", "nb", "rb")
-            .mapInArrow(run, "a long, b long"))
+            .mapInArrow(lean(run), "a long, b long"))
 
 
 def _items(docs: DataFrame, ids: DataFrame, w: int) -> DataFrame:
@@ -142,7 +142,7 @@ def _items(docs: DataFrame, ids: DataFrame, w: int) -> DataFrame:
             out = [s.tobytes() for _, _, d, o in slices(data, offs, SLICE) for s in sets_of(d, o, w)]
             yield pa.RecordBatch.from_arrays([t.column(0), pa.array(out, pa.binary())], ["id", "items"])
     return written(docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(ids, "id", "left_semi")
-                   .select("id", "text").mapInArrow(sets, "id long, items binary"), "sets")
+                   .select("id", "text").mapInArrow(lean(sets), "id long, items binary"), "sets")
 
 
 def _linked(p: np.ndarray, q: np.ndarray, num: int, den: int) -> bool:
@@ -162,7 +162,7 @@ def _verified(cand: DataFrame, full: DataFrame, num: int, den: int) -> DataFrame
             yield t.select([0, 1]).filter(pa.array(ok, pa.bool_()))
     return (cand.join(full.select(F.col("id").alias("b"), F.col("items").alias("y")), "b")
             .join(full.select(F.col("id").alias("a"), F.col("items").alias("x")), "a")
-            .select("a", "b", "x", "y").mapInArrow(exact, "a long, b long"))
+            .select("a", "b", "x", "y").mapInArrow(lean(exact), "a long, b long"))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -279,7 +279,7 @@ def _block_pairs(opened: DataFrame, heads: DataFrame, num: int, den: int, full:
                 held.append(b.slice(x, y - x))
         if held:
             yield flush()
-    return laid.mapInArrow(run, "a long, b long").distinct()
+    return laid.mapInArrow(lean(run), "a long, b long").distinct()
 
 
 def near_groups(docs: DataFrame, w: int = 5, num: int = 80, den: int = 100) -> DataFrame:

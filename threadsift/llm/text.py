@@ -7,6 +7,7 @@ buffer of about ``SLICE`` bytes (at least one document), so memory does not grow
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,7 +17,7 @@ from pyspark.sql import DataFrame
 
 from threadsift.session import checkpoint_path
 
-SLICE = 1 << 21
+SLICE = 1 << 19
 #: words are ``[^\x20\x09-\x0D]+`` everywhere in this folder
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = np.zeros(256, bool)
@@ -40,6 +41,11 @@ def seeds(n: int, seed: int) -> np.ndarray:
 #: A-Z folded to a-z
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
+try:
+    _LIBC = ctypes.CDLL("libc.so.6")
+    _LIBC.malloc_trim  # noqa: B018 -- glibc only
+except (OSError, AttributeError):
+    _LIBC = None
 _SALT = seeds(8, 11)
 _PLACE = seeds(1024, 12)
 
@@ -51,6 +57,24 @@ def _places(n: int) -> np.ndarray:
     return _PLACE
 
 
+def _give_back() -> None:
+    """Free memory goes back to the system: a Python worker lives on between tasks and stages, and what
+    it keeps is missing in the executor."""
+    pa.default_memory_pool().release_unused()
+    if _LIBC is not None:
+        _LIBC.malloc_trim(0)
+
+
+def lean(run):
+    """A function for ``mapInArrow`` that gives its free memory back when its task ends."""
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            _give_back()
+    return wrapped
+
+
 def column_bytes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string column; a null is an empty text."""
     if isinstance(col, pa.ChunkedArray):

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from threadsift.llm.bpe import LETTER, PieceMemory, kept, observed_classes
-from threadsift.llm.text import column_bytes, slices
+from threadsift.llm.text import column_bytes, lean, slices
 
 BLOCK_IDS = 1 << 20
 END_ID = 0
@@ -155,7 +155,7 @@ def write_blocks(docs: DataFrame, model: str, pattern: str, path: str) -> None:
     key = F.col("doc_id").cast("long").asc_nulls_first()
     (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
      .repartitionByRange(n, key).sortWithinPartitions(key, F.xxhash64("text"))
-     .withColumn("pid", F.spark_partition_id()).mapInArrow(run, BLOCK_SCHEMA).write.parquet(path))
+     .withColumn("pid", F.spark_partition_id()).mapInArrow(lean(run), BLOCK_SCHEMA).write.parquet(path))
 
 
 def read_blocks(spark: SparkSession, path: str) -> DataFrame:
@@ -171,7 +171,7 @@ def read_blocks(spark: SparkSession, path: str) -> DataFrame:
                 crc = [zlib.crc32(ids[s:s + k].astype("<u4").tobytes()) for s, k in zip(begin, lens)]
                 yield pa.RecordBatch.from_arrays([pa.array(r["doc_ids"], pa.int64()), pa.array([r["pid"]] * lens.size, pa.int32()), pa.array(begin + r["before"]),
                                                   pa.array(lens), pa.array(crc, pa.int64())], ["doc_id", "pid", "start", "n_tokens", "ids_crc32"])
-    docs = blocks.mapInArrow(run, "doc_id long, pid int, start long, n_tokens long, ids_crc32 long")
+    docs = blocks.mapInArrow(lean(run), "doc_id long, pid int, start long, n_tokens long, ids_crc32 long")
     # one row per written partition, so the broadcast is bounded by their number
     offs = (blocks.groupBy("pid").agg(F.sum("n_ids").alias("t"))
             .select("pid", F.coalesce(F.sum("t").over(Window.orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("off")))
@@ -187,4 +187,4 @@ def texts_of(spark: SparkSession, path: str) -> DataFrame:
                 ids = unpack_ids(r["table"], r["control"], r["data"], r["n_ids"]).astype(np.int32)
                 cut = np.r_[0, np.cumsum(r["lens"])].astype(np.int32)
                 yield pa.RecordBatch.from_arrays([pa.array(r["doc_ids"], pa.int64()), pa.ListArray.from_arrays(pa.array(cut), pa.array(ids))], ["doc_id", "ids"])
-    return spark.read.schema(BLOCK_SCHEMA).parquet(path).mapInArrow(run, "doc_id long, ids array<int>")
+    return spark.read.schema(BLOCK_SCHEMA).parquet(path).mapInArrow(lean(run), "doc_id long, ids array<int>")

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from threadsift.llm.text import column_bytes, mix, slices, span_hashes, word_spans, written
+from threadsift.llm.text import column_bytes, lean, mix, slices, span_hashes, word_spans, written
 
 MAX_POSITIVE, MAX_UNLABELLED = 20_000, 40_000
 FOLDS = 5
@@ -96,7 +96,7 @@ def _buckets(sample: DataFrame) -> DataFrame:
         for i in range(0, at.size, 100_000):
             a = at[i:i + 100_000]
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(count[1, a], pa.int64()), pa.array(count[0, a], pa.int64())], ["bucket", "p", "u"])
-    return sample.mapInArrow(run, "bucket long, p long, u long").groupBy("bucket").agg(F.sum("p").alias("p"), F.sum("u").alias("u"))
+    return sample.mapInArrow(lean(run), "bucket long, p long, u long").groupBy("bucket").agg(F.sum("p").alias("p"), F.sum("u").alias("u"))
 
 
 def fit(rows: np.ndarray, feats: np.ndarray, positive: np.ndarray, n_features: int, prior: float) -> tuple[np.ndarray, float]:
@@ -145,7 +145,7 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray, f
             cut = np.r_[0, np.cumsum(np.concatenate(lens))].astype(np.int32) if lens else np.zeros(1, np.int32)
             flat = np.concatenate(vals) if vals else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays([b.column(1), pa.ListArray.from_arrays(pa.array(cut), pa.array(flat))], ["positive", "hits"])
-    got = sample.mapInArrow(hits, "positive boolean, hits array<long>").toArrow()
+    got = sample.mapInArrow(lean(hits), "positive boolean, hits array<long>").toArrow()
     positive = np.asarray(got["positive"].to_pylist(), bool)
     lists = got["hits"].combine_chunks()
     lens = np.diff(lists.offsets.to_numpy())
@@ -179,7 +179,7 @@ def score(docs: DataFrame, model, keep: list[str], out: str = "score") -> DataFr
                     f = bias + np.bincount(y, w[x.astype(np.int64)], minlength=j - i)
                     got[i:j] = 1 / (1 + np.exp(-np.clip(f, -60, 60)))
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(got)], [*keep, out])
-    return src.mapInArrow(run, f"{fields}, `{out}` double")
+    return src.mapInArrow(lean(run), f"{fields}, `{out}` double")
 
 
 def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
