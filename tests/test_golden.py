@@ -192,3 +192,19 @@ def test_reactions_authors_and_permalinks(spark):
     assert html(spark, ['<a href="https://f/posts/x?comment_id=1">a</a><a href="https://f/groups/1/posts/77/?comment_id=2">b</a>',
                         '<a href="/posts/55?comment_id=1">a</a>'], H.permalink(F.col("html"), "9")) == [
         "https://f/groups/1/posts/77/", "https://www.facebook.com/groups/9/posts/55/"]
+
+
+def test_strip_equals_python(spark):
+    """Every blank that Python strips, at both ends and within; a long run costs no more than its length."""
+    import time
+    blanks = [c for c in map(chr, range(0x3001)) if c.isspace()]
+    rows = [f"{c}a{c}b{c}" for c in blanks] + ["".join(blanks), "", "\u200bx\u200b", " \u2067x "]
+    df = spark.createDataFrame(list(enumerate(rows)), "i int, t string")
+    got = {r["i"]: r for r in df.select("i", TX.py_strip("t").alias("s"), TX.strip_bidi("t").alias("b")).collect()}
+    assert all(got[i]["s"] == t.strip() for i, t in enumerate(rows))
+    assert got[len(rows) - 2]["b"] == "x"  # marks at the ends go
+    long = spark.createDataFrame([("a" + " " * 200_000 + "b\n" + " " * 200_000 + "c",)], "t string")
+    long.select(TX.py_strip("t"), TX.normalize_whitespace("t")).collect()
+    t0 = time.perf_counter()
+    assert long.select(TX.normalize_whitespace("t").alias("t")).first()["t"] == "a" + " " * 200_000 + "b\nc"
+    assert time.perf_counter() - t0 < 5
