@@ -29,7 +29,7 @@ TEXTS = [
     "ips 1.2.3.4 256.1.1.1 01.002.0003.4 1.2.3.4.5.6.7.8.9 999.1.1.1.1 1.1.1 0.0.0.0000000000000000000000000000000000000000000000255",
     "cards 4111 1111 1111 1111, 4111-1111-1111-1112, 41111111111111111111111 4222222222222 1--2 5500005555555559",
     "call +1 (743) 555-3824 or +49.30.1234567 or +1 2 or ++1 555 123 4567) tel (212) 555-1234 x",
-    "iban DE89370400440532013000 GB82 WEST 1234 5698 7654 32 DE89370400440532013001, ssn 123-45-6789 and plain 123-45-6789",
+    "iban DE89370400440532013000 GB82 WEST 1234 5698 7654 32 DE89370400440532013001, ssn 123-45-6789 and then, much further on in the text and plain 123-45-6789",
     "é😀 a@b.cd 😀 10.0.0.1", "a" * 50_000 + "@b.c", "1" * 50_000, "1 " * 20_000, "1." * 20_000, "+" + "(" * 30_000,
     " ".join(f"u{i}@h{i}.org" for i in range(3000)),
 ]
@@ -67,6 +67,21 @@ def test_pii_added_kinds_and_redaction(make):
     assert red[1] is None and "DE89370400440532013000" not in red[4] and red[4].endswith("and plain 123-45-6789")
 
 
+def test_pii_context_is_the_text_before(make):
+    """The 40 code points before a span, cut from the text by its offset, decide on the added kinds."""
+    texts = ["SSN: 123-45-6789, 987-65-4321, 223-45-6789", "phones: (212) 555-1234, (212) 555-9876 (212)555-0000" + "x" * 41 + "(212) 555-1111",
+             "ssn " + "223-45-6789" * 9, "ssn 223-45-6789" + "é" * 25 + "223-45-6789" + "é" * 38 + "223-45-6789", "tel " + "(212) 555-1234 " * 300]
+    words = {"ssn": "ssn|social|security", "tel": "phone|tel|call|fax|mobile"}
+    regex = {"ssn": r"[0-9]{3}-[0-9]{2}-[0-9]{4}", "tel": r"\([0-9]{3}\)\x20?[0-9]{3}-[0-9]{4}"}
+    got = {r["doc_id"]: r["pii"] for r in pii.find_pii(make([(i, t, "en", "a") for i, t in enumerate(texts)])).collect()}
+    for i, t in enumerate(texts):
+        for k in regex:
+            want = [m.start() for m in re.finditer(regex[k], t) if re.search(words[k], t[max(0, m.start() - 40):m.start()].lower())
+                    and not (k == "ssn" and m.group()[0] == "9")]
+            assert [s["start"] for s in got[i] if s["kind"] == k] == want, (k, t[:60])
+    assert [s["value"] for s in got[0] if s["kind"] == "ssn"] == ["123-45-6789", "223-45-6789"]
+
+
 def secret_ok(kind, m):
     if kind == "assign":
         return len(re.fullmatch(SECRET["assign"], m).group(1)) >= 8

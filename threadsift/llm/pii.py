@@ -5,8 +5,12 @@ mod-97 for bank accounts, digit counts for telephone numbers), and words in the
 points before a span move its score.  Base kinds (email, ip, card, phone) stay whatever their
 score; the added kinds (iban, ssn, tel) stay from ``MIN_SCORE`` on.
 
-Defined cases: a null text is empty; an empty text has no spans; rows are independent, so repeated
-rows repeat and a row without doc_id is scanned like any other.
+The context is read from the text itself: all matches of a list after one label have it.
+
+Defined cases: a null text is empty; an empty text has no spans; an empty table gives none; rows are
+independent, so repeated rows repeat and a row without doc_id is scanned like any other.  A very long
+text is scanned whole, in time linear in its length and matches.  Extra columns of any name pass
+through ``find_pii`` and ``redacted`` (names starting with ``__`` are the operator's own); ``digest`` reads doc_id and text alone.
 """
 
 from __future__ import annotations
@@ -72,7 +76,7 @@ def _valid(kind: str) -> str:
 def find_pii(docs: DataFrame, text: str = "text", out: str = "pii") -> DataFrame:
     """docs with ``out``: array<struct<kind, start, end, value, score, base>> by kind, then start."""
     body = "__pii_text"
-    d = with_matches(docs.withColumn(body, F.coalesce(F.col(text), F.lit(""))), PATTERNS, body)
+    d = with_matches(docs.withColumn(body, F.coalesce(F.col(text), F.lit(""))), PATTERNS, body, context=True)
     parts = []
     for k in KINDS:
         score, words, change = SCORES[k]
@@ -125,9 +129,10 @@ def _oracle() -> str:
         score, words, change = SCORES[k]
         per.append(f"""
   SELECT rid, {i} AS o, '{k}' AS kind, e - length(m) AS s, e, {str(k in BASE).lower()} AS base FROM (
-    SELECT rid, m, c, CAST(sum(n + length(m)) OVER (PARTITION BY rid ORDER BY i) AS BIGINT) AS e FROM (
-      SELECT rid, i, f[i] AS m, length(g[i]) AS n, right(g[i], 40) AS c
-      FROM (SELECT rid, f, g, unnest(range(1, len(f) + 1)) AS i FROM (SELECT rid, regexp_extract_all(t, '{plain[k]}') AS f, string_split_regex(t, '{plain[k]}') AS g FROM d) WHERE len(f) > 0)))
+    SELECT rid, m, e, substr(t, greatest(1, e - length(m) - 39), least(40, e - length(m))) AS c FROM (
+    SELECT rid, m, CAST(sum(n + length(m)) OVER (PARTITION BY rid ORDER BY i) AS BIGINT) AS e FROM (
+      SELECT rid, i, f[i] AS m, length(g[i]) AS n
+      FROM (SELECT rid, f, g, unnest(range(1, len(f) + 1)) AS i FROM (SELECT rid, regexp_extract_all(t, '{plain[k]}') AS f, string_split_regex(t, '{plain[k]}') AS g FROM d) WHERE len(f) > 0))) JOIN d USING (rid))
   WHERE {ok[k]} AND ({str(k in BASE).lower()} OR {score} + CASE WHEN regexp_matches(lower(c), '{words}') THEN {change} ELSE 0 END >= {MIN_SCORE})""")
     return f"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
