@@ -64,25 +64,51 @@ def batched_roundtrip(spark, sf):
     return good.select("index", F.md5("text").alias("text_md5"))
 
 
-@register("posts_in_order", "WITH " + G.posts_cte() + """
-SELECT 'name' AS by, "index", CAST(row_number() OVER (ORDER BY "index") - 1 AS BIGINT) AS place FROM posts
-UNION ALL SELECT 'mtime', "index", CAST(row_number() OVER (ORDER BY "index") - 1 AS BIGINT) FROM posts""")
+POSTS_IN_ORDERED = 100  # files of so many posts
+FIRST_TIME = 1_700_000_000_000
+
+
+@register("posts_in_order", "WITH " + G.posts_cte() + f"""
+SELECT 'path' AS by, "index", CAST(row_number() OVER (ORDER BY "index") - 1 AS BIGINT) AS place FROM posts
+UNION ALL SELECT 'mtime', "index", CAST(row_number() OVER (ORDER BY "index" // {POSTS_IN_ORDERED} DESC, "index") - 1 AS BIGINT) FROM posts""")
 def posts_in_order(spark, sf):
-    """A4/A5: posts of one-line wrapper files picked by a glob, in file-name and in modification-time order.
+    """A4/A5: posts of several files picked by a glob, in the order of their paths and of their times.
 
-    The posts are written sorted, in files whose names and times rise with them."""
+    Each file holds a stretch of the index; paths rise with it, times are set to fall, so the two orders differ."""
     path = checkpoint_path(spark, "ordered")
-    p = posts_from_tables(spark, sf).select(*POST_COLS).repartitionByRange("index").sortWithinPartitions("index")
-    SK.append_jsonl(p, path)
-    spark.createDataFrame([("not json",)], "value string").write.mode("append").text(path + "/other")
+    part = F.lpad(F.floor(F.col("index") / POSTS_IN_ORDERED).cast("string"), 12, "0")
+    p = posts_from_tables(spark, sf).select(*POST_COLS, part.alias("part")).repartition("part").sortWithinPartitions("part", "index")
+    p.write.partitionBy("part").json(path)
+    spark.createDataFrame([("not json",)], "value string").write.mode("append").text(path + "/part=other")
+    files = [r.file_path for r in RD.file_order(spark, path, "*.json", "path").orderBy("place").collect()]
+    SK.set_file_times(spark, files[::-1], FIRST_TIME)
     out = []
-    for by in ("name", "mtime"):
+    for by in ("path", "mtime"):
         good, _ = RD.read_posts(spark, jsonl_path=path, glob="*.json", order=by)
-        # files of one write may share their millisecond: the name decides there
         out.append(DD.running_index(good.select("seq", "index"), "seq", "place").select(F.lit(by).alias("by"), "index", "place"))
     return out[0].unionByName(out[1])
 
 
+@register("extra_fields", "WITH " + G.posts_cte() + """
+SELECT "index", md5(text) AS text_md5, CAST("index" AS BIGINT) AS n, source || ' "' || lang || '"' AS place, "index" % 3 = 0 AS bare
+FROM posts JOIN (SELECT doc_id AS "index", source, lang FROM documents) USING ("index")""")
+def extra_fields(spark, sf):
+    """Fields outside the schema survive reading, writing and reading again, with their types; every third post has none."""
+    d = table(spark, sf, "documents").select(F.col("doc_id").alias("index"), F.concat("source", F.lit(' "'), "lang", F.lit('"')).alias("place"))
+    posts = posts_from_tables(spark, sf).select(*POST_COLS).join(d, "index")
+    extra = F.when(F.col("index") % 3 != 0, F.to_json(F.struct(F.struct(F.col("index").alias("n"), "place").alias("found at"), F.col("index").alias("rank"))))
+    one, two = checkpoint_path(spark, "extra"), checkpoint_path(spark, "extra")
+    SK.append_jsonl(posts.withColumn("rest", extra).drop("place"), one, rest="rest")
+    good, _ = RD.read_jsonl(spark, one, rest="rest")
+    SK.append_jsonl(good.drop("seq"), two, rest="rest")
+    back, _ = RD.read_jsonl(spark, two, rest="rest")
+    v = F.from_json("rest", "`found at` struct<n long, place string>, rank long")
+    # a post without extra fields takes its values from the table, so that a field gained or lost shows
+    return (back.join(d.withColumnRenamed("place", "own"), "index").withColumn("v", v)
+            .select("index", F.md5("text").alias("text_md5"), F.when(F.col("rest").isNull(), F.col("index")).otherwise(F.col("v.rank") + F.col("v.found at.n") - F.col("index")).alias("n"),
+                    F.when(F.col("rest").isNull(), F.col("own")).otherwise(F.col("v.found at.place")).alias("place"), F.col("rest").isNull().alias("bare")))
+
+
 @register("quarantine_counts", f"""
 SELECT 'good' AS kind, count(*) AS n FROM documents
 UNION ALL SELECT 'bad', CAST(sum(len(list_filter(string_split(replace(text, chr(13), ''), chr(10)), lambda x: trim(x) <> ''))) AS BIGINT) FROM benchmark""")
@@ -135,6 +161,43 @@ def stream_resume(spark, sf):
     return spark.read.parquet(sink).select("dedup_key", F.col("timestamp").cast("long").alias("run"), "index")
 
 
+ROUND_DAYS = 3
+
+
+def land_rounds(spark, sf):
+    """Events in one file a round of ROUND_DAYS days.  A round also holds the rows of the round before once more, and rows
+    of four rounds before under keys of their own, which come too late: a batch drops rows by the watermark of the
+    batch before it, which has passed the start of the third round before.  File times rise with the rounds."""
+    path = checkpoint_path(spark, "rounds")
+    e = table(spark, sf, "events").select(F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type")
+    first = e.agg(F.to_date(F.min("ts")).alias("d0"))
+    e = e.crossJoin(F.broadcast(first)).withColumn("round", F.expr(f"datediff(to_date(ts), d0) div {ROUND_DAYS}").cast("long")).drop("d0")
+    # a row per round, so the window without a key stays small
+    ranks = e.select("round").distinct().withColumn("landed", F.row_number().over(Window.orderBy("round")).cast("long"))
+    e = e.join(F.broadcast(ranks), "round")
+    again = e.withColumn("landed", F.col("landed") + 1)
+    late = e.withColumns({"landed": F.col("landed") + 4, "event_type": F.concat("event_type", F.lit(":late"))})
+    rows = e.unionByName(again).unionByName(late).join(F.broadcast(ranks.select("landed")), "landed", "left_semi")
+    rows.withColumn("part", F.lpad(F.col("landed").cast("string"), 8, "0")).drop("landed").repartition("part").write.partitionBy("part").parquet(path)
+    files = [r.file_path for r in RD.file_order(spark, path, "*.parquet", "path").orderBy("place").collect()]
+    SK.set_file_times(spark, files, FIRST_TIME)
+    return path
+
+
+def rounds_stream(spark, path):
+    return (spark.readStream.schema("round long, ts timestamp, user_id long, event_type string").option("maxFilesPerTrigger", 1)
+            .parquet(path).select("round", "ts", "user_id", "event_type"))
+
+
+@register("stream_watermark", f"""
+SELECT DISTINCT user_id, event_type, CAST(date_diff('day', (SELECT min(CAST(ts AS DATE)) FROM events), CAST(ts AS DATE)) // {ROUND_DAYS} AS BIGINT) AS round FROM events""")
+def stream_watermark(spark, sf):
+    """H2 with an event time: keys once each, repeats within the watermark and rows beyond it dropped, state evicted."""
+    sink, ck = checkpoint_path(spark, "sink"), checkpoint_path(spark, "ckpt")
+    ING.dedup_within(rounds_stream(spark, land_rounds(spark, sf)), ["user_id", "event_type", "round"], "ts", f"{ROUND_DAYS} days", sink, ck)
+    return spark.read.parquet(sink).select("user_id", "event_type", "round")
+
+
 @register("stream_quarantine", f"""
 SELECT line AS bad, count(*) AS n FROM (SELECT unnest(string_split(replace(text, chr(13), ''), chr(10))) AS line FROM benchmark)
 WHERE {G.strip('line')} <> '' GROUP BY line""")

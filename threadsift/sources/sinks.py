@@ -7,12 +7,30 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def append_jsonl(df: DataFrame, path: str, max_records_per_file: int | None = None) -> None:
-    """Append one JSON object per line (atomic per task commit)."""
+def append_jsonl(df: DataFrame, path: str, max_records_per_file: int | None = None, rest: str | None = None) -> None:
+    """Append one JSON object per line (atomic per task commit).  ``rest`` is a column of JSON objects whose
+    fields stand beside the other columns (``readers.read_jsonl``)."""
+    if rest:
+        own = F.to_json(F.struct(*[F.col(c) for c in df.columns if c != rest]))
+        inner = F.expr(f"substr({rest}, 2, length({rest}) - 2)")
+        df = df.select(F.when(F.coalesce(inner, F.lit("")) == "", own).otherwise(F.concat(
+            F.regexp_replace(own, r"\}$", ""),
+            F.when(own == "{}", F.lit("")).otherwise(F.lit(",")), inner, F.lit("}"))).alias("value"))
     w = df.write.mode("append")
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)  # the documented 30-per-file batching
-    w.json(path)
+    if rest:
+        w.text(path)
+    else:
+        w.json(path)
+
+
+def set_file_times(spark: SparkSession, paths: list[str], first: int, step: int = 1000) -> None:
+    """Gives files modification times (milliseconds) that rise in the order of ``paths``, where the store can."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    for i, p in enumerate(paths):
+        at = hadoop.Path(p)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).setTimes(at, first + i * step, -1)
 
 
 def result_document(tag_stats: DataFrame, totals: DataFrame, samples: DataFrame) -> DataFrame:

@@ -20,8 +20,10 @@ under ``threadsift.session.checkpoint_path`` derive them from
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.errors import StreamingQueryException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from threadsift import schema as S
@@ -76,11 +78,8 @@ def ingest_dedup(spark: SparkSession, landing: str, sink: str, checkpoint: str,
     """
     s = prepared(landing_stream(spark, landing, max_files))
     if event_time:
-        s = s.withColumn(event_time, F.col(event_time).cast("timestamp")).withWatermark(event_time, watermark)
-        s = s.dropDuplicatesWithinWatermark(["dedup_key"])
-    else:
-        s = s.dropDuplicates(["dedup_key"])
-    q = (s.writeStream.format("parquet").option("checkpointLocation", checkpoint)
+        return dedup_within(s.withColumn(event_time, F.col(event_time).cast("timestamp")), ["dedup_key"], event_time, watermark, sink, checkpoint)
+    q = (s.dropDuplicates(["dedup_key"]).writeStream.format("parquet").option("checkpointLocation", checkpoint)
          .outputMode("append").trigger(availableNow=True).start(sink))
     q.awaitTermination()
     return q
@@ -106,24 +105,63 @@ def first_posts(spark: SparkSession, sink: str) -> DataFrame:
     return spark.read.parquet(sink).groupBy("dedup_key").agg(F.min("index").alias("index"))
 
 
+ROCKSDB = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
+@contextmanager
+def session_conf(spark: SparkSession, conf: dict[str, str]):
+    """The settings within the block, the session's own after it."""
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def dedup_within(stream: DataFrame, keys: list[str], event_time: str, watermark: str, sink: str, checkpoint: str):
+    """H2 with state that shrinks: one row per key within the watermark; rows later than the watermark go.
+
+    A key leaves the state once the watermark has passed its row's time by ``watermark``, so state holds the keys of
+    that span and not all of history.  It lives in RocksDB off the heap, and a batch uploads its changes, not whole
+    snapshots.  Which of a key's rows stays is not defined, so ``keys`` should be all that readers use.
+    """
+    rows = stream.withWatermark(event_time, watermark).dropDuplicatesWithinWatermark(keys)
+    with session_conf(stream.sparkSession, ROCKSDB):
+        q = (rows.writeStream.format("parquet").option("checkpointLocation", checkpoint)
+             .outputMode("append").trigger(availableNow=True).start(sink))
+        q.awaitTermination()
+    return q
+
+
 STORED = "dedup_key string, index long, batch long"
 
 
 FILE_ORDER = {"mtime": ["file_time", "file_name"], "name": ["file_name"]}
 
 
-def store_batch(df: DataFrame, batch_id: int, sink: str, index: str | None = None, order: str = "mtime") -> str:
+def store_batch(df: DataFrame, batch_id: int, sink: str, index: str | None = None, order: str = "mtime",
+                stored: Observation | None = None) -> str:
     """H3: the batch's first post per key, without the keys stored by earlier batches, written over
     ``batch=<id>``; their keys go to the key index beside the sink.  Only earlier batches count as
     stored, so a replayed batch finds the same rows.
 
     First is by the order of the files (by time and name, or by name alone) and then by ``index``, where
     ``df`` names its files: the running index starts again at 0 with every run, so it alone orders nothing.
+    ``stored`` observes new_posts, the rows written, on their way to the sink.
     """
     spark, out = df.sparkSession, f"{sink.rstrip('/')}/batch={batch_id}"
     index = index or f"{sink.rstrip('/')}-keys"
     rows = df.withColumn("__at", F.struct(*[c for c in FILE_ORDER[order] if c in df.columns], "index"))
-    KI.unseen(keep_first(rows, "dedup_key", "__at").drop("__at", "file_time", "file_name"), batch_id, index).write.mode("overwrite").parquet(out)
+    new = KI.unseen(keep_first(rows, "dedup_key", "__at").drop("__at", "file_time", "file_name"), batch_id, index)
+    if stored is not None:
+        new = new.observe(stored, F.count(F.lit(1)).alias("new_posts"))
+    new.write.mode("overwrite").parquet(out)
     KI.add(spark.read.schema(STORED).parquet(out), batch_id, index)
     return out
 
@@ -141,8 +179,9 @@ def ingest_anti_join(spark: SparkSession, landing: str, sink: str, checkpoint: s
         if (idle_limit and idle[0] >= idle_limit) or (max_rounds and rounds[0] >= max_rounds):
             stopped[0] = True
             raise RuntimeError("the run has reached its limit")  # this batch is not committed
-        out = store_batch(df, batch_id, sink, order=order)
-        n = df.sparkSession.read.schema(STORED).parquet(out).count()
+        stored = Observation()  # H4: counted by the write itself, nothing is read again
+        store_batch(df, batch_id, sink, order=order, stored=stored)
+        n = stored.get["new_posts"]
         if metrics:  # H4: one progress row per round (new posts accepted in this micro-batch)
             df.sparkSession.createDataFrame([(batch_id, n)], "round long, new_posts long") \
                 .write.mode("overwrite").parquet(f"{metrics.rstrip('/')}/batch={batch_id}")
