@@ -40,28 +40,40 @@ SCALES = {
 }
 
 
-def label_posts(posts: DataFrame) -> DataFrame:
+def _dimensions(own: dict[str, L.Lexicon] | None) -> dict[str, L.Lexicon]:
+    if unknown := set(own or {}) - set(DIMENSIONS):
+        raise ValueError(f"no such label: {sorted(unknown)}; labels are {list(DIMENSIONS)}")
+    return {**DIMENSIONS, **(own or {})}
+
+
+def label_posts(posts: DataFrame, dimensions: dict[str, L.Lexicon] | None = None, budget: L.Lexicon = BUDGET,
+                pains: L.Lexicon = PAINS, tools: L.Lexicon = TOOLS) -> DataFrame:
     """Per post: author (default 'Unknown'), engagement (likes + comments, digits mode),
-    five D3 labels, the budget range (D5), pain-point and tool tags (D2)."""
+    five D3 labels, the budget range (D5), pain-point and tool tags (D2).
+
+    ``dimensions`` replaces the lexicons of the labels that it names, the others their list; give ``profiles`` the same ones."""
+    dims = _dimensions(dimensions)
     p = with_defaults(posts, DEFAULTS_PROFILE).withColumn("_low", F.lower("text"))
-    p = TG.classify_many(p, {**DIMENSIONS, "_budget_kw": BUDGET}, low="_low")
+    p = TG.classify_many(p, {**dims, "_budget_kw": budget}, low="_low")
     return p.select(
         "seq", "author", "text", "timestamp",
         (parse_count(F.col("likes"), "digits") + parse_count(F.col("comments"), "digits")).alias("engagement"),
-        *DIMENSIONS,
+        *dims,
         F.coalesce(LX.budget_amount_range(F.col("text")), F.col("_budget_kw")).alias("budget_range"),
-        LX.tags("text", PAINS, "_low").alias("pain_points"),
-        LX.tags("text", TOOLS, "_low").alias("tool_preferences"),
+        LX.tags("text", pains, "_low").alias("pain_points"),
+        LX.tags("text", tools, "_low").alias("tool_preferences"),
     )
 
 
-def _idx(c: str) -> Column:
-    return SC.scale_index(F.col(c), SCALES[c])
+def _scales(dims: dict[str, L.Lexicon], budget: L.Lexicon) -> dict[str, list[str]]:
+    """Every label that a lexicon can give has a place: the declared scale, then the lexicon's further categories."""
+    lexicons = {**dims, "budget_range": budget}
+    return {c: [*SCALES[c], *[x for x in lexicons[c].categories if x not in SCALES[c]]] for c in LABEL_COLS}
 
 
-def _label(idx: Column, c: str) -> Column:
+def _label(idx: Column, scale: list[str]) -> Column:
     # explicit NULL guard: element_at with a NULL index returns the last element in Spark 4.1
-    return F.when(idx.isNotNull(), F.element_at(F.array(*[F.lit(x) for x in SCALES[c]]), idx + 1))
+    return F.when(idx.isNotNull(), F.element_at(F.array(*[F.lit(x) for x in scale]), idx + 1))
 
 
 def _ordered_set(first_seqs: dict[str, Column]) -> Column:
@@ -71,24 +83,28 @@ def _ordered_set(first_seqs: dict[str, Column]) -> Column:
     return F.transform(F.array_sort(F.filter(items, lambda x: x["s"].isNotNull())), lambda x: x["c"])
 
 
-def profiles(labeled: DataFrame) -> DataFrame:
-    """one row per author (+ D8 team size, D9 readiness)."""
+def profiles(labeled: DataFrame, dimensions: dict[str, L.Lexicon] | None = None, budget: L.Lexicon = BUDGET,
+             pains: L.Lexicon = PAINS, tools: L.Lexicon = TOOLS) -> DataFrame:
+    """one row per author (+ D8 team size, D9 readiness), for the lexicons that labelled the posts.
+
+    The readiness score counts a label outside its declared scale as the scale's first."""
+    scales = _scales(_dimensions(dimensions), budget)
     aggs = [F.count(F.lit(1)).alias("post_count"),
             F.sum("engagement").cast("long").alias("total_engagement"),
             F.min("seq").alias("first_seq")]
     # first non-null label in input order (min_by skips rows whose ordering is NULL)
-    aggs += [F.min_by(_idx(c), F.when(F.col(c).isNotNull(), F.col("seq"))).alias(f"_{c}") for c in LABEL_COLS]
+    aggs += [F.min_by(SC.scale_index(F.col(c), scales[c]), F.when(F.col(c).isNotNull(), F.col("seq"))).alias(f"_{c}") for c in LABEL_COLS]
     # first post (seq) in which each category appears
     aggs += [F.min(F.when(F.array_contains("pain_points", c), F.col("seq"))).alias(f"_pp{i}")
-             for i, c in enumerate(PAINS.categories)]
+             for i, c in enumerate(pains.categories)]
     aggs += [F.min(F.when(F.array_contains("tool_preferences", c), F.col("seq"))).alias(f"_tp{i}")
-             for i, c in enumerate(TOOLS.categories)]
+             for i, c in enumerate(tools.categories)]
     g = labeled.groupBy("author").agg(*aggs)
     out = g.select(
         "author", "post_count", "total_engagement",
-        *[_label(F.col(f"_{c}"), c).alias(c) for c in LABEL_COLS],
-        _ordered_set({c: F.col(f"_pp{i}") for i, c in enumerate(PAINS.categories)}).alias("pain_points"),
-        _ordered_set({c: F.col(f"_tp{i}") for i, c in enumerate(TOOLS.categories)}).alias("tool_preferences"),
+        *[_label(F.col(f"_{c}"), scales[c]).alias(c) for c in LABEL_COLS],
+        _ordered_set({c: F.col(f"_pp{i}") for i, c in enumerate(pains.categories)}).alias("pain_points"),
+        _ordered_set({c: F.col(f"_tp{i}") for i, c in enumerate(tools.categories)}).alias("tool_preferences"),
         "first_seq",
     )
     return out.withColumns({

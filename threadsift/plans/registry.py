@@ -26,4 +26,4 @@ def load_all() -> None:
     # importing the catalog modules registers their queries
     from threadsift.plans import (catalog_base, catalog_identity, catalog_pages,  # noqa: F401
                                   catalog_profiles, catalog_quality, catalog_reports,
-                                  catalog_streaming, catalog_tags)
+                                  catalog_sketches, catalog_streaming, catalog_tags)
