@@ -50,11 +50,12 @@ def tune_session(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
 
 
-def bounded_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Arrow batches of at most ``rows`` rows, so that a batch of long texts stays small in memory;
-    applied only where the session still has Spark's default."""
-    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000") == "10000":
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def bounded_batches(spark: SparkSession, rows: int = 1000, size: int = 8 << 20) -> None:
+    """Arrow batches of at most ``rows`` rows and about ``size`` bytes (one row at least), so that a batch of
+    long texts stays small on both sides of the pipe; applied only where the session still has Spark's default."""
+    for key, default, value in (("maxRecordsPerBatch", "10000", str(rows)), ("maxBytesPerBatch", "67108864b", f"{size}b")):
+        if spark.conf.get(f"spark.sql.execution.arrow.{key}", default) == default:
+            spark.conf.set(f"spark.sql.execution.arrow.{key}", value)
 
 
 def _is_local(spark: SparkSession) -> bool:
