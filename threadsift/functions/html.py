@@ -1,16 +1,18 @@
 """Column builders over saved HTML.
 
 The reference walks a live DOM; here each page or unit is a string column and every
-extraction is an expression evaluated row by row on the executors.  Elements are cut
-by depth: the opening and closing tags of one name are extracted in order, a fold
-carries their depth, and an element ends where the depth falls back (``elements``,
-``without``).  Units and functions work on inner markup.  Entity decoding covers the
+extraction is an expression evaluated row by row on the executors.  One pass over the
+markup gives its ``outline``: every element with its depth and where it begins and ends;
+``with_markup`` puts it in a column that all extractions of a unit read.  Units and
+functions work on inner markup.  Entity decoding covers the
 common named entities only.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from typing import NamedTuple
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from threadsift.functions.text import ARABIC_DIGITS, ASCII_DIGITS, BIDI_MARKS, col_, py_strip
@@ -107,38 +109,91 @@ def _ends(d: str, i: str, n: str) -> str:
     return f"coalesce(get(filter(sequence(0, {n} - 1), {k} -> {k} > {i} AND {d}[{k}] = {d}[{i}] - 1), 0), {n})"
 
 
-def elements(h: str, tag: str, wanted: str) -> str:
-    """SQL: array<struct<pos int, html string>> of the elements ``tag`` in document order, with their inner
-    markup.  ``wanted`` is a condition on the opening tag {t} and its depth {d} (1 = outermost)."""
-    def body(m, g, d):
-        i, k = _name("i"), _name("k")
-        n = f"size({m})"
-        open_ = f"NOT startswith({m}[{i}], '</') AND ({wanted.format(t=f'{m}[{i}]', d=f'{d}[{i}]')})"
+#: names of the tags that extractions look for, and one such tag
+TAG_NAMES = ["div", "span", "a", "h2", "h3"]
+_TAG = "r'(?is)</?(?:" + "|".join(TAG_NAMES) + ")\\b[^>]*>'"
+_ELEMENTS = "array<struct<pos:int,n:string,t:string,d:int,s:int,e:int,f:int>>"
+_RUN = 32
+
+
+def _running(numbers: str) -> str:
+    """SQL: running sums of a non-empty array<int>, by blocks: a fold copies what it has gathered at every
+    step, so it gathers at most a block, and then the blocks' totals."""
+    a, x, b, v = (_name(k) for k in "axbv")
+    empty = "named_struct('d', 0, 'o', CAST(array() AS array<int>))"
+
+    def blocks(ns):
+        fold = f"({a}, {x}) -> named_struct('d', {a}.d + {x}, 'o', concat({a}.o, array({a}.d + {x})))"
+        return f"transform(sequence(0, CAST((size({ns}) - 1) DIV {_RUN} AS INT)), {b} -> aggregate(slice({ns}, {b} * {_RUN} + 1, {_RUN}), {empty}, {fold}))"
+
+    def joined(bs):
+        before = f"aggregate({bs}, {empty}, ({a}, {x}) -> named_struct('d', {a}.d + {x}.d, 'o', concat({a}.o, array({a}.d))), {a} -> {a}.o)"
+        return let(before, lambda o: f"flatten(transform({bs}, ({x}, {b}) -> transform({x}.o, {v} -> {v} + {o}[{b}])))")
+    return let(numbers, lambda ns: let(blocks(ns), joined))
+
+
+def outline(h: str) -> str:
+    """SQL: every element of the TAG_NAMES in document order, from one pass over the markup: where its opening tag
+    begins (pos), its name, that tag, its depth among elements of its name (1 = outermost), where its inner markup
+    begins (s) and ends (e), and where the closing tag ends (f).  An element that nothing closes ends with the markup.
+
+    Sorted by (level, place), the tags of one name alternate between an opening tag and the closing one that
+    belongs to it, as the depth passes a level up and down in turn; so an element's end is its neighbour there.
+    """
+    t, i, x, y, k = (_name(v) for v in "tixyk")
+
+    def matched(tags, end):
+        def by_level(d):
+            return (f"array_sort(transform({tags}, ({y}, {k}) -> named_struct('l', {d}[{k}] + CASE WHEN {y}.c THEN 1 ELSE 0 END, "
+                    f"'z', {y}.z, 'c', {y}.c, 'n', {y}.n, 't', {y}.t)))")
+
+        def pairs(o):
+            nxt = f"get({o}, {k} + 1)"
+            closed = f"{nxt}.l <=> {y}.l"
+            return (f"transform(filter(transform({o}, ({y}, {k}) -> named_struct('c', {y}.c, 'x', named_struct('pos', {y}.z - length({y}.t), 'n', {y}.n, 't', {y}.t, 'd', {y}.l, 's', {y}.z, "
+                    f"'e', CASE WHEN {closed} THEN {nxt}.z - length({nxt}.t) ELSE {end} END, 'f', CASE WHEN {closed} THEN {nxt}.z ELSE {end} END))), {y} -> NOT {y}.c), {y} -> {y}.x)")
+        depth = _running(f"transform({tags}, {y} -> CASE WHEN {y}.c THEN -1 ELSE 1 END)")
+        return f"CASE WHEN size({tags}) = 0 THEN CAST(array() AS {_ELEMENTS}) ELSE {let(let(depth, by_level), pairs)} END"
+
+    def placed(s, end):
+        ends = _running(f"transform({s}.m, ({t}, {i}) -> length({t}) + length({s}.g[{i}]))")
+        tags = let(ends, lambda z: (f"transform({s}.m, ({t}, {i}) -> named_struct('z', {z}[{i}], 'c', startswith({t}, '</'), "
+                                    f"'n', lower(regexp_extract({t}, '([A-Za-z0-9]+)', 1)), 't', {t}))"))
+        names = ", ".join(f"'{n}'" for n in TAG_NAMES)
+        every = let(tags, lambda ts: f"flatten(transform(array({names}), {x} -> {let(f'filter({ts}, {y} -> {y}.n = {x})', lambda one: matched(one, end))}))")
+        return f"CASE WHEN size({s}.m) = 0 THEN CAST(array() AS {_ELEMENTS}) ELSE array_sort({every}) END"
+    return let(h, lambda v: let(f"named_struct('m', regexp_extract_all({v}, {_TAG}, 0), 'g', split({v}, {_TAG}, -1))", lambda s: placed(s, f"length({v})")))
+
 
-        def one(e):
-            a, q = _name("a"), _name("q")
-            inner = f"concat({g}[{i} + 1], array_join(transform(filter(sequence(0, {n} - 1), {k} -> {k} > {i} AND {k} < {e}), {k} -> concat({m}[{k}], {g}[{k} + 1])), ''))"
-            pos = f"aggregate(sequence(0, {i}), 0, ({a}, {q}) -> {a} + length({g}[{q}]) + CASE WHEN {q} < {i} THEN length({m}[{q}]) ELSE 0 END)"
-            return f"struct({pos} AS pos, {inner} AS html)"
-        return (f"CASE WHEN {n} = 0 THEN CAST(array() AS array<struct<pos:int,html:string>>) ELSE "
-                f"transform(filter(sequence(0, {n} - 1), {i} -> {open_}), {i} -> {let(_ends(d, i, n), one)}) END")
-    return _cut(h, tag, body)
+def _outlined(h: str, tags: str | None, body) -> str:
+    """SQL: body(markup, outline), with the outline made here unless ``tags`` names one."""
+    return body(h, tags) if tags else let(h, lambda v: let(outline(v), lambda o: body(v, o)))
 
 
-def without(h: str, tag: str, wanted: str) -> str:
+def _chosen(o: str, tag: str, wanted: str) -> str:
+    x = _name("x")
+    return f"filter({o}, {x} -> {x}.n = '{tag}' AND ({wanted.format(t=f'{x}.t', d=f'{x}.d')}))"
+
+
+def elements(h: str, tag: str, wanted: str, tags: str | None = None) -> str:
+    """SQL: array<struct<pos int, html string>> of the elements ``tag`` in document order, with their inner
+    markup.  ``wanted`` is a condition on the opening tag {t} and its depth {d} (1 = outermost); ``tags`` is
+    the outline of the markup, where it stands in a column."""
+    x = _name("x")
+    return _outlined(h, tags, lambda v, o: f"transform({_chosen(o, tag, wanted)}, {x} -> struct({x}.pos AS pos, substring({v}, {x}.s + 1, {x}.e - {x}.s) AS html))")
+
+
+def without(h: str, tag: str, wanted: str, tags: str | None = None) -> str:
     """SQL: the markup without the elements ``tag`` whose opening tag {t} satisfies ``wanted``."""
-    def body(m, g, d):
-        i, k, r = _name("i"), _name("k"), _name("r")
-        n = f"size({m})"
-        gone = (f"transform(filter(sequence(0, {n} - 1), {i} -> NOT startswith({m}[{i}], '</') AND ({wanted.format(t=f'{m}[{i}]', d=f'{d}[{i}]')})), "
-                f"{i} -> struct({i} AS i, {_ends(d, i, n)} AS e))")
+    a, x, y = (_name(v) for v in "axy")
 
-        def keep(rs):
-            tag_ = f"CASE WHEN exists({rs}, {r} -> {k} BETWEEN {r}.i AND {r}.e) THEN '' ELSE {m}[{k}] END"
-            text = f"CASE WHEN exists({rs}, {r} -> {k} >= {r}.i AND {k} < {r}.e) THEN '' ELSE {g}[{k} + 1] END"
-            return f"concat({g}[0], array_join(transform(sequence(0, {n} - 1), {k} -> concat({tag_}, {text})), ''))"
-        return f"CASE WHEN {n} = 0 THEN {g}[0] ELSE {let(gone, keep)} END"
-    return _cut(h, tag, body)
+    def body(v, o):
+        def kept(gone):
+            outer = f"filter({gone}, {x} -> NOT exists({gone}, {y} -> {y}.pos < {x}.pos AND {x}.f <= {y}.f))"
+            return (f"aggregate({outer}, named_struct('at', 0, 'o', ''), ({a}, {x}) -> named_struct('at', {x}.f, 'o', concat({a}.o, substring({v}, {a}.at + 1, {x}.pos - {a}.at))), "
+                    f"{a} -> concat({a}.o, substring({v}, {a}.at + 1)))")
+        return let(_chosen(o, tag, wanted), kept)
+    return _outlined(h, tags, body)
 
 
 def has(attribute: str) -> str:
@@ -149,19 +204,45 @@ def has(attribute: str) -> str:
 ARTICLE, FEED, AUTO = has('role="article"'), has('role="feed"'), has('dir="auto"')
 
 
-def feed_units(h: str = "html") -> str:
-    """SQL: A10, the direct children of the page's feed."""
-    return let(f"get({elements(h, 'div', FEED)}, 0).html", lambda f: f"CASE WHEN {f} IS NULL THEN CAST(array() AS array<struct<pos:int,html:string>>) ELSE {elements(f, 'div', '{d} = 1')} END")
+class Markup(NamedTuple):
+    """SQL names of a unit's markup, its outline, the markup without nested replies and that one's outline; an
+    outline of None is made anew by each extraction."""
+    html: str
+    tags: str | None
+    own: str
+    own_tags: str | None
+
+
+def markup(h: str | Markup) -> Markup:
+    return h if isinstance(h, Markup) else Markup(h, None, own_markup(h), None)
+
+
+#: the columns of ``with_markup``
+SHARED = Markup("html", "_tags", "_own", "_own_tags")
+
+
+def with_markup(units: DataFrame) -> DataFrame:
+    """Units with the columns SHARED: every extraction of a unit reads one outline."""
+    return (units.withColumn("_tags", F.expr(outline("html"))).withColumn("_own", F.expr(own_markup("html", "_tags")))
+            .withColumn("_own_tags", F.expr(outline("_own"))))
+
 
+def page_parts(h: str = "html") -> str:
+    """SQL: A10, array<struct<kind, unit_pos, html>>: the direct children of the page's feed, and every article
+    element, nested ones too; each kind in document order."""
+    x, k = _name("x"), _name("k")
 
-def articles(h: str = "html") -> str:
-    """SQL: A10, every article element of the page, nested ones too."""
-    return elements(h, "div", ARTICLE)
+    def units(v, o):
+        def part(kind, found):
+            return f"transform({found}, ({x}, {k}) -> struct('{kind}' AS kind, {k} AS unit_pos, substring({v}, {x}.s + 1, {x}.e - {x}.s) AS html))"
+        inside = let(f"get({_chosen(o, 'div', FEED)}, 0)", lambda f: f"filter({o}, {x} -> {x}.n = 'div' AND {x}.d = {f}.d + 1 AND {x}.pos >= {f}.s AND {x}.pos < {f}.e)")
+        return f"concat({part('feed', inside)}, {part('article', _chosen(o, 'div', ARTICLE))})"
+    return _outlined(h, None, units)
 
 
-def own_markup(h: str = "html") -> str:
+def own_markup(h: str = "html", tags: str | None = None) -> str:
     """SQL: a unit without its nested replies."""
-    return without(h, "div", ARTICLE)
+    return without(h, "div", ARTICLE, tags)
 
 
 def visible_text(html) -> Column:
@@ -225,35 +306,36 @@ def _node_count(nodes: Column, pattern: str) -> Column:
     return F.coalesce(F.translate(F.regexp_replace(val, r"\s+", ""), ARABIC_DIGITS, ASCII_DIGITS), F.lit(""))
 
 
-def anchored_counts(h: str = "html") -> tuple[Column, Column]:
+def anchored_counts(h: str | Markup = "html") -> tuple[Column, Column]:
     """Span, link and button nodes whose whole text is a count (<= 25 chars), nested replies excluded."""
-    own = own_markup(h)
+    m = markup(h)
     button = 'contains({t}, \'role="button"\') OR contains({t}, \'role="link"\')'
-    nodes = F.transform(_in_order(elements(own, "span", "true"), elements(own, "a", "true"), elements(own, "div", button)),
+    nodes = F.transform(_in_order(*[elements(m.own, tag, wanted, m.own_tags) for tag, wanted in (("span", "true"), ("a", "true"), ("div", button))]),
                         lambda t: py_strip(F.translate(content_text(t), BIDI_MARKS, "")))
     return _node_count(nodes, NODE_COMMENTS), _node_count(nodes, NODE_SHARES)
 
 
-def line_counts(h: str = "html") -> tuple[Column, Column]:
+def line_counts(h: str | Markup = "html") -> tuple[Column, Column]:
     """C7 over a unit's own text."""
-    return engagement_from_lines(visible_text(F.expr(own_markup(h))))
+    return engagement_from_lines(visible_text(F.expr(markup(h).own)))
 
 
-def engagement_counts(h: str = "html") -> tuple[Column, Column]:
+def engagement_counts(h: str | Markup = "html") -> tuple[Column, Column]:
     """Anchored counts, each field falling back to the line parser."""
     (ac, as_), (lc, ls) = anchored_counts(h), line_counts(h)
     return F.when(ac != "", ac).otherwise(lc), F.when(as_ != "", as_).otherwise(ls)
 
 
-def reaction_count(h: str = "html", fallback: bool = False) -> Column:
+def reaction_count(h: str | Markup = "html", fallback: bool = False) -> Column:
     """First number inside an ``aria-label`` that mentions like/react (en/ar); with ``fallback``
     (articles) else the first hidden span that is a bare number."""
-    labels = F.regexp_extract_all(F.expr(h), F.lit(r'aria-label="([^"]*)"'), 1)
+    m = markup(h)
+    labels = F.regexp_extract_all(F.expr(m.html), F.lit(r'aria-label="([^"]*)"'), 1)
     hit = F.filter(labels, lambda a: _any(F.lower(a), REACTION_WORDS) | _any(a, REACTION_WORDS_AR))
     nums = F.filter(F.transform(hit, lambda a: F.regexp_extract(a, REACTION_NUMBER, 1)), lambda v: v != "")
     v = F.replace(first(nums), F.lit(" "), F.lit(""))
     if fallback:
-        hidden = F.transform(F.expr(elements(h, "span", has('aria-hidden="true"'))), lambda e: py_strip(content_text(e["html"])))
+        hidden = F.transform(F.expr(elements(m.html, "span", has('aria-hidden="true"'), m.tags)), lambda e: py_strip(content_text(e["html"])))
         v = F.coalesce(v, first(F.filter(hidden, lambda t: t.rlike(r"^[\d,٠-٩\.]+[KkMm]?$"))))
     return F.coalesce(F.translate(v, ARABIC_DIGITS, ASCII_DIGITS), F.lit(""))
 
@@ -268,14 +350,15 @@ def _named(lk: Column, hosts: list[str]) -> Column:
     return first(ok)["txt"]
 
 
-def author_from_links(h: str = "html") -> Column:
+def author_from_links(h: str | Markup = "html") -> Column:
     """A link in a profile-name element or a heading (3..59 chars, not a post link); else the first
     link of the unit that passes the name rules."""
     name = has('data-ad-rendering-role="profile_name"')
-    heads = _in_order(elements(h, "div", name), elements(h, "span", name), elements(h, "h2", "true"), elements(h, "h3", "true"))
+    m = markup(h)
+    heads = _in_order(*[elements(m.html, tag, wanted, m.tags) for tag, wanted in (("div", name), ("span", name), ("h2", "true"), ("h3", "true"))])
     head = F.flatten(F.transform(heads, links))
     ok_head = F.filter(head, lambda l: (F.length(l["txt"]) > 2) & (F.length(l["txt"]) < 60) & ~l["href"].contains("/posts/"))
-    return F.coalesce(first(ok_head)["txt"], _named(links(F.expr(h)), AUTHOR_LINK_HOSTS), F.lit(""))
+    return F.coalesce(first(ok_head)["txt"], _named(links(F.expr(m.html)), AUTHOR_LINK_HOSTS), F.lit(""))
 
 
 def article_author(h: str = "html") -> Column:
@@ -321,14 +404,14 @@ def _texts(sql: str) -> Column:
     return F.transform(F.expr(sql), lambda e: py_strip(visible_text(e["html"])))
 
 
-def body_text(h: str = "html") -> Column:
+def body_text(h: str | Markup = "html") -> Column:
     """C20: longest ``dir="auto"`` block (> 5 chars), else such a span, else the whole text of the unit without
     its replies; a result under 10 characters gives way to a longer message block."""
-    own = own_markup(h)
-    block, span = _longest(_texts(elements(own, "div", AUTO)), BODY_MIN_CHARS), _longest(_texts(elements(own, "span", AUTO)), BODY_MIN_CHARS)
-    body = F.when(block != "", block).when(span != "", span).otherwise(py_strip(visible_text(F.expr(own))))
+    m = markup(h)
+    block, span = (_longest(_texts(elements(m.own, tag, AUTO, m.own_tags)), BODY_MIN_CHARS) for tag in ("div", "span"))
+    body = F.when(block != "", block).when(span != "", span).otherwise(py_strip(visible_text(F.expr(m.own))))
     mark = " OR ".join(f"contains({{t}}, '{x}')" for x in MESSAGE_MARKS)
-    message = _longest(_texts(elements(h, "div", mark)), 0)
+    message = _longest(_texts(elements(m.html, "div", mark, m.tags)), 0)
     return F.when((F.length(body) < BODY_SHORT) & (F.length(message) > F.length(body)), message).otherwise(body)
 
 

@@ -24,11 +24,12 @@ def posts_from_units(units: DataFrame, group_id: str = DEFAULT_GROUP_ID) -> Data
     """page_id, kind, unit_pos and the fields of a post for every unit: body, cleaning, flags, author (links,
     else the first line), prefix strip, permalink, time label, counts and images."""
     feed = F.col("kind") == "feed"
-    c, s = H.engagement_counts()
-    d = units.select("page_id", "kind", "unit_pos", TX.clean_text(H.body_text()).alias("text"),
-                     F.when(feed, H.author_from_links()).otherwise(H.article_author()).alias("author"),
+    m = H.SHARED
+    c, s = H.engagement_counts(m)
+    d = H.with_markup(units).select("page_id", "kind", "unit_pos", TX.clean_text(H.body_text(m)).alias("text"),
+                     F.when(feed, H.author_from_links(m)).otherwise(H.article_author()).alias("author"),
                      H.time_label(F.col("html")).alias("timestamp"), H.permalink(F.col("html"), group_id).alias("url"),
-                     F.when(feed, H.reaction_count()).otherwise(H.reaction_count(fallback=True)).alias("likes"),
+                     F.when(feed, H.reaction_count(m)).otherwise(H.reaction_count(m, fallback=True)).alias("likes"),
                      c.alias("comments"), s.alias("shares"), H.image_urls(F.col("html")).alias("images"))
     video, share = TX.media_flags(F.col("text"))
     d = d.withColumns({"is_video": video, "is_share": share,

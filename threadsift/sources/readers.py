@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from threadsift import schema as S
-from threadsift.functions.html import articles, feed_units
+from threadsift.functions.html import page_parts
 from threadsift.functions.text import py_strip
 
 
@@ -153,6 +153,4 @@ def with_defaults(df: DataFrame, defaults: dict) -> DataFrame:
 def page_units(pages: DataFrame) -> DataFrame:
     """A10: the feed units (direct children of ``role="feed"``) and the article elements of each page, with
     their position among their kind and their inner markup."""
-    parts = [pages.select("page_id", F.lit(kind).alias("kind"), F.posexplode(F.expr(cut)).alias("unit_pos", "u"))
-             for kind, cut in (("feed", feed_units()), ("article", articles()))]
-    return parts[0].unionByName(parts[1]).select("page_id", F.col("unit_pos").cast("int").alias("unit_pos"), "kind", F.col("u.html").alias("html"))
+    return pages.select("page_id", F.inline(F.expr(page_parts()))).select("page_id", "unit_pos", "kind", "html")
