@@ -49,7 +49,7 @@ IMAGE = f"CASE WHEN full_ THEN 'https://scontent.example.fbcdn.net/v/p' || {S} |
 def _one(name: str, sql: str, doc: str, *cols):
     """Register a query of one extraction per unit."""
     def run(spark, sf):
-        return units(spark, sf).select("page_id", "kind", "unit_pos", *[c().alias(n) for n, c in cols])
+        return H.with_markup(units(spark, sf)).select("page_id", "kind", "unit_pos", *[c().alias(n) for n, c in cols])
     run.__doc__ = doc
     register(name, f"{WITH}\nSELECT {ID}, {sql} FROM un")(run)
 
@@ -60,21 +60,21 @@ _one("unit_filters", "NOT full_ AS skeleton, what = 'article' AS big_enough", "B
      ("skeleton", lambda: H.is_skeleton(F.col("html"))), ("big_enough", lambda: H.big_enough(F.col("html"))))
 _one("engagement_lines", f"CASE WHEN full_ THEN '99' WHEN what = 'reply' THEN '77' ELSE '' END AS comments, {SHARES} AS shares",
      "C7: counts from short number-leading lines of the unit's own text.",
-     ("comments", lambda: H.line_counts()[0]), ("shares", lambda: H.line_counts()[1]))
+     ("comments", lambda: H.line_counts(H.SHARED)[0]), ("shares", lambda: H.line_counts(H.SHARED)[1]))
 _one("anchored_counts", f"{COMMENTS} AS comments, {SHARES} AS shares", "C8: whole-node count texts ('8 comments'), nested replies excluded.",
-     ("comments", lambda: H.anchored_counts()[0]), ("shares", lambda: H.anchored_counts()[1]))
+     ("comments", lambda: H.anchored_counts(H.SHARED)[0]), ("shares", lambda: H.anchored_counts(H.SHARED)[1]))
 _one("engagement_fallback", f"{COMMENTS} AS comments, {SHARES} AS shares", "C9: anchored counts with the line parser as per-field fallback.",
-     ("comments", lambda: H.engagement_counts()[0]), ("shares", lambda: H.engagement_counts()[1]))
+     ("comments", lambda: H.engagement_counts(H.SHARED)[0]), ("shares", lambda: H.engagement_counts(H.SHARED)[1]))
 _one("reaction_label", f"CASE WHEN what = 'article' AND u % 2 = 1 THEN '' ELSE {LIKES} END AS likes, {LIKES} AS likes_or_hidden",
      "C10: reaction count from like/react labels, and with the hidden bare number as fallback.",
-     ("likes", lambda: H.reaction_count()), ("likes_or_hidden", lambda: H.reaction_count(fallback=True)))
+     ("likes", lambda: H.reaction_count(H.SHARED)), ("likes_or_hidden", lambda: H.reaction_count(H.SHARED, fallback=True)))
 _one("author_from_links", f"{MEMBER} AS author, CASE WHEN full_ AND u % 2 = 1 THEN {MEMBER} ELSE '' END AS article_author", "C13: author from profile name, heading or named link.",
-     ("author", lambda: H.author_from_links()), ("article_author", lambda: H.article_author()))
+     ("author", lambda: H.author_from_links(H.SHARED)), ("article_author", lambda: H.article_author()))
 _one("permalink", f"{URL} AS url", "C17: permalink choice (clean link, first comment link with a base or id).",
      ("url", lambda: H.permalink(F.col("html"), DEFAULT_GROUP_ID)))
 _one("time_label", f'{TIME} AS "timestamp"', "C18: visible time label of the post link.", ("timestamp", lambda: H.time_label(F.col("html"))))
 _one("image_urls", f"{IMAGE} AS images", "C19: kept image URLs in order, distinct.", ("images", lambda: F.array_join(H.image_urls(F.col("html")), "|")))
-_one("body_text", f"{BODY} AS text", "C20: body text of a unit (block, span, message or whole text).", ("text", lambda: H.body_text()))
+_one("body_text", f"{BODY} AS text", "C20: body text of a unit (block, span, message or whole text).", ("text", lambda: H.body_text(H.SHARED)))
 _one("post_or_comment", "NOT coalesce(lk IN (0, 2), false) AS is_comment", "C21: post-vs-comment classification.", ("is_comment", lambda: H.is_comment(F.col("html"))))
 
 
