@@ -48,3 +48,12 @@ def test_large_ancestors(spark):
     got = {r["page_id"]: r["l"]["html"] for r in p.select("page_id", F.explode(F.expr(H.post_links())).alias("l")).collect()}
     level = {k: v and int(v[v.index('id="') + 4]) + 1 for k, v in got.items()}
     assert level == {0: None, 1: 4, 2: 6, 3: None, 4: None, 5: 4, 6: 4}
+
+
+def test_the_query_counts_links_without_a_container(spark, tmpdir_path):
+    """Pages with page_id % 5 = 4 hold a link alone; each gives a row of strategy 1."""
+    from threadsift.plans import catalog_pages as CP
+    rows = [(i, f"https://example.org/{i}", "<p>page</p>") for i in range(10)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmpdir_path}/pages.parquet")
+    got = {(r["page_id"], r["key"]) for r in CP.strategy_union(spark, tmpdir_path).filter("strategy = 1").collect()}
+    assert {(4, POST + "40/"), (9, POST + "90/")} <= got

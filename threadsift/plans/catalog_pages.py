@@ -115,12 +115,12 @@ def page_posts(spark, sf):
 
 @register("strategy_union", f"""{WITH}, {POSTS}, {CLEAN_LINKS},
 nf AS (SELECT page_id FROM pages WHERE page_id NOT IN (SELECT page_id FROM un WHERE what = 'post')),
-ln AS (SELECT page_id, u, CAST(row_number() OVER (PARTITION BY page_id ORDER BY u) - 1 AS INTEGER) AS unit_pos FROM cl JOIN nf USING (page_id) WHERE page_id % 5 <> 4),
+ln AS (SELECT page_id, u, CAST(row_number() OVER (PARTITION BY page_id ORDER BY u) - 1 AS INTEGER) AS unit_pos FROM cl JOIN nf USING (page_id)),
 c AS (SELECT CASE WHEN what = 'post' THEN 0 ELSE 2 END AS strategy, page_id, unit_pos, {G.dedup_key('url', 'text')} AS key FROM po WHERE what = 'post' OR (what = 'article' AND lk IN (0, 2))
   UNION ALL SELECT 1, page_id, unit_pos, {POST_URL} FROM ln)
 SELECT key, strategy, page_id, unit_pos FROM c QUALIFY row_number() OVER (PARTITION BY key ORDER BY strategy, page_id, unit_pos) = 1""")
 def strategy_union(spark, sf):
     """E5: priority union of feed units, link-found posts (only for pages without feed units)
-    and the article supplement without comments; first strategy wins per key.  A link
-    without a container (the pages with page_id % 5 = 4) gives no post."""
-    return PG.strategy_union(decorated_pages(spark, sf), units(spark, sf)).select("key", "strategy", "page_id", "unit_pos")
+    and the article supplement without comments; first strategy wins per key.  A link without a
+    container (the pages with page_id % 5 = 4) counts with its URL alone."""
+    return PG.strategy_union(decorated_pages(spark, sf), units(spark, sf), bare_links=True).select("key", "strategy", "page_id", "unit_pos")
