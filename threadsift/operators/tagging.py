@@ -2,7 +2,7 @@
 
 Two plans give equal results; the caller chooses:
 
-* **array plan** (``tag``, ``classify``): the lexicon is a literal inside the expression;
+* **array plan** (``tag``, ``classify``): the lexicon is part of the function that counts its keywords;
   one narrow projection, no shuffle.
 * **join plan** (``tag_join``, ``classify_join``): the lexicon is a table, met by an equi-join on
   the three-character piece of each keyword that is rarest in the corpus; no limit on the keywords, no cross join.
@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from threadsift.functions import lexicon as LX
+from threadsift.functions.keywords import counts, held
 from threadsift.lexicons import Lexicon
 
 PIECE = 3
@@ -33,20 +34,26 @@ def classify(df: DataFrame, lex: Lexicon, text: str = "text", out: str = "label"
 
 def classify_many(df: DataFrame, lexicons: dict[str, Lexicon], text: str = "text", low: str | None = None,
                   score_cols: dict[str, str] | None = None) -> DataFrame:
-    """Several best-label columns in one pass.
-
-    The per-dimension ``best`` structs are their own projection (each read
-    twice below), so Catalyst keeps them as one evaluated value instead of
-    duplicating hundreds of keyword tests into every branch.
-    """
+    """Several best-label columns in one pass: the keywords of all lexicons are counted in one walk over a text."""
     if not low:
         df, low = df.withColumn("__low", F.lower(F.col(text))), "__low"
-    tmp = {f"__best_{o}": LX.best_struct(low, lx) for o, lx in lexicons.items()}
-    r = df.withColumns(tmp)
+    r = df.withColumn("__hits", counts(F.col(low), [ks for lx in lexicons.values() for ks in LX.keyword_lists(lx)]))
+    return labels_at(r, "__hits", 0, lexicons, text, score_cols).drop("__hits", "__low")
+
+
+def labels_at(df: DataFrame, hits: str, start: int, lexicons: dict[str, Lexicon], text: str = "text",
+              score_cols: dict[str, str] | None = None) -> DataFrame:
+    """``classify_many`` from a column of the counts of all ``keyword_lists``, which begin at ``start``.
+
+    The ``best`` structs are their own projection (each is read twice below), so Catalyst keeps them as one value."""
+    tmp = {}
+    for o, lx in lexicons.items():
+        tmp[f"__best_{o}"] = LX.best_at(F.col(hits), start, lx)
+        start += len(LX.keyword_lists(lx))
     outs = {o: LX.label_of(F.col(f"__best_{o}"), F.col(text), lx) for o, lx in lexicons.items()}
     for o, sc in (score_cols or {}).items():
         outs[sc] = LX.score_of(F.col(f"__best_{o}"), F.col(text))
-    return r.withColumns(outs).drop(*tmp, "__low")
+    return df.withColumns(tmp).withColumns(outs).drop(*tmp)
 
 
 def keep_tagged(df: DataFrame, col: str = "tags") -> DataFrame:
@@ -54,15 +61,11 @@ def keep_tagged(df: DataFrame, col: str = "tags") -> DataFrame:
     return df.filter(F.size(col) > 0)
 
 
-def _pieces(low: str) -> Column:
-    """The distinct three-character pieces of a lower-cased text, in one walk over it."""
-    return F.array_distinct(F.regexp_extract_all(F.col(low), F.lit(f"(?s)(?=({'.' * PIECE}))"), F.lit(1)))
-
-
 def piece_counts(texts: DataFrame, low: str, pieces: list[str]) -> dict[str, int]:
-    """About how many texts hold each of ``pieces``, from one count-min sketch over all texts: some hundred
-    kB, whatever the corpus and however many pieces there are.  Counts are never too low."""
-    row = texts.select(F.explode(_pieces(low)).alias("p")).agg(F.count_min_sketch(F.col("p"), F.lit(SKETCH_ERROR), F.lit(0.99), F.lit(7)).alias("s")).first()
+    """About how many texts hold each of ``pieces``, from one count-min sketch over the pieces asked for in all texts:
+    some hundred kB, whatever the corpus and however many pieces there are.  Counts are never too low."""
+    row = (texts.select(held(F.col(low), pieces).alias("p")).select(F.explode("p").alias("p"))
+           .agg(F.count_min_sketch(F.col("p"), F.lit(SKETCH_ERROR), F.lit(0.99), F.lit(7)).alias("s")).first())
     if row is None or row["s"] is None:
         return dict.fromkeys(pieces, 0)
     sketch = texts.sparkSession._jvm.org.apache.spark.util.sketch.CountMinSketch.readFrom(bytes(row["s"]))
@@ -93,10 +96,10 @@ def _matches(df: DataFrame, row: str, text: str, lex: Lexicon) -> DataFrame:
         keyed = [(r[1], r[2], r[3], r[4]) for r in rows if len(r[4]) >= PIECE]
         rare = rarest_pieces(sorted({r[3] for r in keyed}), p, "_low")
         lt = spark.createDataFrame([(rare[r[3]], *r) for r in keyed], "_p string, category string, cat_rank int, kw_rank int, keyword string")
-        near = (p.select("_k", F.explode(_pieces("_low")).alias("_p")).join(lt, "_p").groupBy("_k")
+        near = (p.select("_k", held(F.col("_low"), list(rare.values())).alias("_p")).select("_k", F.explode("_p").alias("_p")).join(lt, "_p").groupBy("_k")
                 .agg(F.collect_list(F.struct("category", "cat_rank", "kw_rank", "keyword")).alias("c")))
-        held = F.filter("c", lambda x: F.contains(F.col("_low"), x["keyword"]))
-        out.append(near.join(p.select("_k", "_low"), "_k").select("_k", F.inline(held)).select("_k", "category", "cat_rank", "kw_rank"))
+        whole = F.filter("c", lambda x: F.contains(F.col("_low"), x["keyword"]))
+        out.append(near.join(p.select("_k", "_low"), "_k").select("_k", F.inline(whole)).select("_k", "category", "cat_rank", "kw_rank"))
     if literal:
         hits = F.array(*[F.when(F.col("_t").rlike("(?iu)" + r[4]) if lex.is_regex else F.col("_low").contains(r[4]),
                                 F.struct(F.lit(r[1]).alias("category"), F.lit(r[2]).alias("cat_rank"), F.lit(r[3]).alias("kw_rank"))) for r in literal])

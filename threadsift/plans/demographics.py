@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from threadsift import lexicons as L
 from threadsift.functions import lexicon as LX
 from threadsift.functions import scoring as SC
+from threadsift.functions.keywords import counts
 from threadsift.functions.numbers import parse_count
 from threadsift.operators import tagging as TG
 from threadsift.schema import DEFAULTS_PROFILE
@@ -53,15 +54,19 @@ def label_posts(posts: DataFrame, dimensions: dict[str, L.Lexicon] | None = None
 
     ``dimensions`` replaces the lexicons of the labels that it names, the others their list; give ``profiles`` the same ones."""
     dims = _dimensions(dimensions)
-    p = with_defaults(posts, DEFAULTS_PROFILE).withColumn("_low", F.lower("text"))
-    p = TG.classify_many(p, {**dims, "_budget_kw": budget}, low="_low")
+    labels = {**dims, "_budget_kw": budget}
+    lists = [LX.keyword_lists(lx) for lx in (*labels.values(), pains, tools)]
+    at_tools = sum(map(len, lists[:-1]))
+    # one walk over a text counts the keywords of all lexicons
+    p = with_defaults(posts, DEFAULTS_PROFILE).withColumn("_hits", counts(F.lower("text"), [ks for one in lists for ks in one]))
+    p = TG.labels_at(p, "_hits", 0, labels)
     return p.select(
         "seq", "author", "text", "timestamp",
         (parse_count(F.col("likes"), "digits") + parse_count(F.col("comments"), "digits")).alias("engagement"),
         *dims,
         F.coalesce(LX.budget_amount_range(F.col("text")), F.col("_budget_kw")).alias("budget_range"),
-        LX.tags("text", pains, "_low").alias("pain_points"),
-        LX.tags("text", tools, "_low").alias("tool_preferences"),
+        LX.tags_at(F.col("_hits"), at_tools - len(lists[-2]), "text", pains).alias("pain_points"),
+        LX.tags_at(F.col("_hits"), at_tools, "text", tools).alias("tool_preferences"),
     )
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from threadsift import lexicons as L
 from threadsift.functions import lexicon as LX
+from threadsift.functions.keywords import counts
 from threadsift.functions.numbers import parse_count
 from threadsift.functions.text import preview
 from threadsift.operators import tagging as TG
@@ -36,18 +37,20 @@ def analyze(posts: DataFrame, lex: L.Lexicon | None = None, keep_untagged: bool
     """
     lex = lex or L.pain_lexicon()
     seg = L.segment_lexicon()
-    p = with_defaults(posts, DEFAULTS_PAIN).filter(F.col("text") != "").withColumn("_low", F.lower("text"))
-    p = p.withColumn("pain_points", LX.tags("text", lex, "_low"))
+    lists = [LX.keyword_lists(lex), LX.keyword_lists(seg), [L.URGENCY_KEYWORDS, L.SEVERITY_KEYWORDS]]
+    # one walk over a text counts the keywords of all lexicons
+    p = with_defaults(posts, DEFAULTS_PAIN).filter(F.col("text") != "").withColumn("_hits", counts(F.lower("text"), [ks for one in lists for ks in one]))
+    p = p.withColumn("pain_points", LX.tags_at(F.col("_hits"), 0, "text", lex))
     if not keep_untagged:
         p = p.filter(F.size("pain_points") > 0)
-    p = TG.classify(p, seg, out="segment", low="_low")
+    p = TG.labels_at(p, "_hits", len(lists[0]), {"segment": seg})
     likes, comments, shares = (parse_count(F.col(c), "strict") for c in ("likes", "comments", "shares"))
     return p.select(
         "seq",
         preview(F.col("text"), 200).alias("text"),
         "pain_points",
-        LX.severity("_low", L.URGENCY_KEYWORDS, L.SEVERITY_KEYWORDS, L.SEVERITY_BASE,
-                    L.SEVERITY_URGENCY_W, L.SEVERITY_SEVERITY_W, L.SEVERITY_CAP).alias("severity"),
+        LX.severity_at(F.col("_hits"), len(lists[0]) + len(lists[1]), L.SEVERITY_BASE,
+                       L.SEVERITY_URGENCY_W, L.SEVERITY_SEVERITY_W, L.SEVERITY_CAP).alias("severity"),
         F.col("segment"),
         likes.alias("likes"), comments.alias("comments"), shares.alias("shares"),
         (likes + comments + shares).alias("total_engagement"),
