@@ -82,3 +82,39 @@ def test_observed_counts_equal_the_stored_rows(spark):
     seen = {r["round"]: r["new_posts"] for r in spark.read.parquet(metrics).collect()}
     stored = {r["batch"]: r["count"] for r in spark.read.parquet(sink).groupBy("batch").count().collect()}
     assert seen == {b: stored.get(b, 0) for b in seen} and sum(seen.values()) == 50 and min(seen.values()) == 0
+
+
+def test_rounds_by_file_equal_one_file_a_batch(spark, tmpdir_path):
+    """Two files a trigger, their rounds told apart; a file of malformed lines and a repeat are idle rounds."""
+    d = os.path.join(tmpdir_path, "land")
+    os.makedirs(d)
+    for i, part in enumerate([range(0, 5), range(3, 9), range(0, 4), None, range(8, 10)]):
+        lines = ["not json"] if part is None else [json.dumps({"index": j, "text": f"text number {j}", "url": f"https://example.org/groups/1/posts/{j}/"}) for j in part]
+        name = os.path.join(d, f"{9 - i}.json")
+        with open(name, "w") as f:
+            f.write("\n".join(lines) + "\n")
+        os.utime(name, (1_700_000_000 + 10 * i,) * 2)
+    got, stored = {}, {}
+    for n, by_file in ((1, False), (2, True), (9, True), (None, True)):
+        sink, ck, metrics = (checkpoint_path(spark, x) for x in ("sink", "ckpt", "metrics"))
+        ING.ingest_anti_join(spark, d, sink, ck, max_files=n, metrics=metrics, by_file=by_file)
+        got[n] = [(r["round"], r["new_posts"]) for r in spark.read.parquet(metrics).orderBy("round").collect()]
+        stored[n] = sorted(r["dedup_key"] for r in spark.read.parquet(sink).collect())
+    assert got[1] == [(0, 5), (1, 4), (2, 0), (3, 0), (4, 1)]
+    assert got[2] == got[9] == got[None] == got[1] and stored[2] == stored[9] == stored[None] == stored[1]
+
+
+def test_triggers_take_many_files(spark, tmpdir_path, monkeypatch):
+    """The live queries do not pay for a trigger per landing file."""
+    asked = []
+    plain = ING.landing_stream
+
+    def seen(spark, landing, max_files=None, **k):
+        asked.append(max_files)
+        return plain(spark, landing, max_files, **k)
+    monkeypatch.setattr(ING, "landing_stream", seen)
+    rounds = CS.stream_progress(spark, SF_SMALL).collect()
+    CS.stream_tag_counts(spark, SF_SMALL).collect()
+    assert min(asked) >= 16
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").count()
+    assert len(rounds) >= 2 and rounds[-1]["idle_run"] > 0 and sum(r["new_posts"] for r in rounds) <= docs
