@@ -67,31 +67,10 @@ class Finder:
         return row[here], word[here]
 
 
-def counts(low: Column, lists: list[list[str]]) -> Column:
-    """For each of ``lists`` the number of its keywords (a bag: duplicates count) that the text contains; null for null.
+def held(low: Column, words: list[str]) -> Column:
+    """Those of ``words`` that the text contains, each once; null for null.
 
     Marked as not deterministic, so that Spark evaluates it once where a filter on its result follows."""
-    words = sorted({w for ws in lists for w in ws})
-    number = {w: i for i, w in enumerate(words)}
-    finder, weight = Finder(words), np.zeros((len(words), len(lists)), np.int32)
-    for j, ws in enumerate(lists):
-        for w in ws:
-            weight[number[w], j] += 1
-
-    def run(texts: pa.Array) -> pa.Array:
-        row, word = finder.pairs(texts)
-        out = np.zeros((len(texts), weight.shape[1]), np.int32)
-        if len(row):
-            starts = np.flatnonzero(np.diff(row, prepend=-1))
-            out[row[starts]] = np.add.reduceat(weight[word], starts, axis=0)
-        ends = np.arange(len(texts) + 1) * weight.shape[1]
-        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(out.ravel()), mask=texts.is_null() if len(texts) else None)
-
-    return F.arrow_udf(run, "array<int>").asNondeterministic()(low)
-
-
-def held(low: Column, words: list[str]) -> Column:
-    """Those of ``words`` that the text contains, each once; null for null."""
     words = sorted(set(words))
     finder, names = Finder(words), np.array(words, object)
 

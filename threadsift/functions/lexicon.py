@@ -1,18 +1,17 @@
 """Lexicon tagging and classification as column expressions (the "array plan").
 
 A lexicon is a small ordered constant, so matching it is a per-row scalar
-expression: no shuffle and no join.  One Arrow function (``functions.keywords``) counts the
-keywords of all categories in a lower-cased text in one walk; labels, tags and scores are
-expressions over its counts.  Regex categories are one ``rlike`` with the category's
-alternation, run only on texts that hold a word without which it cannot match.  For very large
-lexicons the table form (``operators.tagging.tag_join``) is the alternative plan; both give
-equal results (tested).
+expression: no shuffle, no join, no Python.  Keyword tests are ``contains`` on
+a lower-cased text column (computed once and reused), regex categories are one
+``rlike`` with the category's alternation, run only on texts that hold a word without which it cannot
+match and none that settles it.  For very large lexicons the table
+form (``operators.tagging.tag_join``) is the alternative plan; both give equal
+results (tested).
 """
 
 from __future__ import annotations
 
 import re
-from decimal import Decimal
 from functools import lru_cache, reduce
 from re import _constants as RC
 from re import _parser as RP
@@ -20,7 +19,6 @@ from re import _parser as RP
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from threadsift.functions.keywords import counts
 from threadsift.functions.text import col_
 from threadsift.lexicons import BUDGET_AMOUNT_PATTERN, BUDGET_EDGES, BUDGET_RANGES, Lexicon
 
@@ -106,16 +104,14 @@ def needed(patterns: tuple[str, ...]) -> tuple[list[str], list[str] | None]:
     return sorted(sure), sorted(maybe)
 
 
-def keyword_lists(lex: Lexicon) -> list[list[str]]:
-    """What to count in a text for ``tags_at`` and ``best_at``: a list a category, two for a regex lexicon."""
+def match_sql(text: str, low: str, lex: Lexicon, category: str) -> str:
     if not lex.is_regex:
-        return [lex.keywords(c) for c in lex.categories]
-    return [words or [] for c in lex.categories for words in needed(tuple(lex.keywords(c)))]
-
-
-def _with(hits: Column, build) -> Column:
-    """``build`` of the counts, which are evaluated once."""
-    return F.element_at(F.transform(F.array(hits), build), 1)
+        return any_sql(low, lex.keywords(category))
+    found = f"({text} RLIKE {sql_lit(regex_alternation(lex.keywords(category)))})"
+    sure, maybe = needed(tuple(lex.keywords(category)))
+    if maybe is not None:
+        found = f"({any_sql(low, maybe)} AND {found})"
+    return f"({any_sql(low, sure)} OR {found})" if sure else found
 
 
 def hit_count(low, keywords: list[str]) -> Column:
@@ -132,34 +128,15 @@ def any_hit(low, keywords: list[str]) -> Column:
     return reduce(lambda a, b: a | b, [col_(low).contains(k) for k in keywords])
 
 
-def tags_at(hits: Column, start: int, text: str, lex: Lexicon) -> Column:
-    """``tags`` from the counts of ``keyword_lists(lex)``, which begin at ``start``."""
-    items = []
-    for i, c in enumerate(lex.categories):
-        if lex.is_regex:
-            found = F.col(_name(text)).rlike(regex_alternation(lex.keywords(c)))
-            if needed(tuple(lex.keywords(c)))[1] is not None:
-                found = (hits[start + 2 * i + 1] > 0) & found
-            items.append(F.when(hits[start + 2 * i] > 0, F.lit(c)).when(found, F.lit(c)))
-        else:
-            items.append(F.when(hits[start + i] > 0, F.lit(c)))
-    return F.array_compact(F.array(*items))
-
-
 def tags(text: str, lex: Lexicon, low: str | None = None) -> Column:
     """Ordered array of categories with at least one hit (declared order, each once).
 
-    ``text``/``low`` are column names; ``low`` is the lower-cased text where it is at hand.
+    ``text``/``low`` are column names; ``low`` is the lower-cased text, to be at hand where it is asked often.
     """
-    lw = F.col(_name(low)) if low else F.lower(F.col(_name(text)))
-    return _with(counts(lw, keyword_lists(lex)), lambda h: tags_at(h, 0, text, lex))
-
-
-def best_at(hits: Column, start: int, lex: Lexicon) -> Column:
-    """``best_struct`` from the counts of ``keyword_lists(lex)``, which begin at ``start``."""
-    n = len(lex.categories)
-    return F.array_max(F.array(*[F.struct(hits[start + i].alias("score"), F.lit(n - i).alias("order"), F.lit(c).alias("label"))
-                                 for i, c in enumerate(lex.categories)]))
+    t = _name(text)
+    lw = _name(low) if low else f"lower({t})"
+    items = ", ".join(f"CASE WHEN {match_sql(t, lw, lex, c)} THEN {sql_lit(c)} END" for c in lex.categories)
+    return F.expr(f"array_compact(array({items}))")
 
 
 def best_struct(low: str, lex: Lexicon) -> Column:
@@ -168,9 +145,13 @@ def best_struct(low: str, lex: Lexicon) -> Column:
     The maximum is the highest hit count; among equal counts the earliest
     declared category wins (``order`` = n - position).  Materialise it as its
     own column (``operators.tagging.classify``) before reading score and label
-    from it, so it is evaluated once.
+    from it, so the keyword tests are evaluated once.
     """
-    return _with(counts(F.col(_name(low)), keyword_lists(lex)), lambda h: best_at(h, 0, lex))
+    lw = _name(low)
+    n = len(lex.categories)
+    items = ", ".join(f"named_struct('score', {hits_sql(lw, lex.keywords(c))}, 'order', {n - i}, 'label', {sql_lit(c)})"
+                      for i, c in enumerate(lex.categories))
+    return F.expr(f"array_max(array({items}))")
 
 
 def label_of(best, text, lex: Lexicon) -> Column:
@@ -191,15 +172,10 @@ def confidence(score) -> Column:
     return F.least(col_(score) / F.lit(5.0), F.lit(1.0))
 
 
-def severity_at(hits: Column, start: int, base=3.0, wu=1.5, ws=2.0, cap=10) -> Column:
-    """``severity`` from the counts of the urgency and the severity keywords, which begin at ``start``."""
-    b, u, v = (F.lit(Decimal(str(x))) for x in (base, wu, ws))
-    return F.least(F.floor(b + u * hits[start] + v * hits[start + 1]), F.lit(cap)).cast("int")
-
-
 def severity(low: str, urgency: list[str], severe: list[str], base=3.0, wu=1.5, ws=2.0, cap=10) -> Column:
     """``min(int(base + wu*urgency_hits + ws*severity_hits), cap)`` on the lower-cased text column ``low``."""
-    return _with(counts(F.col(_name(low)), [urgency, severe]), lambda h: severity_at(h, 0, base, wu, ws, cap))
+    lw = _name(low)
+    return F.expr(f"CAST(least(floor({base} + {wu} * {hits_sql(lw, urgency)} + {ws} * {hits_sql(lw, severe)}), {cap}) AS INT)")
 
 
 GROUPED_AMOUNT_PATTERN = r"(\d{1,3}(?:,\d{3})+|\d+)\s*(جنيه|EGP|egp|\$)"

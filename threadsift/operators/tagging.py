@@ -2,7 +2,7 @@
 
 Two plans give equal results; the caller chooses:
 
-* **array plan** (``tag``, ``classify``): the lexicon is part of the function that counts its keywords;
+* **array plan** (``tag``, ``classify``): the lexicon is a literal inside the expression;
   one narrow projection, no shuffle.
 * **join plan** (``tag_join``, ``classify_join``): the lexicon is a table, met by an equi-join on
   the three-character piece of each keyword that is rarest in the corpus; no limit on the keywords, no cross join.
@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from threadsift.functions import lexicon as LX
-from threadsift.functions.keywords import counts, held
+from threadsift.functions.keywords import held
 from threadsift.lexicons import Lexicon
 
 PIECE = 3
@@ -23,7 +23,9 @@ SKETCH_ERROR = 0.0001  # of all pieces counted
 
 
 def tag(df: DataFrame, lex: Lexicon, text: str = "text", out: str = "tags", low: str | None = None) -> DataFrame:
-    return df.withColumn(out, LX.tags(text, lex, low))
+    if low:
+        return df.withColumn(out, LX.tags(text, lex, low))
+    return df.withColumn("__low", F.lower(F.col(text))).withColumn(out, LX.tags(text, lex, "__low")).drop("__low")
 
 
 def classify(df: DataFrame, lex: Lexicon, text: str = "text", out: str = "label", low: str | None = None,
@@ -34,26 +36,20 @@ def classify(df: DataFrame, lex: Lexicon, text: str = "text", out: str = "label"
 
 def classify_many(df: DataFrame, lexicons: dict[str, Lexicon], text: str = "text", low: str | None = None,
                   score_cols: dict[str, str] | None = None) -> DataFrame:
-    """Several best-label columns in one pass: the keywords of all lexicons are counted in one walk over a text."""
+    """Several best-label columns in one pass.
+
+    The per-dimension ``best`` structs are their own projection (each read
+    twice below), so Catalyst keeps them as one evaluated value instead of
+    duplicating hundreds of keyword tests into every branch.
+    """
     if not low:
         df, low = df.withColumn("__low", F.lower(F.col(text))), "__low"
-    r = df.withColumn("__hits", counts(F.col(low), [ks for lx in lexicons.values() for ks in LX.keyword_lists(lx)]))
-    return labels_at(r, "__hits", 0, lexicons, text, score_cols).drop("__hits", "__low")
-
-
-def labels_at(df: DataFrame, hits: str, start: int, lexicons: dict[str, Lexicon], text: str = "text",
-              score_cols: dict[str, str] | None = None) -> DataFrame:
-    """``classify_many`` from a column of the counts of all ``keyword_lists``, which begin at ``start``.
-
-    The ``best`` structs are their own projection (each is read twice below), so Catalyst keeps them as one value."""
-    tmp = {}
-    for o, lx in lexicons.items():
-        tmp[f"__best_{o}"] = LX.best_at(F.col(hits), start, lx)
-        start += len(LX.keyword_lists(lx))
+    tmp = {f"__best_{o}": LX.best_struct(low, lx) for o, lx in lexicons.items()}
+    r = df.withColumns(tmp)
     outs = {o: LX.label_of(F.col(f"__best_{o}"), F.col(text), lx) for o, lx in lexicons.items()}
     for o, sc in (score_cols or {}).items():
         outs[sc] = LX.score_of(F.col(f"__best_{o}"), F.col(text))
-    return df.withColumns(tmp).withColumns(outs).drop(*tmp)
+    return r.withColumns(outs).drop(*tmp, "__low")
 
 
 def keep_tagged(df: DataFrame, col: str = "tags") -> DataFrame:

@@ -219,9 +219,9 @@ SELECT tag, count(*) AS frequency FROM (SELECT unnest({G.tags('text', PROBE)}) A
 def stream_tag_counts(spark, sf):
     """H6: live tag counts over the ingest stream (complete mode)."""
     landing = land_posts(spark, sf)
-    s = ING.landing_stream(spark, landing, FILES_PER_TRIGGER).filter(F.coalesce("text", F.lit("")) != "")
+    s = ING.landing_stream(spark, landing, FILES_PER_TRIGGER).filter(F.coalesce("text", F.lit("")) != "").withColumn("_low", F.lower("text"))
     sink, ck = checkpoint_path(spark, "tags"), checkpoint_path(spark, "ckpt")
-    ING.live_tag_counts(spark, s, LX.tags("text", PROBE), sink, ck)
+    ING.live_tag_counts(spark, s, LX.tags("text", PROBE, "_low"), sink, ck)
     return ING.live_counts(spark, sink)
 
 
