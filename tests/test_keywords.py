@@ -52,3 +52,36 @@ def test_patterns_are_run_on_few_texts():
     assert "developer" in sure and "cto" in sure and {"founder", "software"} <= set(maybe)
     assert LX.needed((r"(?i)x",)) == ([], None) and LX.needed(("a?b*",)) == ([], None)
     assert all(LX.needed(tuple(L.pain_lexicon().keywords(c)))[1] is not None for c in L.pain_lexicon().categories)
+
+
+WORDS = ["store", "online store", "stores", "tor", "ai", "a", "متجر", "تجر", "متجر الكتروني", "c++", "[x]", "\\d+ egp", "ß", "😀b", "x" * 70, "x" * 64 + "y", "", "two\nlines"]
+
+
+def test_found_words_are_those_that_contains_finds(spark):
+    """One pass lists the words of a text: overlapping, one within the other, of signs, beyond the length that the pattern reads."""
+    texts = [" ".join(WORDS), "online stores", "on line store", "storestor", "متجر الكترون", "c+", "[x", "12 egp \\d+ egp", "x" * 200, "x" * 66 + "y",
+             "a\nb\nstore", "two lines", "two\nlines", "😀", "a😀b", "", None, "qqq"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, low string").withColumn("f", LX.found_words("low", WORDS))
+    got = df.select("low", "f", *[F.expr(LX.has_sql("`low`", w, "`f`")).alias(f"w{k}") for k, w in enumerate(WORDS)]).collect()
+    for r in got:
+        assert [r[f"w{k}"] for k in range(len(WORDS))] == [None if r.low is None else w in r.low for w in WORDS], r.low
+    # what is asked further is no longer than the words that stand in the text, however long that is
+    assert max(len(r.f) for r in got if r.low and r.low not in (texts[0],)) < 200
+    many = [a + b + c for a in "abcdefgh" for b in "ijklmnop" for c in "qrstuvwx"]
+    row = spark.createDataFrame([("aiq bjr hpx" + "z" * 1000,)], "low string").select(LX.found_words("low", many).alias("f"), LX.found_words("low", []).alias("none")).first()
+    assert row.f.split(LX.MARK) == ["", "aiq", "bjr", "hpx"] and row.none == LX.MARK
+
+
+def test_labels_of_posts_read_the_text_once(spark):
+    """The keywords of all lexicons are looked for in the listed words, not one by one in the text."""
+    from threadsift.plans import demographics as DM
+    words = sorted(LX.asked_words(*DM.DIMENSIONS.values(), DM.BUDGET, DM.PAINS, DM.TOOLS))
+    rows = [(i, f"{a} {i}{b}{c.upper()}", "u", "1", "2") for i, (a, b, c) in enumerate(zip(words, words[7:] + words[:7], words[100:] + words[:100]))]
+    posts = spark.createDataFrame(rows + [(9000, "", "u", "", ""), (9001, None, None, None, None)], "seq long, text string, author string, likes string, comments string").withColumn("timestamp", F.lit(""))
+    got = DM.label_posts(posts)
+    low = posts.withColumn("text", F.coalesce("text", F.lit(""))).withColumn("low", F.lower("text"))
+    want = low.select("seq", *[LX.label_of(LX.best_struct("low", x), "text", x).alias(c) for c, x in DM.DIMENSIONS.items()],
+                      LX.tags("text", DM.PAINS, "low").alias("pain_points"), LX.tags("text", DM.TOOLS, "low").alias("tool_preferences"))
+    assert {r.seq: r for r in got.select(want.columns).collect()} == {r.seq: r for r in want.collect()}
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") == 1 and "Contains(_low" not in plan and "contains(_low" not in plan.lower()

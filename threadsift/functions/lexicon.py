@@ -4,7 +4,8 @@ A lexicon is a small ordered constant, so matching it is a per-row scalar
 expression: no shuffle, no join, no Python.  Keyword tests are ``contains`` on
 a lower-cased text column (computed once and reused), regex categories are one
 ``rlike`` with the category's alternation, run only on texts that hold a word without which it cannot
-match and none that settles it.  For very large lexicons the table
+match and none that settles it.  Where many lexicons ask the same text, one pass of one pattern lists the
+words that stand in it (``found_words``) and the tests read that short list.  For very large lexicons the table
 form (``operators.tagging.tag_join``) is the alternative plan; both give equal
 results (tested).
 """
@@ -12,7 +13,10 @@ results (tested).
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 from functools import lru_cache, reduce
+from itertools import groupby
+from os.path import commonprefix
 from re import _constants as RC
 from re import _parser as RP
 
@@ -45,14 +49,67 @@ def _name(c) -> str:
     raise TypeError("SQL-text lexicon builders take column names")
 
 
-def hits_sql(low: str, keywords: list[str]) -> str:
+MARK = "\n"  # stands before each word of ``found_words``
+LONGEST = 64  # characters of a word that the pattern reads
+FEW = 6  # alternatives tried one by one
+
+
+def _longest(words: list[str]) -> str:
+    """A pattern for the longest of ``words`` (sorted, distinct) that stands at a place.  Words share their beginnings, and
+    among many next characters half are ruled out at a time."""
+    end = words[0] == ""
+    rest = words[1:] if end else words
+    if not rest:
+        return ""
+    size = len(commonprefix(rest))
+    if size:
+        body = _escape(rest[0][:size]) + _longest([w[size:] for w in rest])
+    else:
+        body = _either([(c, list(ws)) for c, ws in groupby(rest, lambda w: w[0])])
+    return f"(?:{body})?" if end else body
+
+
+def _either(branches: list[tuple[str, list[str]]]) -> str:
+    if len(branches) <= FEW:
+        return "(?:" + "|".join(_longest(ws) for _, ws in branches) + ")"
+    cut = len(branches) // 2
+    return "(?:" + "|".join(f"(?=[{_escape(half[0][0])}-{_escape(half[-1][0])}]){_either(half)}" for half in (branches[:cut], branches[cut:])) + ")"
+
+
+def _escape(text: str) -> str:
+    return "".join(c if c.isalnum() else f"\\x{{{ord(c):x}}}" for c in text)
+
+
+def found_words(low: str, words: Iterable[str]) -> Column:
+    """The ``words`` that stand in the lower-cased column ``low``, by the longest one at each place: each once, with MARK before it.
+
+    A word of ``words`` without MARK stands in the text exactly where MARK and the word stand in this string (of a word of
+    more than LONGEST characters its beginning does).  Materialise it as a column of its own."""
+    ws = sorted({w[:LONGEST] for w in words if w and MARK not in w})
+    if not ws:
+        return F.expr(f"IF({_name(low)} IS NULL, NULL, {sql_lit(MARK)})")
+    # a lookahead takes no characters, so words that overlap are all found
+    found = f"regexp_extract_all({_name(low)}, {sql_lit(f'(?=({_longest(ws)}))')}, 1)"
+    return F.expr(f"concat({sql_lit(MARK)}, array_join(array_distinct({found}), {sql_lit(MARK)}))")
+
+
+def has_sql(low: str, word: str, found: str | None = None) -> str:
+    """Whether the text ``low`` contains ``word``; ``found``: its ``found_words`` of words among which this one is."""
+    plain = f"contains({low}, {sql_lit(word)})"
+    if not found or not word or MARK in word:
+        return plain
+    listed = f"contains({found}, {sql_lit(MARK + word[:LONGEST])})"
+    return listed if len(word) <= LONGEST else f"({listed} AND {plain})"
+
+
+def hits_sql(low: str, keywords: list[str], found: str | None = None) -> str:
     if not keywords:
         return "0"
-    return "(" + " + ".join(f"CAST(contains({low}, {sql_lit(k)}) AS INT)" for k in keywords) + ")"
+    return "(" + " + ".join(f"CAST({has_sql(low, k, found)} AS INT)" for k in keywords) + ")"
 
 
-def any_sql(low: str, keywords: list[str]) -> str:
-    return "(" + " OR ".join(f"contains({low}, {sql_lit(k)})" for k in keywords) + ")"
+def any_sql(low: str, keywords: list[str], found: str | None = None) -> str:
+    return "(" + " OR ".join(has_sql(low, k, found) for k in keywords) + ")"
 
 
 GAP = "\0"  # stands for a part of a pattern that is no fixed text
@@ -104,14 +161,24 @@ def needed(patterns: tuple[str, ...]) -> tuple[list[str], list[str] | None]:
     return sorted(sure), sorted(maybe)
 
 
-def match_sql(text: str, low: str, lex: Lexicon, category: str) -> str:
+def match_sql(text: str, low: str, lex: Lexicon, category: str, found: str | None = None) -> str:
     if not lex.is_regex:
-        return any_sql(low, lex.keywords(category))
-    found = f"({text} RLIKE {sql_lit(regex_alternation(lex.keywords(category)))})"
+        return any_sql(low, lex.keywords(category), found)
+    match = f"({text} RLIKE {sql_lit(regex_alternation(lex.keywords(category)))})"
     sure, maybe = needed(tuple(lex.keywords(category)))
     if maybe is not None:
-        found = f"({any_sql(low, maybe)} AND {found})"
-    return f"({any_sql(low, sure)} OR {found})" if sure else found
+        match = f"({any_sql(low, maybe, found)} AND {match})"
+    return f"({any_sql(low, sure, found)} OR {match})" if sure else match
+
+
+def asked_words(*lexicons: Lexicon) -> set[str]:
+    """The words that ``tags`` and ``best_struct`` ask a text for."""
+    out: set[str] = set()
+    for lex in lexicons:
+        for c in lex.categories:
+            sure, maybe = needed(tuple(lex.keywords(c))) if lex.is_regex else (lex.keywords(c), None)
+            out.update(sure, maybe or [])
+    return out
 
 
 def hit_count(low, keywords: list[str]) -> Column:
@@ -128,18 +195,20 @@ def any_hit(low, keywords: list[str]) -> Column:
     return reduce(lambda a, b: a | b, [col_(low).contains(k) for k in keywords])
 
 
-def tags(text: str, lex: Lexicon, low: str | None = None) -> Column:
+def tags(text: str, lex: Lexicon, low: str | None = None, found: str | None = None) -> Column:
     """Ordered array of categories with at least one hit (declared order, each once).
 
-    ``text``/``low`` are column names; ``low`` is the lower-cased text, to be at hand where it is asked often.
+    ``text``/``low`` are column names; ``low`` is the lower-cased text, to be at hand where it is asked often,
+    ``found`` the ``found_words`` of the lexicon's ``asked_words`` (and others).
     """
     t = _name(text)
     lw = _name(low) if low else f"lower({t})"
-    items = ", ".join(f"CASE WHEN {match_sql(t, lw, lex, c)} THEN {sql_lit(c)} END" for c in lex.categories)
+    fd = _name(found) if found else None
+    items = ", ".join(f"CASE WHEN {match_sql(t, lw, lex, c, fd)} THEN {sql_lit(c)} END" for c in lex.categories)
     return F.expr(f"array_compact(array({items}))")
 
 
-def best_struct(low: str, lex: Lexicon) -> Column:
+def best_struct(low: str, lex: Lexicon, found: str | None = None) -> Column:
     """D3 core: ``array_max`` of ``struct(score, order, label)`` over the categories.
 
     The maximum is the highest hit count; among equal counts the earliest
@@ -148,8 +217,9 @@ def best_struct(low: str, lex: Lexicon) -> Column:
     from it, so the keyword tests are evaluated once.
     """
     lw = _name(low)
+    fd = _name(found) if found else None
     n = len(lex.categories)
-    items = ", ".join(f"named_struct('score', {hits_sql(lw, lex.keywords(c))}, 'order', {n - i}, 'label', {sql_lit(c)})"
+    items = ", ".join(f"named_struct('score', {hits_sql(lw, lex.keywords(c), fd)}, 'order', {n - i}, 'label', {sql_lit(c)})"
                       for i, c in enumerate(lex.categories))
     return F.expr(f"array_max(array({items}))")
 

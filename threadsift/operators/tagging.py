@@ -35,8 +35,8 @@ def classify(df: DataFrame, lex: Lexicon, text: str = "text", out: str = "label"
 
 
 def classify_many(df: DataFrame, lexicons: dict[str, Lexicon], text: str = "text", low: str | None = None,
-                  score_cols: dict[str, str] | None = None) -> DataFrame:
-    """Several best-label columns in one pass.
+                  score_cols: dict[str, str] | None = None, found: str | None = None) -> DataFrame:
+    """Several best-label columns in one pass.  ``found`` names a column of ``LX.found_words`` of all their words.
 
     The per-dimension ``best`` structs are their own projection (each read
     twice below), so Catalyst keeps them as one evaluated value instead of
@@ -44,7 +44,7 @@ def classify_many(df: DataFrame, lexicons: dict[str, Lexicon], text: str = "text
     """
     if not low:
         df, low = df.withColumn("__low", F.lower(F.col(text))), "__low"
-    tmp = {f"__best_{o}": LX.best_struct(low, lx) for o, lx in lexicons.items()}
+    tmp = {f"__best_{o}": LX.best_struct(low, lx, found) for o, lx in lexicons.items()}
     r = df.withColumns(tmp)
     outs = {o: LX.label_of(F.col(f"__best_{o}"), F.col(text), lx) for o, lx in lexicons.items()}
     for o, sc in (score_cols or {}).items():

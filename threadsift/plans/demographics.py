@@ -3,7 +3,7 @@ author, score readiness, and derive the statistics bundle.
 
 Scale notes
 -----------
-* Per-post labelling is one narrow projection (no shuffle).
+* Per-post labelling is one narrow projection (no shuffle); the words of all lexicons are listed in one pass over a text.
 * ``profiles`` is a single ``groupBy(author)`` whose aggregates all have
   fixed-width buffers: labels travel as small integer indexes
   (``min_by(idx, seq)``) and the ordered tag sets as one ``min(seq)`` per
@@ -54,14 +54,15 @@ def label_posts(posts: DataFrame, dimensions: dict[str, L.Lexicon] | None = None
     ``dimensions`` replaces the lexicons of the labels that it names, the others their list; give ``profiles`` the same ones."""
     dims = _dimensions(dimensions)
     p = with_defaults(posts, DEFAULTS_PROFILE).withColumn("_low", F.lower("text"))
-    p = TG.classify_many(p, {**dims, "_budget_kw": budget}, low="_low")
+    p = p.withColumn("_found", LX.found_words("_low", LX.asked_words(*dims.values(), budget, pains, tools)))
+    p = TG.classify_many(p, {**dims, "_budget_kw": budget}, low="_low", found="_found")
     return p.select(
         "seq", "author", "text", "timestamp",
         (parse_count(F.col("likes"), "digits") + parse_count(F.col("comments"), "digits")).alias("engagement"),
         *dims,
         F.coalesce(LX.budget_amount_range(F.col("text")), F.col("_budget_kw")).alias("budget_range"),
-        LX.tags("text", pains, "_low").alias("pain_points"),
-        LX.tags("text", tools, "_low").alias("tool_preferences"),
+        LX.tags("text", pains, "_low", "_found").alias("pain_points"),
+        LX.tags("text", tools, "_low", "_found").alias("tool_preferences"),
     )
 
 
