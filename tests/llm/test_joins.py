@@ -67,3 +67,18 @@ def test_edges(make):
     assert jj.linked_groups(make([])).count() == 0
     two = make([(1, "a b c d e f", "en", "s"), (1, "u v w x y z", "en", "s"), (2, "A b c d e f", "en", "s"), (3, "u v w x y z", "en", "s")])
     assert {r["component_id"] for r in jj.linked_groups(two).collect()} == {1}
+
+
+def test_first_of_a_cluster_meets_every_block(make, monkeypatch):
+    """A cluster of several blocks; the smallest id has two texts, and each ties members of its own; sets are stored for open clusters only."""
+    monkeypatch.setattr(jj, "BLOCK", 4)
+    stored = []
+    items = jj._items
+    monkeypatch.setattr(jj, "_items", lambda docs, ids, w: stored.append(ids.count()) or items(docs, ids, w))
+    one, two = " ".join(f"a{i}" for i in range(60)), " ".join(f"b{i}" for i in range(60))
+    rows = [(5, one, "en", "s"), (5, two, "en", "s")]
+    rows += [(10 + i, f"{one if i % 2 else two} end{i}", "en", "s") for i in range(30)]
+    rows += [(100, one.replace("a30", "zz"), "en", "s")]  # three of 58 shingles changed
+    got = {r["doc_id"]: r["component_id"] for r in jj.linked_groups(make(rows)).collect()}
+    assert got == {5: 5, **{10 + i: 5 for i in range(30)}, 100: 5}
+    assert stored == [0]

@@ -17,8 +17,9 @@ weigh on the speed and never on the result.
 3. Buckets that still hold several clusters are compared inside tasks in blocks of ``BLOCK`` members,
    across clusters only, by the same tests.  Now every pair that passes all filters has both ends in
    one cluster, and every document stands in one cluster only: full sets move once a block.
-4. Within a cluster, sets are compared in full: first each with the cluster's smallest id, then, where
-   that leaves several components, across components in blocks; pairs that fail a filter are skipped.
+4. Within a cluster, sets are compared in full: first each with the cluster's smallest id, which goes to
+   every block of members, so that a set moves once and is not stored; then, where that leaves several
+   components, across components in blocks.
 
 What leaves a task is linear in its members (an edge that joins two groups makes them one from then
 on), and no pair in a common bucket goes unchecked.
@@ -36,8 +37,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from threadsift.llm.setsketch import _items, _linked, _verified, components, sets_of
-from threadsift.llm.text import column_bytes, mix, seeds, slices, written
+from threadsift.llm.setsketch import _items, _linked, components, sets_of
+from threadsift.llm.text import column_bytes, lean, mix, seeds, slices, written
 
 ORDERS = 3
 BITS = 19
@@ -240,6 +241,40 @@ def _block_pass(opened: DataFrame, heads: DataFrame, num: int, den: int, full: D
     return laid.mapInArrow(run, "a long, b long").distinct()
 
 
+def _with_first(docs: DataFrame, cluster: DataFrame, w: int, num: int, den: int) -> DataFrame:
+    """Links (a, b) of each cluster's smallest id with its members, on full sets.  Members are dealt in blocks of about
+    BLOCK; a row with the smallest id (its doc_id may have several texts) goes to every block, ahead of the members."""
+    size = cluster.groupBy("comp").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    block = F.when(F.col("id") == F.col("comp"), F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).otherwise(F.array(F.pmod(F.xxhash64("id"), F.col("blocks"))))
+    dealt = cluster.join(size, "comp").select("id", "comp", F.explode(block).alias("block"))
+
+    def sets(batches):
+        for t in batches:
+            data, offs = column_bytes(t.column(3))
+            out = [s.tobytes() for _, _, d, o in slices(data, offs, SLICE) for s in sets_of(d, o, w)]
+            yield pa.RecordBatch.from_arrays([*(t.column(c) for c in range(3)), pa.array(out, pa.binary())], ["id", "comp", "block", "items"])
+
+    def compare(batches):
+        at, first = None, []
+        for t in batches:
+            a, b = [], []
+            for i, c, k, v in zip(*(t.column(c).to_pylist() for c in range(3)), t.column(3)):
+                x = np.frombuffer(v.as_buffer(), np.uint64)
+                if (c, k) != at:
+                    at, first = (c, k), []
+                if i == c:
+                    first.append(x)
+                elif any(_linked(y, x, num, den) for y in first):
+                    a.append(c)
+                    b.append(i)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+    laid = (docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(dealt, "id").select("id", "comp", "block", "text")
+            .mapInArrow(lean(sets), "id long, comp long, block long, items binary"))
+    parts = int(laid.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # the smallest id of a cluster is its name, so it comes first
+    return laid.repartition(parts, "comp", "block").sortWithinPartitions("comp", "block", "id").mapInArrow(lean(compare), "a long, b long").distinct()
+
+
 def linked_groups(docs: DataFrame, w: int = 3, num: int = 90, den: int = 100) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (see the module docstring).
 
@@ -266,16 +301,15 @@ def linked_groups(docs: DataFrame, w: int = 3, num: int = 90, den: int = 100) ->
         cluster = components(written(ties.union(more), "ties"))
 
     # within clusters, on full sets
-    full = _items(docs, cluster.select("id"), w)
-    pairs = cluster.filter("id <> comp").select(F.col("comp").alias("a"), F.col("id").alias("b"))
     # a doc_id with several texts ties its classes together
     mine = written(live.select("doc_id", "digest").distinct().join(reps, "digest").select("doc_id", "id"), "mine")
     several = mine.groupBy("doc_id").agg(F.min("id").alias("a"), F.max("id").alias("z")).filter("a <> z")
     tied = mine.join(several, "doc_id").filter("id <> a").select("a", F.col("id").alias("b"))
-    links = written(_verified(written(_passing(pairs, heads), "candidates"), full, num, den).union(tied), "links")
+    links = written(_with_first(docs, cluster, w, num, den).union(tied), "links")
     comp = components(links)
     of = cluster.join(heads.select("id", "n_shingles"), "id").select(F.col("comp").alias("key"), "id", F.col("n_shingles").cast("int").alias("n"), F.lit(0).alias("pos"), F.col("comp").alias("leader"))
-    more = written(_block_pass(_open(of, comp), heads, num, den, full), "links")
+    left = _open(of, comp)
+    more = written(_block_pass(left, heads, num, den, _items(docs, left.select("id").distinct(), w)), "links")
     if more.limit(1).count():
         comp = components(written(links.union(more), "links"))
     node = written(mine.join(comp, "id", "left").groupBy("doc_id").agg(F.min(F.coalesce("comp", "id")).alias("component_id")), "nodes")
