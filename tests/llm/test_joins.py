@@ -82,3 +82,81 @@ def test_first_of_a_cluster_meets_every_block(make, monkeypatch):
     got = {r["doc_id"]: r["component_id"] for r in jj.linked_groups(make(rows)).collect()}
     assert got == {5: 5, **{10 + i: 5 for i in range(30)}, 100: 5}
     assert stored == [0]
+
+
+def test_prefixes_share_what_near_sizes_need():
+    """``_least`` holds under every order, and asks for far more than one shingle of sets of about a size."""
+    rng = np.random.default_rng(5)
+    level = rng.integers(0, 5, 1 << jj.BITS).astype(np.uint8)
+    tight = 0
+    for _ in range(400):
+        s = np.unique(rng.integers(0, 1 << 63, int(rng.integers(1, 600))).astype(np.uint64))
+        t = np.unique(np.r_[s[rng.random(s.size) < rng.uniform(0.9, 1)], rng.integers(0, 1 << 63, int(rng.integers(0, 20))).astype(np.uint64)])
+        both = np.intersect1d(s, t).size
+        if t.size and 100 * both >= 90 * (s.size + t.size - both):
+            need = jj._least(s.size, t.size, max(s.size, t.size), 90, 100)
+            assert need >= 1
+            for x, y in zip(jj.prefixes(s, level, 90, 100), jj.prefixes(t, level, 90, 100)):
+                met = np.intersect1d(x, y).size
+                assert met >= need
+                tight += met < 2 * need
+    assert tight
+    assert jj._least(1000, 1000, 1000, 90, 100) == 49 and jj._least(1000, 900, 1000, 90, 100) == 1
+
+
+@pytest.mark.parametrize("listed", [0, 2, 32])
+def test_chance_meetings_move_no_sets(make, monkeypatch, listed):
+    """Long texts with a few rare passages in common are no candidates: their sets are not stored, in listed buckets nor in
+    blocks; prefixes go to blocks for the large buckets only; shuffle files go with each step, and the session's choice is back."""
+    monkeypatch.setattr(jj, "LISTED", listed)
+    stored, opened, dropped = [], [], []
+    items, block_pass, written = jj._items, jj._block_pass, jj.written
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    monkeypatch.setattr(jj, "_items", lambda docs, ids, w: stored.append(ids.count()) or items(docs, ids, w))
+    monkeypatch.setattr(jj, "_block_pass", lambda o, *a: opened.append(o.count()) or block_pass(o, *a))
+    monkeypatch.setattr(jj, "written", lambda df, name: dropped.append(df.sparkSession.conf.get(key)) or written(df, name))
+    rnd = random.Random(9)
+    passages = [" ".join(f"p{g}x{i}" for i in range(40)) for g in range(12)]
+    rows = []
+    for i in range(60):
+        own = [f"d{i}w{k}" for k in range(400)]
+        rows.append((i, " ".join([*own[:200], *rnd.sample(passages, 4), *own[200:]]), "en", "s"))
+    rows.append((100, rows[7][1] + " end", "en", "s"))
+    docs = make(rows)
+    docs.sparkSession.conf.set(key, "false")
+    try:
+        got = {r["doc_id"]: r["component_id"] for r in jj.linked_groups(docs).collect()}
+        assert docs.sparkSession.conf.get(key) == "false"
+    finally:
+        docs.sparkSession.conf.unset(key)
+    assert got == {**{i: i for i in range(60)}, 100: 7}
+    assert stored == [0]
+    assert (opened[0] == 0) == (listed == 32)
+    assert set(dropped) == {"true"}
+
+
+@pytest.mark.parametrize("listed", [2, 6])
+def test_small_and_large_buckets_together(make, monkeypatch, listed):
+    """Pairs whose common buckets are partly listed and partly large, and a doc_id with several texts that leads buckets."""
+    monkeypatch.setattr(jj, "LISTED", listed)
+    monkeypatch.setattr(jj, "BLOCK", 4)
+    rnd = random.Random(listed)
+    vocab = [f"w{i}" for i in range(4000)]
+    rows = []
+    for g in range(14):
+        head = [rnd.choice(vocab) for _ in range(40)] if g % 3 == 0 else head  # three groups share their beginning
+        base = head + [rnd.choice(vocab) for _ in range(rnd.randrange(20, 160))]
+        for _ in range(rnd.randrange(3, 16)):
+            x = list(base)
+            for _ in range(rnd.randrange(0, 4)):
+                x[rnd.randrange(len(x))] = rnd.choice(vocab)
+            rows.append((len(rows) * 7 % 1009, " ".join(x[:rnd.randrange(len(x) * 93 // 100, len(x)) + 1])))
+    rnd.shuffle(rows)
+    want, _ = groups_by_force(rows, 3, 90, 100)
+    got = {r["doc_id"]: r["component_id"] for r in jj.linked_groups(make([(i, t, "en", "s") for i, t in rows])).collect()}
+    assert got == want
+    # the smallest id has two texts; each is near members of its own
+    two = make([(0, rows[0][1], "en", "s"), (0, rows[-1][1], "en", "s"), *((i + 1, t, "en", "s") for i, t in rows)])
+    want = {i + 1: c + 1 for i, c in want.items()}
+    ends = {want[rows[0][0] + 1], want[rows[-1][0] + 1]}
+    assert {r["doc_id"]: r["component_id"] for r in jj.linked_groups(two).collect()} == {0: 0, **{i: 0 if c in ends else c for i, c in want.items()}}

@@ -3,6 +3,8 @@
 Two sets of n and m shingles with Jaccard similarity t share t / (1 + t) * (n + m) of them.  So under
 ANY order of all shingles the first ``n - ceil(t * n) + 1`` of the one and the first ``m - ceil(t * m) + 1``
 of the other have one in common.  Candidates must pass that test under ``ORDERS`` orders at once.
+The nearer the sizes, the more they must share: what the one has in the prefix that ends first and the
+other lacks is at most what the whole sets may differ in (``_least``), for equal sizes near half a prefix.
 
 An order puts rare shingles first and breaks ties by a hash of its own, so the orders differ wherever
 frequency does not decide.  Frequencies come from ``1 << BITS`` counters over all documents, reduced to
@@ -14,15 +16,18 @@ weigh on the speed and never on the result.
    held against their leader only: linear in the bucket.  Cheap tests come first: the sizes, and the
    most that two sets can share given where the common shingle stands in both; then the prefixes of the
    other orders.  Pairs that pass tie documents into clusters.
-3. Buckets that still hold several clusters are compared inside tasks in blocks of ``BLOCK`` members,
-   across clusters only, by the same tests.  Now every pair that passes all filters has both ends in
-   one cluster, and every document stands in one cluster only: full sets move once a block.
+3. Buckets that still hold several clusters are compared across clusters by the same tests.  Those of
+   at most ``LISTED`` members list their pairs as ids, and a pair's buckets are counted before any prefix
+   moves; larger ones are compared inside tasks in blocks of ``BLOCK`` members.  Now every pair that passes
+   all filters has both ends in one cluster, and every document stands in one cluster only: full sets move
+   once a block.
 4. Within a cluster, sets are compared in full: first each with the cluster's smallest id, which goes to
    every block of members, so that a set moves once and is not stored; then, where that leaves several
    components, across components in blocks.
 
 What leaves a task is linear in its members (an edge that joins two groups makes them one from then
-on), and no pair in a common bucket goes unchecked.
+on; a listed bucket has at most ``LISTED`` pairs a member), and no pair in a common bucket goes unchecked.
+Each step ends in a written table, and its shuffle files go with it.
 
 Defined cases: null and word-less texts have an empty set and are linked with nothing; rows of one
 doc_id (repeated rows) are one node; a row without doc_id has a null component; ties in an order fall by
@@ -39,10 +44,12 @@ from pyspark.sql import functions as F
 
 from threadsift.llm.setsketch import _items, _linked, components, sets_of
 from threadsift.llm.text import column_bytes, lean, mix, seeds, slices, written
+from threadsift.session import shuffles_dropped
 
 ORDERS = 3
 BITS = 19
 BLOCK = 512
+LISTED = 32
 SLICE = 1 << 19
 _CHUNK = 1 << 13
 _SEED = seeds(ORDERS, 21)
@@ -129,6 +136,12 @@ def _may_share(na: Column, ia: Column, nb: Column, ib: Column, num: int, den: in
     return (den * F.least(na, nb) >= num * F.greatest(na, nb)) & ((num + den) * most >= num * (na + nb))
 
 
+def _least(na, nb, top, num: int, den: int):
+    """How many shingles the prefixes of sets of na and nb, ``top`` the larger, share under any order if the sets reach
+    num/den: integers, at least one where the sizes allow it."""
+    return 1 - (-num * (na + nb)) // (num + den) + (-num * top) // den
+
+
 def _orders(col: pa.Array) -> list[list[np.ndarray]]:
     """For each row, the sorted prefixes of the other orders."""
     out = []
@@ -138,30 +151,52 @@ def _orders(col: pa.Array) -> list[list[np.ndarray]]:
     return out
 
 
-def _meet(x: np.ndarray, y: np.ndarray) -> bool:
+def _meet(x: np.ndarray, y: np.ndarray) -> int:
     at = np.searchsorted(x, y)
-    return bool((x[np.minimum(at, x.size - 1)] == y).any())
+    return int((x[np.minimum(at, x.size - 1)] == y).sum())
 
 
-def _passing(pairs: DataFrame, heads: DataFrame) -> DataFrame:
-    """Pairs (a, b) whose prefixes meet under the other orders too."""
+def _passing(pairs: DataFrame, heads: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs (a, b) whose prefixes share enough under the other orders too."""
     def run(batches):
         for t in batches:
-            ok = [all(map(_meet, x, y)) for x, y in zip(_orders(t.column(2)), _orders(t.column(3)))]
+            na, nb = t.column(4).to_numpy(), t.column(5).to_numpy()
+            need = np.maximum(_least(na, nb, np.maximum(na, nb), num, den), 1)
+            ok = [all(_meet(p, q) >= c for p, q in zip(x, y)) for x, y, c in zip(_orders(t.column(2)), _orders(t.column(3)), need)]
             yield t.select([0, 1]).filter(pa.array(ok, pa.bool_()))
-    return (pairs.join(heads.select(F.col("id").alias("b"), F.col("others").alias("y")), "b")
-            .join(heads.select(F.col("id").alias("a"), F.col("others").alias("x")), "a")
-            .select("a", "b", "x", "y").mapInArrow(run, "a long, b long"))
+    return (pairs.join(heads.select(F.col("id").alias("b"), F.col("others").alias("y"), F.col("n_shingles").alias("nb")), "b")
+            .join(heads.select(F.col("id").alias("a"), F.col("others").alias("x"), F.col("n_shingles").alias("na")), "a")
+            .select("a", "b", "x", "y", "na", "nb").mapInArrow(lean(run), "a long, b long"))
+
+
+def _listed(opened: DataFrame, heads: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs (a, b) across components in open groups of at most LISTED members, that stand together in as many of them
+    as similar sets do.  A pair that also meets in a larger group is compared there, and one with a group's
+    leader was held against it: so the groups counted here are all that matter to a pair.  An id with several texts
+    may lead a group that only one of them shares with the pair, so its pairs pass uncounted."""
+    texts = heads.groupBy("id").agg(F.count("*").alias("texts")).filter("texts > 1")
+    few = (opened.join(texts, "id", "left")
+           .select("key", "id", F.col("n").cast("long").alias("n"), F.col("pos").cast("long").alias("pos"), "comp", F.col("texts").isNotNull().alias("several")))
+    x, y = few.alias("x"), few.alias("y")
+    near = _may_share(F.col("x.n"), F.col("x.pos"), F.col("y.n"), F.col("y.pos"), num, den)
+    met = (x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.comp") != F.col("y.comp")) & near)
+           .select(F.col("x.id").alias("a"), F.col("y.id").alias("b"), F.col("x.n").alias("na"), F.col("y.n").alias("nb"),
+                   (F.col("x.several") | F.col("y.several")).alias("several")))
+    # _least in SQL: u // v is (u - pmod(u, v)) div v
+    need = F.expr(f"1 - ({-num} * (na + nb) - pmod({-num} * (na + nb), {num + den})) div {num + den}"
+                  f" + ({-num} * greatest(na, nb) - pmod({-num} * greatest(na, nb), {den})) div {den}")
+    return (met.groupBy("a", "b", "na", "nb").agg(F.count("*").alias("c"), F.max("several").alias("several"))
+            .filter((F.col("c") >= need) | F.col("several")).select("a", "b").distinct())
 
 
 def _open(members: DataFrame, comp: DataFrame) -> DataFrame:
-    """Members (key, id, n, pos, comp, home) of groups that still hold several components, without the
-    leader, whose pairs are all known; ``home`` is its component."""
+    """Members (key, id, n, pos, comp, home, many) of groups that still hold several components, without the
+    leader, whose pairs are all known; ``home`` is its component, ``many`` the number of members."""
     m = members.join(comp, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
     lead = m.filter("id = leader").select("key", F.col("comp").alias("home"))
     rest = written(m.filter("id <> leader").select("key", "id", "n", "pos", "comp"), "rest")
-    span = rest.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi")
-    return written(rest.join(span.join(lead, "key").select("key", "home"), "key"), "open")
+    span = rest.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("many")).filter("lo <> hi")
+    return written(rest.join(span.join(lead, "key").select("key", "home", "many"), "key"), "open")
 
 
 def _block_pass(opened: DataFrame, heads: DataFrame, num: int, den: int, full: DataFrame | None = None) -> DataFrame:
@@ -174,10 +209,12 @@ def _block_pass(opened: DataFrame, heads: DataFrame, num: int, den: int, full: D
     # blocks 0..bi-1 hold the leader's component, the rest the others; two inner blocks need no comparison
     own = F.when(inside, F.lit(0)).otherwise(F.col("bi")) + F.pmod(F.xxhash64("id"), F.greatest(F.when(inside, F.col("bi")).otherwise(F.col("bo")), F.lit(1)))
     partner = F.expr("CASE WHEN comp = home THEN IF(bo > 0, sequence(bi, bi + bo - 1), array()) ELSE sequence(0L, bi + bo - 1) END")
-    laid = (opened.join(heads.select("id", "others"), "id"))
+    # prefixes and sets join last, so that each moves only to the blocks it goes to
+    laid = (opened.join(blocks, "key").withColumn("own", own).withColumn("other", F.explode(partner))
+            .select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "comp", "n", "pos")
+            .join(heads.select("id", "others"), "id"))
     laid = laid.join(full, "id") if full is not None else laid.withColumn("items", F.lit(None).cast("binary"))
-    laid = (laid.join(blocks, "key").withColumn("own", own).withColumn("other", F.explode(partner))
-            .select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "comp", "n", "pos", "others", "items"))
+    laid = laid.select("key", "i", "j", "own", "id", "comp", "n", "pos", "others", "items")
     parts = int(laid.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     laid = laid.repartition(parts, "key", "i", "j").sortWithinPartitions("key", "i", "j")
     verify = full is not None
@@ -185,7 +222,7 @@ def _block_pass(opened: DataFrame, heads: DataFrame, num: int, den: int, full: D
     def compare(t: pa.Table):
         i, j = t.column(1)[0].as_py(), t.column(2)[0].as_py()
         own, ids, comp, n, pos = (t.column(c).to_numpy() for c in (3, 4, 5, 6, 7))
-        comp = comp.copy()
+        comp, n, pos = comp.copy(), n.astype(np.int64), pos.astype(np.int64)
         pre = _orders(t.column(8).combine_chunks())
         sets = [np.frombuffer(v.as_buffer(), np.uint64) for v in t.column(9).combine_chunks()] if verify else []
         left, right = np.flatnonzero(own == j), np.flatnonzero(own == i)
@@ -202,6 +239,7 @@ def _block_pass(opened: DataFrame, heads: DataFrame, num: int, den: int, full: D
             most = np.minimum(pos[right], pos[x]) + np.minimum(n[right] - pos[right], n[x] - pos[x])
             go[right] = ((comp[right] != comp[x]) & (den * np.minimum(n[right], n[x]) >= num * np.maximum(n[right], n[x]))
                          & ((num + den) * most >= num * (n[right] + n[x])) & ((ids[right] > ids[x]) if i == j else True))
+            need = np.maximum(_least(n, n[x], np.maximum(n, n[x]), num, den), 1)
             for k, (flat, who) in enumerate(tokens):
                 if not go.any():
                     break
@@ -209,9 +247,7 @@ def _block_pass(opened: DataFrame, heads: DataFrame, num: int, den: int, full: D
                 some = hi > lo
                 lo, many = lo[some], (hi - lo)[some]
                 at = np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many) + np.repeat(lo, many)
-                met = np.zeros(own.size, bool)
-                met[who[at]] = True
-                go &= met
+                go &= np.bincount(who[at], minlength=own.size) >= need
             for y in np.flatnonzero(go):
                 if comp[y] != comp[x] and (not verify or _linked(sets[x], sets[y], num, den)):
                     comp[comp == comp[y]] = comp[x]
@@ -238,7 +274,7 @@ def _block_pass(opened: DataFrame, heads: DataFrame, num: int, den: int, full: D
                 held.append(b.slice(x, y - x))
         if held:
             yield flush()
-    return laid.mapInArrow(run, "a long, b long").distinct()
+    return laid.mapInArrow(lean(run), "a long, b long").distinct()
 
 
 def _with_first(docs: DataFrame, cluster: DataFrame, w: int, num: int, den: int) -> DataFrame:
@@ -281,6 +317,11 @@ def linked_groups(docs: DataFrame, w: int = 3, num: int = 90, den: int = 100) ->
     Two documents are linked when ``den * |A & B| >= num * |A | B|`` on their ``w``-word shingle sets;
     ``component_id`` is the smallest doc_id of the connected documents.
     """
+    with shuffles_dropped(docs.sparkSession):
+        return _linked_groups(docs, w, num, den)
+
+
+def _linked_groups(docs: DataFrame, w: int, num: int, den: int) -> DataFrame:
     base = written(_prefixed(docs, w, num, den, rarity(docs, w)), "prefixes")
     live = base.filter("digest is not null and doc_id is not null")
     reps = written(live.groupBy("digest").agg(F.min("doc_id").alias("id")), "classes")
@@ -294,9 +335,11 @@ def linked_groups(docs: DataFrame, w: int = 3, num: int = 90, den: int = 100) ->
     # clusters: documents tied by pairs that pass every filter
     share = _may_share(*(F.col(c).cast("long") for c in ("n", "pos", "ln", "lpos")), num, den)
     pairs = members.filter("id <> leader").filter(share).select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
-    ties = written(_passing(pairs, heads), "ties")
+    ties = written(_passing(pairs, heads, num, den), "ties")
     cluster = components(ties)
-    more = written(_block_pass(_open(members.filter("crowded"), cluster), heads, num, den), "ties")
+    left = _open(members.filter("crowded"), cluster)
+    listed = written(_listed(left.filter(F.col("many") <= LISTED), heads, num, den), "listed")
+    more = written(_passing(listed, heads, num, den).union(_block_pass(left.filter(F.col("many") > LISTED), heads, num, den)), "ties")
     if more.limit(1).count():
         cluster = components(written(ties.union(more), "ties"))
 
