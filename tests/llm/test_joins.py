@@ -161,3 +161,76 @@ def test_small_and_large_buckets_together(make, monkeypatch, texts):
         want = {0: 0, **{i: 0 if c in ends else c for i, c in want.items()}}
         rows += [(0, rows[0][1]), (0, rows[-1][1])]
     assert {r["doc_id"]: r["component_id"] for r in jj.linked_groups(make([(i, t, "en", "s") for i, t in rows])).collect()} == want
+
+
+def test_crowded_buckets_make_no_pairs(make, monkeypatch):
+    """Texts of one size that share crowded passages: no pair is listed, and only the near copies' texts are joined."""
+    monkeypatch.setattr(jj, "rarity", lambda docs, w: np.zeros(1 << jj.BITS, np.uint8))  # counters that see no frequency
+    listed, picked = [], []
+    passing, among = jj._passing, jj._among
+
+    def picking(rows, name, ids):
+        if "text" in rows.columns:
+            picked.append({r[0] for r in among(rows, name, ids).select(name).collect()})
+        return among(rows, name, ids)
+    monkeypatch.setattr(jj, "_passing", lambda p, *a: listed.append(p.count()) or passing(p, *a))
+    monkeypatch.setattr(jj, "_among", picking)
+    rnd = random.Random(3)
+    passages = [" ".join(f"p{g}x{i}" for i in range(20)) for g in range(6)]
+    rows = [(i, " ".join([*rnd.sample(passages, 2), *(f"d{i}w{k}" for k in range(400))]), "en", "s") for i in range(60)]
+    rows.append((100, rows[7][1] + " end", "en", "s"))
+    got = {r["doc_id"]: r["component_id"] for r in jj.linked_groups(make(rows)).collect()}
+    assert got == {**{i: i for i in range(60)}, 100: 7}
+    assert listed[1] == 0
+    assert picked == [{7, 100}, set()]
+
+
+def test_similar_sets_meet_in_buckets_of_a_high_rank(make):
+    """However buckets crowd, a linked pair meets in ``_seen`` or more of those that are ``_far_enough``."""
+    from pyspark.sql import functions as F
+    rnd = np.random.default_rng(6)
+    level = np.zeros(1 << jj.BITS, np.uint8)
+    common = rnd.integers(0, 1 << 63, 60).astype(np.uint64)
+    sets = []
+    for _ in range(30):
+        base = np.unique(np.r_[rnd.choice(common, int(rnd.integers(0, 60)), False), rnd.integers(0, 1 << 63, int(rnd.integers(5, 300))).astype(np.uint64)])
+        sets += [np.unique(np.r_[base[rnd.random(base.size) < rnd.uniform(0.92, 1)], rnd.integers(0, 1 << 63, int(rnd.integers(0, 6))).astype(np.uint64)]) for _ in range(4)]
+    spark = make([]).sparkSession
+    heads = spark.createDataFrame([(i, s.size, False, [int(v) for v in jj.prefixes(s, level, 90, 100)[0].view(np.int64)]) for i, s in enumerate(sets)],
+                                  "id long, n_shingles long, several boolean, first array<long>")
+    ranked = jj._ranked(heads)
+    x, y = (ranked.select("key", *(F.col(c).alias(c + k) for c in ("id", "n", "rank"))) for k in "ab")
+    need = jj._need(F.col("na"), F.col("nb"), 90, 100)
+    met = (x.join(y, "key").filter("ida < idb").groupBy("ida", "idb", "na", "nb")
+           .agg(F.sum(jj._far_enough(F.col("ranka"), F.col("rankb"), need).cast("long")).alias("c")).select("*", need.alias("need"), jj._seen(need).alias("seen")).collect())
+    met = {(r["ida"], r["idb"]): r for r in met}
+    linked = [(i, j) for j in range(len(sets)) for i in range(j) if jj._linked(sets[i], sets[j], 90, 100)]
+    assert len(linked) > 60 and any(r["c"] == 0 for r in met.values())
+    for i, j in linked:
+        r = met[i, j]
+        assert r["need"] == jj._least(sets[i].size, sets[j].size, max(sets[i].size, sets[j].size), 90, 100)
+        assert r["c"] >= r["seen"] >= 1
+
+
+def test_leader_of_two_texts_is_held_by_both(make, monkeypatch):
+    """The smaller text of the smallest doc_id stands in every bucket of the larger one, and is too small for its copy."""
+    monkeypatch.setattr(jj, "rarity", lambda docs, w: np.zeros(1 << jj.BITS, np.uint8))
+    level = np.zeros(1 << jj.BITS, np.uint8)
+
+    def first(words):
+        s = next(jj.sets_of(*jj.column_bytes(jj.pa.array([" ".join(words)])), 3))
+        return set(jj.prefixes(s, level, 90, 100)[0].tolist())
+    k = next(k for k in range(1000) if first(f"k{k}w{i}" for i in range(30)) == first(f"k{k}w{i}" for i in range(27)) == first(f"k{k}w{i}" for i in range(31)))
+    rows = [(d, " ".join(f"k{k}w{i}" for i in range(m)), "en", "s") for d, m in ((1, 27), (1, 30), (2, 31))]
+    assert {r["doc_id"]: r["component_id"] for r in jj.linked_groups(make(rows)).collect()} == {1: 1, 2: 1}
+
+
+def test_among_picks_all_and_few_others(make):
+    from pyspark.sql import functions as F
+    spark = make([]).sparkSession
+    rows = spark.range(-5000, 200_000).select(F.col("id").alias("doc_id"), F.lit("x").alias("id")).union(spark.createDataFrame([(None, "x")], "doc_id long, id string"))
+    ids = spark.range(-5000, 200_000, 7)
+    got = [r[0] for r in jj._among(rows, "doc_id", ids).collect()]
+    want = set(range(-5000, 200_000, 7))
+    assert want <= set(got) and len(got) == len(set(got)) < 1.02 * len(want)  # one other in 573
+    assert jj._among(rows, "doc_id", spark.range(0)).count() == 0

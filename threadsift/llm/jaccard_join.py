@@ -18,15 +18,19 @@ weigh on the speed and never on the result.
    other orders.  Pairs that pass tie documents into clusters.
 3. Buckets that still hold several clusters are compared across clusters by the same tests.  Those of
    at most ``LISTED`` members list their pairs as ids, and a pair's buckets are counted before any prefix
-   moves; larger ones are compared inside tasks in blocks of ``BLOCK`` members.  Now every pair that passes
-   all filters has both ends in one cluster, and every document stands in one cluster only: full sets move
-   once a block.
+   moves; larger ones are compared inside tasks in blocks of ``BLOCK`` members.  The counters have a fixed
+   size and miss more frequent shingles as the corpus grows, but the members of each bucket are known now:
+   of the buckets that two sets must share, the j-th most crowded is at best the j-th most crowded of either
+   (its ``rank``), so no pair is listed for a bucket of a low rank in one of them (``_far_enough``).  Now
+   every linked pair has both ends in one cluster, and every document stands in one cluster only: full sets
+   move once a block.
 4. Within a cluster, sets are compared in full: first each with the cluster's smallest id, which goes to
    every block of members, so that a set moves once and is not stored; then, where that leaves several
    components, across components in blocks.
 
 What leaves a task is linear in its members (an edge that joins two groups makes them one from then
-on; a listed bucket has at most ``LISTED`` pairs a member), and no pair in a common bucket goes unchecked.
+on; a listed bucket has at most ``LISTED`` pairs a member), and no pair that can be linked goes unchecked.
+Texts, sets and prefixes that few rows need are picked by ``_among`` before they are joined.
 Each step ends in a written table, and its shuffle files go with it.
 
 Defined cases: null and word-less texts have an empty set and are linked with nothing; rows of one
@@ -39,7 +43,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from threadsift.llm.setsketch import _items, _linked, components, sets_of
@@ -49,7 +53,8 @@ from threadsift.session import shuffles_dropped
 ORDERS = 3
 BITS = 19
 BLOCK = 512
-LISTED = 32
+LISTED = 512
+MARKS = 1 << 24
 SLICE = 1 << 19
 _CHUNK = 1 << 13
 _SEED = seeds(ORDERS, 21)
@@ -142,6 +147,33 @@ def _least(na, nb, top, num: int, den: int):
     return 1 - (-num * (na + nb)) // (num + den) + (-num * top) // den
 
 
+def _need(na: Column, nb: Column, num: int, den: int) -> Column:
+    """``_least`` of two columns of sizes."""
+    return 1 + F.ceil(num * (na + nb) / (num + den)) - F.ceil(num * F.greatest(na, nb) / den)
+
+
+def _far_enough(ra: Column, rb: Column, need: Column) -> Column:
+    """Whether a bucket, the ra-th and rb-th most crowded of two sets, is one to look at: of the ``need`` or more
+    buckets that they share if they are similar, all are but half of ``need`` less one, rounded up (``_seen``)."""
+    return F.least(ra, rb) >= F.ceil(need / 2)
+
+
+def _seen(need: Column) -> Column:
+    """In how many buckets that are ``_far_enough`` similar sets meet at least."""
+    return need - F.ceil(need / 2) + 1
+
+
+def _among(rows: DataFrame, name: str, ids: DataFrame) -> DataFrame:
+    """The rows whose column ``name`` is one of the ``id`` of ``ids``, and a few others: one in MARKS / (number of
+    ids).  So what a join with ids moves is in proportion to them.  The ids are marked in MARKS bits, broadcast
+    in words: at most MARKS / 64 rows, whatever the corpus."""
+    mark = F.pmod(F.xxhash64("id"), F.lit(MARKS))
+    marks = (ids.select(F.shiftright(mark, 6).alias("word_"), F.expr(f"shiftleft(1L, CAST(pmod(xxhash64(id), {MARKS}) % 64 AS INT))").alias("bit_"))
+             .groupBy("word_").agg(F.bit_or("bit_").alias("bits_")))
+    own = F.pmod(F.xxhash64(F.col(name).cast("long")), F.lit(MARKS))
+    return rows.join(F.broadcast(marks), (F.shiftright(own, 6) == F.col("word_")) & (F.getbit("bits_", (own % 64).cast("int")) == 1), "left_semi")
+
+
 def _orders(col: pa.Array) -> list[list[np.ndarray]]:
     """For each row, the sorted prefixes of the other orders."""
     out = []
@@ -164,37 +196,42 @@ def _passing(pairs: DataFrame, heads: DataFrame, num: int, den: int) -> DataFram
             need = np.maximum(_least(na, nb, np.maximum(na, nb), num, den), 1)
             ok = [all(_meet(p, q) >= c for p, q in zip(x, y)) for x, y, c in zip(_orders(t.column(2)), _orders(t.column(3)), need)]
             yield t.select([0, 1]).filter(pa.array(ok, pa.bool_()))
+    heads = _among(heads, "id", pairs.select(F.explode(F.array("a", "b")).alias("id")))
     return (pairs.join(heads.select(F.col("id").alias("b"), F.col("others").alias("y"), F.col("n_shingles").alias("nb")), "b")
             .join(heads.select(F.col("id").alias("a"), F.col("others").alias("x"), F.col("n_shingles").alias("na")), "a")
             .select("a", "b", "x", "y", "na", "nb").mapInArrow(lean(run), "a long, b long"))
 
 
-def _listed(opened: DataFrame, heads: DataFrame, num: int, den: int) -> DataFrame:
+def _ranked(heads: DataFrame) -> DataFrame:
+    """Members (key, id, n, pos, several, rank) of the buckets of two or more; ``rank`` 1 is the most crowded bucket of
+    an id, with the buckets of all its texts, so that no text has a higher rank on its own."""
+    rows = heads.select("id", F.col("n_shingles").cast("int").alias("n"), "several", F.posexplode("first").alias("pos", "key"))
+    crowds = written(rows.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1"), "crowds")
+    rank = F.row_number().over(Window.partitionBy("id").orderBy(F.desc("c"), "key"))
+    return written(rows.join(crowds, "key").select("key", "id", "n", "pos", "several", rank.alias("rank")), "ranked")
+
+
+def _listed(opened: DataFrame, num: int, den: int) -> DataFrame:
     """Pairs (a, b) across components in open groups of at most LISTED members, that stand together in as many of them
     as similar sets do.  A pair that also meets in a larger group is compared there, and one with a group's
-    leader was held against it: so the groups counted here are all that matter to a pair.  An id with several texts
-    may lead a group that only one of them shares with the pair, so its pairs pass uncounted."""
-    texts = heads.groupBy("id").agg(F.count("*").alias("texts")).filter("texts > 1")
-    few = (opened.join(texts, "id", "left")
-           .select("key", "id", F.col("n").cast("long").alias("n"), F.col("pos").cast("long").alias("pos"), "comp", F.col("texts").isNotNull().alias("several")))
-    x, y = few.alias("x"), few.alias("y")
-    near = _may_share(F.col("x.n"), F.col("x.pos"), F.col("y.n"), F.col("y.pos"), num, den)
+    leader was held against it: so the groups counted here are all that matter to a pair.
+    Pairs of an id with several texts pass uncounted."""
+    x, y = (opened.select("key", "id", F.col("n").cast("long").alias("n"), F.col("pos").cast("long").alias("pos"), "comp", "rank", "several").alias(k) for k in "xy")
+    size = F.col("x.n"), F.col("y.n")
+    near = _may_share(size[0], F.col("x.pos"), size[1], F.col("y.pos"), num, den) & _far_enough(F.col("x.rank"), F.col("y.rank"), _need(*size, num, den))
     met = (x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.comp") != F.col("y.comp")) & near)
-           .select(F.col("x.id").alias("a"), F.col("y.id").alias("b"), F.col("x.n").alias("na"), F.col("y.n").alias("nb"),
+           .select(F.col("x.id").alias("a"), F.col("y.id").alias("b"), size[0].alias("na"), size[1].alias("nb"),
                    (F.col("x.several") | F.col("y.several")).alias("several")))
-    # _least in SQL: u // v is (u - pmod(u, v)) div v
-    need = F.expr(f"1 - ({-num} * (na + nb) - pmod({-num} * (na + nb), {num + den})) div {num + den}"
-                  f" + ({-num} * greatest(na, nb) - pmod({-num} * greatest(na, nb), {den})) div {den}")
     return (met.groupBy("a", "b", "na", "nb").agg(F.count("*").alias("c"), F.max("several").alias("several"))
-            .filter((F.col("c") >= need) | F.col("several")).select("a", "b").distinct())
+            .filter((F.col("c") >= _seen(_need(F.col("na"), F.col("nb"), num, den))) | F.col("several")).select("a", "b").distinct())
 
 
 def _open(members: DataFrame, comp: DataFrame) -> DataFrame:
-    """Members (key, id, n, pos, comp, home, many) of groups that still hold several components, without the
+    """Members (key, id, n, pos, rank, several, comp, home, many) of groups that still hold several components, without the
     leader, whose pairs are all known; ``home`` is its component, ``many`` the number of members."""
     m = members.join(comp, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
     lead = m.filter("id = leader").select("key", F.col("comp").alias("home"))
-    rest = written(m.filter("id <> leader").select("key", "id", "n", "pos", "comp"), "rest")
+    rest = written(m.filter("id <> leader").select("key", "id", "n", "pos", "rank", "several", "comp"), "rest")
     span = rest.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("many")).filter("lo <> hi")
     return written(rest.join(span.join(lead, "key").select("key", "home", "many"), "key"), "open")
 
@@ -212,7 +249,7 @@ def _block_pass(opened: DataFrame, heads: DataFrame, num: int, den: int, full: D
     # prefixes and sets join last, so that each moves only to the blocks it goes to
     laid = (opened.join(blocks, "key").withColumn("own", own).withColumn("other", F.explode(partner))
             .select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "comp", "n", "pos")
-            .join(heads.select("id", "others"), "id"))
+            .join(_among(heads.select("id", "others"), "id", opened), "id"))
     laid = laid.join(full, "id") if full is not None else laid.withColumn("items", F.lit(None).cast("binary"))
     laid = laid.select("key", "i", "j", "own", "id", "comp", "n", "pos", "others", "items")
     parts = int(laid.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -304,7 +341,7 @@ def _with_first(docs: DataFrame, cluster: DataFrame, w: int, num: int, den: int)
                     a.append(c)
                     b.append(i)
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
-    laid = (docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(dealt, "id").select("id", "comp", "block", "text")
+    laid = (_among(docs.select(F.col("doc_id").cast("long").alias("id"), "text"), "id", cluster).join(dealt, "id").select("id", "comp", "block", "text")
             .mapInArrow(lean(sets), "id long, comp long, block long, items binary"))
     parts = int(laid.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # the smallest id of a cluster is its name, so it comes first
@@ -324,21 +361,24 @@ def linked_groups(docs: DataFrame, w: int = 3, num: int = 90, den: int = 100) ->
 def _linked_groups(docs: DataFrame, w: int, num: int, den: int) -> DataFrame:
     base = written(_prefixed(docs, w, num, den, rarity(docs, w)), "prefixes")
     live = base.filter("digest is not null and doc_id is not null")
-    reps = written(live.groupBy("digest").agg(F.min("doc_id").alias("id")), "classes")
-    heads = written(live.join(reps.withColumnRenamed("id", "doc_id"), ["digest", "doc_id"], "left_semi").dropDuplicates(["digest"])
-                    .select(F.col("doc_id").alias("id"), "n_shingles", "first", "others"), "heads")
-    rows = heads.select("id", F.col("n_shingles").cast("int").alias("n"), F.posexplode("first").alias("pos", "key"))
-    leaders = written(rows.groupBy("key").agg(F.min(F.struct("id", "n", "pos")).alias("l"), F.count("*").alias("c")).filter("c > 1")
-                      .select("key", F.col("l.id").alias("leader"), F.col("l.n").alias("ln"), F.col("l.pos").alias("lpos"), (F.col("c") > 2).alias("crowded")), "leaders")
-    members = written(rows.join(leaders, "key"), "members")
-
-    # clusters: documents tied by pairs that pass every filter
+    # several: an id that is the smallest of several classes, so that it has several texts
+    reps = written(live.groupBy("digest").agg(F.min("doc_id").alias("id"))
+                   .withColumn("several", F.count("*").over(Window.partitionBy("id")) > 1), "classes")
+    heads = written(live.join(reps.withColumnRenamed("id", "doc_id"), ["digest", "doc_id"]).dropDuplicates(["digest", "doc_id"])
+                    .select(F.col("doc_id").alias("id"), "n_shingles", "several", "first", "others"), "heads")
+    ranked = _ranked(heads)
+    leaders = written(ranked.groupBy("key").agg(F.min(F.struct("id", "n", "pos", "several")).alias("l"), F.count("*").alias("c"))
+                      .select("key", F.col("l.id").alias("leader"), F.col("l.n").alias("ln"), F.col("l.pos").alias("lpos"),
+                              F.col("l.several").alias("leads"), (F.col("c") > 2).alias("crowded")), "leaders")
+    members = written(ranked.join(leaders, "key"), "members")
+
+    # clusters: documents tied by pairs that pass every filter; of a leader with several texts one is kept, so all its pairs go on
     share = _may_share(*(F.col(c).cast("long") for c in ("n", "pos", "ln", "lpos")), num, den)
-    pairs = members.filter("id <> leader").filter(share).select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
+    pairs = written(members.filter("id <> leader").filter(share | F.col("leads")).select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct(), "pairs")
     ties = written(_passing(pairs, heads, num, den), "ties")
     cluster = components(ties)
     left = _open(members.filter("crowded"), cluster)
-    listed = written(_listed(left.filter(F.col("many") <= LISTED), heads, num, den), "listed")
+    listed = written(_listed(left.filter(F.col("many") <= LISTED), num, den), "listed")
     more = written(_passing(listed, heads, num, den).union(_block_pass(left.filter(F.col("many") > LISTED), heads, num, den)), "ties")
     if more.limit(1).count():
         cluster = components(written(ties.union(more), "ties"))
@@ -350,9 +390,12 @@ def _linked_groups(docs: DataFrame, w: int, num: int, den: int) -> DataFrame:
     tied = mine.join(several, "doc_id").filter("id <> a").select("a", F.col("id").alias("b"))
     links = written(_with_first(docs, cluster, w, num, den).union(tied), "links")
     comp = components(links)
-    of = cluster.join(heads.select("id", "n_shingles"), "id").select(F.col("comp").alias("key"), "id", F.col("n_shingles").cast("int").alias("n"), F.lit(0).alias("pos"), F.col("comp").alias("leader"))
+    of = cluster.join(heads.select("id", "n_shingles"), "id").select(F.col("comp").alias("key"), "id", F.col("n_shingles").cast("int").alias("n"), F.lit(0).alias("pos"),
+                                                                   F.lit(0).alias("rank"), F.lit(False).alias("several"), F.col("comp").alias("leader"))
     left = _open(of, comp)
-    more = written(_block_pass(left, heads, num, den, _items(docs, left.select("id").distinct(), w)), "links")
+    ids = left.select("id").distinct()
+    full = _items(_among(docs.select("doc_id", "text"), "doc_id", ids), ids, w)
+    more = written(_block_pass(left, heads, num, den, full), "links")
     if more.limit(1).count():
         comp = components(written(links.union(more), "links"))
     node = written(mine.join(comp, "id", "left").groupBy("doc_id").agg(F.min(F.coalesce("comp", "id")).alias("component_id")), "nodes")
