@@ -234,3 +234,12 @@ def test_among_picks_all_and_few_others(make):
     want = set(range(-5000, 200_000, 7))
     assert want <= set(got) and len(got) == len(set(got)) < 1.02 * len(want)  # one other in 573
     assert jj._among(rows, "doc_id", spark.range(0)).count() == 0
+
+
+def test_merged_equals_components_of_all(make):
+    spark = make([]).sparkSession
+    rnd = random.Random(8)
+    old, new = ([(rnd.randrange(300), rnd.randrange(300)) for _ in range(n)] for n in (120, 60))
+    frame = [spark.createDataFrame([(min(p), max(p)) for p in e], "a long, b long") for e in (old, new, old + new)]
+    want = {tuple(r) for r in jj.components(frame[2]).collect()}
+    assert {tuple(r) for r in jj._merged(jj.components(frame[0]), frame[1]).collect()} == want

@@ -226,6 +226,16 @@ def _listed(opened: DataFrame, num: int, den: int) -> DataFrame:
             .filter((F.col("c") >= _seen(_need(F.col("na"), F.col("nb"), num, den))) | F.col("several")).select("a", "b").distinct())
 
 
+def _merged(comp: DataFrame, more: DataFrame) -> DataFrame:
+    """comp (id, comp) with the edges (a, b) of ``more``: only components that an edge joins are looked at again."""
+    ends = more.select(F.explode(F.array("a", "b")).alias("id")).distinct().join(comp, "id", "left_anti")
+    known = written(comp.select("id", "comp").union(ends.select("id", F.col("id").alias("comp"))), "known")
+    at = [known.select(F.col("id").alias(x), F.col("comp").alias("c" + x)) for x in "ab"]
+    over = components(written(more.join(at[0], "a").join(at[1], "b").filter("ca <> cb").select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct(), "merges"))
+    top = over.select(F.col("id").alias("comp"), F.col("comp").alias("top"))
+    return written(known.join(top, "comp", "left").select("id", F.coalesce("top", "comp").alias("comp")), "merged")
+
+
 def _open(members: DataFrame, comp: DataFrame) -> DataFrame:
     """Members (key, id, n, pos, rank, several, comp, home, many) of groups that still hold several components, without the
     leader, whose pairs are all known; ``home`` is its component, ``many`` the number of members."""
@@ -381,7 +391,7 @@ def _linked_groups(docs: DataFrame, w: int, num: int, den: int) -> DataFrame:
     listed = written(_listed(left.filter(F.col("many") <= LISTED), num, den), "listed")
     more = written(_passing(listed, heads, num, den).union(_block_pass(left.filter(F.col("many") > LISTED), heads, num, den)), "ties")
     if more.limit(1).count():
-        cluster = components(written(ties.union(more), "ties"))
+        cluster = _merged(cluster, more)
 
     # within clusters, on full sets
     # a doc_id with several texts ties its classes together
@@ -397,7 +407,7 @@ def _linked_groups(docs: DataFrame, w: int, num: int, den: int) -> DataFrame:
     full = _items(_among(docs.select("doc_id", "text"), "doc_id", ids), ids, w)
     more = written(_block_pass(left, heads, num, den, full), "links")
     if more.limit(1).count():
-        comp = components(written(links.union(more), "links"))
+        comp = _merged(comp, more)
     node = written(mine.join(comp, "id", "left").groupBy("doc_id").agg(F.min(F.coalesce("comp", "id")).alias("component_id")), "nodes")
     return (base.select("doc_id", "n_shingles").join(node, "doc_id", "left")
             .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")))
